@@ -10,6 +10,9 @@ evaluated in DECIMAL(38,0), so truncation and half-up rounding are exact
 (floating point disagrees across engines after truncation).  D = 0 (one
 point, or one distinct x) has no line: the prediction is 0, as a Java cast or
 ``Math.round`` of NaN gives.
+
+The SQL builders are shared by the DataFrame operators below and by the SQL
+plans, so the formula exists once.
 """
 
 from __future__ import annotations
@@ -17,43 +20,48 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from regiocast.functions.arithmetic import exact, floor_div_pos, trunc_div
+EXACT = "DECIMAL(38,0)"
+ROUNDINGS = ("trunc", "half_up")
 
-FIT_COLUMNS = ("n", "sum_x", "sum_y", "sum_xy", "sum_xx")
 
+def _x(expr: str) -> str:
+    return f"CAST({expr} AS {EXACT})"
 
-def linear_fit(df: DataFrame, keys: list[str], x: str | Column, y: str | Column) -> DataFrame:
-    """keys + n (BIGINT) and Sx, Sy, Sxy, Sxx (DECIMAL(38,0))."""
-    xc = exact(x)
-    yc = exact(y)
-    return df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(xc).alias("sum_x"),
-        F.sum(yc).alias("sum_y"),
-        F.sum(xc * yc).alias("sum_xy"),
-        F.sum(xc * xc).alias("sum_xx"),
+
+def fit_aggregates_sql(x: str, y: str) -> str:
+    """Aggregate list: n, sum_x, sum_y, sum_xy, sum_xx of integer expressions x, y."""
+    return (
+        f"COUNT(1) AS n, SUM({_x(x)}) AS sum_x, SUM({_x(y)}) AS sum_y, "
+        f"SUM({_x(x)} * {_x(y)}) AS sum_xy, SUM({_x(x)} * {_x(x)}) AS sum_xx"
     )
 
 
-def predict_at(fit: DataFrame, x0: int | Column, rounding: str = "trunc", alias: str = "predicted") -> DataFrame:
-    """Add ``alias`` (BIGINT): the fitted line at ``x0``, truncated or rounded half up."""
-    if rounding not in ("trunc", "half_up"):
-        raise ValueError("rounding must be 'trunc' or 'half_up'")
-    x0c = exact(F.lit(x0) if isinstance(x0, int) else x0)
-    n = exact("n")
-    sx, sy, sxy, sxx = F.col("sum_x"), F.col("sum_y"), F.col("sum_xy"), F.col("sum_xx")
-    out = (
-        fit.withColumn("_d", n * sxx - sx * sx)
-        .withColumn("_num", sy * F.col("_d") + (n * sxy - sx * sy) * (n * x0c - sx))
-        .withColumn("_den", n * F.col("_d"))
-    )
+def prediction_sql(x0: str, rounding: str = "trunc") -> str:
+    """BIGINT expression over columns n, sum_x, sum_y, sum_xy, sum_xx: the line at x0."""
+    if rounding not in ROUNDINGS:
+        raise ValueError(f"rounding must be one of {ROUNDINGS}")
+    n = _x("n")
+    d = f"({n} * sum_xx - sum_x * sum_x)"
+    num = f"(sum_y * {d} + ({n} * sum_xy - sum_x * sum_y) * ({n} * {_x(x0)} - sum_x))"
+    den = f"({n} * {d})"
     if rounding == "trunc":
-        value = trunc_div("_num", "_den")
+        value = f"{num} div {den}"
     else:
-        out = out.withColumn("_a", F.col("_num") * 2 + F.col("_den")).withColumn("_b", F.col("_den") * 2)
-        value = floor_div_pos("_a", "_b")
-    out = out.withColumn(alias, F.when(F.col("_d") == 0, F.lit(0).cast("bigint")).otherwise(value))
-    return out.drop("_d", "_num", "_den", "_a", "_b")
+        a, b = f"(2 * {num} + {den})", f"(2 * {den})"
+        # floor(a / b) for b > 0: Math.round's half-up, exact
+        value = f"CASE WHEN {a} >= 0 THEN {a} div {b} ELSE -(({b} - 1 - {a}) div {b}) END"
+    return f"CASE WHEN {d} = 0 THEN CAST(0 AS BIGINT) ELSE {value} END"
+
+
+def linear_fit(df: DataFrame, keys: list[str], x: str, y: str) -> DataFrame:
+    """keys + n (BIGINT) and Sx, Sy, Sxy, Sxx (DECIMAL(38,0)) of columns x, y."""
+    aggs = [F.expr(a) for a in fit_aggregates_sql(f"`{x}`", f"`{y}`").split(", ")]
+    return df.groupBy(*keys).agg(*aggs)
+
+
+def predict_at(fit: DataFrame, x0: int | str, rounding: str = "trunc", alias: str = "predicted") -> DataFrame:
+    """Add ``alias`` (BIGINT): the fitted line at ``x0`` (an int or a SQL expression)."""
+    return fit.withColumn(alias, F.expr(prediction_sql(str(x0), rounding)))
 
 
 def fit_line(df: DataFrame, keys: list[str], x: str, y: str) -> DataFrame:
@@ -63,3 +71,8 @@ def fit_line(df: DataFrame, keys: list[str], x: str, y: str) -> DataFrame:
         F.regr_intercept(F.col(y), F.col(x)).alias("intercept"),
         F.regr_count(F.col(y), F.col(x)).alias("n"),
     )
+
+
+def predicted(fit: DataFrame, x0: int | str, rounding: str = "trunc") -> Column:
+    """The prediction as a Column (for use inside a select)."""
+    return F.expr(prediction_sql(str(x0), rounding))

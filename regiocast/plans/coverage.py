@@ -11,19 +11,30 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from regiocast.functions.dates import after, as_date, date_lit, day_offset
-from regiocast.functions.regions import normalise_region
+from regiocast.functions.dates import as_date
 from regiocast.operators.clustering import cluster
-from regiocast.operators.joins import region_join
-from regiocast.operators.regression import linear_fit, predict_at
+from regiocast.operators.regression import fit_aggregates_sql, prediction_sql
+
+NORMALISED = "trim(substring_index(region, '/', 1))"
 
 
 def _target(target_date: str | _dt.date | None) -> _dt.date:
     return as_date(target_date) if target_date is not None else _dt.date.today() + _dt.timedelta(days=1)
 
 
+def _forecast_sql(start_after: str | _dt.date, target: _dt.date, rounding: str, normalise: bool) -> str:
+    start = as_date(start_after)
+    region = NORMALISED if normalise else "region"
+    x0 = str((target - start).days)
+    return f"""
+        SELECT region, n, sum_x, sum_y, sum_xy, sum_xx, {prediction_sql(x0, rounding)} AS predicted
+        FROM (SELECT region, {fit_aggregates_sql("x", "y")}
+              FROM (SELECT {region} AS region, datediff(date, DATE'{start.isoformat()}') AS x, total AS y
+                    FROM {{summary}} WHERE date > DATE'{start.isoformat()}')
+              GROUP BY region)"""
+
+
 def forecast_at_date(
     summary: DataFrame,
     start_after: str | _dt.date,
@@ -37,12 +48,8 @@ def forecast_at_date(
     x counts days after ``start_after``; the forecast does not depend on the
     origin.
     """
-    target = _target(target_date)
-    rows = summary.where(after("date", start_after))
-    region = normalise_region("region") if normalise else F.col("region")
-    points = rows.select(region.alias("region"), day_offset("date", start_after).alias("x"), F.col("total").alias("y"))
-    fit = linear_fit(points, ["region"], "x", "y")
-    return predict_at(fit, (target - as_date(start_after)).days, rounding)
+    text = _forecast_sql(start_after, _target(target_date), rounding, normalise)
+    return summary.sparkSession.sql(text, summary=summary)
 
 
 def coverage_percent(
@@ -50,6 +57,7 @@ def coverage_percent(
     population: DataFrame,
     start_after: str | _dt.date,
     target_date: str | _dt.date | None = None,
+    ordered: bool = True,
 ) -> DataFrame:
     """(date, region, percent): (total so far + forecast) / population * 100, by region.
 
@@ -57,19 +65,19 @@ def coverage_percent(
     twice cannot multiply result rows.
     """
     target = _target(target_date)
-    pred = forecast_at_date(summary, start_after, target).select(
-        "region", F.col("sum_y").cast("bigint").alias("total"), "predicted"
-    )
-    pop = population.groupBy(normalise_region("region").alias("region")).agg(
-        F.sum("population").alias("population")
-    )
-    percent = (
-        (F.col("total").cast("double") + F.col("predicted").cast("double")) / F.col("population").cast("double")
-    ) * F.lit(100.0)
-    return (
-        region_join(pred, pop)
-        .select(date_lit(target).alias("date"), "region", percent.alias("percent"))
-        .orderBy("region")
+    order = "ORDER BY p.region" if ordered else ""
+    return summary.sparkSession.sql(
+        f"""
+        SELECT DATE'{target.isoformat()}' AS date, p.region,
+               ((CAST(CAST(p.sum_y AS BIGINT) AS DOUBLE) + CAST(p.predicted AS DOUBLE))
+                 / CAST(q.population AS DOUBLE)) * 100.0 AS percent
+        FROM ({_forecast_sql(start_after, target, "trunc", True)}) p
+        JOIN (SELECT {NORMALISED} AS region, SUM(population) AS population
+              FROM {{population}} GROUP BY {NORMALISED}) q
+          ON p.region = q.region
+        {order}""",
+        summary=summary,
+        population=population,
     )
 
 
@@ -83,7 +91,7 @@ def coverage_clusters(
     seed: int = 1,
 ) -> DataFrame:
     """(date, region, percent, prediction): regions clustered by coverage."""
-    cov = coverage_percent(summary, population, start_after, target_date)
+    cov = coverage_percent(summary, population, start_after, target_date, ordered=False)
     return cluster(cov, ["percent"], k, algorithm, seed, order_by=["region"]).select(
         "date", "region", "percent", "prediction"
     )

@@ -5,6 +5,11 @@ Two option sets reproduce the reference's two implementations:
 ``min_points=2, rounding='trunc'`` (RDD job) and ``min_points=1,
 rounding='half_up'`` (SQL job).  Ranking is on the integer forecast, ties
 broken by region name.
+
+The fit needs per-day sums, but only through five numbers: Sy and Sxy are
+linear in the rows, and the days present (n, Sx, Sxx) are kept as a 31-bit
+mask (``bit_or``).  So the whole fit is ONE partial aggregate over the input
+rows, with constant state per group - no per-day aggregate and shuffle first.
 """
 
 from __future__ import annotations
@@ -12,27 +17,46 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from regiocast.functions.dates import days_in_month, month_start, next_month_start
-from regiocast.operators.aggregates import daily_sum
-from regiocast.operators.ranking import top_n_per_group
-from regiocast.operators.regression import linear_fit, predict_at
 
-MONTH_KEYS = ["month", "age", "region"]
+from regiocast.functions.dates import as_date
+from regiocast.operators.regression import EXACT, prediction_sql
 
 
-def month_points(doses: DataFrame, start_after: str | _dt.date) -> DataFrame:
-    """(month, age, region, x = day of month, women = that day's sum)."""
-    return daily_sum(doses, start_after).select(
-        month_start("date").alias("month"), "age", "region", F.dayofmonth("date").alias("x"), "women"
+def _bits_sum(mask: str, term: str) -> str:
+    """Sum of ``term`` (in i) over the set bits i = 1..31 of ``mask``."""
+    return (
+        f"aggregate(sequence(1, 31), CAST(0 AS BIGINT), "
+        f"(acc, i) -> acc + IF((shiftright({mask}, i - 1) & 1) = 1, CAST({term} AS BIGINT), CAST(0 AS BIGINT)))"
     )
 
 
+def month_fit_sql(start_after: str | _dt.date, min_points: int) -> str:
+    """(month, age, region, n, sum_x, sum_y, sum_xy, sum_xx) over ``{doses}``; x = day of month."""
+    having = f"WHERE bit_count(days) >= {int(min_points)}" if min_points > 1 else ""
+    return f"""
+        SELECT month, age, region,
+               CAST(bit_count(days) AS BIGINT) AS n,
+               CAST({_bits_sum("days", "i")} AS {EXACT}) AS sum_x,
+               sum_y, sum_xy,
+               CAST({_bits_sum("days", "i * i")} AS {EXACT}) AS sum_xx
+        FROM (SELECT trunc(date, 'MM') AS month, age, region,
+                     bit_or(shiftleft(CAST(1 AS BIGINT), dayofmonth(date) - 1)) AS days,
+                     SUM(CAST(women AS {EXACT})) AS sum_y,
+                     SUM(CAST(dayofmonth(date) AS {EXACT}) * CAST(women AS {EXACT})) AS sum_xy
+              FROM {{doses}} WHERE date > DATE'{as_date(start_after).isoformat()}'
+              GROUP BY trunc(date, 'MM'), age, region)
+        {having}"""
+
+
 def month_fit(doses: DataFrame, start_after: str | _dt.date, min_points: int = 2) -> DataFrame:
-    """(month, age, region, n, Sx, Sy, Sxy, Sxx) for groups with >= ``min_points`` days."""
-    fit = linear_fit(month_points(doses, start_after), MONTH_KEYS, "x", "women")
-    return fit.where(F.col("n") >= min_points) if min_points > 1 else fit
+    return doses.sparkSession.sql(month_fit_sql(start_after, min_points), doses=doses)
+
+
+def _forecast_sql(start_after, min_points, rounding, value_col) -> str:
+    x0 = "dayofmonth(last_day(month)) + 1"
+    return f"""
+        SELECT add_months(month, 1) AS date, age, region, {prediction_sql(x0, rounding)} AS {value_col}
+        FROM ({month_fit_sql(start_after, min_points)})"""
 
 
 def forecast_next_month(
@@ -43,9 +67,7 @@ def forecast_next_month(
     value_col: str = "vacc_women",
 ) -> DataFrame:
     """(date = first of next month, age, region, value_col BIGINT)."""
-    fit = month_fit(doses, start_after, min_points)
-    pred = predict_at(fit, days_in_month("month") + 1, rounding, alias=value_col)
-    return pred.select(next_month_start("month").alias("date"), "age", "region", value_col)
+    return doses.sparkSession.sql(_forecast_sql(start_after, min_points, rounding, value_col), doses=doses)
 
 
 def top_regions_by_forecast(
@@ -56,17 +78,34 @@ def top_regions_by_forecast(
     rounding: str = "trunc",
     value_col: str = "vacc_women",
     rank_col: str | None = None,
+    ordered: bool = True,
 ) -> DataFrame:
-    """(date, age, region, value_col[, rank_col]): at most ``n`` rows per (date, age)."""
-    pred = forecast_next_month(doses, start_after, min_points, rounding, value_col)
-    top = top_n_per_group(pred, ["date", "age"], [F.col(value_col).desc(), F.col("region").asc()], n, rank_col)
-    return top.orderBy("date", "age", F.col(value_col).desc(), "region")
+    """(date, age, region, value_col[, rank_col]): at most ``n`` rows per (date, age).
+
+    ``row_number() <= n`` lets Catalyst insert a partial WindowGroupLimit
+    before the exchange: at most n rows per (date, age) and task are shuffled.
+    """
+    rank = f", rnk AS {rank_col}" if rank_col else ""
+    order = f"ORDER BY date, age, {value_col} DESC, region" if ordered else ""
+    return doses.sparkSession.sql(
+        f"""
+        SELECT date, age, region, {value_col}{rank}
+        FROM (SELECT *, row_number() OVER (PARTITION BY date, age ORDER BY {value_col} DESC, region) AS rnk
+              FROM ({_forecast_sql(start_after, min_points, rounding, value_col)}))
+        WHERE rnk <= {int(n)}
+        {order}""",
+        doses=doses,
+    )
 
 
-def top_regions_by_forecast_rounded(doses: DataFrame, start_after: str | _dt.date, n: int = 5) -> DataFrame:
+def top_regions_by_forecast_rounded(
+    doses: DataFrame, start_after: str | _dt.date, n: int = 5, ordered: bool = True
+) -> DataFrame:
     """The SQL job's option set: every group fitted, forecast rounded half up.
 
     Columns (date, region, age, predicted).
     """
-    top = top_regions_by_forecast(doses, start_after, n, min_points=1, rounding="half_up", value_col="predicted")
+    top = top_regions_by_forecast(
+        doses, start_after, n, min_points=1, rounding="half_up", value_col="predicted", ordered=ordered
+    )
     return top.select("date", "region", "age", "predicted")

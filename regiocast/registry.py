@@ -137,7 +137,7 @@ def q_rare_key_anti_join(spark: SparkSession, d: str) -> DataFrame:
 
 def q_linear_fit(spark: SparkSession, d: str) -> DataFrame:
     fit = month_fit(tables.doses(spark, d), MONTHLY_START_AFTER, MIN_POINTS)
-    pred = predict_at(fit, days_in_month("month") + 1, "trunc")
+    pred = predict_at(fit, "dayofmonth(last_day(month)) + 1", "trunc")
     return pred.select(
         "month", "age", "region", "n",
         *[F.col(c).cast("bigint").alias(c) for c in ("sum_x", "sum_y", "sum_xy", "sum_xx")],

@@ -1,95 +1,121 @@
 """The four model tables derived from the driver's TPC-H-style Parquet tables.
 
-    doses(date, region, age, women)   lineitem x supplier x nation:
-                                      ship date, nation name, return flag, quantity
-    summary(date, region, total)      doses summed per (date, region)
+    doses(date, region, age, women)   lineitem x supplier x nation, one row per
+                                      (ship date, nation, return flag): quantity
+    summary(date, region, total)      one row per (ship date, nation)
     centers(region)                   one row per supplier, its nation
     population(region, population)    customers per nation
 
 ``qualified=True`` names a region ``"<nation> / <region>"`` so that the
 region normalisation of the coverage analytic has work to do.
 
-lineitem is the fact table.  The supplier dimension is broadcast only after a
-bounded row check; beyond it, lineitem is first summed per (supplier, day,
-flag) - which collapses a hot supplier to a few thousand rows before any
-shuffle - and then joined by a shuffle join.  Consumers only ever sum
-``women``, so both plans give the same results.
+lineitem is the fact table.  It is summed on the integer nation key and the
+names are attached to the small aggregate afterwards.  The supplier dimension
+is broadcast only after a bounded row check; beyond it, lineitem is first
+summed per (supplier, day) - which collapses a hot supplier to a few thousand
+rows before any shuffle - and joined by a shuffle join.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from regiocast.operators.joins import BROADCAST_MAX_ROWS, broadcast_if_small, fits_in
+from regiocast.operators.joins import BROADCAST_MAX_ROWS, fits_in
 
 DIMENSION_MAX_ROWS = 10_000
 
-
-def read(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return df.select(*cols) if cols else df
+# Columns of the driver tables that the analytics use, declared up front:
+# Parquet reads them by name, with no schema-inference job per read.
+TABLE_SCHEMAS = {
+    "lineitem": "l_suppkey BIGINT, l_quantity DOUBLE, l_returnflag STRING, l_shipdate TIMESTAMP_NTZ",
+    "supplier": "s_suppkey BIGINT, s_nationkey INT",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "region": "r_regionkey INT, r_name STRING",
+    "customer": "c_custkey BIGINT, c_nationkey INT",
+}
 
 
 def _path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
+def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    reader = spark.read.schema(TABLE_SCHEMAS[name]) if name in TABLE_SCHEMAS else spark.read
+    return reader.parquet(_path(sf_dir, name))
+
+
+def _hint(spark: SparkSession, sf_dir: str, name: str, alias: str, max_rows: int) -> str:
+    """A broadcast hint for ``alias`` if the table passes the bounded size check."""
+    small = fits_in(read(spark, sf_dir, name), max_rows, _path(sf_dir, name))
+    return f"/*+ BROADCAST({alias}) */" if small else ""
+
+
 def nation_names(spark: SparkSession, sf_dir: str, qualified: bool = False) -> DataFrame:
     """(nationkey, region): the nation name, optionally ``"<nation> / <region>"``."""
-    nation = read(spark, sf_dir, "nation", "n_nationkey", "n_name", "n_regionkey")
+    nation = read(spark, sf_dir, "nation")
     if not qualified:
-        return nation.select(F.col("n_nationkey").alias("nationkey"), F.col("n_name").alias("region"))
-    region = broadcast_if_small(
-        read(spark, sf_dir, "region", "r_regionkey", "r_name"), DIMENSION_MAX_ROWS, _path(sf_dir, "region")
-    )
-    return nation.join(region, nation.n_regionkey == region.r_regionkey, "inner").select(
-        F.col("n_nationkey").alias("nationkey"),
-        F.concat_ws(" / ", "n_name", "r_name").alias("region"),
-    )
-
-
-def _nations(spark: SparkSession, sf_dir: str, qualified: bool) -> DataFrame:
-    return broadcast_if_small(
-        nation_names(spark, sf_dir, qualified), DIMENSION_MAX_ROWS, _path(sf_dir, "nation") + f"#{qualified}"
+        return spark.sql("SELECT n_nationkey AS nationkey, n_name AS region FROM {nation}", nation=nation)
+    hint = _hint(spark, sf_dir, "region", "r", DIMENSION_MAX_ROWS)
+    return spark.sql(
+        f"SELECT {hint} n.n_nationkey AS nationkey, concat_ws(' / ', n.n_name, r.r_name) AS region "
+        "FROM {nation} n JOIN {region} r ON n.n_regionkey = r.r_regionkey",
+        nation=nation,
+        region=read(spark, sf_dir, "region"),
     )
 
 
-def supplier_regions(spark: SparkSession, sf_dir: str, qualified: bool = False) -> DataFrame:
-    """(suppkey, region) for every supplier."""
-    supplier = read(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey")
-    nations = _nations(spark, sf_dir, qualified)
-    return supplier.join(nations, supplier.s_nationkey == nations.nationkey, "inner").select(
-        F.col("s_suppkey").alias("suppkey"), "region"
+def _by_nation(spark: SparkSession, sf_dir: str, with_age: bool, value: str, qualified: bool) -> DataFrame:
+    """lineitem summed per (date, nation[, flag]), nation names attached last."""
+    age_col = ", l_returnflag AS age" if with_age else ""
+    age_key = ", age" if with_age else ""
+    li, su = read(spark, sf_dir, "lineitem"), read(spark, sf_dir, "supplier")
+    names = nation_names(spark, sf_dir, qualified)
+    names_hint = _hint(spark, sf_dir, "nation", "n", DIMENSION_MAX_ROWS)
+    supplier_hint = _hint(spark, sf_dir, "supplier", "s", BROADCAST_MAX_ROWS)
+    if supplier_hint:
+        # one pass over lineitem: broadcast probe, then a partial aggregate
+        facts = (
+            f"SELECT {supplier_hint} CAST(l.l_shipdate AS DATE) AS date, s.s_nationkey AS nationkey{age_col}, "
+            f"SUM(CAST(l.l_quantity AS BIGINT)) AS {value} "
+            "FROM {li} l JOIN {su} s ON l.l_suppkey = s.s_suppkey "
+            f"GROUP BY date, nationkey{age_key}"
+        )
+    else:
+        facts = (
+            f"SELECT p.date, s.s_nationkey AS nationkey{age_key.replace(', ', ', p.')}, SUM(p.v) AS {value} "
+            f"FROM (SELECT l_suppkey, CAST(l_shipdate AS DATE) AS date{age_col}, "
+            "SUM(CAST(l_quantity AS BIGINT)) AS v FROM {li} "
+            f"GROUP BY l_suppkey, date{age_key}) p "
+            "JOIN {su} s ON p.l_suppkey = s.s_suppkey "
+            f"GROUP BY p.date, s.s_nationkey{age_key.replace(', ', ', p.')}"
+        )
+    return spark.sql(
+        f"SELECT {names_hint} f.date, n.region{', f.age' if with_age else ''}, f.{value} "
+        f"FROM ({facts}) f JOIN {{names}} n ON f.nationkey = n.nationkey",
+        li=li,
+        su=su,
+        names=names,
     )
 
 
 def doses(spark: SparkSession, sf_dir: str, qualified: bool = False) -> DataFrame:
-    """(date DATE, region STRING, age STRING, women BIGINT)."""
-    li = read(spark, sf_dir, "lineitem", "l_suppkey", "l_shipdate", "l_returnflag", "l_quantity").select(
-        F.col("l_suppkey").alias("suppkey"),
-        F.col("l_shipdate").cast("date").alias("date"),
-        F.col("l_returnflag").alias("age"),
-        F.col("l_quantity").cast("bigint").alias("women"),
-    )
-    suppliers = supplier_regions(spark, sf_dir, qualified)
-    supplier_table = read(spark, sf_dir, "supplier", "s_suppkey")
-    if fits_in(supplier_table, BROADCAST_MAX_ROWS, _path(sf_dir, "supplier")):
-        joined = li.join(F.broadcast(suppliers), "suppkey", "inner")
-    else:
-        per_supplier_day = li.groupBy("suppkey", "date", "age").agg(F.sum("women").alias("women"))
-        joined = per_supplier_day.join(suppliers, "suppkey", "inner")
-    return joined.select("date", "region", "age", "women")
+    """(date DATE, region STRING, age STRING, women BIGINT): one row per (date, region, age)."""
+    return _by_nation(spark, sf_dir, True, "women", qualified)
 
 
 def summary(spark: SparkSession, sf_dir: str, qualified: bool = False) -> DataFrame:
     """(date DATE, region STRING, total BIGINT): one row per (date, region)."""
-    return doses(spark, sf_dir, qualified).groupBy("date", "region").agg(F.sum("women").alias("total"))
+    return _by_nation(spark, sf_dir, False, "total", qualified)
 
 
 def centers(spark: SparkSession, sf_dir: str, qualified: bool = False) -> DataFrame:
     """(region STRING): one row per supplier (a vaccination centre)."""
-    return supplier_regions(spark, sf_dir, qualified).select("region")
+    hint = _hint(spark, sf_dir, "nation", "n", DIMENSION_MAX_ROWS)
+    return spark.sql(
+        f"SELECT {hint} n.region FROM {{su}} s JOIN {{names}} n ON s.s_nationkey = n.nationkey",
+        su=read(spark, sf_dir, "supplier"),
+        names=nation_names(spark, sf_dir, qualified),
+    )
 
 
 def population(spark: SparkSession, sf_dir: str, qualified: bool = True) -> DataFrame:
@@ -98,22 +124,18 @@ def population(spark: SparkSession, sf_dir: str, qualified: bool = True) -> Data
     Counted on the fact table's foreign key first, so only one row per nation
     and task reaches the shuffle and the join.
     """
-    per_nation = (
-        read(spark, sf_dir, "customer", "c_nationkey")
-        .groupBy("c_nationkey")
-        .agg(F.count(F.lit(1)).alias("population"))
-    )
-    nations = _nations(spark, sf_dir, qualified)
-    return per_nation.join(nations, per_nation.c_nationkey == nations.nationkey, "inner").select(
-        "region", "population"
+    hint = _hint(spark, sf_dir, "nation", "n", DIMENSION_MAX_ROWS)
+    return spark.sql(
+        f"SELECT {hint} n.region, c.population "
+        "FROM (SELECT c_nationkey, COUNT(1) AS population FROM {cu} GROUP BY c_nationkey) c "
+        "JOIN {names} n ON c.c_nationkey = n.nationkey",
+        cu=read(spark, sf_dir, "customer"),
+        names=nation_names(spark, sf_dir, qualified),
     )
 
 
 def raw_summary(spark: SparkSession, sf_dir: str, qualified: bool = False) -> DataFrame:
     """The summary as a text feed (every column a string), for the landing step."""
-    s = summary(spark, sf_dir, qualified)
-    return s.select(
-        F.date_format("date", "yyyy-MM-dd").alias("date"),
-        "region",
-        F.col("total").cast("string").alias("total"),
+    return summary(spark, sf_dir, qualified).selectExpr(
+        "date_format(date, 'yyyy-MM-dd') AS date", "region", "CAST(total AS STRING) AS total"
     )
