@@ -29,10 +29,17 @@ def _x(expr: str) -> str:
 
 
 def fit_aggregates_sql(x: str, y: str) -> str:
-    """Aggregate list: n, sum_x, sum_y, sum_xy, sum_xx of integer expressions x, y."""
+    """Aggregate list: n, sum_x, sum_y, sum_xy, sum_xx of integer expressions x, y.
+
+    The sums are 64-bit (codegen'd primitive adds; a DECIMAL(38,0) sum would
+    box every row).  ``try_sum``/``try_multiply`` turn an overflow into NULL
+    whatever the ANSI setting, so a group too large for 64 bits gets a NULL
+    forecast instead of a wrapped one.  The formula widens to 38 digits.
+    """
+    xb, yb = f"CAST({x} AS BIGINT)", f"CAST({y} AS BIGINT)"
     return (
-        f"COUNT(1) AS n, SUM({_x(x)}) AS sum_x, SUM({_x(y)}) AS sum_y, "
-        f"SUM({_x(x)} * {_x(y)}) AS sum_xy, SUM({_x(x)} * {_x(x)}) AS sum_xx"
+        f"COUNT(1) AS n, try_sum({xb}) AS sum_x, try_sum({yb}) AS sum_y, "
+        f"try_sum(try_multiply({xb}, {yb})) AS sum_xy, try_sum(try_multiply({xb}, {xb})) AS sum_xx"
     )
 
 
@@ -40,9 +47,9 @@ def prediction_sql(x0: str, rounding: str = "trunc") -> str:
     """BIGINT expression over columns n, sum_x, sum_y, sum_xy, sum_xx: the line at x0."""
     if rounding not in ROUNDINGS:
         raise ValueError(f"rounding must be one of {ROUNDINGS}")
-    n = _x("n")
-    d = f"({n} * sum_xx - sum_x * sum_x)"
-    num = f"(sum_y * {d} + ({n} * sum_xy - sum_x * sum_y) * ({n} * {_x(x0)} - sum_x))"
+    n, sx, sy, sxy, sxx = (_x(c) for c in ("n", "sum_x", "sum_y", "sum_xy", "sum_xx"))
+    d = f"({n} * {sxx} - {sx} * {sx})"
+    num = f"({sy} * {d} + ({n} * {sxy} - {sx} * {sy}) * ({n} * {_x(x0)} - {sx}))"
     den = f"({n} * {d})"
     if rounding == "trunc":
         value = f"{num} div {den}"
@@ -54,7 +61,7 @@ def prediction_sql(x0: str, rounding: str = "trunc") -> str:
 
 
 def linear_fit(df: DataFrame, keys: list[str], x: str, y: str) -> DataFrame:
-    """keys + n (BIGINT) and Sx, Sy, Sxy, Sxx (DECIMAL(38,0)) of columns x, y."""
+    """keys + n and Sx, Sy, Sxy, Sxx (BIGINT, NULL on overflow) of columns x, y."""
     aggs = [F.expr(a) for a in fit_aggregates_sql(f"`{x}`", f"`{y}`").split(", ")]
     return df.groupBy(*keys).agg(*aggs)
 

@@ -19,15 +19,12 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 
 from regiocast.functions.dates import as_date
-from regiocast.operators.regression import EXACT, prediction_sql
+from regiocast.operators.regression import prediction_sql
 
 
-def _bits_sum(mask: str, term: str) -> str:
-    """Sum of ``term`` (in i) over the set bits i = 1..31 of ``mask``."""
-    return (
-        f"aggregate(sequence(1, 31), CAST(0 AS BIGINT), "
-        f"(acc, i) -> acc + IF((shiftright({mask}, i - 1) & 1) = 1, CAST({term} AS BIGINT), CAST(0 AS BIGINT)))"
-    )
+def _bits_sum(mask: str, power: int) -> str:
+    """Sum of i**power over the set bits i = 1..31 of ``mask`` (unrolled, codegen'd)."""
+    return " + ".join(f"(shiftright({mask}, {i - 1}) & 1) * {i ** power}" for i in range(1, 32))
 
 
 def month_fit_sql(start_after: str | _dt.date, min_points: int) -> str:
@@ -36,13 +33,13 @@ def month_fit_sql(start_after: str | _dt.date, min_points: int) -> str:
     return f"""
         SELECT month, age, region,
                CAST(bit_count(days) AS BIGINT) AS n,
-               CAST({_bits_sum("days", "i")} AS {EXACT}) AS sum_x,
+               CAST({_bits_sum("days", 1)} AS BIGINT) AS sum_x,
                sum_y, sum_xy,
-               CAST({_bits_sum("days", "i * i")} AS {EXACT}) AS sum_xx
+               CAST({_bits_sum("days", 2)} AS BIGINT) AS sum_xx
         FROM (SELECT trunc(date, 'MM') AS month, age, region,
                      bit_or(shiftleft(CAST(1 AS BIGINT), dayofmonth(date) - 1)) AS days,
-                     SUM(CAST(women AS {EXACT})) AS sum_y,
-                     SUM(CAST(dayofmonth(date) AS {EXACT}) * CAST(women AS {EXACT})) AS sum_xy
+                     try_sum(CAST(women AS BIGINT)) AS sum_y,
+                     try_sum(try_multiply(CAST(dayofmonth(date) AS BIGINT), CAST(women AS BIGINT))) AS sum_xy
               FROM {{doses}} WHERE date > DATE'{as_date(start_after).isoformat()}'
               GROUP BY trunc(date, 'MM'), age, region)
         {having}"""

@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 from regiocast.functions.dates import after, month_start
 
 
-def region_ranking(top: DataFrame, rank_col: str = "rank") -> DataFrame:
+def region_ranking(top: DataFrame, rank_col: str = "rank", ordered: bool = True) -> DataFrame:
     """(region, appearances, first_places, best_rank, mean_rank) from a ranked top-n table."""
-    return (
+    out = (
         top.groupBy("region")
         .agg(
             F.count(F.lit(1)).alias("appearances"),
@@ -25,11 +25,13 @@ def region_ranking(top: DataFrame, rank_col: str = "rank") -> DataFrame:
             F.min(rank_col).cast("bigint").alias("best_rank"),
             F.avg(rank_col).alias("mean_rank"),
         )
-        .orderBy(F.col("appearances").desc(), F.col("first_places").desc(), "region")
     )
+    return out.orderBy(F.col("appearances").desc(), F.col("first_places").desc(), "region") if ordered else out
 
 
-def category_trend(doses: DataFrame, region: str, start_after: str | _dt.date | None = None) -> DataFrame:
+def category_trend(
+    doses: DataFrame, region: str, start_after: str | _dt.date | None = None, ordered: bool = True
+) -> DataFrame:
     """(month, age, women, change) for one region; change is NULL for a band's first month.
 
     The window is partitioned by age band over already-aggregated months, so
@@ -40,4 +42,5 @@ def category_trend(doses: DataFrame, region: str, start_after: str | _dt.date |
         rows = rows.where(after("date", start_after))
     monthly = rows.groupBy(month_start("date").alias("month"), "age").agg(F.sum("women").alias("women"))
     w = Window.partitionBy("age").orderBy("month")
-    return monthly.withColumn("change", F.col("women") - F.lag("women").over(w)).orderBy("age", "month")
+    out = monthly.withColumn("change", F.col("women") - F.lag("women").over(w))
+    return out.orderBy("age", "month") if ordered else out

@@ -173,37 +173,44 @@ def q_series_collect(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_monthly_mean_per_center(spark: SparkSession, d: str) -> DataFrame:
-    return monthly_mean_per_center(_summary(spark, d), tables.centers(spark, d), MONTHLY_START_AFTER)
+    return monthly_mean_per_center(_summary(spark, d), tables.centers(spark, d), MONTHLY_START_AFTER, ordered=False)
 
 
 def q_top_regions_by_forecast(spark: SparkSession, d: str) -> DataFrame:
-    return top_regions_by_forecast(tables.doses(spark, d), MONTHLY_START_AFTER, TOP_N, MIN_POINTS, "trunc")
+    return top_regions_by_forecast(
+        tables.doses(spark, d), MONTHLY_START_AFTER, TOP_N, MIN_POINTS, "trunc", ordered=False
+    )
 
 
 def q_top_regions_by_forecast_rounded(spark: SparkSession, d: str) -> DataFrame:
-    return top_regions_by_forecast_rounded(tables.doses(spark, d), MONTHLY_START_AFTER, TOP_N)
+    return top_regions_by_forecast_rounded(tables.doses(spark, d), MONTHLY_START_AFTER, TOP_N, ordered=False)
 
 
 def q_coverage_percent(spark: SparkSession, d: str) -> DataFrame:
     return coverage_percent(
-        _summary(spark, d, qualified=True), tables.population(spark, d), COVERAGE_START_AFTER, TARGET_DATE
+        _summary(spark, d, qualified=True),
+        tables.population(spark, d),
+        COVERAGE_START_AFTER,
+        TARGET_DATE,
+        ordered=False,
     )
 
 
 def q_region_ranking(spark: SparkSession, d: str) -> DataFrame:
     top = top_regions_by_forecast(
-        tables.doses(spark, d), MONTHLY_START_AFTER, TOP_N, MIN_POINTS, "trunc", rank_col="rank"
+        tables.doses(spark, d), MONTHLY_START_AFTER, TOP_N, MIN_POINTS, "trunc", rank_col="rank", ordered=False
     )
-    return region_ranking(top)
+    return region_ranking(top, ordered=False)
 
 
 def q_category_trend(spark: SparkSession, d: str) -> DataFrame:
-    return category_trend(tables.doses(spark, d), TREND_REGION, MONTHLY_START_AFTER)
+    return category_trend(tables.doses(spark, d), TREND_REGION, MONTHLY_START_AFTER, ordered=False)
 
 
 def q_csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """The whole reference job: analytic, globally sorted CSV with a header, read back."""
     path = scratch_path(spark, "csv")
-    write_csv(q_monthly_mean_per_center(spark, d), path, sort_by=["date", "region"], single_file=True)
+    write_csv(q_monthly_mean_per_center(spark, d), path, sort_by=["date", "region"])
     return read_csv(spark, path, schemas.MONTHLY_MEAN)
 
 

@@ -36,6 +36,9 @@ def build_session(
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        # local mode runs every task in one JVM on small inputs: small hash-map
+        # pages avoid allocating 64 MB per aggregate task
+        .config("spark.buffer.pageSize", "2m")
     )
     if checkpoint_dir is not None:
         builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
