@@ -28,8 +28,8 @@ def _x(expr: str) -> str:
     return f"CAST({expr} AS {EXACT})"
 
 
-def fit_aggregates_sql(x: str, y: str) -> str:
-    """Aggregate list: n, sum_x, sum_y, sum_xy, sum_xx of integer expressions x, y.
+def fit_aggregates(x: str, y: str) -> list[str]:
+    """Aggregates n, sum_x, sum_y, sum_xy, sum_xx of integer SQL expressions x, y.
 
     The sums are 64-bit (codegen'd primitive adds; a DECIMAL(38,0) sum would
     box every row).  ``try_sum``/``try_multiply`` turn an overflow into NULL
@@ -37,10 +37,13 @@ def fit_aggregates_sql(x: str, y: str) -> str:
     forecast instead of a wrapped one.  The formula widens to 38 digits.
     """
     xb, yb = f"CAST({x} AS BIGINT)", f"CAST({y} AS BIGINT)"
-    return (
-        f"COUNT(1) AS n, try_sum({xb}) AS sum_x, try_sum({yb}) AS sum_y, "
-        f"try_sum(try_multiply({xb}, {yb})) AS sum_xy, try_sum(try_multiply({xb}, {xb})) AS sum_xx"
-    )
+    return [
+        "COUNT(1) AS n",
+        f"try_sum({xb}) AS sum_x",
+        f"try_sum({yb}) AS sum_y",
+        f"try_sum(try_multiply({xb}, {yb})) AS sum_xy",
+        f"try_sum(try_multiply({xb}, {xb})) AS sum_xx",
+    ]
 
 
 def prediction_sql(x0: str, rounding: str = "trunc") -> str:
@@ -62,7 +65,7 @@ def prediction_sql(x0: str, rounding: str = "trunc") -> str:
 
 def linear_fit(df: DataFrame, keys: list[str], x: str, y: str) -> DataFrame:
     """keys + n and Sx, Sy, Sxy, Sxx (BIGINT, NULL on overflow) of columns x, y."""
-    aggs = [F.expr(a) for a in fit_aggregates_sql(f"`{x}`", f"`{y}`").split(", ")]
+    aggs = [F.expr(a) for a in fit_aggregates(f"`{x}`", f"`{y}`")]
     return df.groupBy(*keys).agg(*aggs)
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 
 from regiocast.functions.dates import as_date
 from regiocast.operators.clustering import cluster
-from regiocast.operators.regression import fit_aggregates_sql, prediction_sql
+from regiocast.operators.regression import fit_aggregates, prediction_sql
 
 NORMALISED = "trim(substring_index(region, '/', 1))"
 
@@ -29,7 +29,7 @@ def _forecast_sql(start_after: str | _dt.date, target: _dt.date, rounding: str,
     x0 = str((target - start).days)
     return f"""
         SELECT region, n, sum_x, sum_y, sum_xy, sum_xx, {prediction_sql(x0, rounding)} AS predicted
-        FROM (SELECT region, {fit_aggregates_sql("x", "y")}
+        FROM (SELECT region, {", ".join(fit_aggregates("x", "y"))}
               FROM (SELECT {region} AS region, datediff(date, DATE'{start.isoformat()}') AS x, total AS y
                     FROM {{summary}} WHERE date > DATE'{start.isoformat()}')
               GROUP BY region)"""
