@@ -226,4 +226,5 @@ FROM (SELECT CAST(date_trunc('month', date) AS DATE) AS month, age, CAST(SUM(wom
       FROM doses WHERE region = '{TREND_REGION}' AND date > {M_START} GROUP BY 1, 2)
 ORDER BY age, month""",
     "csv_roundtrip": C1,
+    "stream_landing": _with(_base()) + "SELECT date, region, total FROM summary",
 }

@@ -39,6 +39,7 @@ from regiocast.session import scratch_path
 from regiocast.sources import schemas, tables
 from regiocast.sources.landing import type_columns
 from regiocast.sources.sinks import read_csv, write_csv
+from regiocast.streaming.landing import land_available
 
 # Fixed parameters: the reference's dates moved onto the ship-date range
 # (1995-01-02 .. 2001-11-04) of the driver tables.
@@ -214,6 +215,13 @@ def q_csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     return read_csv(spark, path, schemas.MONTHLY_MEAN)
 
 
+def q_stream_landing(spark: SparkSession, d: str) -> DataFrame:
+    """The feed as text drops (derived from the tables), landed by the streaming job."""
+    drops, landed = scratch_path(spark, "drops"), scratch_path(spark, "landed")
+    tables.raw_summary(spark, d).repartition(4).write.option("header", True).csv(drops)
+    return land_available(spark, drops, landed, schemas.SUMMARY_RAW, schemas.SUMMARY, max_files_per_trigger=1)
+
+
 def _clusters(algorithm: str) -> Query:
     def run(spark: SparkSession, d: str) -> DataFrame:
         return coverage_clusters(
@@ -254,6 +262,7 @@ QUERIES: dict[str, Query] = {
     "region_ranking": q_region_ranking,
     "category_trend": q_category_trend,
     "csv_roundtrip": q_csv_roundtrip,
+    "stream_landing": q_stream_landing,
     "region_clusters_kmeans": _clusters("kmeans"),
     "region_clusters_bisecting": _clusters("bisecting"),
 }
