@@ -4,8 +4,9 @@ K-means|| initialisation depends on how the rows are split into partitions,
 so ``deterministic=True`` (the default, meant for aggregated feature tables
 such as one row per region) orders the rows by key into one partition.  That
 path is guarded by a bounded row check; larger tables are fitted distributed.
-The feature table is checkpointed to the shared folder before the iterative
-fit, so lost executors re-read it instead of recomputing the whole lineage.
+The feature table is checkpointed to the shared folder first, so the upstream
+analytic runs once, and lost executors re-read the checkpoint instead of
+recomputing the whole lineage during the iterative fit.
 """
 
 from __future__ import annotations
@@ -36,11 +37,12 @@ def cluster(
         raise ValueError(f"algorithm must be one of {ALGORITHMS}, got {algorithm!r}")
     if k < 2:
         raise ValueError("k must be at least 2")
-    features = VectorAssembler(inputCols=feature_cols, outputCol="features").transform(df)
+    # materialise once in the shared folder: the size check, the ordering and
+    # every training iteration read the checkpoint, not the upstream lineage
+    features = cut_lineage(VectorAssembler(inputCols=feature_cols, outputCol="features").transform(df))
     if deterministic and fits_in(features, DETERMINISTIC_MAX_ROWS):
         ordered = features.orderBy(*order_by) if order_by else features
         features = ordered.coalesce(1)
-    features = cut_lineage(features)
     if algorithm == "kmeans":
         estimator = KMeans(k=k, seed=seed, featuresCol="features", predictionCol=prediction_col)
     else:
