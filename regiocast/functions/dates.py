@@ -27,6 +27,16 @@ def date_lit(value: str | _dt.date | _dt.datetime) -> Column:
     return F.lit(as_date(value))
 
 
+def sql_date(value: str | _dt.date | _dt.datetime) -> str:
+    """A SQL DATE literal: foldable, so a comparison with it is pushed down."""
+    return f"DATE'{as_date(value).isoformat()}'"
+
+
+def sql_after(start_after: str | _dt.date | None, col: str = "date") -> str:
+    """``WHERE`` clause for the strictly-after filter (empty when no bound)."""
+    return f"WHERE {col} > {sql_date(start_after)}" if start_after is not None else ""
+
+
 def after(col: str | Column, start_after: str | _dt.date) -> Column:
     """Strictly-after predicate; a foldable literal, so it is pushed down."""
     return F.col(col) > date_lit(start_after) if isinstance(col, str) else col > date_lit(start_after)

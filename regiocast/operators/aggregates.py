@@ -2,7 +2,8 @@
 
 Every aggregate here is algebraic (sum/count), so Spark plans a partial
 aggregate before the shuffle: a hot key is summed map-side and reaches the
-exchange as one row per task.
+exchange as one row per task.  Each operator is one parameterised SQL
+statement over its input DataFrame.
 """
 
 from __future__ import annotations
@@ -10,49 +11,68 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from regiocast.functions.dates import after, month_start
-from regiocast.functions.regions import normalise_region
+from regiocast.functions.dates import sql_after
+
+NORMALISED_REGION = "trim(substring_index(region, '/', 1))"
+
+
+def _sql(df: DataFrame, text: str) -> DataFrame:
+    return df.sparkSession.sql(text, t=df)
 
 
 def sum_by(df: DataFrame, keys: list[str], value: str, alias: str | None = None) -> DataFrame:
-    return df.groupBy(*keys).agg(F.sum(value).alias(alias or value))
+    cols = ", ".join(f"`{k}`" for k in keys)
+    return _sql(df, f"SELECT {cols}, SUM(`{value}`) AS `{alias or value}` FROM {{t}} GROUP BY {cols}")
 
 
 def daily_sum(
     doses: DataFrame, start_after: str | _dt.date | None = None, value: str = "women", alias: str = "women"
 ) -> DataFrame:
     """(A2) Sum per (date, age, region), keeping dates strictly after ``start_after``."""
-    if start_after is not None:
-        doses = doses.where(after("date", start_after))
-    return sum_by(doses, ["date", "age", "region"], value, alias)
+    return _sql(
+        doses,
+        f"SELECT date, age, region, SUM({value}) AS {alias} FROM {{t}} {sql_after(start_after)} "
+        "GROUP BY date, age, region",
+    )
 
 
 def monthly_sum(summary: DataFrame, start_after: str | _dt.date | None = None, value: str = "total") -> DataFrame:
     """(A1) Sum per (first day of month, region)."""
-    if start_after is not None:
-        summary = summary.where(after("date", start_after))
-    return summary.groupBy(month_start("date").alias("date"), "region").agg(F.sum(value).alias(value))
+    return _sql(
+        summary,
+        f"SELECT trunc(date, 'MM') AS date, region, SUM({value}) AS {value} FROM {{t}} {sql_after(start_after)} "
+        "GROUP BY trunc(date, 'MM'), region",
+    )
 
 
 def region_total(summary: DataFrame, start_after: str | _dt.date | None = None, value: str = "total") -> DataFrame:
     """(A3) Sum per normalised region."""
-    if start_after is not None:
-        summary = summary.where(after("date", start_after))
-    return summary.groupBy(normalise_region("region").alias("region")).agg(F.sum(value).alias(value))
+    return _sql(
+        summary,
+        f"SELECT {NORMALISED_REGION} AS region, SUM({value}) AS {value} FROM {{t}} {sql_after(start_after)} "
+        f"GROUP BY {NORMALISED_REGION}",
+    )
 
 
 def center_count(centers: DataFrame) -> DataFrame:
     """(A4) One row per centre in, (region, centers) out."""
-    return centers.groupBy("region").agg(F.count(F.lit(1)).alias("centers"))
+    return _sql(centers, "SELECT region, COUNT(1) AS centers FROM {t} GROUP BY region")
 
 
 def points_per_month(daily: DataFrame) -> DataFrame:
     """Days with data per (month, age, region)."""
-    return daily.groupBy(month_start("date").alias("month"), "age", "region").agg(F.count(F.lit(1)).alias("n_days"))
+    return _sql(
+        daily,
+        "SELECT trunc(date, 'MM') AS month, age, region, COUNT(1) AS n_days FROM {t} "
+        "GROUP BY trunc(date, 'MM'), age, region",
+    )
 
 
 def min_points_filter(daily: DataFrame, min_points: int = 2) -> DataFrame:
     """(A5) (month, age, region) groups with at least ``min_points`` days: a HAVING."""
-    return points_per_month(daily).where(F.col("n_days") >= min_points)
+    return _sql(
+        daily,
+        "SELECT trunc(date, 'MM') AS month, age, region, COUNT(1) AS n_days FROM {t} "
+        f"GROUP BY trunc(date, 'MM'), age, region HAVING COUNT(1) >= {int(min_points)}",
+    )

@@ -43,8 +43,15 @@ def drop_rare_keys(df: DataFrame, keys: list[str], min_count: int) -> DataFrame:
     """Keep rows whose key occurs at least ``min_count`` times.
 
     The reference collected the rare keys to the driver and broadcast a list;
-    here it is an anti-join.  Both sides are hash-partitioned on ``keys``, so
-    the count's exchange is reused by the join.
+    here it is an anti-join with the keys counted below ``min_count``.  Both
+    sides are hash-partitioned on ``keys``, so the count's exchange is reused;
+    AQE splits a skewed key on the probe side.  On raw rows prefer the fused
+    form (a HAVING in the aggregate that needs the filter, as in C2).
     """
-    rare = df.groupBy(*keys).count().where(F.col("count") < min_count).select(*keys)
-    return df.join(rare, on=keys, how="left_anti")
+    cols = ", ".join(f"`{k}`" for k in keys)
+    on = " AND ".join(f"r.`{k}` <=> k.`{k}`" for k in keys)
+    return df.sparkSession.sql(
+        f"SELECT r.* FROM {{t}} r LEFT ANTI JOIN "
+        f"(SELECT {cols} FROM {{t}} GROUP BY {cols} HAVING COUNT(1) < {int(min_count)}) k ON {on}",
+        t=df,
+    )

@@ -17,8 +17,7 @@ plans, so the formula exists once.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 EXACT = "DECIMAL(38,0)"
 ROUNDINGS = ("trunc", "half_up")
@@ -65,24 +64,21 @@ def prediction_sql(x0: str, rounding: str = "trunc") -> str:
 
 def linear_fit(df: DataFrame, keys: list[str], x: str, y: str) -> DataFrame:
     """keys + n and Sx, Sy, Sxy, Sxx (BIGINT, NULL on overflow) of columns x, y."""
-    aggs = [F.expr(a) for a in fit_aggregates(f"`{x}`", f"`{y}`")]
-    return df.groupBy(*keys).agg(*aggs)
+    cols = ", ".join(f"`{k}`" for k in keys)
+    aggs = ", ".join(fit_aggregates(f"`{x}`", f"`{y}`"))
+    return df.sparkSession.sql(f"SELECT {cols}, {aggs} FROM {{t}} GROUP BY {cols}", t=df)
 
 
 def predict_at(fit: DataFrame, x0: int | str, rounding: str = "trunc", alias: str = "predicted") -> DataFrame:
     """Add ``alias`` (BIGINT): the fitted line at ``x0`` (an int or a SQL expression)."""
-    return fit.withColumn(alias, F.expr(prediction_sql(str(x0), rounding)))
+    return fit.selectExpr("*", f"{prediction_sql(str(x0), rounding)} AS `{alias}`")
 
 
 def fit_line(df: DataFrame, keys: list[str], x: str, y: str) -> DataFrame:
     """General (double-valued) fit: slope, intercept and point count per group."""
-    return df.groupBy(*keys).agg(
-        F.regr_slope(F.col(y), F.col(x)).alias("slope"),
-        F.regr_intercept(F.col(y), F.col(x)).alias("intercept"),
-        F.regr_count(F.col(y), F.col(x)).alias("n"),
+    cols = ", ".join(f"`{k}`" for k in keys)
+    return df.sparkSession.sql(
+        f"SELECT {cols}, regr_slope(`{y}`, `{x}`) AS slope, regr_intercept(`{y}`, `{x}`) AS intercept, "
+        f"regr_count(`{y}`, `{x}`) AS n FROM {{t}} GROUP BY {cols}",
+        t=df,
     )
-
-
-def predicted(fit: DataFrame, x0: int | str, rounding: str = "trunc") -> Column:
-    """The prediction as a Column (for use inside a select)."""
-    return F.expr(prediction_sql(str(x0), rounding))

@@ -7,22 +7,26 @@ offered for groups with a known bound only, e.g. the days of one month.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
 def series_collect(df: DataFrame, keys: list[str], order_col: str, value_col: str, alias: str = "series") -> DataFrame:
     """keys + ``alias``: array<struct<order_col, value_col>> sorted by ``order_col``."""
-    return df.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(order_col, value_col))).alias(alias))
+    cols = ", ".join(f"`{k}`" for k in keys)
+    return df.sparkSession.sql(
+        f"SELECT {cols}, sort_array(collect_list(struct(`{order_col}`, `{value_col}`))) AS `{alias}` "
+        f"FROM {{t}} GROUP BY {cols}",
+        t=df,
+    )
 
 
 def with_struct_key(df: DataFrame, key_cols: list[str], key: str = "key") -> DataFrame:
     """Pack ``key_cols`` into one struct column ``key`` (the remaining columns follow)."""
-    rest = [c for c in df.columns if c not in key_cols]
-    return df.select(F.struct(*key_cols).alias(key), *rest)
+    rest = [f"`{c}`" for c in df.columns if c not in key_cols]
+    return df.selectExpr(f"struct({', '.join(f'`{c}`' for c in key_cols)}) AS `{key}`", *rest)
 
 
 def flatten_struct(df: DataFrame, struct_col: str, fields: dict[str, str] | None = None) -> DataFrame:
     """Struct fields as top-level columns; ``fields`` maps output name -> field name."""
     names = fields or {f.name: f.name for f in df.schema[struct_col].dataType.fields}
-    rest = [c for c in df.columns if c != struct_col]
-    return df.select(*[F.col(f"{struct_col}.{src}").alias(dst) for dst, src in names.items()], *rest)
+    rest = [f"`{c}`" for c in df.columns if c != struct_col]
+    return df.selectExpr(*[f"`{struct_col}`.`{src}` AS `{dst}`" for dst, src in names.items()], *rest)

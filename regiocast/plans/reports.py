@@ -9,24 +9,22 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from regiocast.functions.dates import after, month_start
+from regiocast.functions.dates import sql_date
 
 
 def region_ranking(top: DataFrame, rank_col: str = "rank", ordered: bool = True) -> DataFrame:
     """(region, appearances, first_places, best_rank, mean_rank) from a ranked top-n table."""
-    out = (
-        top.groupBy("region")
-        .agg(
-            F.count(F.lit(1)).alias("appearances"),
-            F.sum(F.when(F.col(rank_col) == 1, 1).otherwise(0)).cast("bigint").alias("first_places"),
-            F.min(rank_col).cast("bigint").alias("best_rank"),
-            F.avg(rank_col).alias("mean_rank"),
-        )
+    order = "ORDER BY appearances DESC, first_places DESC, region" if ordered else ""
+    return top.sparkSession.sql(
+        f"""
+        SELECT region, COUNT(1) AS appearances,
+               CAST(SUM(CASE WHEN `{rank_col}` = 1 THEN 1 ELSE 0 END) AS BIGINT) AS first_places,
+               CAST(MIN(`{rank_col}`) AS BIGINT) AS best_rank, AVG(`{rank_col}`) AS mean_rank
+        FROM {{top}} GROUP BY region {order}""",
+        top=top,
     )
-    return out.orderBy(F.col("appearances").desc(), F.col("first_places").desc(), "region") if ordered else out
 
 
 def category_trend(
@@ -37,10 +35,15 @@ def category_trend(
     The window is partitioned by age band over already-aggregated months, so
     each window partition holds one row per month.
     """
-    rows = doses.where(F.col("region") == F.lit(region))
-    if start_after is not None:
-        rows = rows.where(after("date", start_after))
-    monthly = rows.groupBy(month_start("date").alias("month"), "age").agg(F.sum("women").alias("women"))
-    w = Window.partitionBy("age").orderBy("month")
-    out = monthly.withColumn("change", F.col("women") - F.lag("women").over(w))
-    return out.orderBy("age", "month") if ordered else out
+    after = f"AND date > {sql_date(start_after)}" if start_after is not None else ""
+    order = "ORDER BY age, month" if ordered else ""
+    return doses.sparkSession.sql(
+        f"""
+        SELECT month, age, women, women - lag(women) OVER (PARTITION BY age ORDER BY month) AS change
+        FROM (SELECT trunc(date, 'MM') AS month, age, SUM(women) AS women
+              FROM {{doses}} WHERE region = :region {after}
+              GROUP BY trunc(date, 'MM'), age)
+        {order}""",
+        args={"region": region},
+        doses=doses,
+    )

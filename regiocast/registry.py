@@ -7,21 +7,11 @@ dates onto the tables' ship-date range.
 
 from __future__ import annotations
 
-import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from regiocast.functions.dates import (
-    after,
-    as_date,
-    days_in_month,
-    month_start,
-    month_year_label,
-    next_month_start,
-)
-from regiocast.functions.regions import normalise_region
+
+from regiocast.functions.dates import sql_date
 from regiocast.operators import aggregates as agg
 from regiocast.operators.joins import drop_rare_keys, region_join
 from regiocast.operators.series import flatten_struct, series_collect, with_struct_key
@@ -63,7 +53,7 @@ def _daily(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_date_after_filter(spark: SparkSession, d: str) -> DataFrame:
-    return _summary(spark, d).where(after("date", MONTHLY_START_AFTER))
+    return _summary(spark, d).where(f"date > {sql_date(MONTHLY_START_AFTER)}")
 
 
 def q_sql_view_filter(spark: SparkSession, d: str) -> DataFrame:
@@ -71,32 +61,35 @@ def q_sql_view_filter(spark: SparkSession, d: str) -> DataFrame:
     tables.doses(spark, d).createOrReplaceTempView(view)
     return spark.sql(
         f"SELECT date, age, region, SUM(women) AS women FROM {view} "
-        f"WHERE date > DATE '{as_date(MONTHLY_START_AFTER).isoformat()}' GROUP BY date, age, region"
+        f"WHERE date > {sql_date(MONTHLY_START_AFTER)} GROUP BY date, age, region"
     )
 
 
 def q_string_cast_sum(spark: SparkSession, d: str) -> DataFrame:
     landed = type_columns(tables.raw_summary(spark, d), schemas.SUMMARY, on_bad="fail")
-    return landed.groupBy("region").agg(F.sum("total").alias("total"))
+    return agg.sum_by(landed, ["region"], "total")
 
 
 def q_month_bucket(spark: SparkSession, d: str) -> DataFrame:
-    rows = _summary(spark, d).where(after("date", MONTHLY_START_AFTER))
-    months = rows.groupBy(month_start("date").alias("month")).agg(F.count(F.lit(1)).alias("rows"))
-    return months.select(
-        "month",
-        days_in_month("month").cast("bigint").alias("days_in_month"),
-        next_month_start("month").alias("next_month"),
-        F.date_format("month", "yyyy-MM").alias("month_label"),
-        F.date_format(next_month_start("month"), "dd-MM-yyyy").alias("next_label"),
-        month_year_label("month").alias("month_year"),
-        "rows",
+    return spark.sql(
+        f"""
+        SELECT month, CAST(dayofmonth(last_day(month)) AS BIGINT) AS days_in_month,
+               add_months(month, 1) AS next_month,
+               date_format(month, 'yyyy-MM') AS month_label,
+               date_format(add_months(month, 1), 'dd-MM-yyyy') AS next_label,
+               concat(CAST(month(month) AS STRING), '-', CAST(year(month) AS STRING)) AS month_year,
+               rows
+        FROM (SELECT trunc(date, 'MM') AS month, COUNT(1) AS rows FROM {{s}}
+              WHERE date > {sql_date(MONTHLY_START_AFTER)} GROUP BY trunc(date, 'MM'))""",
+        s=_summary(spark, d),
     )
 
 
 def q_region_normalise(spark: SparkSession, d: str) -> DataFrame:
-    s = _summary(spark, d, qualified=True)
-    return s.select(F.col("region").alias("raw_region"), normalise_region("region").alias("region")).distinct()
+    return spark.sql(
+        f"SELECT DISTINCT region AS raw_region, {agg.NORMALISED_REGION} AS region FROM {{s}}",
+        s=_summary(spark, d, qualified=True),
+    )
 
 
 def q_struct_flatten(spark: SparkSession, d: str) -> DataFrame:
@@ -123,7 +116,7 @@ def q_center_count(spark: SparkSession, d: str) -> DataFrame:
 
 def q_region_join(spark: SparkSession, d: str) -> DataFrame:
     totals = agg.region_total(_summary(spark, d, qualified=True), COVERAGE_START_AFTER)
-    pop = tables.population(spark, d).select(normalise_region("region").alias("region"), "population")
+    pop = tables.population(spark, d).selectExpr(f"{agg.NORMALISED_REGION} AS region", "population")
     return region_join(totals, pop)
 
 
@@ -132,17 +125,16 @@ def q_min_points_filter(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_rare_key_anti_join(spark: SparkSession, d: str) -> DataFrame:
-    daily = _daily(spark, d).withColumn("month", month_start("date"))
-    return drop_rare_keys(daily, ["month", "age", "region"], MIN_POINTS).select("date", "age", "region", "women")
+    daily = _daily(spark, d).selectExpr("*", "trunc(date, 'MM') AS month")
+    kept = drop_rare_keys(daily, ["month", "age", "region"], MIN_POINTS)
+    return kept.selectExpr("date", "age", "region", "women")
 
 
 def q_linear_fit(spark: SparkSession, d: str) -> DataFrame:
     fit = month_fit(tables.doses(spark, d), MONTHLY_START_AFTER, MIN_POINTS)
     pred = predict_at(fit, "dayofmonth(last_day(month)) + 1", "trunc")
-    return pred.select(
-        "month", "age", "region", "n",
-        *[F.col(c).cast("bigint").alias(c) for c in ("sum_x", "sum_y", "sum_xy", "sum_xx")],
-        "predicted",
+    return pred.selectExpr(
+        "month", "age", "region", "n", "sum_x", "sum_y", "sum_xy", "sum_xx", "predicted"
     )
 
 
@@ -156,20 +148,20 @@ def q_forecast_next_month_rounded(spark: SparkSession, d: str) -> DataFrame:
 
 def q_forecast_at_date(spark: SparkSession, d: str) -> DataFrame:
     fit = forecast_at_date(_summary(spark, d, qualified=True), COVERAGE_START_AFTER, TARGET_DATE)
-    return fit.select("region", "predicted")
+    return fit.selectExpr("region", "predicted")
 
 
 def q_series_collect(spark: SparkSession, d: str) -> DataFrame:
     # bounded groups: one month of distinct days, at most 31 elements
-    daily = _daily(spark, d).withColumn("month", month_start("date"))
+    daily = _daily(spark, d).selectExpr("*", "trunc(date, 'MM') AS month")
     s = series_collect(daily, ["month", "age", "region"], "date", "women")
-    return s.select(
+    return s.selectExpr(
         "month", "age", "region",
-        F.size("series").cast("bigint").alias("n_points"),
-        F.col("series")[0]["date"].alias("first_date"),
-        F.col("series")[0]["women"].alias("first_women"),
-        F.element_at("series", -1)["date"].alias("last_date"),
-        F.element_at("series", -1)["women"].alias("last_women"),
+        "CAST(size(series) AS BIGINT) AS n_points",
+        "series[0].date AS first_date",
+        "series[0].women AS first_women",
+        "element_at(series, -1).date AS last_date",
+        "element_at(series, -1).women AS last_women",
     )
 
 

@@ -8,19 +8,10 @@ row instead.  Everything is a projection: no extra pass over the data.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
-def _typed(col: Column, dtype: T.DataType, strict: bool) -> Column:
-    if isinstance(dtype, T.StringType):
-        return col
-    # casts to DATE accept one-digit months and days, like a lenient parser
-    name = dtype.simpleString()
-    return col.cast(name) if strict else col.try_cast(name)
-
-
 def type_columns(
     df: DataFrame,
     schema: T.StructType,
@@ -29,25 +20,29 @@ def type_columns(
 ) -> DataFrame:
     """Rename positionally to ``schema`` and cast every column to its type.
 
-    ``required`` (default: all columns) may not be NULL after the cast.
+    ``required`` (default: all columns) may not be NULL after the cast.  Casts
+    to DATE accept one-digit months and days, like a lenient parser.
     """
     if on_bad not in ("fail", "drop"):
         raise ValueError("on_bad must be 'fail' or 'drop'")
     names = [f.name for f in schema.fields]
     if len(df.columns) < len(names):
         raise ValueError(f"expected at least {len(names)} columns, got {df.columns}")
-    renamed = df.select(*df.columns[: len(names)]).toDF(*names)
     required = names if required is None else required
     strict = on_bad == "fail"
-    cols = []
-    for field in schema.fields:
-        c = _typed(F.col(field.name), field.dataType, strict)
+    exprs = []
+    for src, field in zip(df.columns, schema.fields):
+        value = f"`{src}`"
+        if not isinstance(field.dataType, T.StringType):
+            cast = "CAST" if strict else "TRY_CAST"
+            value = f"{cast}({value} AS {field.dataType.simpleString()})"
         if strict and field.name in required:
-            c = F.when(c.isNull(), F.raise_error(F.lit(f"landing: NULL or bad value in {field.name}"))).otherwise(c)
-        cols.append(c.alias(field.name))
-    typed = renamed.select(*cols)
+            message = f"landing: NULL or bad value in {field.name}"
+            value = f"CASE WHEN {value} IS NULL THEN raise_error('{message}') ELSE {value} END"
+        exprs.append(f"{value} AS `{field.name}`")
+    typed = df.selectExpr(*exprs)
     if not strict:
-        typed = typed.dropna(subset=required)
+        typed = typed.where(" AND ".join(f"`{c}` IS NOT NULL" for c in required))
     return typed
 
 
