@@ -1,7 +1,7 @@
 """The four model tables derived from the driver's TPC-H-style Parquet tables.
 
     doses(date, region, age, women)   lineitem x supplier x nation, one row per
-                                      (ship date, nation, return flag): quantity
+                                      line item: ship date, nation, flag, quantity
     summary(date, region, total)      one row per (ship date, nation)
     centers(region)                   one row per supplier, its nation
     population(region, population)    customers per nation
@@ -64,10 +64,8 @@ def nation_names(spark: SparkSession, sf_dir: str, qualified: bool = False) -> D
     )
 
 
-def _by_nation(spark: SparkSession, sf_dir: str, with_age: bool, value: str, qualified: bool) -> DataFrame:
-    """lineitem summed per (date, nation[, flag]), nation names attached last."""
-    age_col = ", l_returnflag AS age" if with_age else ""
-    age_key = ", age" if with_age else ""
+def _daily_by_nation(spark: SparkSession, sf_dir: str, qualified: bool) -> DataFrame:
+    """lineitem summed per (date, nation key), nation names attached to the small result."""
     li, su = read(spark, sf_dir, "lineitem"), read(spark, sf_dir, "supplier")
     names = nation_names(spark, sf_dir, qualified)
     names_hint = _hint(spark, sf_dir, "nation", "n", DIMENSION_MAX_ROWS)
@@ -75,23 +73,19 @@ def _by_nation(spark: SparkSession, sf_dir: str, with_age: bool, value: str, qua
     if supplier_hint:
         # one pass over lineitem: broadcast probe, then a partial aggregate
         facts = (
-            f"SELECT {supplier_hint} CAST(l.l_shipdate AS DATE) AS date, s.s_nationkey AS nationkey{age_col}, "
-            f"SUM(CAST(l.l_quantity AS BIGINT)) AS {value} "
-            "FROM {li} l JOIN {su} s ON l.l_suppkey = s.s_suppkey "
-            f"GROUP BY date, nationkey{age_key}"
+            f"SELECT {supplier_hint} CAST(l.l_shipdate AS DATE) AS date, s.s_nationkey AS nationkey, "
+            "SUM(CAST(l.l_quantity AS BIGINT)) AS total "
+            "FROM {li} l JOIN {su} s ON l.l_suppkey = s.s_suppkey GROUP BY date, nationkey"
         )
     else:
         facts = (
-            f"SELECT p.date, s.s_nationkey AS nationkey{age_key.replace(', ', ', p.')}, SUM(p.v) AS {value} "
-            f"FROM (SELECT l_suppkey, CAST(l_shipdate AS DATE) AS date{age_col}, "
-            "SUM(CAST(l_quantity AS BIGINT)) AS v FROM {li} "
-            f"GROUP BY l_suppkey, date{age_key}) p "
-            "JOIN {su} s ON p.l_suppkey = s.s_suppkey "
-            f"GROUP BY p.date, s.s_nationkey{age_key.replace(', ', ', p.')}"
+            "SELECT p.date, s.s_nationkey AS nationkey, SUM(p.v) AS total "
+            "FROM (SELECT l_suppkey, CAST(l_shipdate AS DATE) AS date, SUM(CAST(l_quantity AS BIGINT)) AS v "
+            "FROM {li} GROUP BY l_suppkey, date) p "
+            "JOIN {su} s ON p.l_suppkey = s.s_suppkey GROUP BY p.date, s.s_nationkey"
         )
     return spark.sql(
-        f"SELECT {names_hint} f.date, n.region{', f.age' if with_age else ''}, f.{value} "
-        f"FROM ({facts}) f JOIN {{names}} n ON f.nationkey = n.nationkey",
+        f"SELECT {names_hint} f.date, n.region, f.total FROM ({facts}) f JOIN {{names}} n ON f.nationkey = n.nationkey",
         li=li,
         su=su,
         names=names,
@@ -99,13 +93,40 @@ def _by_nation(spark: SparkSession, sf_dir: str, with_age: bool, value: str, qua
 
 
 def doses(spark: SparkSession, sf_dir: str, qualified: bool = False) -> DataFrame:
-    """(date DATE, region STRING, age STRING, women BIGINT): one row per (date, region, age)."""
-    return _by_nation(spark, sf_dir, True, "women", qualified)
+    """(date DATE, region STRING, age STRING, women BIGINT): one row per line item.
+
+    Every consumer sums ``women`` over its own keys, so the rows go straight
+    into that aggregate (one shuffle) with both dimensions broadcast.  When
+    the supplier table is too large to broadcast, the rows are pre-summed per
+    (supplier, day, flag) before the shuffle join - same sums, fewer rows.
+    """
+    li, su = read(spark, sf_dir, "lineitem"), read(spark, sf_dir, "supplier")
+    names = nation_names(spark, sf_dir, qualified)
+    names_hint = "BROADCAST(n)" if _hint(spark, sf_dir, "nation", "n", DIMENSION_MAX_ROWS) else ""
+    if _hint(spark, sf_dir, "supplier", "s", BROADCAST_MAX_ROWS):
+        hints = ", ".join(h for h in ("BROADCAST(s)", names_hint) if h)
+        return spark.sql(
+            f"SELECT /*+ {hints} */ CAST(l.l_shipdate AS DATE) AS date, n.region, l.l_returnflag AS age, "
+            "CAST(l.l_quantity AS BIGINT) AS women "
+            "FROM {li} l JOIN {su} s ON l.l_suppkey = s.s_suppkey JOIN {names} n ON s.s_nationkey = n.nationkey",
+            li=li,
+            su=su,
+            names=names,
+        )
+    return spark.sql(
+        f"SELECT {'/*+ ' + names_hint + ' */' if names_hint else ''} p.date, n.region, p.age, p.women "
+        "FROM (SELECT l_suppkey, CAST(l_shipdate AS DATE) AS date, l_returnflag AS age, "
+        "SUM(CAST(l_quantity AS BIGINT)) AS women FROM {li} GROUP BY l_suppkey, date, age) p "
+        "JOIN {su} s ON p.l_suppkey = s.s_suppkey JOIN {names} n ON s.s_nationkey = n.nationkey",
+        li=li,
+        su=su,
+        names=names,
+    )
 
 
 def summary(spark: SparkSession, sf_dir: str, qualified: bool = False) -> DataFrame:
     """(date DATE, region STRING, total BIGINT): one row per (date, region)."""
-    return _by_nation(spark, sf_dir, False, "total", qualified)
+    return _daily_by_nation(spark, sf_dir, qualified)
 
 
 def centers(spark: SparkSession, sf_dir: str, qualified: bool = False) -> DataFrame:
