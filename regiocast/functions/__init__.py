@@ -1,4 +1,4 @@
-from regiocast.functions.arithmetic import exact, floor_div_pos, trunc_div
+from regiocast.functions.arithmetic import floor_div_pos, floor_div_pos_sql, trunc_div, trunc_div_sql
 from regiocast.functions.dates import (
     after,
     as_date,
@@ -8,9 +8,11 @@ from regiocast.functions.dates import (
     month_start,
     month_year_label,
     next_month_start,
+    sql_after,
+    sql_date,
     tomorrow,
 )
-from regiocast.functions.regions import normalise_region
+from regiocast.functions.regions import normalise_region, normalise_region_sql
 
 __all__ = [
     "after",
@@ -18,12 +20,16 @@ __all__ = [
     "date_lit",
     "day_offset",
     "days_in_month",
-    "exact",
     "floor_div_pos",
+    "floor_div_pos_sql",
     "month_start",
     "month_year_label",
     "next_month_start",
+    "sql_after",
+    "sql_date",
     "normalise_region",
+    "normalise_region_sql",
     "tomorrow",
     "trunc_div",
+    "trunc_div_sql",
 ]

@@ -37,17 +37,21 @@ def sql_after(start_after: str | _dt.date | None, col: str = "date") -> str:
     return f"WHERE {col} > {sql_date(start_after)}" if start_after is not None else ""
 
 
+def _c(col: str | Column) -> Column:
+    return F.col(col) if isinstance(col, str) else col
+
+
 def after(col: str | Column, start_after: str | _dt.date) -> Column:
     """Strictly-after predicate; a foldable literal, so it is pushed down."""
-    return F.col(col) > date_lit(start_after) if isinstance(col, str) else col > date_lit(start_after)
+    return _c(col) > date_lit(start_after)
 
 
 def month_start(col: str | Column) -> Column:
-    return F.trunc(F.col(col) if isinstance(col, str) else col, "MM")
+    return F.trunc(_c(col), "MM")
 
 
 def days_in_month(col: str | Column) -> Column:
-    return F.dayofmonth(F.last_day(F.col(col) if isinstance(col, str) else col))
+    return F.dayofmonth(F.last_day(_c(col)))
 
 
 def next_month_start(col: str | Column) -> Column:
@@ -56,13 +60,13 @@ def next_month_start(col: str | Column) -> Column:
 
 def month_year_label(col: str | Column) -> Column:
     """``M-yyyy`` (no zero padding), the key the SQL variant built by concat."""
-    c = F.col(col) if isinstance(col, str) else col
+    c = _c(col)
     return F.concat(F.month(c).cast("string"), F.lit("-"), F.year(c).cast("string"))
 
 
 def day_offset(col: str | Column, origin: str | _dt.date) -> Column:
     """Whole days since ``origin``; a straight-line fit is invariant to the shift."""
-    return F.datediff(F.col(col) if isinstance(col, str) else col, date_lit(origin))
+    return F.datediff(_c(col), date_lit(origin))
 
 
 def tomorrow() -> Column:

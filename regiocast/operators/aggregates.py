@@ -13,8 +13,9 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 
 from regiocast.functions.dates import sql_after
+from regiocast.functions.regions import normalise_region_sql
 
-NORMALISED_REGION = "trim(substring_index(region, '/', 1))"
+NORMALISED_REGION = normalise_region_sql("region")
 
 
 def _sql(df: DataFrame, text: str) -> DataFrame:

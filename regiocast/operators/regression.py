@@ -19,6 +19,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from regiocast.functions.arithmetic import floor_div_pos_sql, trunc_div_sql
+
 EXACT = "DECIMAL(38,0)"
 ROUNDINGS = ("trunc", "half_up")
 
@@ -54,11 +56,10 @@ def prediction_sql(x0: str, rounding: str = "trunc") -> str:
     num = f"({sy} * {d} + ({n} * {sxy} - {sx} * {sy}) * ({n} * {_x(x0)} - {sx}))"
     den = f"({n} * {d})"
     if rounding == "trunc":
-        value = f"{num} div {den}"
+        value = trunc_div_sql(num, den)
     else:
-        a, b = f"(2 * {num} + {den})", f"(2 * {den})"
-        # floor(a / b) for b > 0: Math.round's half-up, exact
-        value = f"CASE WHEN {a} >= 0 THEN {a} div {b} ELSE -(({b} - 1 - {a}) div {b}) END"
+        # floor(num / den + 1/2) = floor((2 num + den) / (2 den)): Math.round's half-up, exact
+        value = floor_div_pos_sql(f"(2 * {num} + {den})", f"(2 * {den})")
     return f"CASE WHEN {d} = 0 THEN CAST(0 AS BIGINT) ELSE {value} END"
 
 

@@ -13,10 +13,11 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 
 from regiocast.functions.dates import as_date
+from regiocast.functions.regions import normalise_region_sql
 from regiocast.operators.clustering import cluster
 from regiocast.operators.regression import fit_aggregates, prediction_sql
 
-NORMALISED = "trim(substring_index(region, '/', 1))"
+NORMALISED = normalise_region_sql("region")
 
 
 def _target(target_date: str | _dt.date | None) -> _dt.date:
