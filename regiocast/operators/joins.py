@@ -1,9 +1,11 @@
 """Joins (J1-J3) with a size-checked broadcast.
 
-A side is broadcast only after a bounded check proves it small: ``limit(m+1)``
-reads at most ``m+1`` rows per partition, so the check costs the same at any
-scale.  Beyond the bound the join is left to the planner (sort-merge, with
-AQE's runtime broadcast conversion and skew splitting).
+A side is broadcast only after a check proves it small: an exact ``count()``,
+which is a partial count per task (one row per task reaches the shuffle) and,
+on a Parquet table, reads no column data.  (``limit(m+1).count()`` would move
+up to m+1 rows per partition into one task.)  Beyond the bound the join is
+left to the planner (sort-merge, with AQE's runtime broadcast conversion and
+skew splitting).  Results are cached per table path.
 """
 
 from __future__ import annotations
@@ -19,11 +21,11 @@ _checked: dict[tuple[str, int], bool] = {}
 
 
 def fits_in(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, cache_key: str | None = None) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (bounded work)."""
+    """True when ``df`` has at most ``max_rows`` rows."""
     key = (cache_key, max_rows) if cache_key is not None else None
     if key is not None and key in _checked:
         return _checked[key]
-    small = df.limit(max_rows + 1).count() <= max_rows
+    small = df.count() <= max_rows
     if key is not None:
         _checked[key] = small
     return small

@@ -11,10 +11,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from regiocast.operators.joins import fits_in
 
-def write_csv(df: DataFrame, path: str, sort_by: list[str] | None = None, single_file: bool = False) -> None:
+
+SINGLE_FILE_MAX_ROWS = 10_000_000
+
+
+def write_csv(
+    df: DataFrame,
+    path: str,
+    sort_by: list[str] | None = None,
+    single_file: bool = False,
+    max_rows: int = SINGLE_FILE_MAX_ROWS,
+) -> None:
+    """Overwrite ``path`` with a header; ``sort_by`` orders the output.
+
+    ``single_file`` refuses tables over ``max_rows`` rows: one task writes it.
+    """
     out = df
     if single_file:
+        if not fits_in(df, max_rows):
+            raise ValueError(f"single_file output is for report tables up to {max_rows} rows")
         out = out.coalesce(1)
         if sort_by:
             out = out.sortWithinPartitions(*sort_by)
