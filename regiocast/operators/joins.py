@@ -10,6 +10,8 @@ skew splitting).  Results are cached per table path.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,13 +24,15 @@ _checked: dict[tuple[str, int], bool] = {}
 
 def fits_in(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, cache_key: str | None = None) -> bool:
     """True when ``df`` has at most ``max_rows`` rows."""
-    key = (cache_key, max_rows) if cache_key is not None else None
-    if key is not None and key in _checked:
-        return _checked[key]
-    small = df.count() <= max_rows
-    if key is not None:
-        _checked[key] = small
-    return small
+    return table_fits_in(cache_key, max_rows, lambda: df) if cache_key is not None else df.count() <= max_rows
+
+
+def table_fits_in(cache_key: str, max_rows: int, make_df: Callable[[], DataFrame]) -> bool:
+    """Cached size check of a stored table; ``make_df`` is only called on a miss."""
+    key = (cache_key, max_rows)
+    if key not in _checked:
+        _checked[key] = make_df().count() <= max_rows
+    return _checked[key]
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, cache_key: str | None = None) -> DataFrame:

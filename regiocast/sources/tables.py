@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from regiocast.operators.joins import BROADCAST_MAX_ROWS, fits_in
+from regiocast.operators.joins import BROADCAST_MAX_ROWS, table_fits_in
 
 DIMENSION_MAX_ROWS = 10_000
 
@@ -45,8 +45,9 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _hint(spark: SparkSession, sf_dir: str, name: str, alias: str, max_rows: int) -> str:
-    """A broadcast hint for ``alias`` if the table passes the bounded size check."""
-    small = fits_in(read(spark, sf_dir, name), max_rows, _path(sf_dir, name))
+    """A broadcast hint for ``alias`` if the table passes the (cached) size check."""
+    path = _path(sf_dir, name)
+    small = table_fits_in(path, max_rows, lambda: read(spark, sf_dir, name))
     return f"/*+ BROADCAST({alias}) */" if small else ""
 
 

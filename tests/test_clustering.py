@@ -71,3 +71,14 @@ def test_kmeans_rows_are_nearest_their_centre(coverage):
 def test_rejects_unknown_algorithm(coverage):
     with pytest.raises(ValueError):
         cluster(coverage, ["percent"], 2, "gmm")
+
+
+@pytest.mark.parametrize("algorithm", ["kmeans", "bisecting"])
+def test_labels_do_not_depend_on_input_partitioning(spark, algorithm):
+    rows = [(dt.date(2021, 6, 1), region, pct) for region, pct in RECORDED]
+    df = spark.createDataFrame(rows, "date date, region string, percent double")
+    runs = [
+        {r.region: r.prediction for r in cluster(part, ["percent"], 4, algorithm, order_by=["region"]).collect()}
+        for part in (df.coalesce(1), df.repartition(7), df.repartition(21))
+    ]
+    assert runs[0] == runs[1] == runs[2]
