@@ -22,6 +22,9 @@ def build_session(
 ) -> SparkSession:
     """Session for tests and the bench.
 
+    ``checkpoint_dir`` is for test sessions only; on a cluster the shared
+    folder comes from the cluster's ``spark.checkpoint.dir``.
+
     At cluster scale set ``spark.sql.shuffle.partitions`` (or AQE's
     ``coalescePartitions.initialPartitionNum``) to a few thousand and let AQE
     coalesce; locally it is the number of cores.
