@@ -82,3 +82,9 @@ def test_labels_do_not_depend_on_input_partitioning(spark, algorithm):
         for part in (df.coalesce(1), df.repartition(7), df.repartition(21))
     ]
     assert runs[0] == runs[1] == runs[2]
+
+
+def test_distributed_fit_runs(coverage):
+    out = cluster(coverage, ["percent"], 3, "bisecting", deterministic=False).collect()
+    assert len(out) == len(RECORDED)
+    assert {r.prediction for r in out} == {0, 1, 2}

@@ -46,3 +46,19 @@ def test_exact_line_and_partition_invariance(spark):
     one = {r.g: r.predicted for r in predict_at(linear_fit(df.coalesce(1), ["g"], "x", "y"), 100).collect()}
     many = {r.g: r.predicted for r in predict_at(linear_fit(df.repartition(7), ["g"], "x", "y"), 100).collect()}
     assert one == many == {"a": 697, "b": 5}
+
+
+def test_fit_line_on_doubles(spark):
+    from regiocast.operators.regression import fit_line
+
+    rows = [("a", float(x), 0.5 * x + 2.0) for x in range(10)] + [("b", 1.0, 3.0)]
+    out = {r.g: r for r in fit_line(spark.createDataFrame(rows, "g string, x double, y double"), ["g"], "x", "y").collect()}
+    assert abs(out["a"].slope - 0.5) < 1e-12 and abs(out["a"].intercept - 2.0) < 1e-12 and out["a"].n == 10
+    assert out["b"].slope is None  # one point has no line
+
+
+def test_overflowing_group_gets_null_not_a_wrapped_value(spark):
+    big = 4 * 10**18
+    df = spark.createDataFrame([("g", 1, big), ("g", 2, big), ("g", 3, big)], "g string, x bigint, y bigint")
+    (row,) = predict_at(linear_fit(df, ["g"], "x", "y"), 4).collect()
+    assert row.sum_y is None and row.predicted is None
