@@ -8,7 +8,8 @@ coalesces to one task and sorts inside it, which keeps the order (a
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from regiocast.operators.joins import fits_in
@@ -17,6 +18,16 @@ from regiocast.operators.joins import fits_in
 SINGLE_FILE_MAX_ROWS = 10_000_000
 
 
+def _sort_keys(keys: list[str]) -> list[Column]:
+    """``["date", "v DESC"]`` -> sort columns (T3: mixed directions)."""
+    cols = []
+    for key in keys:
+        name, _, direction = key.strip().partition(" ")
+        desc = direction.strip().upper() == "DESC"
+        cols.append(F.col(name).desc() if desc else F.col(name).asc())
+    return cols
+
+
 def write_csv(
     df: DataFrame,
     path: str,
@@ -24,7 +35,7 @@ def write_csv(
     single_file: bool = False,
     max_rows: int = SINGLE_FILE_MAX_ROWS,
 ) -> None:
-    """Overwrite ``path`` with a header; ``sort_by`` orders the output.
+    """Overwrite ``path`` with a header; ``sort_by`` (``"col"`` or ``"col DESC"``) orders it.
 
     ``single_file`` refuses tables over ``max_rows`` rows: one task writes it.
     """
@@ -34,9 +45,9 @@ def write_csv(
             raise ValueError(f"single_file output is for report tables up to {max_rows} rows")
         out = out.coalesce(1)
         if sort_by:
-            out = out.sortWithinPartitions(*sort_by)
+            out = out.sortWithinPartitions(*_sort_keys(sort_by))
     elif sort_by:
-        out = out.orderBy(*sort_by)
+        out = out.orderBy(*_sort_keys(sort_by))
     out.write.mode("overwrite").option("header", True).csv(path)
 
 
