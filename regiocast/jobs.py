@@ -1,9 +1,11 @@
 """Batch jobs, one per analytic, writing CSV reports like the reference's jobs.
 
-    spark-submit regiocast/jobs.py monthly-mean  --sf-dir DIR --out PATH
-    spark-submit regiocast/jobs.py top-regions   --sf-dir DIR --out PATH [--variant rdd|sql] [--n 5]
-    spark-submit regiocast/jobs.py coverage      --sf-dir DIR --out PATH --algorithm kmeans|bisecting --k K
-                                                 [--target-date yyyy-mm-dd]
+    python -m regiocast.jobs monthly-mean  --sf-dir DIR --out PATH
+    python -m regiocast.jobs top-regions   --sf-dir DIR --out PATH [--variant rdd|sql] [--n 5]
+    python -m regiocast.jobs coverage      --sf-dir DIR --out PATH --algorithm kmeans|bisecting --k K
+                                           [--target-date yyyy-mm-dd]
+
+(or ``spark-submit --py-files regiocast.zip regiocast/jobs.py ...`` on a cluster)
 
 Inputs are the model tables derived from the Parquet tables in ``--sf-dir``.
 Reports are globally sorted and written with a header; clustering results go
@@ -13,6 +15,11 @@ to ``<out>/<algorithm>/<k>``.
 from __future__ import annotations
 
 import argparse
+import os
+import sys
+
+if __package__ in (None, ""):  # run as a script: make the package importable
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import DataFrame, SparkSession
 
