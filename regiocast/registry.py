@@ -210,7 +210,7 @@ def q_csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
 def q_stream_landing(spark: SparkSession, d: str) -> DataFrame:
     """The feed as text drops (derived from the tables), landed by the streaming job."""
     drops, landed = scratch_path(spark, "drops"), scratch_path(spark, "landed")
-    tables.raw_summary(spark, d).repartition(4).write.option("header", True).csv(drops)
+    tables.raw_summary(spark, d).repartition(2).write.option("header", True).csv(drops)
     return land_available(spark, drops, landed, schemas.SUMMARY_RAW, schemas.SUMMARY, max_files_per_trigger=1)
 
 
