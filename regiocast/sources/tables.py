@@ -40,57 +40,46 @@ def _path(sf_dir: str, name: str) -> str:
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    reader = spark.read.schema(TABLE_SCHEMAS[name]) if name in TABLE_SCHEMAS else spark.read
-    return reader.parquet(_path(sf_dir, name))
+    reader = spark.read.format("parquet")
+    if name in TABLE_SCHEMAS:
+        reader = reader.schema(TABLE_SCHEMAS[name])
+    return reader.load(_path(sf_dir, name))
 
 
-def _hint(spark: SparkSession, sf_dir: str, name: str, alias: str, max_rows: int) -> str:
-    """A broadcast hint for ``alias`` if the table passes the (cached) size check."""
-    path = _path(sf_dir, name)
-    small = table_fits_in(path, max_rows, lambda: read(spark, sf_dir, name))
-    return f"/*+ BROADCAST({alias}) */" if small else ""
+def _small(spark: SparkSession, sf_dir: str, name: str, max_rows: int) -> bool:
+    """The (cached) size check of a stored table."""
+    return table_fits_in(_path(sf_dir, name), max_rows, lambda: read(spark, sf_dir, name))
 
 
-def nation_names(spark: SparkSession, sf_dir: str, qualified: bool = False) -> DataFrame:
-    """(nationkey, region): the nation name, optionally ``"<nation> / <region>"``."""
-    nation = read(spark, sf_dir, "nation")
+def _names_sql(qualified: bool, hint: str) -> str:
+    """SQL over ``{na}`` (and ``{rg}``): (nationkey, region) names."""
     if not qualified:
-        return spark.sql("SELECT n_nationkey AS nationkey, n_name AS region FROM {nation}", nation=nation)
-    hint = _hint(spark, sf_dir, "region", "r", DIMENSION_MAX_ROWS)
-    return spark.sql(
+        return "SELECT n_nationkey AS nationkey, n_name AS region FROM {na}"
+    return (
         f"SELECT {hint} n.n_nationkey AS nationkey, concat_ws(' / ', n.n_name, r.r_name) AS region "
-        "FROM {nation} n JOIN {region} r ON n.n_regionkey = r.r_regionkey",
-        nation=nation,
-        region=read(spark, sf_dir, "region"),
+        "FROM {na} n JOIN {rg} r ON n.n_regionkey = r.r_regionkey"
     )
 
 
-def _daily_by_nation(spark: SparkSession, sf_dir: str, qualified: bool) -> DataFrame:
-    """lineitem summed per (date, nation key), nation names attached to the small result."""
-    li, su = read(spark, sf_dir, "lineitem"), read(spark, sf_dir, "supplier")
-    names = nation_names(spark, sf_dir, qualified)
-    names_hint = _hint(spark, sf_dir, "nation", "n", DIMENSION_MAX_ROWS)
-    supplier_hint = _hint(spark, sf_dir, "supplier", "s", BROADCAST_MAX_ROWS)
-    if supplier_hint:
-        # one pass over lineitem: broadcast probe, then a partial aggregate
-        facts = (
-            f"SELECT {supplier_hint} CAST(l.l_shipdate AS DATE) AS date, s.s_nationkey AS nationkey, "
-            "SUM(CAST(l.l_quantity AS BIGINT)) AS total "
-            "FROM {li} l JOIN {su} s ON l.l_suppkey = s.s_suppkey GROUP BY date, nationkey"
-        )
-    else:
-        facts = (
-            "SELECT p.date, s.s_nationkey AS nationkey, SUM(p.v) AS total "
-            "FROM (SELECT l_suppkey, CAST(l_shipdate AS DATE) AS date, SUM(CAST(l_quantity AS BIGINT)) AS v "
-            "FROM {li} GROUP BY l_suppkey, date) p "
-            "JOIN {su} s ON p.l_suppkey = s.s_suppkey GROUP BY p.date, s.s_nationkey"
-        )
-    return spark.sql(
-        f"SELECT {names_hint} f.date, n.region, f.total FROM ({facts}) f JOIN {{names}} n ON f.nationkey = n.nationkey",
-        li=li,
-        su=su,
-        names=names,
-    )
+def _dims(spark: SparkSession, sf_dir: str, qualified: bool) -> tuple[str, dict[str, DataFrame], str]:
+    """The names CTE, its input tables, and the broadcast hint for it (alias ``n``)."""
+    region_hint = "/*+ BROADCAST(r) */" if _small(spark, sf_dir, "region", DIMENSION_MAX_ROWS) else ""
+    frames = {"na": read(spark, sf_dir, "nation")}
+    if qualified:
+        frames["rg"] = read(spark, sf_dir, "region")
+    names_hint = "BROADCAST(n)" if _small(spark, sf_dir, "nation", DIMENSION_MAX_ROWS) else ""
+    return f"names AS ({_names_sql(qualified, region_hint)})", frames, names_hint
+
+
+def _hints(*hints: str) -> str:
+    used = [h for h in hints if h]
+    return f"/*+ {', '.join(used)} */" if used else ""
+
+
+def nation_names(spark: SparkSession, sf_dir: str, qualified: bool = False) -> DataFrame:
+    """(nationkey, region): the nation name, optionally ``"<nation> / <region>"``."""
+    cte, frames, _ = _dims(spark, sf_dir, qualified)
+    return spark.sql(f"WITH {cte} SELECT nationkey, region FROM names", **frames)
 
 
 def doses(spark: SparkSession, sf_dir: str, qualified: bool = False) -> DataFrame:
@@ -101,42 +90,60 @@ def doses(spark: SparkSession, sf_dir: str, qualified: bool = False) -> DataFram
     the supplier table is too large to broadcast, the rows are pre-summed per
     (supplier, day, flag) before the shuffle join - same sums, fewer rows.
     """
-    li, su = read(spark, sf_dir, "lineitem"), read(spark, sf_dir, "supplier")
-    names = nation_names(spark, sf_dir, qualified)
-    names_hint = "BROADCAST(n)" if _hint(spark, sf_dir, "nation", "n", DIMENSION_MAX_ROWS) else ""
-    if _hint(spark, sf_dir, "supplier", "s", BROADCAST_MAX_ROWS):
-        hints = ", ".join(h for h in ("BROADCAST(s)", names_hint) if h)
-        return spark.sql(
-            f"SELECT /*+ {hints} */ CAST(l.l_shipdate AS DATE) AS date, n.region, l.l_returnflag AS age, "
-            "CAST(l.l_quantity AS BIGINT) AS women "
-            "FROM {li} l JOIN {su} s ON l.l_suppkey = s.s_suppkey JOIN {names} n ON s.s_nationkey = n.nationkey",
-            li=li,
-            su=su,
-            names=names,
+    cte, frames, names_hint = _dims(spark, sf_dir, qualified)
+    frames.update(li=read(spark, sf_dir, "lineitem"), su=read(spark, sf_dir, "supplier"))
+    if _small(spark, sf_dir, "supplier", BROADCAST_MAX_ROWS):
+        text = (
+            f"WITH {cte} SELECT {_hints('BROADCAST(s)', names_hint)} CAST(l.l_shipdate AS DATE) AS date, "
+            "n.region, l.l_returnflag AS age, CAST(l.l_quantity AS BIGINT) AS women "
+            "FROM {li} l JOIN {su} s ON l.l_suppkey = s.s_suppkey JOIN names n ON s.s_nationkey = n.nationkey"
         )
-    return spark.sql(
-        f"SELECT {'/*+ ' + names_hint + ' */' if names_hint else ''} p.date, n.region, p.age, p.women "
-        "FROM (SELECT l_suppkey, CAST(l_shipdate AS DATE) AS date, l_returnflag AS age, "
-        "SUM(CAST(l_quantity AS BIGINT)) AS women FROM {li} GROUP BY l_suppkey, date, age) p "
-        "JOIN {su} s ON p.l_suppkey = s.s_suppkey JOIN {names} n ON s.s_nationkey = n.nationkey",
-        li=li,
-        su=su,
-        names=names,
-    )
+    else:
+        text = (
+            f"WITH {cte} SELECT {_hints(names_hint)} p.date, n.region, p.age, p.women "
+            "FROM (SELECT l_suppkey, CAST(l_shipdate AS DATE) AS date, l_returnflag AS age, "
+            "SUM(CAST(l_quantity AS BIGINT)) AS women FROM {li} GROUP BY l_suppkey, date, age) p "
+            "JOIN {su} s ON p.l_suppkey = s.s_suppkey JOIN names n ON s.s_nationkey = n.nationkey"
+        )
+    return spark.sql(text, **frames)
 
 
 def summary(spark: SparkSession, sf_dir: str, qualified: bool = False) -> DataFrame:
-    """(date DATE, region STRING, total BIGINT): one row per (date, region)."""
-    return _daily_by_nation(spark, sf_dir, qualified)
+    """(date DATE, region STRING, total BIGINT): one row per (date, region).
+
+    lineitem is summed per (date, nation key) and the names are attached to
+    the small aggregate.
+    """
+    cte, frames, names_hint = _dims(spark, sf_dir, qualified)
+    frames.update(li=read(spark, sf_dir, "lineitem"), su=read(spark, sf_dir, "supplier"))
+    if _small(spark, sf_dir, "supplier", BROADCAST_MAX_ROWS):
+        # one pass over lineitem: broadcast probe, then a partial aggregate
+        facts = (
+            f"SELECT {_hints('BROADCAST(s)')} CAST(l.l_shipdate AS DATE) AS date, s.s_nationkey AS nationkey, "
+            "SUM(CAST(l.l_quantity AS BIGINT)) AS total "
+            "FROM {li} l JOIN {su} s ON l.l_suppkey = s.s_suppkey GROUP BY date, nationkey"
+        )
+    else:
+        facts = (
+            "SELECT p.date, s.s_nationkey AS nationkey, SUM(p.v) AS total "
+            "FROM (SELECT l_suppkey, CAST(l_shipdate AS DATE) AS date, SUM(CAST(l_quantity AS BIGINT)) AS v "
+            "FROM {li} GROUP BY l_suppkey, date) p "
+            "JOIN {su} s ON p.l_suppkey = s.s_suppkey GROUP BY p.date, s.s_nationkey"
+        )
+    return spark.sql(
+        f"WITH {cte} SELECT {_hints(names_hint)} f.date, n.region, f.total "
+        f"FROM ({facts}) f JOIN names n ON f.nationkey = n.nationkey",
+        **frames,
+    )
 
 
 def centers(spark: SparkSession, sf_dir: str, qualified: bool = False) -> DataFrame:
     """(region STRING): one row per supplier (a vaccination centre)."""
-    hint = _hint(spark, sf_dir, "nation", "n", DIMENSION_MAX_ROWS)
+    cte, frames, names_hint = _dims(spark, sf_dir, qualified)
+    frames.update(su=read(spark, sf_dir, "supplier"))
     return spark.sql(
-        f"SELECT {hint} n.region FROM {{su}} s JOIN {{names}} n ON s.s_nationkey = n.nationkey",
-        su=read(spark, sf_dir, "supplier"),
-        names=nation_names(spark, sf_dir, qualified),
+        f"WITH {cte} SELECT {_hints(names_hint)} n.region FROM {{su}} s JOIN names n ON s.s_nationkey = n.nationkey",
+        **frames,
     )
 
 
@@ -146,13 +153,13 @@ def population(spark: SparkSession, sf_dir: str, qualified: bool = True) -> Data
     Counted on the fact table's foreign key first, so only one row per nation
     and task reaches the shuffle and the join.
     """
-    hint = _hint(spark, sf_dir, "nation", "n", DIMENSION_MAX_ROWS)
+    cte, frames, names_hint = _dims(spark, sf_dir, qualified)
+    frames.update(cu=read(spark, sf_dir, "customer"))
     return spark.sql(
-        f"SELECT {hint} n.region, c.population "
+        f"WITH {cte} SELECT {_hints(names_hint)} n.region, c.population "
         "FROM (SELECT c_nationkey, COUNT(1) AS population FROM {cu} GROUP BY c_nationkey) c "
-        "JOIN {names} n ON c.c_nationkey = n.nationkey",
-        cu=read(spark, sf_dir, "customer"),
-        names=nation_names(spark, sf_dir, qualified),
+        "JOIN names n ON c.c_nationkey = n.nationkey",
+        **frames,
     )
 
 
