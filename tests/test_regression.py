@@ -62,3 +62,33 @@ def test_overflowing_group_gets_null_not_a_wrapped_value(spark):
     df = spark.createDataFrame([("g", 1, big), ("g", 2, big), ("g", 3, big)], "g string, x bigint, y bigint")
     (row,) = predict_at(linear_fit(df, ["g"], "x", "y"), 4).collect()
     assert row.sum_y is None and row.predicted is None
+
+
+# The C2 fit keeps the days present as a bit mask instead of summing per day
+# first; against brute force: daily sums, then the exact line at day len+1.
+month_rows = st.lists(
+    st.tuples(st.sampled_from(["R1", "R2"]), st.integers(1, 28), st.integers(-50, 10**6)), min_size=1, max_size=40
+)
+
+
+@settings(max_examples=10, deadline=None)
+@given(rows=month_rows, min_points=st.sampled_from([1, 2, 3]), rounding=st.sampled_from(["trunc", "half_up"]))
+def test_month_fit_matches_brute_force(spark, rows, min_points, rounding):
+    import datetime as dt
+
+    from regiocast.plans.forecast import forecast_next_month
+
+    df = spark.createDataFrame(
+        [(dt.date(2021, 2, day), region, "a", women) for region, day, women in rows],
+        "date date, region string, age string, women bigint",
+    )
+    got = {r.region: r.v for r in forecast_next_month(df, "2021-1-31", min_points, rounding, "v").collect()}
+    want = {}
+    for region in {r for r, _, _ in rows}:
+        daily = {}
+        for r, day, women in rows:
+            if r == region:
+                daily[day] = daily.get(day, 0) + women
+        if len(daily) >= min_points:
+            want[region] = brute(sorted(daily.items()), 29, rounding)
+    assert got == want
