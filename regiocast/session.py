@@ -54,7 +54,10 @@ def build_session(
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared checkpoint folder of this session, if the cluster names one."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect sessions have no SparkContext
+        return spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if current:
         return current
