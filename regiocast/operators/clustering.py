@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from regiocast.operators.joins import fits_in
 from regiocast.session import cut_lineage
@@ -31,8 +32,14 @@ def cluster(
     order_by: list[str] | None = None,
     deterministic: bool = True,
     prediction_col: str = "prediction",
+    relabel: bool = False,
 ) -> DataFrame:
-    """``df`` plus ``prediction_col`` (INT cluster label)."""
+    """``df`` plus ``prediction_col`` (INT cluster label).
+
+    ``relabel=True`` numbers the clusters by ascending centre (first feature,
+    then the next ones), so labels do not depend on the algorithm's internal
+    numbering.  The k centres are the only thing read on the driver.
+    """
     if algorithm not in ALGORITHMS:
         raise ValueError(f"algorithm must be one of {ALGORITHMS}, got {algorithm!r}")
     if k < 2:
@@ -48,4 +55,9 @@ def cluster(
     else:
         estimator = BisectingKMeans(k=k, seed=seed, featuresCol="features", predictionCol=prediction_col)
     model = estimator.fit(features)
-    return model.transform(features).drop("features")
+    out = model.transform(features).drop("features")
+    if relabel:
+        order = sorted(range(len(model.clusterCenters())), key=lambda i: tuple(model.clusterCenters()[i]))
+        cases = " ".join(f"WHEN {old} THEN {new}" for new, old in enumerate(order))
+        out = out.withColumn(prediction_col, F.expr(f"CAST(CASE `{prediction_col}` {cases} END AS INT)"))
+    return out

@@ -88,3 +88,13 @@ def test_distributed_fit_runs(coverage):
     out = cluster(coverage, ["percent"], 3, "bisecting", deterministic=False).collect()
     assert len(out) == len(RECORDED)
     assert {r.prediction for r in out} == {0, 1, 2}
+
+
+@pytest.mark.parametrize("algorithm", ["kmeans", "bisecting"])
+def test_relabel_orders_clusters_by_centre(coverage, algorithm):
+    rows = cluster(coverage, ["percent"], 3, algorithm, order_by=["region"], relabel=True).collect()
+    lo = {}
+    for r in rows:
+        lo[r.prediction] = min(lo.get(r.prediction, r.percent), r.percent)
+    assert sorted(lo) == [0, 1, 2]
+    assert lo[0] < lo[1] < lo[2]  # one-dimensional clusters are intervals, numbered low to high
