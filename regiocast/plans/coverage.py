@@ -12,7 +12,7 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame
 
-from regiocast.functions.dates import as_date
+from regiocast.functions.dates import as_date, sql_date
 from regiocast.functions.regions import normalise_region_sql
 from regiocast.operators.clustering import cluster
 from regiocast.operators.regression import fit_aggregates, prediction_sql
@@ -31,8 +31,8 @@ def _forecast_sql(start_after: str | _dt.date, target: _dt.date, rounding: str,
     return f"""
         SELECT region, n, sum_x, sum_y, sum_xy, sum_xx, {prediction_sql(x0, rounding)} AS predicted
         FROM (SELECT region, {", ".join(fit_aggregates("x", "y"))}
-              FROM (SELECT {region} AS region, datediff(date, DATE'{start.isoformat()}') AS x, total AS y
-                    FROM {{summary}} WHERE date > DATE'{start.isoformat()}')
+              FROM (SELECT {region} AS region, datediff(date, {sql_date(start)}) AS x, total AS y
+                    FROM {{summary}} WHERE date > {sql_date(start)})
               GROUP BY region)"""
 
 
@@ -69,7 +69,7 @@ def coverage_percent(
     order = "ORDER BY p.region" if ordered else ""
     return summary.sparkSession.sql(
         f"""
-        SELECT DATE'{target.isoformat()}' AS date, p.region,
+        SELECT {sql_date(target)} AS date, p.region,
                ((CAST(CAST(p.sum_y AS BIGINT) AS DOUBLE) + CAST(p.predicted AS DOUBLE))
                  / CAST(q.population AS DOUBLE)) * 100.0 AS percent
         FROM ({_forecast_sql(start_after, target, "trunc", True)}) p

@@ -18,7 +18,7 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame
 
-from regiocast.functions.dates import as_date
+from regiocast.functions.dates import sql_date
 from regiocast.operators.regression import prediction_sql
 
 
@@ -40,7 +40,7 @@ def month_fit_sql(start_after: str | _dt.date, min_points: int) -> str:
                      bit_or(shiftleft(CAST(1 AS BIGINT), dayofmonth(date) - 1)) AS days,
                      try_sum(CAST(women AS BIGINT)) AS sum_y,
                      try_sum(try_multiply(CAST(dayofmonth(date) AS BIGINT), CAST(women AS BIGINT))) AS sum_xy
-              FROM {{doses}} WHERE date > DATE'{as_date(start_after).isoformat()}'
+              FROM {{doses}} WHERE date > {sql_date(start_after)}
               GROUP BY trunc(date, 'MM'), age, region)
         {having}"""
 

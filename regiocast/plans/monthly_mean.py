@@ -6,7 +6,7 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame
 
-from regiocast.functions.dates import as_date
+from regiocast.functions.dates import sql_date
 
 
 def monthly_mean_per_center(
@@ -27,7 +27,7 @@ def monthly_mean_per_center(
                (CAST(m.total AS DOUBLE) / CAST(dayofmonth(last_day(m.date)) AS DOUBLE))
                  / CAST(c.centers AS DOUBLE) AS mean_vacc_center
         FROM (SELECT trunc(date, 'MM') AS date, region, SUM(total) AS total
-              FROM {{summary}} WHERE date > DATE'{as_date(start_after).isoformat()}'
+              FROM {{summary}} WHERE date > {sql_date(start_after)}
               GROUP BY trunc(date, 'MM'), region) m
         JOIN (SELECT region, COUNT(1) AS centers FROM {{centers}} GROUP BY region) c
           ON m.region = c.region
