@@ -32,7 +32,10 @@ from regiocast.sources.sinks import clusters_path, write_csv
 
 
 def monthly_mean_job(spark: SparkSession, sf_dir: str, out: str, start_after: str = MONTHLY_START_AFTER) -> str:
-    df = monthly_mean_per_center(tables.summary(spark, sf_dir), tables.centers(spark, sf_dir), start_after, ordered=False)
+    # C1 only sums totals: it reads the summary rows before their per-day sum
+    df = monthly_mean_per_center(
+        tables.summary_rows(spark, sf_dir), tables.centers(spark, sf_dir), start_after, ordered=False
+    )
     write_csv(df, out, sort_by=["date", "region"])
     return out
 

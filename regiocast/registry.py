@@ -48,6 +48,11 @@ def _summary(spark: SparkSession, d: str, qualified: bool = False) -> DataFrame:
     return tables.summary(spark, d, qualified)
 
 
+def _summed(spark: SparkSession, d: str, qualified: bool = False) -> DataFrame:
+    """Summary rows for operators that only sum totals (see ``tables.summary_rows``)."""
+    return tables.summary_rows(spark, d, qualified)
+
+
 def _daily(spark: SparkSession, d: str) -> DataFrame:
     return agg.daily_sum(tables.doses(spark, d), MONTHLY_START_AFTER)
 
@@ -93,13 +98,13 @@ def q_region_normalise(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_struct_flatten(spark: SparkSession, d: str) -> DataFrame:
-    monthly = agg.monthly_sum(_summary(spark, d), MONTHLY_START_AFTER)
+    monthly = agg.monthly_sum(_summed(spark, d), MONTHLY_START_AFTER)
     packed = with_struct_key(monthly, ["date", "region"])
     return flatten_struct(packed, "key")
 
 
 def q_monthly_sum(spark: SparkSession, d: str) -> DataFrame:
-    return agg.monthly_sum(_summary(spark, d), MONTHLY_START_AFTER)
+    return agg.monthly_sum(_summed(spark, d), MONTHLY_START_AFTER)
 
 
 def q_daily_sum(spark: SparkSession, d: str) -> DataFrame:
@@ -107,7 +112,7 @@ def q_daily_sum(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_region_total(spark: SparkSession, d: str) -> DataFrame:
-    return agg.region_total(_summary(spark, d, qualified=True), COVERAGE_START_AFTER)
+    return agg.region_total(_summed(spark, d, qualified=True), COVERAGE_START_AFTER)
 
 
 def q_center_count(spark: SparkSession, d: str) -> DataFrame:
@@ -115,7 +120,7 @@ def q_center_count(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_region_join(spark: SparkSession, d: str) -> DataFrame:
-    totals = agg.region_total(_summary(spark, d, qualified=True), COVERAGE_START_AFTER)
+    totals = agg.region_total(_summed(spark, d, qualified=True), COVERAGE_START_AFTER)
     pop = tables.population(spark, d).selectExpr(f"{agg.NORMALISED_REGION} AS region", "population")
     return region_join(totals, pop)
 
@@ -166,7 +171,7 @@ def q_series_collect(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_monthly_mean_per_center(spark: SparkSession, d: str) -> DataFrame:
-    return monthly_mean_per_center(_summary(spark, d), tables.centers(spark, d), MONTHLY_START_AFTER, ordered=False)
+    return monthly_mean_per_center(_summed(spark, d), tables.centers(spark, d), MONTHLY_START_AFTER, ordered=False)
 
 
 def q_top_regions_by_forecast(spark: SparkSession, d: str) -> DataFrame:

@@ -3,6 +3,7 @@
     doses(date, region, age, women)   lineitem x supplier x nation, one row per
                                       line item: ship date, nation, flag, quantity
     summary(date, region, total)      one row per (ship date, nation)
+                                      (``summary_rows``: the same before the per-day sum)
     centers(region)                   one row per supplier, its nation
     population(region, population)    customers per nation
 
@@ -137,6 +138,18 @@ def summary(spark: SparkSession, sf_dir: str, qualified: bool = False) -> DataFr
     )
 
 
+def summary_rows(spark: SparkSession, sf_dir: str, qualified: bool = False) -> DataFrame:
+    """(date, region, total) at line-item grain: the summary before its per-day sum.
+
+    Valid input wherever totals are only summed (monthly mean C1, monthly sums
+    A1, region totals A3): the sums are the same, and the daily aggregate - whose
+    partials are (days x regions) rows per scan task - is skipped; a monthly
+    aggregate's partials are (months x regions).  Not for row-level results or
+    the regression, which needs one row per (date, region).
+    """
+    return doses(spark, sf_dir, qualified).selectExpr("date", "region", "women AS total")
+
+
 def centers(spark: SparkSession, sf_dir: str, qualified: bool = False) -> DataFrame:
     """(region STRING): one row per supplier (a vaccination centre)."""
     cte, frames, names_hint = _dims(spark, sf_dir, qualified)

@@ -30,3 +30,8 @@ def test_model_table_grain(spark):
     pop = tables.population(spark, SF_SMOKE)
     assert all(" / " in r.region for r in pop.collect())
     assert tables.centers(spark, SF_SMOKE).count() == tables.read(spark, SF_SMOKE, "supplier").count()
+
+
+def test_summary_rows_sum_to_the_summary(spark):
+    rows = tables.summary_rows(spark, SF_SMOKE).groupBy("date", "region").sum("total")
+    assert _rows(rows) == _rows(tables.summary(spark, SF_SMOKE))
