@@ -64,9 +64,8 @@ def coverage_job(
     target_date: str | None = TARGET_DATE,
     start_after: str = COVERAGE_START_AFTER,
 ) -> str:
-    df = coverage_clusters(
-        tables.summary(spark, sf_dir, qualified=True), tables.population(spark, sf_dir), start_after, target_date, k, algorithm
-    )
+    summary = tables.summary_rows(spark, sf_dir, qualified=True)
+    df = coverage_clusters(summary, tables.population(spark, sf_dir), start_after, target_date, k, algorithm)
     path = clusters_path(out, algorithm, k)
     write_csv(df, path, sort_by=["region"])
     return path

@@ -63,6 +63,18 @@ def prediction_sql(x0: str, rounding: str = "trunc") -> str:
     return f"CASE WHEN {d} = 0 THEN CAST(0 AS BIGINT) ELSE {value} END"
 
 
+def bit_power_sum_sql(mask: str, bits: int, power: int, offset: int = 0) -> str:
+    """SQL: sum of (b + offset) ** power over the set bits b < ``bits`` of ``mask``.
+
+    Unrolled into plain arithmetic, so it stays inside whole-stage codegen.
+    Used where the distinct x values of a group are kept as bit masks: their
+    count, sum and sum of squares follow exactly from the masks.
+    """
+    return " + ".join(
+        f"(shiftright({mask}, {b}) & 1) * {(b + offset) ** power}" for b in range(bits)
+    )
+
+
 def linear_fit(df: DataFrame, keys: list[str], x: str, y: str) -> DataFrame:
     """keys + n and Sx, Sy, Sxy, Sxx (BIGINT, NULL on overflow) of columns x, y."""
     cols = ", ".join(f"`{k}`" for k in keys)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from regiocast.functions.dates import as_date, sql_date
 from regiocast.functions.regions import normalise_region_sql
 from regiocast.operators.clustering import cluster
-from regiocast.operators.regression import fit_aggregates, prediction_sql
+from regiocast.operators.regression import bit_power_sum_sql, prediction_sql
 
 NORMALISED = normalise_region_sql("region")
 
@@ -25,14 +25,39 @@ def _target(target_date: str | _dt.date | None) -> _dt.date:
 
 
 def _forecast_sql(start_after: str | _dt.date, target: _dt.date, rounding: str, normalise: bool) -> str:
+    """Fit per region of its (date, total) points, from rows of any grain.
+
+    A point is a (date, raw region): rows of one raw region on one date add up
+    to one point.  Each (region, raw region) keeps the days it has as 64-bit
+    words (``x div 64``, bit ``x % 64``), and Sy, Sxy, which are linear in the
+    rows, as plain sums.  n, Sx and Sxx then follow exactly from the words, so
+    the fit needs no per-day aggregate: a scan task's partials are
+    (regions x words) rows instead of (regions x days).
+    """
     start = as_date(start_after)
     region = NORMALISED if normalise else "region"
     x0 = str((target - start).days)
+    s1 = bit_power_sum_sql("mask", 64, 1)
+    s2 = bit_power_sum_sql("mask", 64, 2)
     return f"""
         SELECT region, n, sum_x, sum_y, sum_xy, sum_xx, {prediction_sql(x0, rounding)} AS predicted
-        FROM (SELECT region, {", ".join(fit_aggregates("x", "y"))}
-              FROM (SELECT {region} AS region, datediff(date, {sql_date(start)}) AS x, total AS y
-                    FROM {{summary}} WHERE date > {sql_date(start)})
+        FROM (SELECT region,
+                     CAST(SUM(cnt) AS BIGINT) AS n,
+                     try_sum(try_add(try_multiply(64 * w, cnt), s1)) AS sum_x,
+                     try_sum(sy) AS sum_y,
+                     try_sum(sxy) AS sum_xy,
+                     try_sum(try_add(try_add(try_multiply(try_multiply(4096 * w, w), cnt),
+                                             try_multiply(128 * w, s1)), s2)) AS sum_xx
+              FROM (SELECT region, w, CAST(bit_count(mask) AS BIGINT) AS cnt,
+                           CAST({s1} AS BIGINT) AS s1, CAST({s2} AS BIGINT) AS s2, sy, sxy
+                    FROM (SELECT region, raw_region, x div 64 AS w,
+                                 bit_or(shiftleft(CAST(1 AS BIGINT), x % 64)) AS mask,
+                                 try_sum(CAST(y AS BIGINT)) AS sy,
+                                 try_sum(try_multiply(CAST(x AS BIGINT), CAST(y AS BIGINT))) AS sxy
+                          FROM (SELECT {region} AS region, region AS raw_region,
+                                       datediff(date, {sql_date(start)}) AS x, total AS y
+                                FROM {{summary}} WHERE date > {sql_date(start)})
+                          GROUP BY region, raw_region, x div 64))
               GROUP BY region)"""
 
 
@@ -44,10 +69,11 @@ def forecast_at_date(
     normalise: bool = True,
 ) -> DataFrame:
     """(region, n, sum_x, sum_y, sum_xy, sum_xx, predicted): the line through each
-    region's raw (date, total) rows, at ``target_date`` (default: tomorrow).
+    region's (date, total) points, at ``target_date`` (default: tomorrow).
 
-    x counts days after ``start_after``; the forecast does not depend on the
-    origin.
+    A point is one (date, raw region name): a daily summary gives one row per
+    point; finer rows (line items) are summed into their point.  x counts days
+    after ``start_after``; the forecast does not depend on the origin.
     """
     text = _forecast_sql(start_after, _target(target_date), rounding, normalise)
     return summary.sparkSession.sql(text, summary=summary)

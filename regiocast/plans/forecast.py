@@ -19,12 +19,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 
 from regiocast.functions.dates import sql_date
-from regiocast.operators.regression import prediction_sql
-
-
-def _bits_sum(mask: str, power: int) -> str:
-    """Sum of i**power over the set bits i = 1..31 of ``mask`` (unrolled, codegen'd)."""
-    return " + ".join(f"(shiftright({mask}, {i - 1}) & 1) * {i ** power}" for i in range(1, 32))
+from regiocast.operators.regression import bit_power_sum_sql, prediction_sql
 
 
 def month_fit_sql(start_after: str | _dt.date, min_points: int) -> str:
@@ -33,9 +28,9 @@ def month_fit_sql(start_after: str | _dt.date, min_points: int) -> str:
     return f"""
         SELECT month, age, region,
                CAST(bit_count(days) AS BIGINT) AS n,
-               CAST({_bits_sum("days", 1)} AS BIGINT) AS sum_x,
+               CAST({bit_power_sum_sql("days", 31, 1, offset=1)} AS BIGINT) AS sum_x,
                sum_y, sum_xy,
-               CAST({_bits_sum("days", 2)} AS BIGINT) AS sum_xx
+               CAST({bit_power_sum_sql("days", 31, 2, offset=1)} AS BIGINT) AS sum_xx
         FROM (SELECT trunc(date, 'MM') AS month, age, region,
                      bit_or(shiftleft(CAST(1 AS BIGINT), dayofmonth(date) - 1)) AS days,
                      try_sum(CAST(women AS BIGINT)) AS sum_y,

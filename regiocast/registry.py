@@ -49,7 +49,9 @@ def _summary(spark: SparkSession, d: str, qualified: bool = False) -> DataFrame:
 
 
 def _summed(spark: SparkSession, d: str, qualified: bool = False) -> DataFrame:
-    """Summary rows for operators that only sum totals (see ``tables.summary_rows``)."""
+    """Summary rows before the per-day sum, for operators that sum them into
+    their own keys: the sum-only analytics and the coverage fit, which folds
+    rows into (date, region) points itself (see ``tables.summary_rows``)."""
     return tables.summary_rows(spark, d, qualified)
 
 
@@ -152,7 +154,7 @@ def q_forecast_next_month_rounded(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_forecast_at_date(spark: SparkSession, d: str) -> DataFrame:
-    fit = forecast_at_date(_summary(spark, d, qualified=True), COVERAGE_START_AFTER, TARGET_DATE)
+    fit = forecast_at_date(_summed(spark, d, qualified=True), COVERAGE_START_AFTER, TARGET_DATE)
     return fit.selectExpr("region", "predicted")
 
 
@@ -186,7 +188,7 @@ def q_top_regions_by_forecast_rounded(spark: SparkSession, d: str) -> DataFrame:
 
 def q_coverage_percent(spark: SparkSession, d: str) -> DataFrame:
     return coverage_percent(
-        _summary(spark, d, qualified=True),
+        _summed(spark, d, qualified=True),
         tables.population(spark, d),
         COVERAGE_START_AFTER,
         TARGET_DATE,
@@ -222,7 +224,7 @@ def q_stream_landing(spark: SparkSession, d: str) -> DataFrame:
 def _clusters(algorithm: str) -> Query:
     def run(spark: SparkSession, d: str) -> DataFrame:
         return coverage_clusters(
-            _summary(spark, d, qualified=True),
+            _summed(spark, d, qualified=True),
             tables.population(spark, d),
             COVERAGE_START_AFTER,
             TARGET_DATE,

@@ -141,11 +141,11 @@ def summary(spark: SparkSession, sf_dir: str, qualified: bool = False) -> DataFr
 def summary_rows(spark: SparkSession, sf_dir: str, qualified: bool = False) -> DataFrame:
     """(date, region, total) at line-item grain: the summary before its per-day sum.
 
-    Valid input wherever totals are only summed (monthly mean C1, monthly sums
-    A1, region totals A3): the sums are the same, and the daily aggregate - whose
-    partials are (days x regions) rows per scan task - is skipped; a monthly
-    aggregate's partials are (months x regions).  Not for row-level results or
-    the regression, which needs one row per (date, region).
+    Valid input for every operator that sums rows into its own keys: the
+    monthly mean C1, monthly sums A1, region totals A3, and the coverage fit,
+    which folds rows into (date, region) points itself.  Skipping the daily
+    aggregate matters at scale: its partials are (days x regions) rows per scan
+    task.  Row-level results (the date filter, the text feed) use ``summary``.
     """
     return doses(spark, sf_dir, qualified).selectExpr("date", "region", "women AS total")
 

@@ -92,3 +92,38 @@ def test_month_fit_matches_brute_force(spark, rows, min_points, rounding):
         if len(daily) >= min_points:
             want[region] = brute(sorted(daily.items()), 29, rounding)
     assert got == want
+
+
+# The coverage fit keeps each (region, raw name)'s days as 64-bit words, so it
+# accepts rows finer than one per day; against brute force over daily points.
+cov_rows = st.lists(
+    st.tuples(st.sampled_from(["A / X", "A / Y", "B"]), st.integers(1, 300), st.integers(-100, 10**7)),
+    min_size=1,
+    max_size=40,
+)
+
+
+@settings(max_examples=10, deadline=None)
+@given(rows=cov_rows, target=st.integers(1, 2000))
+def test_coverage_fit_matches_brute_force(spark, rows, target):
+    import datetime as dt
+
+    from regiocast.plans.coverage import forecast_at_date
+
+    start = dt.date(2020, 1, 1)
+    df = spark.createDataFrame(
+        [(start + dt.timedelta(days=x), raw, total) for raw, x, total in rows],
+        "date date, region string, total bigint",
+    )
+    got = {
+        r.region: (r.n, r.predicted)
+        for r in forecast_at_date(df, start, start + dt.timedelta(days=target)).collect()
+    }
+    points = {}
+    for raw, x, total in rows:
+        points[(raw, x)] = points.get((raw, x), 0) + total
+    want = {}
+    for region in {raw.split("/")[0].strip() for raw, _, _ in rows}:
+        pts = [(x, y) for (raw, x), y in points.items() if raw.split("/")[0].strip() == region]
+        want[region] = (len(pts), brute(pts, target, "trunc"))
+    assert got == want
