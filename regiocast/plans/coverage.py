@@ -28,9 +28,9 @@ def _forecast_sql(start_after: str | _dt.date, target: _dt.date, rounding: str,
     """Fit per region of its (date, total) points, from rows of any grain.
 
     A point is a (date, raw region): rows of one raw region on one date add up
-    to one point.  Each (region, raw region) keeps the days it has as 64-bit
-    words (``x div 64``, bit ``x % 64``), and Sy, Sxy, which are linear in the
-    rows, as plain sums.  n, Sx and Sxx then follow exactly from the words, so
+    to one point.  Each raw region keeps the days it has as 64-bit words
+    (``x div 64``, bit ``x % 64``), and Sy, Sxy, which are linear in the rows,
+    as plain sums; names are normalised on those few rows, not per input row.  n, Sx and Sxx then follow exactly from the words, so
     the fit needs no per-day aggregate: a scan task's partials are
     (regions x words) rows instead of (regions x days).
     """
@@ -48,16 +48,15 @@ def _forecast_sql(start_after: str | _dt.date, target: _dt.date, rounding: str,
                      try_sum(sxy) AS sum_xy,
                      try_sum(try_add(try_add(try_multiply(try_multiply(4096 * w, w), cnt),
                                              try_multiply(128 * w, s1)), s2)) AS sum_xx
-              FROM (SELECT region, w, CAST(bit_count(mask) AS BIGINT) AS cnt,
+              FROM (SELECT {region} AS region, w, CAST(bit_count(mask) AS BIGINT) AS cnt,
                            CAST({s1} AS BIGINT) AS s1, CAST({s2} AS BIGINT) AS s2, sy, sxy
-                    FROM (SELECT region, raw_region, x div 64 AS w,
+                    FROM (SELECT region, x div 64 AS w,
                                  bit_or(shiftleft(CAST(1 AS BIGINT), x % 64)) AS mask,
                                  try_sum(CAST(y AS BIGINT)) AS sy,
                                  try_sum(try_multiply(CAST(x AS BIGINT), CAST(y AS BIGINT))) AS sxy
-                          FROM (SELECT {region} AS region, region AS raw_region,
-                                       datediff(date, {sql_date(start)}) AS x, total AS y
+                          FROM (SELECT region, datediff(date, {sql_date(start)}) AS x, total AS y
                                 FROM {{summary}} WHERE date > {sql_date(start)})
-                          GROUP BY region, raw_region, x div 64))
+                          GROUP BY region, x div 64))
               GROUP BY region)"""
 
 
