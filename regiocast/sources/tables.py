@@ -10,11 +10,14 @@
 ``qualified=True`` names a region ``"<nation> / <region>"`` so that the
 region normalisation of the coverage analytic has work to do.
 
-lineitem is the fact table.  It is summed on the integer nation key and the
-names are attached to the small aggregate afterwards.  The supplier dimension
-is broadcast only after a bounded row check; beyond it, lineitem is first
-summed per (supplier, day) - which collapses a hot supplier to a few thousand
-rows before any shuffle - and joined by a shuffle join.
+lineitem is the fact table.  For ``summary`` it is summed on the integer
+nation key and the names are attached to the small aggregate afterwards;
+``doses`` / ``summary_rows`` hand the line items, with both dimensions
+broadcast, straight to the aggregate of the analytic that reads them.  The
+supplier dimension is broadcast only after a size check (an exact count,
+cached per table); beyond it, lineitem is first summed per (supplier, day) -
+which collapses a hot supplier to a few thousand rows before any shuffle - and
+joined by a shuffle join.
 """
 
 from __future__ import annotations
