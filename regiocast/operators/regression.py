@@ -63,16 +63,38 @@ def prediction_sql(x0: str, rounding: str = "trunc") -> str:
     return f"CASE WHEN {d} = 0 THEN CAST(0 AS BIGINT) ELSE {value} END"
 
 
+def _position_mask(bits: int, *index_bits: int) -> int:
+    """Signed 64-bit mask of the positions b < ``bits`` whose index has all ``index_bits`` set."""
+    m = sum(1 << b for b in range(bits) if all((b >> k) & 1 for k in index_bits))
+    return m - (1 << 64) if m >= 1 << 63 else m
+
+
 def bit_power_sum_sql(mask: str, bits: int, power: int, offset: int = 0) -> str:
     """SQL: sum of (b + offset) ** power over the set bits b < ``bits`` of ``mask``.
 
-    Unrolled into plain arithmetic, so it stays inside whole-stage codegen.
     Used where the distinct x values of a group are kept as bit masks: their
-    count, sum and sum of squares follow exactly from the masks.
+    count, sum and sum of squares follow exactly from the masks.  Writing a
+    position as b = sum_k 2^k [bit k of b], the sum over set bits is
+    sum_k 2^k * bit_count(mask & M_k), with M_k the positions whose index has
+    bit k set; squares need the pairs M_j & M_k.  So 64 bits take 6 and 21
+    ``bit_count`` terms instead of 64 - a small, codegen'd expression.
     """
-    return " + ".join(
-        f"(shiftright({mask}, {b}) & 1) * {(b + offset) ** power}" for b in range(bits)
+    if power not in (1, 2):
+        raise ValueError("power must be 1 or 2")
+    width = max(1, (bits - 1).bit_length())
+    cnt = f"bit_count({mask})"
+
+    def count(*ks: int) -> str:
+        return f"bit_count({mask} & CAST({_position_mask(bits, *ks)} AS BIGINT))"
+
+    s1 = " + ".join(f"{1 << k} * {count(k)}" for k in range(width))
+    s2 = " + ".join(
+        f"{(1 << (j + k)) * (1 if j == k else 2)} * {count(j, k)}" for j in range(width) for k in range(j, width)
     )
+    if power == 1:
+        return f"({s1} + {offset} * {cnt})" if offset else f"({s1})"
+    # sum (b + o)^2 = sum b^2 + 2 o sum b + o^2 cnt
+    return f"({s2} + {2 * offset} * ({s1}) + {offset * offset} * {cnt})" if offset else f"({s2})"
 
 
 def linear_fit(df: DataFrame, keys: list[str], x: str, y: str) -> DataFrame:
