@@ -97,6 +97,18 @@ def doses(spark: SparkSession, sf_dir: str, qualified: bool = False) -> DataFram
     cte, frames, names_hint = _dims(spark, sf_dir, qualified)
     frames.update(li=read(spark, sf_dir, "lineitem"), su=read(spark, sf_dir, "supplier"))
     if _small(spark, sf_dir, "supplier", BROADCAST_MAX_ROWS):
+        region_hint = "BROADCAST(r)" if _small(spark, sf_dir, "region", DIMENSION_MAX_ROWS) else ""
+        if qualified and names_hint and region_hint:
+            # nation and region broadcast side by side, not nested (no broadcast
+            # job to wait for before the scan); the two names are joined per row
+            return spark.sql(
+                f"SELECT {_hints('BROADCAST(s)', 'BROADCAST(n)', region_hint)} "
+                "CAST(l.l_shipdate AS DATE) AS date, concat_ws(' / ', n.n_name, r.r_name) AS region, "
+                "l.l_returnflag AS age, CAST(l.l_quantity AS BIGINT) AS women "
+                "FROM {li} l JOIN {su} s ON l.l_suppkey = s.s_suppkey "
+                "JOIN {na} n ON s.s_nationkey = n.n_nationkey JOIN {rg} r ON n.n_regionkey = r.r_regionkey",
+                **frames,
+            )
         text = (
             f"WITH {cte} SELECT {_hints('BROADCAST(s)', names_hint)} CAST(l.l_shipdate AS DATE) AS date, "
             "n.region, l.l_returnflag AS age, CAST(l.l_quantity AS BIGINT) AS women "
