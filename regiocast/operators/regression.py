@@ -47,10 +47,8 @@ def fit_aggregates(x: str, y: str) -> list[str]:
     ]
 
 
-def prediction_sql(x0: str, rounding: str = "trunc") -> str:
-    """BIGINT expression over columns n, sum_x, sum_y, sum_xy, sum_xx: the line at x0."""
-    if rounding not in ROUNDINGS:
-        raise ValueError(f"rounding must be one of {ROUNDINGS}")
+def _prediction_decimal_sql(x0: str, rounding: str) -> str:
+    """The line at x0 in DECIMAL(38,0): exact for any 64-bit sums."""
     n, sx, sy, sxy, sxx = (_x(c) for c in ("n", "sum_x", "sum_y", "sum_xy", "sum_xx"))
     d = f"({n} * {sxx} - {sx} * {sx})"
     num = f"({sy} * {d} + ({n} * {sxy} - {sx} * {sy}) * ({n} * {_x(x0)} - {sx}))"
@@ -63,6 +61,40 @@ def prediction_sql(x0: str, rounding: str = "trunc") -> str:
     return f"CASE WHEN {d} = 0 THEN CAST(0 AS BIGINT) ELSE {value} END"
 
 
+def _prediction_long_sql(x0: str, rounding: str) -> str:
+    """The same in checked 64-bit arithmetic: NULL as soon as any step overflows."""
+
+    def mul(a: str, b: str) -> str:
+        return f"try_multiply({a}, {b})"
+
+    def sub(a: str, b: str) -> str:
+        return f"try_subtract({a}, {b})"
+
+    x0b = f"CAST({x0} AS BIGINT)"
+    d = sub(mul("n", "sum_xx"), mul("sum_x", "sum_x"))
+    num = f"try_add({mul('sum_y', d)}, {mul(sub(mul('n', 'sum_xy'), mul('sum_x', 'sum_y')), sub(mul('n', x0b), 'sum_x'))})"
+    den = mul("n", d)
+    if rounding == "trunc":
+        value = trunc_div_sql(num, den)
+    else:
+        a, b = f"try_add({mul('2', num)}, {den})", mul("2", den)
+        value = f"CASE WHEN {a} >= 0 THEN {a} div {b} ELSE -({sub(sub(b, '1'), a)} div {b}) END"
+    return f"CASE WHEN {d} = 0 THEN CAST(0 AS BIGINT) ELSE {value} END"
+
+
+def prediction_sql(x0: str, rounding: str = "trunc") -> str:
+    """BIGINT expression over columns n, sum_x, sum_y, sum_xy, sum_xx: the line at x0.
+
+    Evaluated in checked 64-bit arithmetic first; only a group whose
+    intermediate products leave 64 bits is evaluated again in DECIMAL(38,0)
+    (``coalesce`` evaluates its second argument only when the first is NULL).
+    Both are exact, so the result does not depend on which one answers.
+    """
+    if rounding not in ROUNDINGS:
+        raise ValueError(f"rounding must be one of {ROUNDINGS}")
+    return f"coalesce({_prediction_long_sql(x0, rounding)}, {_prediction_decimal_sql(x0, rounding)})"
+
+
 def _position_mask(bits: int, *index_bits: int) -> int:
     """Signed 64-bit mask of the positions b < ``bits`` whose index has all ``index_bits`` set."""
     m = sum(1 << b for b in range(bits) if all((b >> k) & 1 for k in index_bits))

@@ -127,3 +127,13 @@ def test_coverage_fit_matches_brute_force(spark, rows, target):
         pts = [(x, y) for (raw, x), y in points.items() if raw.split("/")[0].strip() == region]
         want[region] = (len(pts), brute(pts, target, "trunc"))
     assert got == want
+
+
+def test_large_groups_fall_back_to_exact_decimals(spark):
+    # sum_y * D leaves 64 bits here: the checked long form gives NULL and the
+    # decimal form answers, exactly
+    pts = [(1, 3 * 10**15 + 7), (2, 10**15), (5, 4 * 10**15 + 1), (31, 2 * 10**15 + 3)]
+    df = spark.createDataFrame([("g", x, y) for x, y in pts], "g string, x bigint, y bigint")
+    for rounding in ("trunc", "half_up"):
+        (row,) = predict_at(linear_fit(df, ["g"], "x", "y"), 32, rounding).collect()
+        assert row.predicted == brute(pts, 32, rounding)
