@@ -6,8 +6,9 @@ is ever collected.  With D = n*Sxx - Sx^2, the least-squares line at x0 is
 
     num / den,   num = Sy*D + (n*Sxy - Sx*Sy)*(n*x0 - Sx),   den = n*D
 
-evaluated in DECIMAL(38,0), so truncation and half-up rounding are exact
-(floating point disagrees across engines after truncation).  D = 0 (one
+evaluated in integers - checked 64-bit first, DECIMAL(38,0) for a group that
+overflows - so truncation and half-up rounding are exact (floating point
+disagrees across engines after truncation).  D = 0 (one
 point, or one distinct x) has no line: the prediction is 0, as a Java cast or
 ``Math.round`` of NaN gives.
 
