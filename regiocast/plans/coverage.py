@@ -30,8 +30,11 @@ def _forecast_sql(start_after: str | _dt.date, target: _dt.date, rounding: str,
     A point is a (date, raw region): rows of one raw region on one date add up
     to one point.  Each raw region keeps the days it has as 64-bit words
     (``x div 64``, bit ``x % 64``), and Sy, Sxy, which are linear in the rows,
-    as plain sums; names are normalised on those few rows, not per input row.  n, Sx and Sxx then follow exactly from the words, so
-    the fit needs no per-day aggregate: a scan task's partials are
+    as plain sums; names are normalised on those few rows, not per input row.
+    With x = 64 w + b over the set bits b of word w:  n = sum cnt,
+    Sx = sum (64 w cnt + s1),  Sxx = sum (4096 w^2 cnt + 128 w s1 + s2),
+    where cnt, s1, s2 are the count, sum and sum of squares of the word's bits.
+    So the fit needs no per-day aggregate: a scan task's partials are
     (regions x words) rows instead of (regions x days).
     """
     start = as_date(start_after)
