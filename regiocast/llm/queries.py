@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regiocast.llm import bpe
+from regiocast.llm import bpe, simhash, token_counts
 from regiocast.llm.common import table
+from regiocast.session import scratch_path
+
+
+TOKEN_LIMIT = 4096
 
 
 def vocabulary(name: str) -> str:
@@ -28,5 +32,26 @@ def op2_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op2_bpe_codec": op2_bpe_codec}
+def op3_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
+    return found.select("doc_id", "fingerprint", "component_id")
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Starts from an empty cache of its own, so each run encodes every different text."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = token_counts.count_tokens(docs, vocabulary("piece_bpe_32k.model"), scratch_path(spark, "token-counts"))
+    return counted.select(
+        "doc_id",
+        F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"),
+        "n_tokens",
+        (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"),
+    )
+
+
+QUERIES = {
+    "op2_bpe_codec": op2_bpe_codec,
+    "op3_simhash_components": op3_simhash_components,
+    "op6_token_counts": op6_token_counts,
+}
 ORACLE_SQL: dict[str, str] = {}
