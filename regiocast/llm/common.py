@@ -23,6 +23,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Whole texts go to Python in batches of ``rows`` at most, so a worker's memory stays bounded."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
+
+
 def split_words(text: Column) -> Column:
     """Words of a text as an array; NULL text has none."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), WORD_GAP), F.lit(""))

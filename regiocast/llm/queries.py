@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regiocast.llm import bpe, simhash, token_counts
+from regiocast.llm import bpe, decontamination, pii, simhash, token_counts
 from regiocast.llm.common import table
 from regiocast.session import scratch_path
 
 
 TOKEN_LIMIT = 4096
+#: Key of the registered query and the pipeline; a deployment passes its own secret to the operator.
+PSEUDONYM_KEY = b"key of the registered query"
 
 
 def vocabulary(name: str) -> str:
@@ -37,6 +39,20 @@ def op3_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def op4_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.protect(docs, PSEUDONYM_KEY).select(
+        "doc_id",
+        "text",
+        F.size("pii").cast("long").alias("n_found"),
+        F.array_join(F.array_sort(F.array_distinct(F.col("pii.kind"))), ",").alias("kinds"),
+    )
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Starts from an empty cache of its own, so each run encodes every different text."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -52,6 +68,8 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_bpe_codec": op2_bpe_codec,
     "op3_simhash_components": op3_simhash_components,
+    "op4_pii_pseudonyms": op4_pii_pseudonyms,
     "op6_token_counts": op6_token_counts,
+    "op9_decontamination": op9_decontamination,
 }
 ORACLE_SQL: dict[str, str] = {}

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from regiocast.llm.common import cut_lineage, texts_of
+from regiocast.llm.common import cut_lineage, small_batches, texts_of
 
 SEGMENTS, SEGMENT_BITS = 16, 4  # 16 counts of 0..4, three bits each in a packed cell
 _BLOCK = 1 << 16  # shingles counted at a time
@@ -115,6 +115,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 2) -> DataFrame:
     """One row per row of ``docs``: id, ``text_key`` (hash of the text), ``fingerprint`` (16 hex digits), ``component_id``, ``keep``."""
+    small_batches(docs.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit(""))
     base = cut_lineage(docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_key"), fingerprint_col(text, shingle).alias("fp")))
     best = F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("text_key").alias("text_key"))

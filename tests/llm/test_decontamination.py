@@ -1,0 +1,84 @@
+import random
+
+from regiocast.llm import decontamination as dc
+from regiocast.llm.queries import op9_decontamination
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def plain_distance(item, text):
+    """Smallest edit distance of ``item`` to any passage of ``text``, by the full table."""
+    row = [0] * (len(text) + 1)
+    for i, w in enumerate(item, 1):
+        new = [i]
+        for j, t in enumerate(text, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (w != t)))
+        row = new
+    return min(row)
+
+
+def plain(docs, items, rate=0.2, min_words=5):
+    out = []
+    for d, text in docs:
+        words = dc.words_of(text or "")
+        for i, item in items:
+            w = dc.words_of(item or "")
+            if len(w) >= min_words and (k := plain_distance(w, words)) <= int(rate * len(w)):
+                out.append((d, i, k, len(w)))
+    return sorted(out, key=str)
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+def test_myers_distance():
+    rng = random.Random(1)
+    for _ in range(300):
+        item = [rng.choice("abcd") for _ in range(rng.randint(1, 90))]
+        text = [rng.choice("abcde") for _ in range(rng.randint(0, 120))]
+        assert dc.Pattern(item).distance(text) == plain_distance(item, text)
+
+
+def test_pieces_cover_the_item():
+    for n in range(1, 40):
+        for k in range(n):
+            pieces = dc.pieces_of(list(range(n)), k)
+            assert len(pieces) == k + 1 and [w for _, p in pieces for w in p] == list(range(n))
+
+
+def test_edited_passages_against_brute_force(spark):
+    rng = random.Random(2)
+    vocabulary = [f"w{k}" for k in range(12)]
+    items = [(i, " ".join(rng.choice(vocabulary) for _ in range(rng.randint(3, 70)))) for i in range(12)]
+    items += [(50, None), (51, ""), (None, items[0][1]), (3, items[3][1])]
+    docs = [(1, None), (2, ""), (None, items[5][1])]
+    for d in range(60):
+        words = items[rng.randrange(12)][1].split()
+        for _ in range(rng.randint(0, len(words) // 3)):
+            at = rng.randrange(len(words))
+            words[at : at + 1] = rng.choice([[], ["x"], [words[at], "y"]]) if len(words) > 1 else words
+        head = [rng.choice(vocabulary) for _ in range(rng.randint(0, 60))]
+        docs.append((d // 2, " ".join(head).upper() + ", " + " ".join(words) + ". " + " ".join(head)))
+    docs_df = spark.createDataFrame([(*d, 1, 2) for d in docs], "doc_id long, text string, item_id int, distance int")
+    items_df = spark.createDataFrame(items, "item_id long, text string")
+    want = plain(docs, items)
+    assert rows(dc.contaminated(docs_df, items_df)) == want and len(want) > 30
+    assert rows(dc.contaminated(docs_df, items_df, block_bytes=300)) == want  # several passes
+
+
+def test_empty_tables(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")
+    assert rows(dc.contaminated(docs, items)) == [(1, 1, 0, 6)]
+    assert rows(dc.contaminated(docs.limit(0), items)) == []
+    empty = dc.contaminated(docs, items.limit(0))
+    assert rows(empty) == [] and empty.columns == ["doc_id", "item_id", "distance", "item_words"]
+
+
+def test_query_finds_the_planted_passages(spark):
+    docs = [tuple(r) for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()]
+    items = [tuple(r) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").select("item_id", "text").collect()]
+    got = {(r.doc_id, r.item_id): r.distance for r in op9_decontamination(spark, SMALL).collect()}
+    planted = {(d, i) for d, t in docs for i, x in items if x in t}
+    assert planted and planted <= set(got) and all(got[p] == 0 for p in planted)
