@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regiocast.llm import bpe, decontamination, pii, simhash, token_counts
+from regiocast.llm import bpe, decontamination, pii, simhash, substrings, token_counts
 from regiocast.llm.common import table
 from regiocast.session import scratch_path
 
@@ -65,11 +65,43 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substrings.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), k=20, m=substrings.MINIMISER)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op2_bpe_codec": op2_bpe_codec,
     "op3_simhash_components": op3_simhash_components,
     "op4_pii_pseudonyms": op4_pii_pseudonyms,
     "op6_token_counts": op6_token_counts,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_decontamination": op9_decontamination,
 }
-ORACLE_SQL: dict[str, str] = {}
+#: Independent DuckDB SQL for the queries that SQL can express.
+ORACLE_SQL = {
+    "op8_substring_dedup": r"""
+        WITH words AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+        ), places AS (
+            SELECT doc_id, unnest(range(len(w) - 19)) AS pos, w FROM words WHERE len(w) >= 20
+        ), windows AS (
+            SELECT doc_id, pos, array_to_string(list_slice(w, pos + 1, pos + 20), ' ') AS win FROM places
+        ), repeated AS (
+            SELECT doc_id, pos FROM windows
+            QUALIFY row_number() OVER (PARTITION BY win ORDER BY doc_id, pos) > 1
+        ), covered AS (
+            SELECT DISTINCT doc_id, pos + j AS word FROM repeated, range(20) AS r(j)
+        ), single AS (
+            SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS word_at FROM words
+        ), kept AS (
+            SELECT s.doc_id, string_agg(s.word, ' ' ORDER BY s.word_at) FILTER (c.word IS NULL) AS kept_text,
+                   count(c.word) AS n_removed
+            FROM single s LEFT JOIN covered c ON c.doc_id = s.doc_id AND c.word = s.word_at
+            GROUP BY s.doc_id
+        )
+        SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, CAST(coalesce(k.n_removed, 0) AS BIGINT) AS n_removed,
+               sha256(coalesce(k.kept_text, '')) AS kept_sha256
+        FROM words w LEFT JOIN kept k USING (doc_id)
+    """,
+}
