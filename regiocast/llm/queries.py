@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regiocast.llm import bpe, decontamination, pii, simhash, substrings, token_counts
+from regiocast.llm import bpe, decontamination, html_text, pii, simhash, substrings, token_counts
 from regiocast.llm.common import table
 from regiocast.session import scratch_path
 
@@ -70,6 +70,11 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = html_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 QUERIES = {
     "op2_bpe_codec": op2_bpe_codec,
     "op3_simhash_components": op3_simhash_components,
@@ -77,6 +82,7 @@ QUERIES = {
     "op6_token_counts": op6_token_counts,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_decontamination": op9_decontamination,
+    "op10_html_text": op10_html_text,
 }
 #: Independent DuckDB SQL for the queries that SQL can express.
 ORACLE_SQL = {
