@@ -19,17 +19,19 @@ whole by the tokenizers library itself.
 from __future__ import annotations
 
 import base64
+import functools
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from regiocast.llm.common import FILTER_BITS, RepeatFilter, content_key, cut_lineage, texts_of
+from regiocast.llm.common import FILTER_BITS, RepeatFilter, content_key, cut_lineage, small_batches, texts_of
 
 #: Fixed values of the byte-level vocabulary.
 END_OF_TEXT = "<|endoftext|>"
@@ -50,18 +52,25 @@ class Codec:
     def __init__(self, json_path: str):
         import public_tokenizers
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.library = Tokenizer.from_file(json_path)
-        self.library.no_truncation()
-        self.library.no_padding()
+        self.json_path = json_path
         with open(json_path.removesuffix(".json") + ".tiktoken", "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-        special = {END_OF_TEXT: self.library.token_to_id(END_OF_TEXT)}
+        special = {END_OF_TEXT: len(ranks)}
         self.fast = tiktoken.Encoding(
             "byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special
         )
 
+    @functools.cached_property
+    def library(self):
+        """Only texts with unusual characters need it."""
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(self.json_path)
+        tokenizer.no_truncation()
+        tokenizer.no_padding()
+        return tokenizer
+
     @staticmethod
     def of(json_path: str) -> Codec:
         """One per worker process."""
@@ -76,6 +85,17 @@ class Codec:
             return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
         return self.fast.encode_to_numpy(text, allowed_special="all").astype(np.uint32)
 
+    @property
+    def width(self) -> str:
+        """Ids on the way take the fewest bytes that hold the vocabulary."""
+        return "<u2" if self.fast.n_vocab <= 1 << 16 else "<u4"
+
+    def pack(self, ids: np.ndarray) -> bytes:
+        return ids.astype(self.width).tobytes()
+
+    def unpack(self, packed: bytes) -> np.ndarray:
+        return np.frombuffer(packed, self.width).astype(np.uint32)
+
     def decode(self, ids: np.ndarray) -> str:
         return self.fast.decode_bytes(ids.tolist()).decode("utf-8", errors="replace")
 
@@ -146,6 +166,7 @@ def stitch(text: str, known: dict[bytes, np.ndarray], codec: Codec) -> np.ndarra
 def encode(docs: DataFrame, tokenizer_path: str, text_col: str = "text", ids_col: str = "ids", filter_bits: int = FILTER_BITS) -> DataFrame:
     """``docs`` plus ``ids_col``: the ids as little-endian unsigned 32-bit integers (binary)."""
     spark = docs.sparkSession
+    small_batches(spark)
     text = F.coalesce(F.col(text_col), F.lit(""))
 
     def count_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,21 +180,26 @@ def encode(docs: DataFrame, tokenizer_path: str, text_col: str = "text", ids_col
     seen = spark.sparkContext.broadcast(RepeatFilter.of(counts, "key", "n", filter_bits))
 
     def sharing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor()
         for batch in batches:
-            yield batch.filter(pa.array([bool(_shared(t, seen.value)) for t in texts_of(batch.column(1))], pa.bool_()))
+            packed = [packer.compress(t.encode("utf-8")) if _shared(t, seen.value) else None for t in texts_of(batch.column(1))]
+            packed = pa.array(packed, pa.binary())
+            yield pa.record_batch([batch.column(0), packed], names=["key", "packed"]).filter(packed.is_valid())
 
     # 2. the different texts that hold such chunks, cut off from the scan
     shared_texts = cut_lineage(
         docs.select(content_key(F.col(text_col)).alias("key"), text.alias("t"))
-        .mapInArrow(sharing, "key binary, t string")
+        .mapInArrow(sharing, "key binary, packed binary")
         .groupBy("key")
-        .agg(F.first("t").alias("t"))
+        .agg(F.first("packed").alias("packed"))
     )
 
     def chunk_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpacker = zstandard.ZstdDecompressor()
         for batch in batches:
             keys, digests, chunks = [], [], []
-            for key, t in zip(batch.column(0), texts_of(batch.column(1)), strict=True):
+            for key, packed in zip(batch.column(0), batch.column(1), strict=True):
+                t = unpacker.decompress(packed.as_py()).decode("utf-8")
                 for digest, chunk in {_digest(c): c for c in _shared(t, seen.value)}.items():
                     keys.append(key.as_py())
                     digests.append(digest)
@@ -183,7 +209,7 @@ def encode(docs: DataFrame, tokenizer_path: str, text_col: str = "text", ids_col
     def encode_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec.of(tokenizer_path)
         for batch in batches:
-            ids = [codec.encode(t).tobytes() for t in texts_of(batch.column(1))]
+            ids = [codec.pack(codec.encode(t)) for t in texts_of(batch.column(1))]
             yield pa.record_batch([batch.column(0), pa.array(ids, pa.binary())], names=["digest", "ids"])
 
     # 3. each repeating chunk is encoded once, and its ids go to the texts that hold it
@@ -193,26 +219,32 @@ def encode(docs: DataFrame, tokenizer_path: str, text_col: str = "text", ids_col
     parts = rows.select("key", "digest").join(dictionary, "digest")
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec, known, at = Codec.of(tokenizer_path), {}, None
+        codec, known, at, unpacker = Codec.of(tokenizer_path), {}, None, zstandard.ZstdDecompressor()
         for batch in batches:
             keys, out = [], []
-            for key, digest, ids, t in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for key, digest, ids, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if key != at:
                     known, at = {}, key
                 if digest is not None:  # the parts come before their text
-                    known[digest] = np.frombuffer(ids, "<u4")
+                    known[digest] = codec.unpack(ids)
                 else:
                     keys.append(key)
-                    out.append(stitch(t, known, codec).astype("<u4").tobytes())
+                    out.append(codec.pack(stitch(unpacker.decompress(packed).decode("utf-8"), known, codec)))
             yield pa.record_batch([pa.array(keys, pa.binary()), pa.array(out, pa.binary())], names=["key", "ids"])
 
     together = (
-        parts.select("key", "digest", "ids", F.lit(None).cast("string").alias("t"))
-        .unionByName(shared_texts.select("key", F.lit(None).cast("binary").alias("digest"), F.lit(None).cast("binary").alias("ids"), "t"))
+        parts.select("key", "digest", "ids", F.lit(None).cast("binary").alias("packed"))
+        .unionByName(shared_texts.select("key", F.lit(None).cast("binary").alias("digest"), F.lit(None).cast("binary").alias("ids"), "packed"))
         .repartition("key")
         .sortWithinPartitions("key", F.col("digest").isNull())
     )
-    stitched = together.mapInArrow(assemble, "key binary, ids binary").select(F.col("key").alias("__llm_key"), F.col("ids").alias("__llm_ids"))
+    stitched = together.mapInArrow(assemble, "key binary, ids binary").select(F.col("key").alias("__llm_key"), F.col("ids").alias("__llm_packed"))
+
+    @arrow_udf("binary")
+    def widen(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        codec = Codec.of(tokenizer_path)
+        for batch in batches:
+            yield pa.array([codec.unpack(v.as_py()).astype("<u4").tobytes() for v in batch], pa.binary())
 
     @arrow_udf("binary")
     def encode_alone(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -224,12 +256,15 @@ def encode(docs: DataFrame, tokenizer_path: str, text_col: str = "text", ids_col
     kept = docs.drop(ids_col)
     alone = kept.withColumn("__llm_ids", encode_alone.asNondeterministic()(text)).where("__llm_ids IS NOT NULL")
     others = kept.withColumn("__llm_key", content_key(F.col(text_col))).join(stitched, "__llm_key").drop("__llm_key")
+    others = others.withColumn("__llm_ids", widen("__llm_packed")).drop("__llm_packed")
     return alone.unionByName(others).withColumnRenamed("__llm_ids", ids_col)
 
 
 def decode(encoded: DataFrame, tokenizer_path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """``encoded`` plus ``out_col``: the text of the ids, special tokens included; NULL ids give an empty text."""
 
+    small_batches(encoded.sparkSession)
+
     @arrow_udf("string")
     def decode_ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         codec = Codec.of(tokenizer_path)
