@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regiocast.llm import bpe, decontamination, html_text, pii, simhash, substrings, token_counts
+from regiocast.llm import bpe, decontamination, html_text, pii, quality, simhash, substrings, token_counts
 from regiocast.llm.common import table
 from regiocast.session import scratch_path
 
@@ -22,6 +22,12 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    weights = quality.fit(docs, quality.trusted_sample(table(spark, sf_dir, "labels")))
+    return quality.judge(docs, weights).drop("text")
+
+
 def op2_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = vocabulary("byte_bpe_50k.json")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -76,6 +82,7 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality_rules": op1_quality_rules,
     "op2_bpe_codec": op2_bpe_codec,
     "op3_simhash_components": op3_simhash_components,
     "op4_pii_pseudonyms": op4_pii_pseudonyms,
