@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regiocast.llm import bpe, decontamination, html_text, pii, quality, simhash, substrings, token_counts
+from regiocast.llm import bpe, decontamination, html_text, licenses, pii, quality, sharding, simhash, substrings, token_counts
 from regiocast.llm.common import table
 from regiocast.session import scratch_path
 
 
 TOKEN_LIMIT = 4096
+SHARDS = 24
 #: Key of the registered query and the pipeline; a deployment passes its own secret to the operator.
 PSEUDONYM_KEY = b"key of the registered query"
 
@@ -59,6 +60,11 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.assign(table(spark, sf_dir, "documents"), SHARDS)
+    return placed.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Starts from an empty cache of its own, so each run encodes every different text."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -71,6 +77,12 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = licenses.scan(docs, licenses.known_digests(spark))
+    return found.select("doc_id", "whole_license", F.array_join("licenses", ",").alias("licenses"), "n_notices")
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substrings.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), k=20, m=substrings.MINIMISER)
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -86,13 +98,42 @@ QUERIES = {
     "op2_bpe_codec": op2_bpe_codec,
     "op3_simhash_components": op3_simhash_components,
     "op4_pii_pseudonyms": op4_pii_pseudonyms,
+    "op5_sharding": op5_sharding,
     "op6_token_counts": op6_token_counts,
+    "op7_license_scan": op7_license_scan,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_decontamination": op9_decontamination,
     "op10_html_text": op10_html_text,
 }
+def _license_sql() -> str:
+    """Canonical forms by the same fixed values, matched by the text itself instead of its digest."""
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    form = "' ' || lower(unit) || ' '"
+    for pattern, new in [(licenses.COPYRIGHT_LINE, " "), (licenses.SIGNS, "  "), *licenses.spellings()]:
+        form = f"regexp_replace({form}, {quoted(pattern)}, {quoted(new)}, 'g')"
+    values = ", ".join(f"({quoted(name)}, {quoted(text)})" for name, text in licenses.KNOWN)
+    return f"""
+        WITH known AS (
+            SELECT min(license) AS license, form FROM (SELECT license, {form} AS form FROM (VALUES {values}) AS v(license, unit))
+            GROUP BY form
+        ), units AS (
+            SELECT doc_id, false AS whole, unnest(string_split(text, chr(10))) AS unit FROM documents
+            UNION ALL SELECT doc_id, true, text FROM documents
+        ), found AS (
+            SELECT doc_id, whole, license FROM (SELECT doc_id, whole, {form} AS form FROM units) JOIN known USING (form)
+        ), gathered AS (
+            SELECT doc_id, min(license) FILTER (whole) AS whole_license, string_agg(DISTINCT license, ',' ORDER BY license) AS licenses,
+                   count(*) FILTER (NOT whole) AS n_notices
+            FROM found GROUP BY doc_id
+        )
+        SELECT d.doc_id, g.whole_license, coalesce(g.licenses, '') AS licenses, CAST(coalesce(g.n_notices, 0) AS BIGINT) AS n_notices
+        FROM documents d LEFT JOIN gathered g USING (doc_id)
+    """
+
+
 #: Independent DuckDB SQL for the queries that SQL can express.
 ORACLE_SQL = {
+    "op7_license_scan": _license_sql(),
     "op8_substring_dedup": r"""
         WITH words AS (
             SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents

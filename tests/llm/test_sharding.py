@@ -1,0 +1,88 @@
+import hashlib
+import random
+import zlib
+
+import pytest
+
+from regiocast.llm import sharding as sh
+from regiocast.llm.queries import op5_sharding
+
+SMALL = "/root/testdata/sf0.01"
+
+
+def greedy(sizes, capacity):
+    """Shard of each group when shards are filled up to the capacity; None if a group is larger."""
+    out, shard, used = [], 0, 0
+    for s in sizes:
+        if s > capacity:
+            return None
+        if used + s > capacity:
+            shard, used = shard + 1, 0
+        used += s
+        out.append(shard)
+    return out
+
+
+def plain(rows, shards):
+    """(id, text) -> shard, by trying capacities one after the other."""
+    size = {}
+    for _, t in rows:
+        d = hashlib.sha256((t or "").encode()).digest()
+        size[d] = size.get(d, 0) + len((t or "").encode()) + 8
+    order = sorted(size)
+    sizes = [size[d] for d in order]
+    low, high = 0, sum(sizes)
+    while low < high:
+        middle = (low + high) // 2
+        cut = greedy(sizes, middle)
+        if cut is not None and (not cut or cut[-1] < shards):
+            high = middle
+        else:
+            low = middle + 1
+    return dict(zip(order, greedy(sizes, low), strict=True))
+
+
+def check(rows, got, shards):
+    want = plain(rows, shards)
+    digest = lambda t: hashlib.sha256((t or "").encode()).digest()
+    by_crc = {zlib.crc32((t or "").encode()): (want[digest(t)], len((t or "").encode()) + 8) for _, t in rows}
+    assert sorted((str(r.doc_id), r.text_crc32) for r in got) == sorted((str(i), zlib.crc32((t or "").encode())) for i, t in rows)
+    assert all((r.shard, r.size) == by_crc[r.text_crc32] for r in got)
+    for s in range(shards):
+        assert sorted(r.slot for r in got if r.shard == s) == list(range(sum(r.shard == s for r in got)))
+
+
+@pytest.mark.parametrize("shards", [1, 2, 3, 7, 24])
+def test_against_brute_force(spark, shards):
+    rng = random.Random(shards)
+    rows = [(rng.randint(0, 300), "t" * rng.choice([0, 1, 5, 30, 200]) + str(rng.randint(0, 200))) for _ in range(400)]
+    rows += [(None, None), (None, ""), (1, "copy"), (1, "copy")] + [(1000 + k, "hot text " * 9) for k in range(150)]
+    df = spark.createDataFrame([(i, t, 1, "x") for i, t in rows], "doc_id long, text string, size int, digest string")
+    check(rows, sh.assign(df, shards, blocks=5).collect(), shards)
+
+
+def test_cells_are_split_until_exact(spark):
+    """Groups whose digests share long prefixes need several rounds."""
+    rng = random.Random(9)
+    groups = sorted({b"\x01\x02" + bytes(rng.choice([0, 1]) for _ in range(8)) for _ in range(150)} | {bytes([9, k]) for k in range(3)})
+    sizes = [rng.randint(1, 50) for _ in groups]
+    df = spark.createDataFrame(list(zip(groups, sizes)), "digest binary, bytes long")
+    for shards in (2, 5, 11):
+        firsts = sh.minimax_cuts(df, shards)
+        assert len(firsts) == shards - 1
+        got = [sum(d >= f for f in firsts) for d in groups]
+        best = min(c for c in range(sum(sizes) + 1) if (cut := greedy(sizes, c)) is not None and cut[-1] < shards)
+        assert got == greedy(sizes, best)
+
+
+def test_few_rows(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "doc_id long, text string")
+    check([(1, "a"), (2, "b")], sh.assign(df, 24).collect(), 24)
+    assert sh.assign(df.limit(0), 24).collect() == []
+
+
+def test_query(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
+    got = op5_sharding(spark, SMALL)
+    assert got.columns == ["doc_id", "size", "text_crc32", "shard", "slot", "law", "grown_shard"]
+    check(rows, got.collect(), 24)
