@@ -28,17 +28,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from regiocast.llm.common import FILTER_BITS, RepeatFilter, small_batches, texts_of
 
-WINDOW, MINIMISER = 20, 8
-_BLOCK = 1 << 16  # windows looked at together
-#: Odd factors that mix the word hashes of a minimiser.
-_FACTORS = np.random.RandomState(7).randint(0, 1 << 62, size=64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+WINDOW, MINIMISER = 20, 5
+_BLOCK = 1 << 16  # words or windows looked at together
+_FOLD = 50_000  # different strings folded at a time in a task
+_RANDOM = np.random.RandomState(7)
+#: Hash of a word: a random number for each byte times a power for its place; of a run of words: odd factors.
+_BYTES = _RANDOM.randint(0, 1 << 62, size=256, dtype=np.uint64) * np.uint64(4) + np.uint64(1)
+_POWERS = np.multiply.accumulate(np.full(4096, 0x9E3779B97F4A7C15, np.uint64))
+_FACTORS = _RANDOM.randint(0, 1 << 62, size=64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 
 
 def words_of(text: str) -> list[bytes]:
@@ -46,23 +50,40 @@ def words_of(text: str) -> list[bytes]:
     return text.encode("utf-8").split()
 
 
-def super_kmers(words: list[bytes], k: int, m: int) -> tuple[list[int], list[int], list[int]]:
+def word_hashes(raw: bytes) -> np.ndarray:
+    """A 64-bit hash of each word; equal words have equal hashes."""
+    blank = np.concatenate([[True], _BLANK[np.frombuffer(raw, np.uint8)], [True]])
+    starts = np.flatnonzero(blank[:-1] & ~blank[1:])
+    ends = np.flatnonzero(~blank[:-1] & blank[1:])
+    out = np.empty(len(starts), np.uint64)
+    for at in range(0, len(starts), _BLOCK):
+        low, lengths = starts[at : at + _BLOCK], (ends - starts)[at : at + _BLOCK]
+        data = np.frombuffer(raw, np.uint8)[low[0] : ends[min(at + _BLOCK, len(ends)) - 1]]
+        data = data[~_BLANK[data]]
+        first = np.cumsum(lengths) - lengths
+        place = np.arange(len(data)) - np.repeat(first, lengths)
+        out[at : at + _BLOCK] = np.add.reduceat(_BYTES[data] * _POWERS[place & 4095], first)
+    return out ^ (out >> np.uint64(29))
+
+
+def super_kmers(raw: bytes, k: int, m: int) -> tuple[np.ndarray, list[int], list[int]]:
     """(minimiser, first window, last window) of each run of windows that share their minimiser's place."""
-    n = len(words) - k + 1
+    each = word_hashes(raw)
+    n, grams = len(each) - k + 1, len(each) - m + 1
     if n <= 0:
-        return [], [], []
-    each = np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64)
-    grams = len(words) - m + 1
+        return np.empty(0, np.int64), [], []
     mixed = np.zeros(grams, np.uint64)
     for j in range(m):
-        mixed += (each[j : j + grams] ^ (each[j : j + grams] >> np.uint64(29))) * _FACTORS[j % 64]
+        mixed += each[j : j + grams] * _FACTORS[j % 64]
     mixed ^= mixed >> np.uint64(32)
     mixed *= _FACTORS[-1]
     views = np.lib.stride_tricks.sliding_window_view(mixed, k - m + 1)
-    place = np.concatenate([np.argmin(views[at : at + _BLOCK], axis=1) + at for at in range(0, n, _BLOCK)]) + np.concatenate([np.arange(min(_BLOCK, n - at)) for at in range(0, n, _BLOCK)])
+    place = np.arange(n)
+    for at in range(0, n, _BLOCK):
+        place[at : at + _BLOCK] += np.argmin(views[at : at + _BLOCK], axis=1)
     first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
     last = np.concatenate([first[1:], [n]]) - 1
-    return mixed[place[first]].view(np.int64).tolist(), first.tolist(), last.tolist()
+    return mixed[place[first]].view(np.int64), first.tolist(), last.tolist()
 
 
 def remove_repeats(
@@ -79,42 +100,68 @@ def remove_repeats(
 
     def count_minimisers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = [key for t in texts_of(batch.column(0)) for key in super_kmers(words_of(t), k, m)[0]]
-            found, n = np.unique(np.array(keys, np.int64), return_counts=True)
+            keys = [super_kmers(t.encode("utf-8"), k, m)[0] for t in texts_of(batch.column(0))]
+            found, n = np.unique(np.concatenate([np.empty(0, np.int64), *keys]), return_counts=True)
             yield pa.record_batch([pa.array(found, pa.int64()), pa.array(n, pa.int64())], names=["key", "n"])
 
     # 1. which minimisers repeat
     counts = docs.select(text.alias("t")).mapInArrow(count_minimisers, "key long, n long")
     seen = spark.sparkContext.broadcast(RepeatFilter.of(counts, "key", "n", filter_bits))
 
-    def strings(with_text: bool):
-        """Rows (id, text_key, start, bucket, string) for super-k-mers that may repeat; string is packed or its digest."""
-
-        def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                rows, starts, buckets, packed = [], [], [], []
-                for r, t in enumerate(texts_of(batch.column(2))):
-                    words = words_of(t)
-                    keys, firsts, lasts = super_kmers(words, k, m)
-                    if not keys:
-                        continue
-                    hits = seen.value.test(np.array(keys, np.int64)).tolist()
-                    for key, first, last, hit in zip(keys, firsts, lasts, hits, strict=True):
-                        if hit:
-                            string = b" ".join(words[first : last + k])
-                            rows.append(r)
-                            starts.append(first)
-                            buckets.append(key)
-                            packed.append(string.decode("utf-8") if with_text else hashlib.md5(string).digest())
-                index = pa.array(rows, pa.int64())
-                columns = [batch.column(0).take(index), batch.column(1).take(index), pa.array(starts, pa.int64()), pa.array(buckets, pa.int64())]
-                yield pa.record_batch([*columns, pa.array(packed, pa.string() if with_text else pa.binary())], names=["id", "text_key", "start", "bucket", "string"])
-
-        return keyed.mapInArrow(pack, f"id {kind}, text_key long, start long, bucket long, string {'string' if with_text else 'binary'}")
-
-    # 2. to the buckets, equal strings folded before and after the shuffle
+    def repeating(t: str) -> Iterator[tuple[int, int, bytes]]:
+        """(bucket, first window, packed words) of the super-k-mers that may repeat."""
+        raw = t.encode("utf-8")
+        keys, firsts, lasts = super_kmers(raw, k, m)
+        hits = np.flatnonzero(seen.value.test(keys))
+        words = raw.split() if len(hits) else []
+        for j in hits.tolist():
+            yield int(keys[j]), firsts[j], b" ".join(words[firsts[j] : lasts[j] + k])
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Different strings of a stretch of documents with their first places and counts."""
+        names, folded = ["bucket", "string", "id", "start", "n"], {}
+
+        def flush(kind: pa.DataType) -> pa.RecordBatch:
+            rows = [(key[0], key[1].decode("utf-8"), place[1], place[2], n) for key, (place, n) in folded.items()]
+            folded.clear()
+            columns = list(zip(*rows, strict=True)) or [()] * 5
+            types = [pa.int64(), pa.string(), kind, pa.int64(), pa.int64()]
+            return pa.record_batch([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
+
+        in_order = lambda p: p if p[0] else (False, p[2])  # noqa: E731  a NULL id comes first
+        kind = None
+        for batch in batches:
+            kind = batch.schema.field(0).type
+            for doc, t in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), strict=True):
+                for bucket, start, string in repeating(t):
+                    place = (doc is not None, doc, start)
+                    old = folded.get((bucket, string))
+                    if old is None:
+                        folded[bucket, string] = (place, 1)
+                    else:
+                        folded[bucket, string] = (min(old[0], place, key=in_order), old[1] + 1)
+            if len(folded) >= _FOLD:
+                yield flush(kind)
+        if folded:
+            yield flush(kind)
+
+    def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Every place of the strings, each by its digest."""
+        for batch in batches:
+            rows, starts, digests = [], [], []
+            for r, t in enumerate(texts_of(batch.column(2))):
+                for _, start, string in repeating(t):
+                    rows.append(r)
+                    starts.append(start)
+                    digests.append(hashlib.md5(string).digest())
+            index = pa.array(rows, pa.int64())
+            columns = [batch.column(0).take(index), batch.column(1).take(index), pa.array(starts, pa.int64()), pa.array(digests, pa.binary())]
+            yield pa.record_batch(columns, names=["id", "text_key", "start", "string"])
+
+    # 2. to the buckets as packed strings, equal ones folded before and after the shuffle
     place = F.struct(F.col("id").isNotNull().alias("named"), F.col("id").alias("id"), F.col("start").alias("start"))
-    folded = strings(True).groupBy("bucket", "string").agg(F.min(place).alias("own"), F.count("*").alias("n"))
+    packed = keyed.select("id", "t").mapInArrow(fold, f"bucket long, string string, id {kind}, start long, n long")
+    folded = packed.repartition("bucket").groupBy("bucket", "string").agg(F.min(place).alias("own"), F.sum("n").alias("n"))
     # 3. in each bucket the windows are sorted, and each gets its first place
     words = F.split("string", " ")
     windows = folded.select("bucket", "string", "n", "own", F.explode(F.sequence(F.lit(0), F.size(words) - k)).alias("offset")).select(
@@ -139,7 +186,7 @@ def remove_repeats(
     own = F.struct(F.col("id").isNotNull().alias("named"), F.col("id").alias("id"))
     later = F.filter("windows", lambda w: (w["first"]["start"] != F.col("start") + w["offset"]) | (F.struct(w["first"]["named"].alias("named"), w["first"]["id"].alias("id")) != own))
     removed = (
-        strings(False)
+        keyed.mapInArrow(occurrences, f"id {kind}, text_key long, start long, string binary")
         .join(firsts, "string")
         .select("id", "text_key", F.transform(later, lambda w: F.col("start") + w["offset"]).alias("starts"))
         .where(F.size("starts") > 0)

@@ -41,11 +41,17 @@ def rows(seed=1):
     return out
 
 
+def test_equal_words_have_equal_hashes():
+    text = "é\t b  é\x0bb\n" + "x" * 10_000 + " bb " + "w " * 70_000
+    hashes, words = sub.word_hashes(text.encode()).tolist(), sub.words_of(text)
+    assert len(hashes) == len(words) and len(set(zip(hashes, words))) == len(set(hashes)) == len(set(words))
+
+
 def test_super_kmers_cover_every_window_once():
     rng = random.Random(3)
     for n in (0, 5, 6, 7, 50, 400):
         words = [rng.choice([b"a", b"b", b"c"]) for _ in range(n)]
-        _, first, last = sub.super_kmers(words, 6, 3)
+        _, first, last = sub.super_kmers(b' '.join(words), 6, 3)
         covered = [w for a, b in zip(first, last) for w in range(a, b + 1)]
         assert covered == list(range(max(0, n - 5))) and all(b - a < 4 for a, b in zip(first, last))
 
