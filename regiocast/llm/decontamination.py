@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
 
 from regiocast.llm.common import small_batches, texts_of
 
@@ -136,6 +137,31 @@ def blocks_of(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: int
         yield block
 
 
+def clean(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    text_col: str = "text",
+    item_id_col: str = "item_id",
+    item_text_col: str = "text",
+    rate: float = 0.2,
+    min_words: int = 5,
+    block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """The rows of ``docs`` that hold no test item; each block of items is a filter, without any shuffle."""
+    small_batches(docs.sparkSession)
+    for items in blocks_of(benchmark, item_id_col, item_text_col, block_bytes):
+        shared = docs.sparkSession.sparkContext.broadcast(items)
+
+        @arrow_udf("boolean")
+        def holds_none(batches: Iterator[pa.Array], shared=shared) -> Iterator[pa.Array]:
+            block = Block(shared.value, rate, min_words)
+            for batch in batches:
+                yield pa.array([next(block.matches(t), None) is None for t in texts_of(batch)], pa.bool_())
+
+        docs = docs.where(holds_none(F.col(text_col)))
+    return docs
+
+
 def contaminated(
     docs: DataFrame,
     benchmark: DataFrame,

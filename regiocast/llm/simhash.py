@@ -11,8 +11,8 @@ star contractions, each round written to the shared checkpoint folder.
 
 Cases: a NULL or empty text has no words and fingerprint zero, linked like any
 other; a NULL id never names a component unless all its ids are NULL; rows
-that repeat get one output row each, and of the rows of a component one
-(id, text) pair is marked ``keep``; other columns of the input are not read;
+that repeat get one output row each, and of a component the rows of one
+(id, text) pair are marked ``keep``; other columns of the input are not read;
 an empty table gives an empty one.
 """
 
@@ -113,12 +113,24 @@ def components(edges: DataFrame) -> DataFrame:
     return children.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
+def row_key(id_: Column, text: Column) -> Column:
+    """16-byte digest of id and text; only rows that repeat share one."""
+    return F.unhex(F.md5(F.concat(F.coalesce(id_.cast("string"), F.lit("none")), F.lit(":"), F.coalesce(text, F.lit("")))))
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 2) -> DataFrame:
+    """The rows of ``docs`` that stay: of each component the one with the smallest id, repeated rows once."""
+    kept = near_duplicates(docs, id_col, text_col, shingle, max_bits).where("keep").select(F.col("row_key").alias("__llm_key")).distinct()
+    keyed = docs.withColumn("__llm_key", row_key(F.col(id_col), F.col(text_col)))
+    return keyed.join(kept, "__llm_key", "left_semi").dropDuplicates(["__llm_key"]).drop("__llm_key")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 2) -> DataFrame:
-    """One row per row of ``docs``: id, ``text_key`` (hash of the text), ``fingerprint`` (16 hex digits), ``component_id``, ``keep``."""
+    """One row per row of ``docs``: id, ``row_key`` (see there), ``fingerprint`` (16 hex digits), ``component_id``, ``keep``."""
     small_batches(docs.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit(""))
-    base = cut_lineage(docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_key"), fingerprint_col(text, shingle).alias("fp")))
-    best = F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("text_key").alias("text_key"))
+    base = cut_lineage(docs.select(F.col(id_col).alias("id"), row_key(F.col(id_col), text).alias("row_key"), fingerprint_col(text, shingle).alias("fp")))
+    best = F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("row_key").alias("row_key"))
     nodes = cut_lineage(base.groupBy("fp").agg(F.min(best).alias("best")))
     roots = components(links(nodes.select("fp"), max_bits)).withColumnRenamed("node", "fp")
     rooted = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
@@ -126,8 +138,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     of_fp = rooted.select("fp", "root").join(winners, "root").select("fp", "win")
     return base.join(of_fp, "fp").select(
         F.col("id").alias(id_col),
-        "text_key",
+        "row_key",
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         F.col("win.id").alias("component_id"),
-        (F.col("id").eqNullSafe(F.col("win.id")) & (F.col("text_key") == F.col("win.text_key"))).alias("keep"),
+        (F.col("row_key") == F.col("win.row_key")).alias("keep"),
     )
