@@ -1,53 +1,94 @@
 """Feed landing (S2, S7, P2, P8): text columns -> typed columns, then Parquet.
 
-``on_bad='fail'`` keeps the reference's behaviour of failing the job on a bad
-number or a missing value (ANSI casts raise on malformed text; a NULL raises
-through ``raise_error``).  ``on_bad='drop'`` uses ``try_cast`` and drops the
-row instead.  Everything is a projection: no extra pass over the data.
+Columns are taken by name where the feed has the names of ``raw_schema``, by
+their position in it otherwise.  ``on_bad='fail'`` keeps the reference's
+behaviour of failing the job on a bad number or a missing value;
+``on_bad='quarantine'`` lands the good rows and writes every other row, as it
+arrived and with the reason, to a side table.  Nothing is dropped in silence.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+ON_BAD = ("fail", "quarantine")
+REASON = "_reason"
+
+
+class Landed(NamedTuple):
+    """The landed table and, with ``on_bad='quarantine'``, the rejected rows with their ``_reason``."""
+
+    rows: DataFrame
+    rejected: DataFrame | None
+
+
+def pick_columns(df: DataFrame, schema: T.StructType, raw_schema: T.StructType | None = None) -> DataFrame:
+    """The columns of ``schema`` as they arrived: by name if all are there, else by position in ``raw_schema``."""
+    names = [f.name for f in schema.fields]
+    if set(names) <= set(df.columns):
+        return df.select(*[f"`{n}`" for n in names])
+    layout = (raw_schema or schema).names
+    if len(df.columns) < len(layout):
+        raise ValueError(f"expected at least {len(layout)} columns, got {df.columns}")
+    renamed = df.toDF(*layout, *[f"_extra{i}" for i in range(len(df.columns) - len(layout))])
+    return renamed.select(*[f"`{n}`" for n in names])
+
+
+def _cast(field: T.StructField) -> str:
+    value = f"`{field.name}`"
+    return value if isinstance(field.dataType, T.StringType) else f"TRY_CAST({value} AS {field.dataType.simpleString()})"
+
+
+def bad_columns(schema: T.StructType, required: list[str] | None = None):
+    """Names of the required columns that are NULL or do not cast, joined by commas; empty for a good row."""
+    fields = [f for f in schema.fields if required is None or f.name in required]
+    return F.concat_ws(",", *[F.when(F.expr(_cast(f)).isNull(), F.lit(f.name)) for f in fields])
+
 
 def type_columns(
     df: DataFrame,
     schema: T.StructType,
     on_bad: str = "fail",
     required: list[str] | None = None,
+    raw_schema: T.StructType | None = None,
 ) -> DataFrame:
-    """Rename positionally to ``schema`` and cast every column to its type.
+    """The columns of ``schema``, cast to their types.
 
-    ``required`` (default: all columns) may not be NULL after the cast.  Casts
+    ``required`` (default: all) may not be NULL after the cast: the job fails,
+    or with ``quarantine`` the row is left out (see ``rejected_rows``).  The
+    check is a filter, so it runs whatever columns are used afterwards.  Casts
     to DATE accept one-digit months and days, like a lenient parser.
     """
-    if on_bad not in ("fail", "drop"):
-        raise ValueError("on_bad must be 'fail' or 'drop'")
-    names = [f.name for f in schema.fields]
-    if len(df.columns) < len(names):
-        raise ValueError(f"expected at least {len(names)} columns, got {df.columns}")
-    required = names if required is None else required
-    strict = on_bad == "fail"
-    exprs = []
-    for src, field in zip(df.columns, schema.fields):
-        value = f"`{src}`"
-        if not isinstance(field.dataType, T.StringType):
-            cast = "CAST" if strict else "TRY_CAST"
-            value = f"{cast}({value} AS {field.dataType.simpleString()})"
-        if strict and field.name in required:
-            message = f"landing: NULL or bad value in {field.name}"
-            value = f"CASE WHEN {value} IS NULL THEN raise_error('{message}') ELSE {value} END"
-        exprs.append(f"{value} AS `{field.name}`")
-    typed = df.selectExpr(*exprs)
-    if not strict:
-        typed = typed.where(" AND ".join(f"`{c}` IS NOT NULL" for c in required))
-    return typed
+    if on_bad not in ON_BAD:
+        raise ValueError(f"on_bad must be one of {ON_BAD}")
+    picked = pick_columns(df, schema, raw_schema)
+    bad = bad_columns(schema, required)
+    if on_bad == "fail":
+        message = F.concat(F.lit("landing: NULL or bad value in "), bad)
+        good = F.when(bad == "", F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
+    else:
+        good = bad == ""
+    return picked.where(good).selectExpr(*[f"{_cast(f)} AS `{f.name}`" for f in schema.fields])
+
+
+def rejected_rows(
+    df: DataFrame, schema: T.StructType, required: list[str] | None = None, raw_schema: T.StructType | None = None
+) -> DataFrame:
+    """The rows that ``quarantine`` leaves out, as text, with ``_reason`` (the bad columns)."""
+    picked = pick_columns(df, schema, raw_schema)
+    text = [F.col(f"`{f.name}`").cast("string").alias(f.name) for f in schema.fields]
+    return picked.withColumn(REASON, bad_columns(schema, required)).where(f"{REASON} != ''").select(*text, REASON)
 
 
 def read_csv_feed(spark: SparkSession, path: str, raw_schema: T.StructType) -> DataFrame:
-    """Read a text feed with a fixed schema (no inference pass)."""
+    """A text feed with a header, every column a string; ``raw_schema``'s names if the header has others."""
+    named = spark.read.option("header", True).csv(path)
+    if set(raw_schema.names) <= set(named.columns):
+        return named.select(*[f"`{n}`" for n in raw_schema.names])
     return spark.read.schema(raw_schema).option("header", True).csv(path)
 
 
@@ -59,11 +100,18 @@ def land(
     schema: T.StructType,
     on_bad: str = "fail",
     partition_by: list[str] | None = None,
+    rejects: str | None = None,
 ) -> DataFrame:
-    """CSV feed -> typed Parquet; returns the landed table read back."""
-    typed = type_columns(read_csv_feed(spark, src, raw_schema), schema, on_bad)
-    writer = typed.write.mode("overwrite")
+    """CSV feed -> typed Parquet; returns the landed table read back.
+
+    ``quarantine`` writes the rejected rows to ``rejects`` (``<dst>_rejected`` by default).
+    """
+    feed = read_csv_feed(spark, src, raw_schema)
+    writer = type_columns(feed, schema, on_bad, raw_schema=raw_schema).write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(dst)
+    if on_bad == "quarantine":
+        bad = rejected_rows(feed, schema, raw_schema=raw_schema)
+        bad.write.mode("overwrite").parquet(rejects or f"{dst.rstrip('/')}_rejected")
     return spark.read.parquet(dst)

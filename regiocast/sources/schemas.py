@@ -9,10 +9,11 @@ def _raw(*names: str) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
 
 
-# Raw feeds: every column arrives as text.
+# Raw feeds: every column arrives as text, in this order.  Doses: women is the
+# sixth column (position 5); the one before it is not used.
 SUMMARY_RAW = _raw("date", "region", "total")
 CENTERS_RAW = _raw("region")
-DOSES_RAW = _raw("date", "supplier", "region", "age", "women")
+DOSES_RAW = _raw("date", "supplier", "region", "age", "men", "women")
 POPULATION_RAW = _raw("region", "population")
 
 # Landed (typed) tables.

@@ -1,9 +1,9 @@
 """Sinks (S4-S6).
 
 ``write_csv`` writes with a header and overwrites.  ``single_file=True`` is
-for bounded report tables only (one row per region and month, say): it
-coalesces to one task and sorts inside it, which keeps the order (a
-``repartition(1)`` after a global sort does not).
+meant for report tables (one row per region and month, say): one task writes
+all rows, sorted inside it, which keeps the order (a ``repartition(1)`` after
+a global sort does not).  It takes a table of any size, at one task's speed.
 """
 
 from __future__ import annotations
@@ -12,11 +12,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from regiocast.operators.joins import fits_in
-
-
-SINGLE_FILE_MAX_ROWS = 10_000_000
-
 
 def _sort_keys(keys: list[str]) -> list[Column]:
     """``["date", "v DESC"]`` -> sort columns (T3: mixed directions)."""
@@ -33,17 +28,11 @@ def write_csv(
     path: str,
     sort_by: list[str] | None = None,
     single_file: bool = False,
-    max_rows: int = SINGLE_FILE_MAX_ROWS,
 ) -> None:
-    """Overwrite ``path`` with a header; ``sort_by`` (``"col"`` or ``"col DESC"``) orders it.
-
-    ``single_file`` refuses tables over ``max_rows`` rows: one task writes it.
-    """
+    """Overwrite ``path`` with a header; ``sort_by`` (``"col"`` or ``"col DESC"``) orders it."""
     out = df
     if single_file:
-        if not fits_in(df, max_rows):
-            raise ValueError(f"single_file output is for report tables up to {max_rows} rows")
-        out = out.coalesce(1)
+        out = out.repartition(1)
         if sort_by:
             out = out.sortWithinPartitions(*_sort_keys(sort_by))
     elif sort_by:

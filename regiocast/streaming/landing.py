@@ -10,11 +10,19 @@ scheduled ingestion job runs it.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from regiocast.sources.landing import type_columns
+from regiocast.sources.landing import REASON, Landed, rejected_rows, type_columns
+
+
+def _start(df: DataFrame, dst: str, checkpoint: str | None, partition_by: list[str] | None, available_now: bool) -> StreamingQuery:
+    writer = df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint or f"{dst}/_checkpoint")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    return writer.start(dst)
 
 
 def land_stream(
@@ -24,36 +32,39 @@ def land_stream(
     raw_schema: T.StructType,
     schema: T.StructType,
     checkpoint: str | None = None,
-    on_bad: str = "drop",
+    on_bad: str = "fail",
     partition_by: list[str] | None = None,
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
-) -> StreamingQuery:
-    """Start the landing stream; returns the running query.
+    rejects: str | None = None,
+) -> list[StreamingQuery]:
+    """Start the landing stream; returns the running queries.
 
-    ``on_bad='drop'`` is the default here: one malformed drop should not stop
-    the feed.  ``checkpoint`` defaults to ``<dst_dir>/_checkpoint``.
+    A bad row stops the stream (``fail``), or with ``quarantine`` goes with its
+    reason to ``rejects`` (``<dst_dir>_rejected`` by default) by a second query
+    with a checkpoint of its own, so each table gets each of its rows once.
     """
     reader = spark.readStream.schema(raw_schema).option("header", True)
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    typed = type_columns(reader.csv(src_dir), schema, on_bad=on_bad)
-    writer = (
-        typed.writeStream.format("parquet")
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint or f"{dst_dir.rstrip('/')}/_checkpoint")
-    )
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
-    return writer.start(dst_dir.rstrip("/"))
+    feed, dst = reader.csv(src_dir), dst_dir.rstrip("/")
+    typed = type_columns(feed, schema, on_bad=on_bad, raw_schema=raw_schema)
+    queries = [_start(typed, dst, checkpoint, partition_by, available_now)]
+    if on_bad == "quarantine":
+        bad = rejected_rows(feed, schema, raw_schema=raw_schema)
+        queries.append(_start(bad, rejects or f"{dst}_rejected", f"{checkpoint}_rejected" if checkpoint else None, None, available_now))
+    return queries
 
 
-def land_available(spark: SparkSession, src_dir: str, dst_dir: str, raw_schema, schema, **kwargs):
-    """Land every file not yet taken, wait for it, and return the landed table."""
-    query = land_stream(spark, src_dir, dst_dir, raw_schema, schema, available_now=True, **kwargs)
-    query.awaitTermination()
-    exc = query.exception()
-    if exc is not None:
-        raise exc
-    return spark.read.schema(schema).parquet(dst_dir.rstrip("/"))
+def land_available(spark: SparkSession, src_dir: str, dst_dir: str, raw_schema, schema, **kwargs) -> Landed:
+    """Land every file not yet taken, wait for it, and return the landed table and the rejected rows."""
+    dst = dst_dir.rstrip("/")
+    for query in land_stream(spark, src_dir, dst_dir, raw_schema, schema, available_now=True, **kwargs):
+        query.awaitTermination()
+        if (failure := query.exception()) is not None:
+            raise failure
+    rejected = None
+    if kwargs.get("on_bad") == "quarantine":
+        text = T.StructType([T.StructField(n, T.StringType()) for n in [*schema.names, REASON]])
+        rejected = spark.read.schema(text).parquet(kwargs.get("rejects") or f"{dst}_rejected")
+    return Landed(spark.read.schema(schema).parquet(dst), rejected)

@@ -5,7 +5,7 @@ from pyspark.errors import PySparkException
 from py4j.protocol import Py4JJavaError
 
 from regiocast.sources import schemas
-from regiocast.sources.landing import land, type_columns
+from regiocast.sources.landing import land, rejected_rows, type_columns
 from regiocast.sources.sinks import clusters_path, read_csv, write_csv
 
 D = dt.date
@@ -17,12 +17,15 @@ def test_type_columns_casts_and_renames(spark):
     assert tuple(row) == (D(2021, 1, 5), "A / X", 12)
 
 
-def test_type_columns_fail_and_drop(spark):
+def test_type_columns_fail_and_quarantine(spark):
     raw = spark.createDataFrame([("2021-01-05", "A", "12"), ("2021-01-06", "A", "x1")], "a string, b string, c string")
     with pytest.raises((PySparkException, Py4JJavaError)):
         type_columns(raw, schemas.SUMMARY, on_bad="fail").collect()
-    kept = type_columns(raw, schemas.SUMMARY, on_bad="drop").collect()
+    with pytest.raises((PySparkException, Py4JJavaError)):  # whatever columns are used afterwards
+        type_columns(raw, schemas.SUMMARY, on_bad="fail").groupBy("region").count().collect()
+    kept = type_columns(raw, schemas.SUMMARY, on_bad="quarantine").collect()
     assert [r.total for r in kept] == [12]
+    assert [tuple(r) for r in rejected_rows(raw, schemas.SUMMARY).collect()] == [("2021-01-06", "A", "x1", "total")]
     nulls = spark.createDataFrame([("2021-01-05", "A", None)], "a string, b string, c string")
     with pytest.raises((PySparkException, Py4JJavaError)):
         type_columns(nulls, schemas.SUMMARY, on_bad="fail").collect()
@@ -41,3 +44,30 @@ def test_csv_landing_and_sorted_sink(spark, scratch):
     back = read_csv(spark, out, schemas.SUMMARY).collect()
     assert [(r.date, r.region) for r in back] == [(D(2021, 1, 1), "A"), (D(2021, 1, 1), "B"), (D(2021, 2, 1), "B")]
     assert clusters_path("/x/", "kmeans", 3) == "/x/kmeans/3"
+
+
+def test_women_are_the_sixth_column(spark, scratch):
+    """By name where the feed has our names, by position otherwise; from CSV and from string Parquet."""
+    row = ("2021-02-01", "S", "A", "20-29", "111", "999")
+    foreign = "data string, fornitore string, area string, fascia string, uomini string, donne string"
+    shuffled = "women string, region string, date string, age string, men string, supplier string"
+    feeds = {
+        "position": spark.createDataFrame([row], foreign),
+        "name": spark.createDataFrame([("999", "A", "2021-02-01", "20-29", "111", "S")], shuffled),
+    }
+    for name, feed in feeds.items():
+        feed.write.option("header", True).csv(f"{scratch}/{name}")
+        (got,) = land(spark, f"{scratch}/{name}", f"{scratch}/{name}_out", schemas.DOSES_RAW, schemas.DOSES).collect()
+        assert tuple(got) == (D(2021, 2, 1), "S", "A", "20-29", 999)
+        (got,) = type_columns(feed, schemas.DOSES, raw_schema=schemas.DOSES_RAW).collect()
+        assert got.women == 999
+    with pytest.raises(ValueError, match="at least 6"):
+        type_columns(feeds["position"].drop("donne"), schemas.DOSES, raw_schema=schemas.DOSES_RAW)
+
+
+def test_quarantined_rows_are_accounted_for(spark, scratch):
+    feed = spark.createDataFrame([("2021-01-01", "A", "1"), ("not-a-date", "A", "2"), ("2021-01-02", None, "x")], "date string, region string, total string")
+    feed.write.option("header", True).csv(f"{scratch}/feed")
+    landed = land(spark, f"{scratch}/feed", f"{scratch}/out", schemas.SUMMARY_RAW, schemas.SUMMARY, on_bad="quarantine")
+    rejected = spark.read.parquet(f"{scratch}/out_rejected").collect()
+    assert landed.count() == 1 and {r._reason for r in rejected} == {"date", "region,total"}

@@ -15,7 +15,7 @@ def test_quick_start(spark, scratch):
     _feed(tables.summary(spark, SF_SMOKE, qualified=True), f"{scratch}/feeds/summary")
     _feed(tables.centers(spark, SF_SMOKE, qualified=True), f"{scratch}/feeds/centers")
     _feed(
-        tables.doses(spark, SF_SMOKE).selectExpr("date", "'S' AS supplier", "region", "age", "women"),
+        tables.doses(spark, SF_SMOKE).selectExpr("date AS day", "'S' AS maker", "region AS area", "age AS band", "women + 7 AS m", "women AS f"),
         f"{scratch}/feeds/doses",
     )
     _feed(tables.population(spark, SF_SMOKE), f"{scratch}/feeds/population")
@@ -30,6 +30,7 @@ def test_quick_start(spark, scratch):
 
     assert monthly_mean_per_center(summary, centers, "1995-12-31").count() > 0
     assert top_regions_by_forecast(doses, "1995-12-31").count() > 0
+    assert doses.groupBy().sum("women").first() == tables.doses(spark, SF_SMOKE).groupBy().sum("women").first()
     q3 = coverage_percent(summary, population, "1994-12-26", "2002-02-13")
     assert q3.count() == 10
     assert {r.prediction for r in cluster(q3, ["percent"], 4, "bisecting", order_by=["region"]).collect()} == {0, 1, 2, 3}

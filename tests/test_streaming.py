@@ -1,5 +1,8 @@
 import datetime as dt
 
+import pytest
+from pyspark.errors import StreamingQueryException
+
 from regiocast.sources import schemas
 from regiocast.streaming import land_available
 
@@ -12,18 +15,30 @@ def _drop(spark, folder, rows):
     ).csv(folder)
 
 
-def test_stream_landing_is_incremental_and_exactly_once(spark, scratch):
+def _land(spark, src, dst, **kwargs):
+    return land_available(spark, src, dst, schemas.SUMMARY_RAW, schemas.SUMMARY, **kwargs)
+
+
+def test_stream_landing_is_incremental_and_accounts_for_every_row(spark, scratch):
     src, dst = f"{scratch}/drops", f"{scratch}/landed"
     _drop(spark, src, [("2021-01-01", "A", "3"), ("2021-01-02", "A", "4")])
-    landed = land_available(spark, src, dst, schemas.SUMMARY_RAW, schemas.SUMMARY)
-    assert sorted(r.total for r in landed.collect()) == [3, 4]
-    # a second drop, one bad row in it: only the new good row is added
-    _drop(spark, src, [("2021-01-03", "B", "5"), ("2021-01-04", "B", "oops")])
-    landed = land_available(spark, src, dst, schemas.SUMMARY_RAW, schemas.SUMMARY)
-    assert sorted((r.date, r.region, r.total) for r in landed.collect()) == [
+    landed = _land(spark, src, dst, on_bad="quarantine")
+    assert sorted(r.total for r in landed.rows.collect()) == [3, 4] and landed.rejected.count() == 0
+    # a second drop, two bad rows in it: three rows in, three accounted for
+    _drop(spark, src, [("2021-01-03", "B", "5"), ("2021-01-04", "B", "oops"), ("soon", "B", "6")])
+    landed = _land(spark, src, dst, on_bad="quarantine")
+    assert sorted((r.date, r.region, r.total) for r in landed.rows.collect()) == [
         (D(2021, 1, 1), "A", 3),
         (D(2021, 1, 2), "A", 4),
         (D(2021, 1, 3), "B", 5),
     ]
+    assert sorted((r.total, r._reason) for r in landed.rejected.collect()) == [("6", "date"), ("oops", "total")]
     # nothing new: a rerun adds nothing
-    assert land_available(spark, src, dst, schemas.SUMMARY_RAW, schemas.SUMMARY).count() == 3
+    again = _land(spark, src, dst, on_bad="quarantine")
+    assert (again.rows.count(), again.rejected.count()) == (3, 2)
+
+
+def test_a_bad_row_stops_the_stream_by_default(spark, scratch):
+    _drop(spark, f"{scratch}/drops", [("2021-01-01", "A", "3"), ("2021-01-04", "B", "oops")])
+    with pytest.raises(StreamingQueryException):
+        _land(spark, f"{scratch}/drops", f"{scratch}/landed")
