@@ -1,35 +1 @@
-from regiocast.functions.arithmetic import floor_div_pos, floor_div_pos_sql, trunc_div, trunc_div_sql
-from regiocast.functions.dates import (
-    after,
-    as_date,
-    date_lit,
-    day_offset,
-    days_in_month,
-    month_start,
-    month_year_label,
-    next_month_start,
-    sql_after,
-    sql_date,
-    tomorrow,
-)
-from regiocast.functions.regions import normalise_region, normalise_region_sql
-
-__all__ = [
-    "after",
-    "as_date",
-    "date_lit",
-    "day_offset",
-    "days_in_month",
-    "floor_div_pos",
-    "floor_div_pos_sql",
-    "month_start",
-    "month_year_label",
-    "next_month_start",
-    "sql_after",
-    "sql_date",
-    "normalise_region",
-    "normalise_region_sql",
-    "tomorrow",
-    "trunc_div",
-    "trunc_div_sql",
-]
+"""Column and SQL helpers: dates, exact integer arithmetic, region names."""

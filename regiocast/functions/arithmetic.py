@@ -1,16 +1,11 @@
 """Exact integer arithmetic for forecasts.
 
 Spark's ``div`` truncates toward zero like a Java ``(long)`` cast.  Floor
-division is built from it for a positive divisor.  The SQL builders are used by
-the forecast formula; the Column forms take column names, because ``div`` has
-no Column method.
+division is built from it for a positive divisor.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 
 def trunc_div_sql(num: str, den: str) -> str:
     """SQL: ``num / den`` truncated toward zero."""
@@ -20,13 +15,3 @@ def trunc_div_sql(num: str, den: str) -> str:
 def floor_div_pos_sql(num: str, den: str) -> str:
     """SQL: ``floor(num / den)`` for ``den > 0``."""
     return f"CASE WHEN {num} >= 0 THEN {num} div {den} ELSE -(({den} - 1 - {num}) div {den}) END"
-
-
-def trunc_div(num: str, den: str) -> Column:
-    """``num / den`` truncated toward zero (BIGINT), for integer columns ``num``, ``den``."""
-    return F.expr(trunc_div_sql(f"`{num}`", f"`{den}`"))
-
-
-def floor_div_pos(num: str, den: str) -> Column:
-    """``floor(num / den)`` for ``den > 0`` (BIGINT), for integer columns ``num``, ``den``."""
-    return F.expr(floor_div_pos_sql(f"`{num}`", f"`{den}`"))

@@ -1,4 +1,4 @@
-"""Date column helpers.
+"""Date helpers.
 
 All arithmetic is on ``DATE`` values, so results do not depend on the session
 time zone, and a filter on ``CAST(ts AS DATE)`` is unwrapped by Catalyst into a
@@ -23,10 +23,6 @@ def as_date(value: str | _dt.date | _dt.datetime) -> _dt.date:
     return _dt.date(year, month, day)
 
 
-def date_lit(value: str | _dt.date | _dt.datetime) -> Column:
-    return F.lit(as_date(value))
-
-
 def sql_date(value: str | _dt.date | _dt.datetime) -> str:
     """A SQL DATE literal: foldable, so a comparison with it is pushed down."""
     return f"DATE'{as_date(value).isoformat()}'"
@@ -41,11 +37,6 @@ def _c(col: str | Column) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def after(col: str | Column, start_after: str | _dt.date) -> Column:
-    """Strictly-after predicate; a foldable literal, so it is pushed down."""
-    return _c(col) > date_lit(start_after)
-
-
 def month_start(col: str | Column) -> Column:
     return F.trunc(_c(col), "MM")
 
@@ -64,10 +55,6 @@ def month_year_label(col: str | Column) -> Column:
     return F.concat(F.month(c).cast("string"), F.lit("-"), F.year(c).cast("string"))
 
 
-def day_offset(col: str | Column, origin: str | _dt.date) -> Column:
-    """Whole days since ``origin``; a straight-line fit is invariant to the shift."""
-    return F.datediff(_c(col), date_lit(origin))
-
-
-def tomorrow() -> Column:
-    return F.date_add(F.current_date(), 1)
+def date_label(col: str | Column, pattern: str = "dd-MM-yyyy") -> Column:
+    """A date as text, ``dd-MM-yyyy`` like the SQL variant's reports."""
+    return F.date_format(_c(col), pattern)

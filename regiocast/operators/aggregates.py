@@ -61,15 +61,6 @@ def center_count(centers: DataFrame) -> DataFrame:
     return _sql(centers, "SELECT region, COUNT(1) AS centers FROM {t} GROUP BY region")
 
 
-def points_per_month(daily: DataFrame) -> DataFrame:
-    """Days with data per (month, age, region)."""
-    return _sql(
-        daily,
-        "SELECT trunc(date, 'MM') AS month, age, region, COUNT(1) AS n_days FROM {t} "
-        "GROUP BY trunc(date, 'MM'), age, region",
-    )
-
-
 def min_points_filter(daily: DataFrame, min_points: int = 2) -> DataFrame:
     """(A5) (month, age, region) groups with at least ``min_points`` days: a HAVING."""
     return _sql(

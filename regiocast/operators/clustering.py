@@ -1,12 +1,13 @@
 """Clustering of per-region features (M1-M4) with ``pyspark.ml``.
 
-K-means|| initialisation depends on how the rows are split into partitions,
-so ``deterministic=True`` (the default, meant for aggregated feature tables
-such as one row per region) orders the rows by key into one partition.  That
-path is guarded by a bounded row check; larger tables are fitted distributed.
-The feature table is checkpointed to the shared folder first, so the upstream
-analytic runs once, and lost executors re-read the checkpoint instead of
-recomputing the whole lineage during the iterative fit.
+K-means|| initialisation depends on how the rows are split into partitions and
+ordered, so the layout of the fit is an argument, the same at every size: the
+rows are dealt by ``order_by`` to ``fit_partitions`` partitions and sorted
+there.  The default of one partition suits aggregated feature tables (one row
+per region); large ones take as many as their size asks for, and get labels
+that are as reproducible.  The feature table is checkpointed to the shared
+folder first, so the upstream analytic runs once, and lost executors re-read
+the checkpoint instead of recomputing the whole lineage during the iterations.
 """
 
 from __future__ import annotations
@@ -16,11 +17,9 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regiocast.operators.joins import fits_in
 from regiocast.session import cut_lineage
 
 ALGORITHMS = ("kmeans", "bisecting")
-DETERMINISTIC_MAX_ROWS = 100_000
 
 
 def cluster(
@@ -29,12 +28,13 @@ def cluster(
     k: int,
     algorithm: str = "kmeans",
     seed: int = 1,
-    order_by: list[str] | None = None,
-    deterministic: bool = True,
+    *,
+    order_by: list[str],
+    fit_partitions: int = 1,
     prediction_col: str = "prediction",
     relabel: bool = False,
 ) -> DataFrame:
-    """``df`` plus ``prediction_col`` (INT cluster label).
+    """``df`` plus ``prediction_col`` (INT cluster label); ``order_by`` is a key of the rows.
 
     ``relabel=True`` numbers the clusters by ascending centre (first feature,
     then the next ones), so labels do not depend on the algorithm's internal
@@ -44,12 +44,11 @@ def cluster(
         raise ValueError(f"algorithm must be one of {ALGORITHMS}, got {algorithm!r}")
     if k < 2:
         raise ValueError("k must be at least 2")
-    # materialise once in the shared folder: the size check, the ordering and
-    # every training iteration read the checkpoint, not the upstream lineage
-    features = cut_lineage(VectorAssembler(inputCols=feature_cols, outputCol="features").transform(df))
-    if deterministic and fits_in(features, DETERMINISTIC_MAX_ROWS):
-        ordered = features.orderBy(*order_by) if order_by else features
-        features = ordered.coalesce(1)
+    if not order_by:
+        raise ValueError("order_by must name the key of the rows")
+    features = VectorAssembler(inputCols=feature_cols, outputCol="features").transform(df)
+    # the layout is part of what is checkpointed: every iteration reads it from the shared folder
+    features = cut_lineage(features.repartition(fit_partitions, *order_by).sortWithinPartitions(*order_by))
     if algorithm == "kmeans":
         estimator = KMeans(k=k, seed=seed, featuresCol="features", predictionCol=prediction_col)
     else:

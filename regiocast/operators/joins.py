@@ -1,43 +1,13 @@
-"""Joins (J1-J3) with a size-checked broadcast.
-
-A side is broadcast only after a check proves it small: an exact ``count()``,
-which is a partial count per task (one row per task reaches the shuffle) and,
-on a Parquet table, reads no column data.  (``limit(m+1).count()`` would move
-up to m+1 rows per partition into one task.)  Beyond the bound the join is
-left to the planner (sort-merge, with AQE's runtime broadcast conversion and
-skew splitting).  Results are cached per table path.
+"""Joins (J1-J3).
+
+No hints: the planner broadcasts a side whose size is known to lie below
+``spark.sql.autoBroadcastJoinThreshold``, AQE converts a shuffle join when a
+side turns out that small, and splits skewed keys otherwise.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# Rows of a side that may be broadcast: a dimension of one key and one name
-# takes ~50 bytes per row in the hashed relation, so 1M rows stay near 50 MB.
-BROADCAST_MAX_ROWS = 1_000_000
-
-_checked: dict[tuple[str, int], bool] = {}
-
-
-def fits_in(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, cache_key: str | None = None) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows."""
-    return table_fits_in(cache_key, max_rows, lambda: df) if cache_key is not None else df.count() <= max_rows
-
-
-def table_fits_in(cache_key: str, max_rows: int, make_df: Callable[[], DataFrame]) -> bool:
-    """Cached size check of a stored table; ``make_df`` is only called on a miss."""
-    key = (cache_key, max_rows)
-    if key not in _checked:
-        _checked[key] = make_df().count() <= max_rows
-    return _checked[key]
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, cache_key: str | None = None) -> DataFrame:
-    """``F.broadcast(df)`` if the check passes, ``df`` unchanged otherwise."""
-    return F.broadcast(df) if fits_in(df, max_rows, cache_key) else df
 
 
 def region_join(left: DataFrame, right: DataFrame, on: str | list[str] = "region") -> DataFrame:
@@ -48,16 +18,13 @@ def region_join(left: DataFrame, right: DataFrame, on: str | list[str] = "region
 def drop_rare_keys(df: DataFrame, keys: list[str], min_count: int) -> DataFrame:
     """Keep rows whose key occurs at least ``min_count`` times.
 
-    The reference collected the rare keys to the driver and broadcast a list;
-    here it is an anti-join with the keys counted below ``min_count``.  Both
-    sides are hash-partitioned on ``keys``, so the count's exchange is reused;
-    AQE splits a skewed key on the probe side.  On raw rows prefer the fused
-    form (a HAVING in the aggregate that needs the filter, as in C2).
+    One pass: a count over the key's window, so the input is computed and
+    shuffled once.  The window holds one key's rows (on disk where they do not
+    fit), which suits bounded groups such as the days of one month; on raw
+    rows prefer the fused form (a HAVING in the aggregate, as in C2).
     """
-    cols = ", ".join(f"`{k}`" for k in keys)
-    on = " AND ".join(f"r.`{k}` <=> k.`{k}`" for k in keys)
+    cols, by = ", ".join(f"`{c}`" for c in df.columns), ", ".join(f"`{k}`" for k in keys)
     return df.sparkSession.sql(
-        f"SELECT r.* FROM {{t}} r LEFT ANTI JOIN "
-        f"(SELECT {cols} FROM {{t}} GROUP BY {cols} HAVING COUNT(1) < {int(min_count)}) k ON {on}",
+        f"SELECT {cols} FROM (SELECT *, COUNT(1) OVER (PARTITION BY {by}) AS _rows FROM {{t}}) WHERE _rows >= {int(min_count)}",
         t=df,
     )

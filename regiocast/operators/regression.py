@@ -30,26 +30,35 @@ def _x(expr: str) -> str:
     return f"CAST({expr} AS {EXACT})"
 
 
+def checked_sum(term: str, of: str) -> str:
+    """64-bit SUM of ``term``; the query fails if a term or the sum leaves 64 bits.
+
+    ``term`` is NULL only where ``of`` is, or where it overflowed, so comparing
+    the two counts tells an overflow from a missing value, in any ANSI mode.
+    """
+    error = "CAST(raise_error('a sum of the fit leaves 64 bits') AS BIGINT)"
+    return f"CASE WHEN COUNT({term}) < COUNT({of}) THEN {error} WHEN COUNT({of}) = 0 THEN NULL ELSE coalesce(try_sum({term}), {error}) END"
+
+
 def fit_aggregates(x: str, y: str) -> list[str]:
     """Aggregates n, sum_x, sum_y, sum_xy, sum_xx of integer SQL expressions x, y.
 
     The sums are 64-bit (codegen'd primitive adds; a DECIMAL(38,0) sum would
-    box every row).  ``try_sum``/``try_multiply`` turn an overflow into NULL
-    whatever the ANSI setting, so a group too large for 64 bits gets a NULL
-    forecast instead of a wrapped one.  The formula widens to 38 digits.
+    box every row).  A group too large for them fails the query; it is never
+    answered from a part of its rows.
     """
     xb, yb = f"CAST({x} AS BIGINT)", f"CAST({y} AS BIGINT)"
     return [
         "COUNT(1) AS n",
-        f"try_sum({xb}) AS sum_x",
-        f"try_sum({yb}) AS sum_y",
-        f"try_sum(try_multiply({xb}, {yb})) AS sum_xy",
-        f"try_sum(try_multiply({xb}, {xb})) AS sum_xx",
+        f"{checked_sum(xb, xb)} AS sum_x",
+        f"{checked_sum(yb, yb)} AS sum_y",
+        f"{checked_sum(f'try_multiply({xb}, {yb})', f'{xb} + 0 * {yb}')} AS sum_xy",
+        f"{checked_sum(f'try_multiply({xb}, {xb})', xb)} AS sum_xx",
     ]
 
 
 def _prediction_decimal_sql(x0: str, rounding: str) -> str:
-    """The line at x0 in DECIMAL(38,0): exact for any 64-bit sums."""
+    """The line at x0 in DECIMAL(38,0): exact as long as every product fits 38 digits, else an error or NULL."""
     n, sx, sy, sxy, sxx = (_x(c) for c in ("n", "sum_x", "sum_y", "sum_xy", "sum_xx"))
     d = f"({n} * {sxx} - {sx} * {sx})"
     num = f"({sy} * {d} + ({n} * {sxy} - {sx} * {sy}) * ({n} * {_x(x0)} - {sx}))"
@@ -89,11 +98,15 @@ def prediction_sql(x0: str, rounding: str = "trunc") -> str:
     Evaluated in checked 64-bit arithmetic first; only a group whose
     intermediate products leave 64 bits is evaluated again in DECIMAL(38,0)
     (``coalesce`` evaluates its second argument only when the first is NULL).
-    Both are exact, so the result does not depend on which one answers.
+    Both are exact, so the result does not depend on which one answers.  A
+    group whose products leave 38 digits too fails the query.  Sums that are
+    NULL for want of values give NULL.
     """
     if rounding not in ROUNDINGS:
         raise ValueError(f"rounding must be one of {ROUNDINGS}")
-    return f"coalesce({_prediction_long_sql(x0, rounding)}, {_prediction_decimal_sql(x0, rounding)})"
+    exact = f"coalesce({_prediction_long_sql(x0, rounding)}, {_prediction_decimal_sql(x0, rounding)}, "
+    exact += "CAST(raise_error('the forecast leaves 38 digits') AS BIGINT))"
+    return f"CASE WHEN sum_y IS NULL OR sum_xy IS NULL THEN NULL ELSE {exact} END"
 
 
 def _position_mask(bits: int, *index_bits: int) -> int:
@@ -131,7 +144,7 @@ def bit_power_sum_sql(mask: str, bits: int, power: int, offset: int = 0) -> str:
 
 
 def linear_fit(df: DataFrame, keys: list[str], x: str, y: str) -> DataFrame:
-    """keys + n and Sx, Sy, Sxy, Sxx (BIGINT, NULL on overflow) of columns x, y."""
+    """keys + n and Sx, Sy, Sxy, Sxx (BIGINT; an overflow fails) of columns x, y."""
     cols = ", ".join(f"`{k}`" for k in keys)
     aggs = ", ".join(fit_aggregates(f"`{x}`", f"`{y}`"))
     return df.sparkSession.sql(f"SELECT {cols}, {aggs} FROM {{t}} GROUP BY {cols}", t=df)

@@ -17,9 +17,11 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from regiocast.functions.dates import sql_date
-from regiocast.operators.regression import bit_power_sum_sql, prediction_sql
+from regiocast.operators.ranking import top_n_per_group
+from regiocast.operators.regression import bit_power_sum_sql, checked_sum, prediction_sql
 
 
 def month_fit_sql(start_after: str | _dt.date, min_points: int) -> str:
@@ -33,8 +35,8 @@ def month_fit_sql(start_after: str | _dt.date, min_points: int) -> str:
                CAST({bit_power_sum_sql("days", 31, 2, offset=1)} AS BIGINT) AS sum_xx
         FROM (SELECT trunc(date, 'MM') AS month, age, region,
                      bit_or(shiftleft(CAST(1 AS BIGINT), dayofmonth(date) - 1)) AS days,
-                     try_sum(CAST(women AS BIGINT)) AS sum_y,
-                     try_sum(try_multiply(CAST(dayofmonth(date) AS BIGINT), CAST(women AS BIGINT))) AS sum_xy
+                     {checked_sum("CAST(women AS BIGINT)", "women")} AS sum_y,
+                     {checked_sum("try_multiply(CAST(dayofmonth(date) AS BIGINT), CAST(women AS BIGINT))", "women")} AS sum_xy
               FROM {{doses}} WHERE date > {sql_date(start_after)}
               GROUP BY trunc(date, 'MM'), age, region)
         {having}"""
@@ -72,22 +74,10 @@ def top_regions_by_forecast(
     rank_col: str | None = None,
     ordered: bool = True,
 ) -> DataFrame:
-    """(date, age, region, value_col[, rank_col]): at most ``n`` rows per (date, age).
-
-    ``row_number() <= n`` lets Catalyst insert a partial WindowGroupLimit
-    before the exchange: at most n rows per (date, age) and task are shuffled.
-    """
-    rank = f", rnk AS {rank_col}" if rank_col else ""
-    order = f"ORDER BY date, age, {value_col} DESC, region" if ordered else ""
-    return doses.sparkSession.sql(
-        f"""
-        SELECT date, age, region, {value_col}{rank}
-        FROM (SELECT *, row_number() OVER (PARTITION BY date, age ORDER BY {value_col} DESC, region) AS rnk
-              FROM ({_forecast_sql(start_after, min_points, rounding, value_col)}))
-        WHERE rnk <= {int(n)}
-        {order}""",
-        doses=doses,
-    )
+    """(date, age, region, value_col[, rank_col]): at most ``n`` rows per (date, age)."""
+    predicted = forecast_next_month(doses, start_after, min_points, rounding, value_col)
+    top = top_n_per_group(predicted, ["date", "age"], [f"{value_col} DESC", "region"], n, rank_col)
+    return top.orderBy("date", "age", F.desc(value_col), "region") if ordered else top
 
 
 def top_regions_by_forecast_rounded(

@@ -10,24 +10,18 @@
 ``qualified=True`` names a region ``"<nation> / <region>"`` so that the
 region normalisation of the coverage analytic has work to do.
 
-lineitem is the fact table.  For ``summary`` it is summed on the integer
-nation key and the names are attached to the small aggregate afterwards;
-``doses`` / ``summary_rows`` hand the line items, with both dimensions
-broadcast, straight to the aggregate of the analytic that reads them.  The
-supplier dimension is broadcast only after a size check (an exact count,
-cached per table); beyond it, lineitem is first summed per (supplier, day) -
-which collapses a hot supplier to a few thousand rows before any shuffle - and
-joined by a shuffle join.
+lineitem is the fact table.  Its rows meet the supplier dimension and the
+nation names (built once, on the 25 nations) and go straight to the aggregate
+of the analytic that reads them.  No join is hinted: below the planner's
+broadcast threshold the dimensions are probed in the scan stage; a supplier
+table beyond it is joined by one shuffle of the pruned fact rows, with AQE
+splitting a hot supplier, and the partial aggregate follows in the same stage.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from regiocast.operators.joins import BROADCAST_MAX_ROWS, table_fits_in
-
-DIMENSION_MAX_ROWS = 10_000
-
 # Columns of the driver tables that the analytics use, declared up front:
 # Parquet reads them by name, with no schema-inference job per read.
 TABLE_SCHEMAS = {
@@ -50,78 +44,31 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.load(_path(sf_dir, name))
 
 
-def _small(spark: SparkSession, sf_dir: str, name: str, max_rows: int) -> bool:
-    """The (cached) size check of a stored table."""
-    return table_fits_in(_path(sf_dir, name), max_rows, lambda: read(spark, sf_dir, name))
-
-
-def _names_sql(qualified: bool, hint: str) -> str:
-    """SQL over ``{na}`` (and ``{rg}``): (nationkey, region) names."""
+def _names(spark: SparkSession, sf_dir: str, qualified: bool) -> tuple[str, dict[str, DataFrame]]:
+    """The CTE ``names(nationkey, region)`` and its input tables."""
     if not qualified:
-        return "SELECT n_nationkey AS nationkey, n_name AS region FROM {na}"
+        return "names AS (SELECT n_nationkey AS nationkey, n_name AS region FROM {na})", {"na": read(spark, sf_dir, "nation")}
     return (
-        f"SELECT {hint} n.n_nationkey AS nationkey, concat_ws(' / ', n.n_name, r.r_name) AS region "
-        "FROM {na} n JOIN {rg} r ON n.n_regionkey = r.r_regionkey"
+        "names AS (SELECT n.n_nationkey AS nationkey, concat_ws(' / ', n.n_name, r.r_name) AS region "
+        "FROM {na} n JOIN {rg} r ON n.n_regionkey = r.r_regionkey)",
+        {"na": read(spark, sf_dir, "nation"), "rg": read(spark, sf_dir, "region")},
     )
 
 
-def _dims(spark: SparkSession, sf_dir: str, qualified: bool) -> tuple[str, dict[str, DataFrame], str]:
-    """The names CTE, its input tables, and the broadcast hint for it (alias ``n``)."""
-    region_hint = "/*+ BROADCAST(r) */" if _small(spark, sf_dir, "region", DIMENSION_MAX_ROWS) else ""
-    frames = {"na": read(spark, sf_dir, "nation")}
-    if qualified:
-        frames["rg"] = read(spark, sf_dir, "region")
-    names_hint = "BROADCAST(n)" if _small(spark, sf_dir, "nation", DIMENSION_MAX_ROWS) else ""
-    return f"names AS ({_names_sql(qualified, region_hint)})", frames, names_hint
-
-
-def _hints(*hints: str) -> str:
-    used = [h for h in hints if h]
-    return f"/*+ {', '.join(used)} */" if used else ""
-
-
-def nation_names(spark: SparkSession, sf_dir: str, qualified: bool = False) -> DataFrame:
-    """(nationkey, region): the nation name, optionally ``"<nation> / <region>"``."""
-    cte, frames, _ = _dims(spark, sf_dir, qualified)
-    return spark.sql(f"WITH {cte} SELECT nationkey, region FROM names", **frames)
-
-
 def doses(spark: SparkSession, sf_dir: str, qualified: bool = False) -> DataFrame:
     """(date DATE, region STRING, age STRING, women BIGINT): one row per line item.
 
     Every consumer sums ``women`` over its own keys, so the rows go straight
-    into that aggregate (one shuffle) with both dimensions broadcast.  When
-    the supplier table is too large to broadcast, the rows are pre-summed per
-    (supplier, day, flag) before the shuffle join - same sums, fewer rows.
+    into that aggregate.
     """
-    cte, frames, names_hint = _dims(spark, sf_dir, qualified)
+    cte, frames = _names(spark, sf_dir, qualified)
     frames.update(li=read(spark, sf_dir, "lineitem"), su=read(spark, sf_dir, "supplier"))
-    if _small(spark, sf_dir, "supplier", BROADCAST_MAX_ROWS):
-        region_hint = "BROADCAST(r)" if _small(spark, sf_dir, "region", DIMENSION_MAX_ROWS) else ""
-        if qualified and names_hint and region_hint:
-            # nation and region broadcast side by side, not nested (no broadcast
-            # job to wait for before the scan); the two names are joined per row
-            return spark.sql(
-                f"SELECT {_hints('BROADCAST(s)', 'BROADCAST(n)', region_hint)} "
-                "CAST(l.l_shipdate AS DATE) AS date, concat_ws(' / ', n.n_name, r.r_name) AS region, "
-                "l.l_returnflag AS age, CAST(l.l_quantity AS BIGINT) AS women "
-                "FROM {li} l JOIN {su} s ON l.l_suppkey = s.s_suppkey "
-                "JOIN {na} n ON s.s_nationkey = n.n_nationkey JOIN {rg} r ON n.n_regionkey = r.r_regionkey",
-                **frames,
-            )
-        text = (
-            f"WITH {cte} SELECT {_hints('BROADCAST(s)', names_hint)} CAST(l.l_shipdate AS DATE) AS date, "
-            "n.region, l.l_returnflag AS age, CAST(l.l_quantity AS BIGINT) AS women "
-            "FROM {li} l JOIN {su} s ON l.l_suppkey = s.s_suppkey JOIN names n ON s.s_nationkey = n.nationkey"
-        )
-    else:
-        text = (
-            f"WITH {cte} SELECT {_hints(names_hint)} p.date, n.region, p.age, p.women "
-            "FROM (SELECT l_suppkey, CAST(l_shipdate AS DATE) AS date, l_returnflag AS age, "
-            "SUM(CAST(l_quantity AS BIGINT)) AS women FROM {li} GROUP BY l_suppkey, date, age) p "
-            "JOIN {su} s ON p.l_suppkey = s.s_suppkey JOIN names n ON s.s_nationkey = n.nationkey"
-        )
-    return spark.sql(text, **frames)
+    return spark.sql(
+        f"WITH {cte} SELECT CAST(l.l_shipdate AS DATE) AS date, n.region, l.l_returnflag AS age, "
+        "CAST(l.l_quantity AS BIGINT) AS women "
+        "FROM {li} l JOIN {su} s ON l.l_suppkey = s.s_suppkey JOIN names n ON s.s_nationkey = n.nationkey",
+        **frames,
+    )
 
 
 def summary(spark: SparkSession, sf_dir: str, qualified: bool = False) -> DataFrame:
@@ -130,25 +77,13 @@ def summary(spark: SparkSession, sf_dir: str, qualified: bool = False) -> DataFr
     lineitem is summed per (date, nation key) and the names are attached to
     the small aggregate.
     """
-    cte, frames, names_hint = _dims(spark, sf_dir, qualified)
+    cte, frames = _names(spark, sf_dir, qualified)
     frames.update(li=read(spark, sf_dir, "lineitem"), su=read(spark, sf_dir, "supplier"))
-    if _small(spark, sf_dir, "supplier", BROADCAST_MAX_ROWS):
-        # one pass over lineitem: broadcast probe, then a partial aggregate
-        facts = (
-            f"SELECT {_hints('BROADCAST(s)')} CAST(l.l_shipdate AS DATE) AS date, s.s_nationkey AS nationkey, "
-            "SUM(CAST(l.l_quantity AS BIGINT)) AS total "
-            "FROM {li} l JOIN {su} s ON l.l_suppkey = s.s_suppkey GROUP BY date, nationkey"
-        )
-    else:
-        facts = (
-            "SELECT p.date, s.s_nationkey AS nationkey, SUM(p.v) AS total "
-            "FROM (SELECT l_suppkey, CAST(l_shipdate AS DATE) AS date, SUM(CAST(l_quantity AS BIGINT)) AS v "
-            "FROM {li} GROUP BY l_suppkey, date) p "
-            "JOIN {su} s ON p.l_suppkey = s.s_suppkey GROUP BY p.date, s.s_nationkey"
-        )
     return spark.sql(
-        f"WITH {cte} SELECT {_hints(names_hint)} f.date, n.region, f.total "
-        f"FROM ({facts}) f JOIN names n ON f.nationkey = n.nationkey",
+        f"WITH {cte} SELECT f.date, n.region, f.total FROM "
+        "(SELECT CAST(l.l_shipdate AS DATE) AS date, s.s_nationkey AS nationkey, SUM(CAST(l.l_quantity AS BIGINT)) AS total "
+        "FROM {li} l JOIN {su} s ON l.l_suppkey = s.s_suppkey GROUP BY date, nationkey) f "
+        "JOIN names n ON f.nationkey = n.nationkey",
         **frames,
     )
 
@@ -167,10 +102,10 @@ def summary_rows(spark: SparkSession, sf_dir: str, qualified: bool = False) -> D
 
 def centers(spark: SparkSession, sf_dir: str, qualified: bool = False) -> DataFrame:
     """(region STRING): one row per supplier (a vaccination centre)."""
-    cte, frames, names_hint = _dims(spark, sf_dir, qualified)
+    cte, frames = _names(spark, sf_dir, qualified)
     frames.update(su=read(spark, sf_dir, "supplier"))
     return spark.sql(
-        f"WITH {cte} SELECT {_hints(names_hint)} n.region FROM {{su}} s JOIN names n ON s.s_nationkey = n.nationkey",
+        f"WITH {cte} SELECT n.region FROM {{su}} s JOIN names n ON s.s_nationkey = n.nationkey",
         **frames,
     )
 
@@ -181,10 +116,10 @@ def population(spark: SparkSession, sf_dir: str, qualified: bool = True) -> Data
     Counted on the fact table's foreign key first, so only one row per nation
     and task reaches the shuffle and the join.
     """
-    cte, frames, names_hint = _dims(spark, sf_dir, qualified)
+    cte, frames = _names(spark, sf_dir, qualified)
     frames.update(cu=read(spark, sf_dir, "customer"))
     return spark.sql(
-        f"WITH {cte} SELECT {_hints(names_hint)} n.region, c.population "
+        f"WITH {cte} SELECT n.region, c.population "
         "FROM (SELECT c_nationkey, COUNT(1) AS population FROM {cu} GROUP BY c_nationkey) c "
         "JOIN names n ON c.c_nationkey = n.nationkey",
         **frames,
@@ -196,3 +131,11 @@ def raw_summary(spark: SparkSession, sf_dir: str, qualified: bool = False) -> Da
     return summary(spark, sf_dir, qualified).selectExpr(
         "date_format(date, 'yyyy-MM-dd') AS date", "region", "CAST(total AS STRING) AS total"
     )
+
+
+def raw_doses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The doses as a text feed in the layout of ``schemas.DOSES_RAW``: women in the sixth column, another count before it."""
+    return doses(spark, sf_dir).selectExpr(
+        "date_format(date, 'yyyy-MM-dd') AS date", "'all' AS supplier", "region", "age",
+        "CAST(women + 1000 AS STRING) AS men", "CAST(women AS STRING) AS women",
+    )

@@ -70,7 +70,9 @@ def test_kmeans_rows_are_nearest_their_centre(coverage):
 
 def test_rejects_unknown_algorithm(coverage):
     with pytest.raises(ValueError):
-        cluster(coverage, ["percent"], 2, "gmm")
+        cluster(coverage, ["percent"], 2, "gmm", order_by=["region"])
+    with pytest.raises(ValueError):
+        cluster(coverage, ["percent"], 2, order_by=[])
 
 
 @pytest.mark.parametrize("algorithm", ["kmeans", "bisecting"])
@@ -78,16 +80,13 @@ def test_labels_do_not_depend_on_input_partitioning(spark, algorithm):
     rows = [(dt.date(2021, 6, 1), region, pct) for region, pct in RECORDED]
     df = spark.createDataFrame(rows, "date date, region string, percent double")
     runs = [
-        {r.region: r.prediction for r in cluster(part, ["percent"], 4, algorithm, order_by=["region"]).collect()}
+        {r.region: r.prediction for r in cluster(part, ["percent"], 4, algorithm, order_by=["region"], fit_partitions=n).collect()}
+        for n in (1, 3)
         for part in (df.coalesce(1), df.repartition(7), df.repartition(21))
     ]
     assert runs[0] == runs[1] == runs[2]
-
-
-def test_distributed_fit_runs(coverage):
-    out = cluster(coverage, ["percent"], 3, "bisecting", deterministic=False).collect()
-    assert len(out) == len(RECORDED)
-    assert {r.prediction for r in out} == {0, 1, 2}
+    assert runs[3] == runs[4] == runs[5]
+    assert all(set(r.values()) == {0, 1, 2, 3} for r in runs)
 
 
 @pytest.mark.parametrize("algorithm", ["kmeans", "bisecting"])

@@ -2,15 +2,9 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from regiocast.functions import (
-    as_date,
-    days_in_month,
-    month_start,
-    month_year_label,
-    next_month_start,
-    normalise_region,
-)
-from regiocast.functions.arithmetic import floor_div_pos, trunc_div
+from regiocast.functions.arithmetic import floor_div_pos_sql, trunc_div_sql
+from regiocast.functions.dates import as_date, date_label, days_in_month, month_start, month_year_label, next_month_start
+from regiocast.functions.regions import normalise_region
 
 
 def test_as_date_is_lenient():
@@ -25,11 +19,12 @@ def test_month_helpers(spark):
         days_in_month("d").alias("n"),
         next_month_start("d").alias("nx"),
         month_year_label("d").alias("label"),
+        date_label("d").alias("day"),
     ).collect()
-    assert [(r.m, r.n, r.nx, r.label) for r in rows] == [
-        (dt.date(2021, 2, 1), 28, dt.date(2021, 3, 1), "2-2021"),
-        (dt.date(2020, 2, 1), 29, dt.date(2020, 3, 1), "2-2020"),
-        (dt.date(2021, 12, 1), 31, dt.date(2022, 1, 1), "12-2021"),
+    assert [(r.m, r.n, r.nx, r.label, r.day) for r in rows] == [
+        (dt.date(2021, 2, 1), 28, dt.date(2021, 3, 1), "2-2021", "10-02-2021"),
+        (dt.date(2020, 2, 1), 29, dt.date(2020, 3, 1), "2-2020", "29-02-2020"),
+        (dt.date(2021, 12, 1), 31, dt.date(2022, 1, 1), "12-2021", "31-12-2021"),
     ]
 
 
@@ -40,7 +35,7 @@ def test_normalise_region(spark):
 
 def test_integer_division_directions(spark):
     df = spark.createDataFrame([(-7, 2), (7, 2), (-8, 2), (-1, 4), (0, 3)], "a long, b long")
-    rows = df.select(trunc_div("a", "b").alias("t"), floor_div_pos("a", "b").alias("f")).collect()
+    rows = df.selectExpr(f"{trunc_div_sql('a', 'b')} AS t", f"{floor_div_pos_sql('a', 'b')} AS f").collect()
     assert [(r.t, r.f) for r in rows] == [(-3, -4), (3, 3), (-4, -4), (0, -1), (0, 0)]
 
 

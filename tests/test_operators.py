@@ -1,23 +1,18 @@
 import datetime as dt
 
 from regiocast.operators.aggregates import center_count, daily_sum, min_points_filter, monthly_sum, region_total
-from regiocast.operators.joins import broadcast_if_small, drop_rare_keys, fits_in
+from regiocast.operators.joins import drop_rare_keys
 from regiocast.operators.ranking import top_n_per_group
 from regiocast.operators.series import flatten_struct, series_collect, with_struct_key
 
 D = dt.date
 
 
-def test_fits_in_is_bounded(spark):
-    assert fits_in(spark.range(10), 10)
-    assert not fits_in(spark.range(11), 10)
-    df = spark.range(5)
-    assert broadcast_if_small(df, 2) is df
-
-
 def test_drop_rare_keys(spark):
-    df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "k string, v int")
-    assert sorted(r.v for r in drop_rare_keys(df, ["k"], 2).collect()) == [1, 2]
+    df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 4), (None, 5)], "k string, v int")
+    out = drop_rare_keys(df, ["k"], 2)
+    assert out.columns == ["k", "v"]
+    assert sorted(r.v for r in out.collect()) == [1, 2, 4, 5]
 
 
 def test_top_n_ties_and_short_groups(spark):

@@ -1,12 +1,16 @@
 """The exact forecast against Python's exact rationals, and its invariances."""
 
+import datetime as dt
 from fractions import Fraction
 import math
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from regiocast.operators.regression import linear_fit, predict_at
+from regiocast.plans.coverage import coverage_percent, forecast_at_date
+from regiocast.plans.forecast import top_regions_by_forecast
 
 
 def brute(points, x0, rounding):
@@ -57,11 +61,48 @@ def test_fit_line_on_doubles(spark):
     assert out["b"].slope is None  # one point has no line
 
 
-def test_overflowing_group_gets_null_not_a_wrapped_value(spark):
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_overflow_fails_and_never_answers_from_a_part(spark, ansi):
     big = 4 * 10**18
-    df = spark.createDataFrame([("g", 1, big), ("g", 2, big), ("g", 3, big)], "g string, x bigint, y bigint")
-    (row,) = predict_at(linear_fit(df, ["g"], "x", "y"), 4).collect()
-    assert row.sum_y is None and row.predicted is None
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        for points in ([(1, big), (2, big), (3, big)], [(4, big), (1, 3), (2, 5)]):  # the sum, or one product, leaves 64 bits
+            df = spark.createDataFrame([("g", x, y) for x, y in points], "g string, x bigint, y bigint")
+            with pytest.raises(Exception, match="leaves 64 bits"):
+                predict_at(linear_fit(df, ["g"], "x", "y"), 4).collect()
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
+@pytest.mark.parametrize("points", ["rows", "daily"])
+def test_overflowing_coverage_fails(spark, points):
+    start = dt.date(2020, 1, 1)
+    for values in ([(1, 6 * 10**18), (2, 6 * 10**18)], [(1, 15), (90, 2 * 10**17), (700, 2 * 10**16)]):  # a sum, one word's products
+        df = spark.createDataFrame([(start + dt.timedelta(days=x), "A", y) for x, y in values], "date date, region string, total bigint")
+        with pytest.raises(Exception, match="leaves 64 bits"):
+            forecast_at_date(df, start, start + dt.timedelta(days=3), points=points).collect()
+
+
+def test_overflowing_forecast_is_no_low_rank(spark):
+    rows = [(dt.date(2021, 2, d), r, "a", v) for r, v in (("big", 6 * 10**18), ("small", 29)) for d in (1, 2)]
+    df = spark.createDataFrame(rows, "date date, region string, age string, women bigint")
+    with pytest.raises(Exception, match="leaves 64 bits"):
+        top_regions_by_forecast(df, "2021-1-31").collect()
+
+
+def test_points_are_rows_or_days(spark):
+    day = [dt.date(2021, 1, d) for d in range(1, 5)]
+    df = spark.createDataFrame([(day[1], "A", 10), (day[1], "A", 10), (day[2], "A", 30)], "date date, region string, total bigint")
+    for points, want in (("rows", 50), ("daily", 40)):
+        (row,) = forecast_at_date(df, day[0], day[3], points=points).collect()
+        assert row.predicted == want
+
+
+def test_target_is_tomorrow_in_the_session_time_zone(spark):
+    df = spark.createDataFrame([(dt.date(2021, 1, 2), "A", 1)], "date date, region string, total bigint")
+    pop = spark.createDataFrame([("A", 10)], "region string, population bigint")
+    (row,) = coverage_percent(df, pop, "2021-1-1").collect()
+    assert row.date == spark.sql("SELECT current_date() + 1").first()[0]
 
 
 # The C2 fit keeps the days present as a bit mask instead of summing per day
@@ -117,7 +158,7 @@ def test_coverage_fit_matches_brute_force(spark, rows, target):
     )
     got = {
         r.region: (r.n, r.predicted)
-        for r in forecast_at_date(df, start, start + dt.timedelta(days=target)).collect()
+        for r in forecast_at_date(df, start, start + dt.timedelta(days=target), points="daily").collect()
     }
     points = {}
     for raw, x, total in rows:

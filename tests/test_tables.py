@@ -1,5 +1,8 @@
 """Adapters: both join strategies give the same model tables."""
 
+import pytest
+from pyspark.sql import functions as F
+
 from regiocast.sources import tables
 
 from conftest import SF_SMOKE
@@ -14,13 +17,62 @@ def _dose_sums(df):
     return _rows(df.groupBy("date", "region", "age").sum("women"))
 
 
-def test_shuffle_path_matches_broadcast_path(spark, monkeypatch):
-    broadcast_summary = _rows(tables.summary(spark, SF_SMOKE))
-    broadcast_doses = _dose_sums(tables.doses(spark, SF_SMOKE))
-    monkeypatch.setattr(tables, "BROADCAST_MAX_ROWS", 5)
-    df = tables.summary(spark, SF_SMOKE)
-    assert _rows(df) == broadcast_summary
-    assert _dose_sums(tables.doses(spark, SF_SMOKE)) == broadcast_doses
+@pytest.fixture()
+def no_broadcast(spark):
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    for key, value in keys.items():
+        spark.conf.set(key, value)
+    yield
+    for key in keys:
+        spark.conf.unset(key)
+
+
+def test_shuffle_path_matches_broadcast_path(spark, request):
+    summary, doses = _rows(tables.summary(spark, SF_SMOKE)), _dose_sums(tables.doses(spark, SF_SMOKE))
+    request.getfixturevalue("no_broadcast")
+    assert _rows(tables.summary(spark, SF_SMOKE)) == summary
+    assert _dose_sums(tables.doses(spark, SF_SMOKE)) == doses
+
+
+def _subtree(plan, column):
+    """Lines of the plan from the top join down to the scan that reads ``column``."""
+    lines = plan.splitlines()
+    scan = next(i for i, x in enumerate(lines) if "FileScan" in x and column in x)
+    depth, path = lines[scan].index("FileScan"), [lines[scan]]
+    for line in reversed(lines[:scan]):
+        at = len(line) - len(line.lstrip(" :+-*()0123456789"))
+        if line.strip() and at < depth:
+            path.append(line)
+            depth = at
+    return path
+
+
+def test_one_fact_shuffle_past_the_broadcast_limit(spark, no_broadcast):
+    df = tables.summary(spark, SF_SMOKE, qualified=True)
+    plan = df._jdf.queryExecution().sparkPlan().toString()
+    prepared = df._jdf.queryExecution().executedPlan().toString()
+    fact = _subtree(prepared, "l_suppkey")
+    assert not any("concat_ws" in x for x in fact if "Project" in x)  # no name is built per line item
+    joins = [i for i, x in enumerate(fact) if "SortMergeJoin" in x]
+    assert sum("Exchange hashpartitioning(l_suppkey" in x for x in fact[: joins[0]]) == 1
+    assert sum("Exchange" in x for x in fact[: joins[0]]) == 1
+    assert "partial_sum" in plan
+
+
+def test_hot_supplier(spark, scratch, no_broadcast):
+    """A third of all line items of one supplier: same sums, whatever the join."""
+    for name in ("supplier", "nation", "region"):
+        tables.read(spark, SF_SMOKE, name).write.parquet(f"{scratch}/{name}.parquet")
+    items = tables.read(spark, SF_SMOKE, "lineitem").withColumn("l_suppkey", F.expr("IF(hash(l_shipdate, l_quantity) % 3 = 0, 1L, l_suppkey)"))
+    items.write.parquet(f"{scratch}/lineitem.parquet")
+    got = {r.region: r.v for r in tables.doses(spark, scratch).groupBy("region").agg(F.sum("women").alias("v")).collect()}
+    suppliers = {r.s_suppkey: r.s_nationkey for r in tables.read(spark, scratch, "supplier").collect()}
+    names = {r.n_nationkey: r.n_name for r in tables.read(spark, scratch, "nation").collect()}
+    want = {}
+    for r in tables.read(spark, scratch, "lineitem").collect():
+        region = names[suppliers[r.l_suppkey]]
+        want[region] = want.get(region, 0) + int(r.l_quantity)
+    assert got == want
 
 
 def test_model_table_grain(spark):
