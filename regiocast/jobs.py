@@ -1,15 +1,20 @@
 """Batch jobs, one per analytic, writing CSV reports like the reference's jobs.
 
-    python -m regiocast.jobs monthly-mean  --sf-dir DIR --out PATH
-    python -m regiocast.jobs top-regions   --sf-dir DIR --out PATH [--variant rdd|sql] [--n 5]
-    python -m regiocast.jobs coverage      --sf-dir DIR --out PATH --algorithm kmeans|bisecting --k K
-                                           [--target-date yyyy-mm-dd]
+    python -m regiocast.jobs monthly-mean --summary PATH --centers PATH --start-after DATE --out PATH
+    python -m regiocast.jobs top-regions  --doses PATH --start-after DATE --out PATH
+                                          [--variant rdd|sql] [--n 5] [--min-points N] [--rounding trunc|half_up]
+    python -m regiocast.jobs coverage     --summary PATH --population PATH --start-after DATE --out PATH
+                                          --algorithm kmeans|bisecting --k K [--target-date DATE]
+                                          [--points rows|daily] [--fit-partitions N]
 
 (or ``spark-submit --py-files regiocast.zip regiocast/jobs.py ...`` on a cluster)
 
-Inputs are the model tables derived from the Parquet tables in ``--sf-dir``.
-Reports are globally sorted and written with a header; clustering results go
-to ``<out>/<algorithm>/<k>``.
+A table is Parquet (typed, or every column a string) or a CSV feed with a
+header (a path that ends in .csv); columns are taken by name, or by position
+in the raw layout.  ``--sf-dir DIR`` derives the model tables from the star
+schema there instead.  The target day is tomorrow in the session's time zone
+unless given.  Reports are globally sorted and written with a header;
+clustering results go to ``<out>/<algorithm>/<k>``.
 """
 
 from __future__ import annotations
@@ -23,49 +28,68 @@ if __package__ in (None, ""):  # run as a script: make the package importable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from regiocast.plans.coverage import coverage_clusters
-from regiocast.plans.forecast import top_regions_by_forecast, top_regions_by_forecast_rounded
+from regiocast.functions.dates import date_label
+from regiocast.plans.coverage import POINTS, coverage_clusters
+from regiocast.plans.forecast import top_regions_by_forecast
 from regiocast.plans.monthly_mean import monthly_mean_per_center
-from regiocast.registry import COVERAGE_START_AFTER, MIN_POINTS, MONTHLY_START_AFTER, TARGET_DATE
-from regiocast.sources import tables
+from regiocast.operators.regression import ROUNDINGS
+from regiocast.sources import schemas, tables
+from regiocast.sources.landing import read_csv_feed, type_columns
 from regiocast.sources.sinks import clusters_path, write_csv
 
+LAYOUTS = {
+    "summary": (schemas.SUMMARY_RAW, schemas.SUMMARY),
+    "centers": (schemas.CENTERS_RAW, schemas.CENTERS),
+    "doses": (schemas.DOSES_RAW, schemas.DOSES),
+    "population": (schemas.POPULATION_RAW, schemas.POPULATION),
+}
 
-def monthly_mean_job(spark: SparkSession, sf_dir: str, out: str, start_after: str = MONTHLY_START_AFTER) -> str:
-    # C1 only sums totals: it reads the summary rows before their per-day sum
-    df = monthly_mean_per_center(
-        tables.summary_rows(spark, sf_dir), tables.centers(spark, sf_dir), start_after, ordered=False
-    )
-    write_csv(df, out, sort_by=["date", "region"])
+
+def read_table(spark: SparkSession, name: str, path: str) -> DataFrame:
+    """One of the four tables, typed; a bad or missing value fails the job."""
+    raw, typed = LAYOUTS[name]
+    if path.rstrip("/").endswith(".csv"):
+        return type_columns(read_csv_feed(spark, path, raw), typed, raw_schema=raw)
+    return type_columns(spark.read.parquet(path), typed, raw_schema=raw)
+
+
+def monthly_mean_job(summary: DataFrame, centers: DataFrame, out: str, start_after: str) -> str:
+    write_csv(monthly_mean_per_center(summary, centers, start_after, ordered=False), out, sort_by=["date", "region"])
     return out
 
 
 def top_regions_job(
-    spark: SparkSession, sf_dir: str, out: str, variant: str = "rdd", n: int = 5, start_after: str = MONTHLY_START_AFTER
+    doses: DataFrame, out: str, start_after: str, variant: str = "rdd", n: int = 5, min_points: int | None = None, rounding: str | None = None
 ) -> str:
-    doses = tables.doses(spark, sf_dir)
-    if variant == "rdd":
-        df: DataFrame = top_regions_by_forecast(doses, start_after, n, MIN_POINTS, "trunc", ordered=False)
-        write_csv(df, out, sort_by=["date", "age", "vacc_women DESC", "region"])
-    elif variant == "sql":
-        df = top_regions_by_forecast_rounded(doses, start_after, n, ordered=False)
-        write_csv(df, out, sort_by=["date", "age", "predicted DESC", "region"])
-    else:
+    """``rdd``: at least two points, truncated, best first.  ``sql``: every group, half up, date as
+    dd-MM-yyyy, the forecast ascending."""
+    if variant not in ("rdd", "sql"):
         raise ValueError("variant must be 'rdd' or 'sql'")
+    sql = variant == "sql"
+    value = "predicted" if sql else "vacc_women"
+    points = min_points if min_points is not None else 1 if sql else 2
+    top = top_regions_by_forecast(doses, start_after, n, points, rounding or ("half_up" if sql else "trunc"), value, ordered=False)
+    if sql:
+        top = top.withColumnRenamed("date", "_day").withColumn("date", date_label("_day"))
+        sorted_top = top.orderBy("_day", "age", value, "region").select("date", "region", "age", value)
+        write_csv(sorted_top, out)
+    else:
+        write_csv(top, out, sort_by=["date", "age", f"{value} DESC", "region"])
     return out
 
 
 def coverage_job(
-    spark: SparkSession,
-    sf_dir: str,
+    summary: DataFrame,
+    population: DataFrame,
     out: str,
+    start_after: str,
     algorithm: str,
     k: int,
-    target_date: str | None = TARGET_DATE,
-    start_after: str = COVERAGE_START_AFTER,
+    target_date: str | None = None,
+    points: str = "rows",
+    fit_partitions: int = 1,
 ) -> str:
-    summary = tables.summary_rows(spark, sf_dir, qualified=True)
-    df = coverage_clusters(summary, tables.population(spark, sf_dir), start_after, target_date, k, algorithm)
+    df = coverage_clusters(summary, population, start_after, target_date, k, algorithm, points=points, fit_partitions=fit_partitions)
     path = clusters_path(out, algorithm, k)
     write_csv(df, path, sort_by=["region"])
     return path
@@ -74,22 +98,43 @@ def coverage_job(
 def main(argv: list[str] | None = None) -> str:
     parser = argparse.ArgumentParser(prog="regiocast.jobs")
     sub = parser.add_subparsers(dest="job", required=True)
-    for name in ("monthly-mean", "top-regions", "coverage"):
-        p = sub.add_parser(name)
-        p.add_argument("--sf-dir", required=True)
+    inputs = {"monthly-mean": ["summary", "centers"], "top-regions": ["doses"], "coverage": ["summary", "population"]}
+    for job, names in inputs.items():
+        p = sub.add_parser(job)
+        for name in names:
+            p.add_argument(f"--{name}")
+        p.add_argument("--sf-dir")
         p.add_argument("--out", required=True)
-    sub.choices["top-regions"].add_argument("--variant", choices=["rdd", "sql"], default="rdd")
-    sub.choices["top-regions"].add_argument("--n", type=int, default=5)
-    sub.choices["coverage"].add_argument("--algorithm", choices=["kmeans", "bisecting"], required=True)
-    sub.choices["coverage"].add_argument("--k", type=int, required=True)
-    sub.choices["coverage"].add_argument("--target-date", default=TARGET_DATE)
+        p.add_argument("--start-after", required=True)
+    p = sub.choices["top-regions"]
+    p.add_argument("--variant", choices=["rdd", "sql"], default="rdd")
+    p.add_argument("--n", type=int, default=5)
+    p.add_argument("--min-points", type=int)
+    p.add_argument("--rounding", choices=ROUNDINGS)
+    p = sub.choices["coverage"]
+    p.add_argument("--algorithm", choices=["kmeans", "bisecting"], required=True)
+    p.add_argument("--k", type=int, required=True)
+    p.add_argument("--target-date")
+    p.add_argument("--points", choices=POINTS, default="rows")
+    p.add_argument("--fit-partitions", type=int, default=1)
     args = parser.parse_args(argv)
+    missing = [f"--{n}" for n in inputs[args.job] if getattr(args, n) is None]
+    if missing and not args.sf_dir:
+        parser.error(f"{args.job} needs {' and '.join(missing)}, or --sf-dir")
+
     spark = SparkSession.builder.appName(f"regiocast {args.job}").getOrCreate()
+    derived = {
+        "summary": lambda: tables.summary(spark, args.sf_dir, qualified=args.job == "coverage"),
+        "centers": lambda: tables.centers(spark, args.sf_dir),
+        "doses": lambda: tables.doses(spark, args.sf_dir),
+        "population": lambda: tables.population(spark, args.sf_dir),
+    }
+    frames = [read_table(spark, n, getattr(args, n)) if getattr(args, n) else derived[n]() for n in inputs[args.job]]
     if args.job == "monthly-mean":
-        return monthly_mean_job(spark, args.sf_dir, args.out)
+        return monthly_mean_job(*frames, args.out, args.start_after)
     if args.job == "top-regions":
-        return top_regions_job(spark, args.sf_dir, args.out, args.variant, args.n)
-    return coverage_job(spark, args.sf_dir, args.out, args.algorithm, args.k, args.target_date)
+        return top_regions_job(*frames, args.out, args.start_after, args.variant, args.n, args.min_points, args.rounding)
+    return coverage_job(*frames, args.out, args.start_after, args.algorithm, args.k, args.target_date, args.points, args.fit_partitions)
 
 
 if __name__ == "__main__":

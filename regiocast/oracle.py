@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from regiocast.functions.dates import as_date
 from regiocast.registry import (
+    CLUSTERS_K,
     COVERAGE_START_AFTER,
     MIN_POINTS,
     MONTHLY_START_AFTER,
@@ -226,5 +227,12 @@ FROM (SELECT CAST(date_trunc('month', date) AS DATE) AS month, age, CAST(SUM(wom
       FROM doses WHERE region = '{TREND_REGION}' AND date > {M_START} GROUP BY 1, 2)
 ORDER BY age, month""",
     "csv_roundtrip": C1,
+    "sorted_report": _with(_base(), DAILY, _forecast(MIN_POINTS, "trunc", "vacc_women"), _top("vacc_women")) + f"""
+SELECT date, age, region, vacc_women, row_number() OVER (ORDER BY date, age, vacc_women DESC, region) AS position
+FROM top WHERE rnk <= {TOP_N}""",
+    "doses_landing": _with(_base()) + "SELECT date, age, region, CAST(SUM(women) AS BIGINT) AS women FROM doses GROUP BY ALL",
+    # the percentages are derived here; of the labels the oracle states what must hold for them
+    "region_clusters_kmeans": f"SELECT region, percent, true AS nearest, CAST({CLUSTERS_K} AS BIGINT) AS n_clusters FROM ({C3})",
+    "region_clusters_bisecting": f"SELECT region, percent, true AS interval, CAST({CLUSTERS_K} AS BIGINT) AS n_clusters FROM ({C3})",
     "stream_landing": _with(_base()) + "SELECT date, region, total FROM summary",
 }

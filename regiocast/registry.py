@@ -10,24 +10,25 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from regiocast.functions import dates
 from regiocast.functions.dates import sql_date
 from regiocast.operators import aggregates as agg
 from regiocast.operators.joins import drop_rare_keys, region_join
-from regiocast.operators.regression import predict_at
+from regiocast.operators.regression import linear_fit, predict_at
 from regiocast.operators.series import flatten_struct, series_collect, with_struct_key
 from regiocast.plans.coverage import coverage_clusters, coverage_percent, forecast_at_date
 from regiocast.plans.forecast import (
     forecast_next_month,
-    month_fit,
     top_regions_by_forecast,
     top_regions_by_forecast_rounded,
 )
 from regiocast.plans.monthly_mean import monthly_mean_per_center
 from regiocast.plans.reports import category_trend, region_ranking
-from regiocast.session import scratch_path
+from regiocast.session import cut_lineage, remove_scratch, scratch_path
 from regiocast.sources import schemas, tables
-from regiocast.sources.landing import type_columns
+from regiocast.sources.landing import land, type_columns
 from regiocast.sources.sinks import read_csv, write_csv
 from regiocast.streaming.landing import land_available
 
@@ -78,17 +79,16 @@ def q_string_cast_sum(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_month_bucket(spark: SparkSession, d: str) -> DataFrame:
-    return spark.sql(
-        f"""
-        SELECT month, CAST(dayofmonth(last_day(month)) AS BIGINT) AS days_in_month,
-               add_months(month, 1) AS next_month,
-               date_format(month, 'yyyy-MM') AS month_label,
-               date_format(add_months(month, 1), 'dd-MM-yyyy') AS next_label,
-               concat(CAST(month(month) AS STRING), '-', CAST(year(month) AS STRING)) AS month_year,
-               rows
-        FROM (SELECT trunc(date, 'MM') AS month, COUNT(1) AS rows FROM {{s}}
-              WHERE date > {sql_date(MONTHLY_START_AFTER)} GROUP BY trunc(date, 'MM'))""",
-        s=_summary(spark, d),
+    days = _summary(spark, d).where(f"date > {sql_date(MONTHLY_START_AFTER)}")
+    months = days.groupBy(dates.month_start("date").alias("month")).agg(F.count("*").alias("rows"))
+    return months.select(
+        "month",
+        dates.days_in_month("month").cast("long").alias("days_in_month"),
+        dates.next_month_start("month").alias("next_month"),
+        dates.date_label("month", "yyyy-MM").alias("month_label"),
+        dates.date_label(dates.next_month_start("month")).alias("next_label"),
+        dates.month_year_label("month").alias("month_year"),
+        "rows",
     )
 
 
@@ -138,7 +138,8 @@ def q_rare_key_anti_join(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_linear_fit(spark: SparkSession, d: str) -> DataFrame:
-    fit = month_fit(tables.doses(spark, d), MONTHLY_START_AFTER, MIN_POINTS)
+    daily = _daily(spark, d).selectExpr("*", "trunc(date, 'MM') AS month", "dayofmonth(date) AS day")
+    fit = linear_fit(daily, ["month", "age", "region"], "day", "women").where(f"n >= {MIN_POINTS}")
     pred = predict_at(fit, "dayofmonth(last_day(month)) + 1", "trunc")
     return pred.selectExpr(
         "month", "age", "region", "n", "sum_x", "sum_y", "sum_xy", "sum_xx", "predicted"
@@ -154,7 +155,7 @@ def q_forecast_next_month_rounded(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_forecast_at_date(spark: SparkSession, d: str) -> DataFrame:
-    fit = forecast_at_date(_summed(spark, d, qualified=True), COVERAGE_START_AFTER, TARGET_DATE)
+    fit = forecast_at_date(_summed(spark, d, qualified=True), COVERAGE_START_AFTER, TARGET_DATE, points="daily")
     return fit.selectExpr("region", "predicted")
 
 
@@ -173,17 +174,17 @@ def q_series_collect(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_monthly_mean_per_center(spark: SparkSession, d: str) -> DataFrame:
-    return monthly_mean_per_center(_summed(spark, d), tables.centers(spark, d), MONTHLY_START_AFTER, ordered=False)
+    return monthly_mean_per_center(_summed(spark, d), tables.centers(spark, d), MONTHLY_START_AFTER)
 
 
 def q_top_regions_by_forecast(spark: SparkSession, d: str) -> DataFrame:
     return top_regions_by_forecast(
-        tables.doses(spark, d), MONTHLY_START_AFTER, TOP_N, MIN_POINTS, "trunc", ordered=False
+        tables.doses(spark, d), MONTHLY_START_AFTER, TOP_N, MIN_POINTS, "trunc"
     )
 
 
 def q_top_regions_by_forecast_rounded(spark: SparkSession, d: str) -> DataFrame:
-    return top_regions_by_forecast_rounded(tables.doses(spark, d), MONTHLY_START_AFTER, TOP_N, ordered=False)
+    return top_regions_by_forecast_rounded(tables.doses(spark, d), MONTHLY_START_AFTER, TOP_N)
 
 
 def q_coverage_percent(spark: SparkSession, d: str) -> DataFrame:
@@ -192,44 +193,83 @@ def q_coverage_percent(spark: SparkSession, d: str) -> DataFrame:
         tables.population(spark, d),
         COVERAGE_START_AFTER,
         TARGET_DATE,
-        ordered=False,
+        points="daily",
     )
 
 
 def q_region_ranking(spark: SparkSession, d: str) -> DataFrame:
     top = top_regions_by_forecast(
-        tables.doses(spark, d), MONTHLY_START_AFTER, TOP_N, MIN_POINTS, "trunc", rank_col="rank", ordered=False
+        tables.doses(spark, d), MONTHLY_START_AFTER, TOP_N, MIN_POINTS, "trunc", rank_col="rank"
     )
-    return region_ranking(top, ordered=False)
+    return region_ranking(top)
 
 
 def q_category_trend(spark: SparkSession, d: str) -> DataFrame:
-    return category_trend(tables.doses(spark, d), TREND_REGION, MONTHLY_START_AFTER, ordered=False)
+    return category_trend(tables.doses(spark, d), TREND_REGION, MONTHLY_START_AFTER)
 
 
 def q_csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     """The whole reference job: analytic, globally sorted CSV with a header, read back."""
     path = scratch_path(spark, "csv")
     write_csv(q_monthly_mean_per_center(spark, d), path, sort_by=["date", "region"])
-    return read_csv(spark, path, schemas.MONTHLY_MEAN)
+    back = cut_lineage(read_csv(spark, path, schemas.MONTHLY_MEAN))
+    remove_scratch(spark, path)
+    return back
+
+
+def q_sorted_report(spark: SparkSession, d: str) -> DataFrame:
+    """The report rows with their position in the sorted output: part by part, row by row."""
+    path = scratch_path(spark, "report")
+    q_top_regions_by_forecast(spark, d).write.parquet(path)
+    rows = spark.read.parquet(path).select("*", "_metadata.file_name", "_metadata.row_index")
+    back = rows.selectExpr("date", "age", "region", "vacc_women", "CAST(row_number() OVER (ORDER BY file_name, row_index) AS BIGINT) AS position")
+    back = cut_lineage(back)
+    remove_scratch(spark, path)
+    return back
+
+
+def q_doses_landing(spark: SparkSession, d: str) -> DataFrame:
+    """The doses feed as text in its six-column layout, landed by the batch job, summed per (date, age, region)."""
+    feed, landed = scratch_path(spark, "feed"), scratch_path(spark, "doses")
+    tables.raw_doses(spark, d).write.option("header", True).csv(feed)
+    rows = cut_lineage(agg.daily_sum(land(spark, feed, landed, schemas.DOSES_RAW, schemas.DOSES)))
+    remove_scratch(spark, feed)
+    remove_scratch(spark, landed)
+    return rows
 
 
 def q_stream_landing(spark: SparkSession, d: str) -> DataFrame:
     """The feed as text drops (derived from the tables), landed by the streaming job."""
     drops, landed = scratch_path(spark, "drops"), scratch_path(spark, "landed")
-    tables.raw_summary(spark, d).repartition(2).write.option("header", True).csv(drops)
-    return land_available(spark, drops, landed, schemas.SUMMARY_RAW, schemas.SUMMARY, max_files_per_trigger=1)
+    tables.raw_summary(spark, d).write.option("header", True).csv(drops)
+    rows = cut_lineage(land_available(spark, drops, landed, schemas.SUMMARY_RAW, schemas.SUMMARY).rows)
+    remove_scratch(spark, drops)
+    remove_scratch(spark, landed)
+    return rows
+
 
+def _clusters(algorithm: str, holds: str, name: str) -> Query:
+    """Per region what can be checked of its real label: ``holds`` compares it (centre, low, high of its cluster) to the others."""
 
-def _clusters(algorithm: str) -> Query:
     def run(spark: SparkSession, d: str) -> DataFrame:
-        return coverage_clusters(
-            _summed(spark, d, qualified=True),
-            tables.population(spark, d),
-            COVERAGE_START_AFTER,
-            TARGET_DATE,
-            CLUSTERS_K,
-            algorithm,
+        labelled = cut_lineage(
+            coverage_clusters(
+                _summed(spark, d, qualified=True),
+                tables.population(spark, d),
+                COVERAGE_START_AFTER,
+                TARGET_DATE,
+                CLUSTERS_K,
+                algorithm,
+                points="daily",
+            )
+        )
+        return spark.sql(
+            f"""
+            WITH c AS (SELECT prediction, AVG(percent) AS centre, MIN(percent) AS low, MAX(percent) AS high FROM {{t}} GROUP BY prediction),
+                 every AS (SELECT collect_list(struct(*)) AS others, COUNT(1) AS n_clusters FROM c)
+            SELECT t.region, t.percent, forall(e.others, o -> o.prediction = t.prediction OR {holds}) AS {name}, e.n_clusters
+            FROM {{t}} t JOIN c ON t.prediction = c.prediction JOIN every e ON e.n_clusters > 0""",
+            t=labelled,
         )
 
     return run
@@ -262,6 +302,8 @@ QUERIES: dict[str, Query] = {
     "category_trend": q_category_trend,
     "csv_roundtrip": q_csv_roundtrip,
     "stream_landing": q_stream_landing,
-    "region_clusters_kmeans": _clusters("kmeans"),
-    "region_clusters_bisecting": _clusters("bisecting"),
+    "sorted_report": q_sorted_report,
+    "doses_landing": q_doses_landing,
+    "region_clusters_kmeans": _clusters("kmeans", "abs(t.percent - c.centre) <= abs(t.percent - o.centre)", "nearest"),
+    "region_clusters_bisecting": _clusters("bisecting", "o.high < c.low OR o.low > c.high", "interval"),
 }

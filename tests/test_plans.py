@@ -31,6 +31,17 @@ def test_headline_plans(spark, key):
     assert "EvalPython" not in plan and "FlatMapGroupsInPandas" not in plan
 
 
+def test_rare_keys_take_one_pass(spark):
+    plan = _plan(entry.queries()["rare_key_anti_join"](spark, SF_SMOKE))
+    assert sum("ReadSchema: struct<l_" in line for line in plan.splitlines()) == 1
+    assert "LeftAnti" not in plan
+
+
+def test_reports_are_sorted(spark):
+    for key in ("monthly_mean_per_center", "top_regions_by_forecast", "top_regions_by_forecast_rounded", "coverage_percent", "region_ranking", "category_trend"):
+        assert "rangepartitioning" in _plan(entry.queries()[key](spark, SF_SMOKE))
+
+
 def test_top_n_is_limited_before_its_shuffle(spark):
     plan = _plan(entry.queries()["top_regions_by_forecast"](spark, SF_SMOKE))
     assert plan.count("WindowGroupLimit") >= 2  # partial before the exchange, final after
