@@ -149,16 +149,18 @@ def clean(
 ) -> DataFrame:
     """The rows of ``docs`` that hold no test item; each block of items is a filter, without any shuffle."""
     small_batches(docs.sparkSession)
-    for items in blocks_of(benchmark, item_id_col, item_text_col, block_bytes):
-        shared = docs.sparkSession.sparkContext.broadcast(items)
 
+    def holds_none(shared):
         @arrow_udf("boolean")
-        def holds_none(batches: Iterator[pa.Array], shared=shared) -> Iterator[pa.Array]:
+        def check(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             block = Block(shared.value, rate, min_words)
             for batch in batches:
                 yield pa.array([next(block.matches(t), None) is None for t in texts_of(batch)], pa.bool_())
 
-        docs = docs.where(holds_none(F.col(text_col)))
+        return check
+
+    for items in blocks_of(benchmark, item_id_col, item_text_col, block_bytes):
+        docs = docs.where(holds_none(docs.sparkSession.sparkContext.broadcast(items))(F.col(text_col)))
     return docs
 
 
