@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from regiocast.llm.common import split_words
@@ -105,12 +105,12 @@ def fit(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: s
     pair = F.when(following.isNotNull(), _bucket(word, following, buckets=buckets))
     grams = placed.select("good", F.explode(F.array(_bucket(word, buckets=buckets), pair)).alias("bucket")).where("bucket IS NOT NULL")
     counts = grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("good").alias("good"))
-    totals = counts.agg(F.sum("raw").alias("all_raw"), F.sum("good").alias("all_good"))
-    share = F.col("all_good") / F.col("all_raw")
-    weight = F.log((F.col("good") + prior * share) / (F.col("raw") + prior)) - F.log(share)
-    rows = counts.crossJoin(F.broadcast(totals)).where("all_good > 0").select("bucket", weight.alias("w")).toArrow()  # one row of totals, at most ``buckets`` rows
+    # at most ``buckets`` rows from here on
+    all_raw, all_good = F.sum("raw").over(Window.partitionBy()), F.sum("good").over(Window.partitionBy())
+    shared = counts.select("bucket", "raw", "good", all_good.alias("all_good"), (all_good / all_raw).alias("share")).where("all_good > 0")
+    weight = F.log((F.col("good") + prior * F.col("share")) / (F.col("raw") + prior)) - F.log("share")
     weights = [0.0] * buckets
-    for bucket, w in zip(rows["bucket"].to_pylist(), rows["w"].to_pylist(), strict=True):
+    for bucket, w in shared.select("bucket", weight).collect():
         weights[bucket] = w
     return weights
 
@@ -124,24 +124,28 @@ def judge(docs: DataFrame, weights: list[float], text_col: str = "text", thresho
     grams = F.zip_with(words, F.slice(words, F.lit(2), F.size(words)), lambda a, b: weight(a) + weight(a, b))
     total = F.aggregate(grams, F.lit(0.0), lambda s, x: s + x) - weight(F.get(words, F.size(words) - 1))
 
+    score = F.when(F.size(words) > 0, total / (2 * F.size(words) - 1)).otherwise(F.lit(0.0))
     lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
+    counts = [
+        F.size(words),
+        F.length(F.array_join(words, "")),
+        F.length(F.regexp_replace(text, "[^#*$%&|<>]+", "")),
+        let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))),
+        repeated_words(words, F.col("__llm_keys"), bits),
+    ]
+    values = [c.cast("long").alias(name) for name, c in zip(OUTPUT, counts, strict=False)] + [score.alias("score")]
+    # always true, but nothing is pushed below it: a filter on the verdict would otherwise
+    # be evaluated on the text itself, with words and keys computed anew for each element
+    once = F.when(F.rand(0) < F.size(words) + 1, F.struct(*values))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     return (
         docs.drop(*OUTPUT)
         .withColumn("__llm_words", split_words(F.col(text_col)))
         .withColumn("__llm_bits", F.length(F.bin(F.size(words))))
         .withColumn("__llm_keys", window_keys(words, bits))
-        .withColumns(
-            {
-                "n_words": F.size(words).cast("long"),
-                "word_chars": F.length(F.array_join(words, "")).cast("long"),
-                "n_symbols": F.length(F.regexp_replace(text, "[^#*$%&|<>]+", "")).cast("long"),
-                "n_dup_lines": let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"),
-                "n_repeat_words": repeated_words(words, F.col("__llm_keys"), bits).cast("long"),
-                "score": F.when(F.size(words) > 0, total / (2 * F.size(words) - 1)).otherwise(F.lit(0.0)),
-            }
-        )
+        .withColumn("__llm_base", once)
+        .withColumns({name: F.col(f"__llm_base.{name}") for name in OUTPUT[:5] + ["score"]})
         .withColumn("base_failed", failed)
         .withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))
-        .drop("__llm_words", "__llm_bits", "__llm_keys")
+        .drop("__llm_words", "__llm_bits", "__llm_keys", "__llm_base")
     )

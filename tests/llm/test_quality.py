@@ -111,3 +111,11 @@ def test_query_keeps_good_text_and_rejects_junk(spark):
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == base(docs[r.doc_id])
         if r.doc_id in labels:
             assert r.kept == (labels[r.doc_id] == 1 and not r.base_failed)
+
+
+def test_a_filter_on_the_verdict_is_not_pushed_into_the_text(spark):
+    text = " ".join(f"w{k % 300} x{k}" for k in range(20_000))
+    df = spark.createDataFrame([(1, text), (2, "short")], "doc_id long, text string")
+    judged = q.judge(df, [0.0] * 16)
+    assert [r.doc_id for r in judged.where("kept").select("doc_id").collect()] == [1]
+    assert [r.doc_id for r in judged.where("base_failed").select("doc_id").collect()] == [2]
