@@ -67,11 +67,12 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Starts from an empty cache of its own, so each run encodes every different text."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    size = F.octet_length(F.coalesce("text", F.lit(""))).cast("long")  # before the join, which then carries no text
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", size.alias("n_bytes"))
     counted = token_counts.count_tokens(docs, vocabulary("piece_bpe_32k.model"), scratch_path(spark, "token-counts"))
     return counted.select(
         "doc_id",
-        F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"),
+        "n_bytes",
         "n_tokens",
         (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"),
     )

@@ -24,7 +24,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from regiocast.llm.common import content_key, texts_of
+from regiocast.llm.common import content_key, small_batches, texts_of
 
 CACHE_SCHEMA = "digest binary, tokenizer string, n_tokens long"
 _LOADED: dict = {}
@@ -73,6 +73,7 @@ def count_tokens(
 ) -> DataFrame:
     """``docs`` plus ``out_col``; the counts of texts that were not in the cache are appended to it."""
     spark, version = docs.sparkSession, version_digest(tokenizer_path)
+    small_batches(spark)
     text = F.coalesce(F.col(text_col), F.lit(""))
     content = F.coalesce(normalise(text), F.lit("")) if normalise else text
 
