@@ -3,7 +3,8 @@
 Each stage takes (spark, docs, sf_dir), works on all its predecessor kept and
 returns a DataFrame; all but the last return the columns of ``documents``.
 ``run`` writes every stage but the last as Parquet below the shared folder of
-the cluster and reads it again, so a lost executor costs no finished stage.
+the cluster and reads it again, so a lost executor costs no finished stage; a
+stage's folder is removed once the next one is written.
 
 Stages: quality rules (rejected documents go), SimHash near-duplicates (one
 document of each group stays), benchmark decontamination (documents that hold
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from regiocast.llm import bpe, decontamination, pii, quality, simhash
 from regiocast.llm.common import table
 from regiocast.llm.queries import PSEUDONYM_KEY, vocabulary
-from regiocast.session import scratch_path
+from regiocast.session import remove_scratch, scratch_path
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -66,9 +67,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, read = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         path = scratch_path(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if read:
+            remove_scratch(spark, read)
+        read = path
     return STAGES[-1][1](spark, docs, sf_dir)
