@@ -101,11 +101,23 @@ def canonical(text: Column) -> Column:
     return F.when(out.rlike("|".join(pattern for pattern, _ in spellings())), spelled).otherwise(out)
 
 
+def opening(text: Column) -> Column:
+    """First three letters or digits, or a mark for a text that opens with what may be a copyright line.
+
+    Texts of one canonical form share their opening: spellings differ later
+    than that, and only copyright lines are left out.  It reads a few
+    characters, so most texts are set aside before the costly form is made.
+    """
+    start = F.regexp_extract(text, r"^[^\p{L}\p{N}]*(?:[\p{L}\p{N}][^\p{L}\p{N}]*){1,3}", 0)
+    letters = F.substring(F.lower(F.regexp_replace(start, SIGNS, "")), 1, 3)
+    return F.when(text.rlike(r"(?i)^[^\p{L}\p{N}©]*(?:copyright|©|c\))"), F.lit("©")).otherwise(letters)
+
+
 def known_digests(spark: SparkSession, licenses: list[tuple[str, str]] | DataFrame = KNOWN) -> DataFrame:
-    """(license, digest), one row per different canonical text; of two names the first in order stays."""
+    """(license, digest, opening), one row per different canonical text; of two names the first in order stays."""
     texts = licenses if isinstance(licenses, DataFrame) else spark.createDataFrame(licenses, "license string, text string")
     form = texts.where("text IS NOT NULL").select("license", canonical(F.col("text")).alias("form")).where("form != '  '")
-    return form.groupBy(F.unhex(F.sha2("form", 256)).alias("digest")).agg(F.min("license").alias("license"))
+    return form.groupBy(F.unhex(F.sha2("form", 256)).alias("digest")).agg(F.min("license").alias("license"), opening(F.first("form")).alias("opening"))
 
 
 def scan(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -115,9 +127,12 @@ def scan(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: st
     plain = docs.select(F.col(id_col).alias("id"), key.alias("key"), text.alias("t"))
     lines = plain.select("id", "key", F.posexplode(F.split("t", "\n")).alias("place", "unit"))
     units = lines.unionByName(plain.select("id", "key", F.lit(None).cast("int").alias("place"), F.col("t").alias("unit")))
-    digests = units.select("id", "key", "place", F.unhex(F.sha2(canonical(F.col("unit")), 256)).alias("digest"))
+    openings = known.select("opening").unionByName(docs.sparkSession.createDataFrame([("©",)], "opening string")).distinct()
+    known = known.drop("opening")
     if known.limit(KNOWN_MAX + 1).count() <= KNOWN_MAX:
-        known = F.broadcast(known)
+        known, openings = F.broadcast(known), F.broadcast(openings)
+    likely = units.withColumn("opening", opening(F.col("unit"))).join(openings, "opening", "left_semi")
+    digests = likely.select("id", "key", "place", F.unhex(F.sha2(canonical(F.col("unit")), 256)).alias("digest"))
     found = (
         digests.join(known, "digest")
         .groupBy("id", "key")  # rows that repeat are gathered together

@@ -34,6 +34,19 @@ def test_notices_in_lines(spark):
     assert (r.whole_license, r.licenses, r.n_notices) == (None, ["Apache-2.0", "CC-BY-NC-4.0", "all-rights-reserved"], 3)
 
 
+def test_openings_lose_no_form():
+    """Every spelling of a canonical phrase opens like it."""
+    for first, others in lic.EQUIVALENT:
+        assert all(o.replace(" ", "")[:3] == first[:3] for o in others) and len(first) > 3
+
+
+def test_texts_behind_copyright_lines(spark):
+    notice = "Released under the MIT License."
+    heads = ["Copyright 2020 me", "  ** (C) me", "© 2021", "====\n# copyright x\n\n(c) y", "\n\n-- \nCOPYRIGHT"]
+    got = scan(spark, [(i, f"{h}\n{notice}") for i, h in enumerate(heads)])
+    assert [r.whole_license for r in got] == ["MIT"] * len(heads)
+
+
 def test_adjacent_spellings(spark):
     (r,) = scan(spark, [(1, "licence licence licenced")], [("x", "License license licensed")])
     assert r.licenses == ["x"]
