@@ -132,7 +132,9 @@ def scan(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: st
     if known.limit(KNOWN_MAX + 1).count() <= KNOWN_MAX:
         known, openings = F.broadcast(known), F.broadcast(openings)
     likely = units.withColumn("opening", opening(F.col("unit"))).join(openings, "opening", "left_semi")
-    digests = likely.select("id", "key", "place", F.unhex(F.sha2(canonical(F.col("unit")), 256)).alias("digest"))
+    # never NULL, so the join below adds no filter on it that would run before the openings are compared
+    digest = F.coalesce(F.unhex(F.sha2(canonical(F.col("unit")), 256)), F.lit(b""))
+    digests = likely.select("id", "key", "place", digest.alias("digest"))
     found = (
         digests.join(known, "digest")
         .groupBy("id", "key")  # rows that repeat are gathered together
