@@ -4,11 +4,12 @@ The standard library's streaming HTML parser sends tag and text events; they
 are turned into lines (blocks of running text between block-level tags), each
 with its characters and tags.  The text-to-tag ratio of the lines is smoothed
 by a Gaussian and split into two clusters by a threshold (two-means), and the
-lines above it vote for the region of the page that holds the content.  A page
-that marks its article is searched inside that mark; lines below structural
-marks for menus, headers, footers, sidebars, notices, adverts, forms, scripts,
-styles and reader comments have no ratio and never belong to a region.  The
-whole chosen region is returned, so short paragraphs between long ones stay.
+lines above it select the smallest region of the page that holds nearly all of
+them.  An article or main mark around that region says how far it reaches, and
+marks settle a page whose chosen lines have no region of their own; elsewhere
+the region grows over adjoining text.  Lines below structural marks for menus,
+headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader
+comments have no ratio and never belong to a region.
 
 Cases: a NULL or empty page, or one without content, gives an empty text;
 malformed and truncated markup is read as far as it goes; rows that repeat
@@ -53,16 +54,18 @@ _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 _UNFINISHED = re.compile(r"<[a-zA-Z/!?]")
 SIGMA, REACH = 1.0, 3
+#: Share of the chosen text that its region holds at least.
+NEARLY = 0.9
 _KERNEL = [math.exp(-(d * d) / (2 * SIGMA * SIGMA)) for d in range(-REACH, REACH + 1)]
 
 
 class Line:
-    """A block of running text: what it says, how many tags it took, and where it stands."""
+    """A block of running text: what it says, how much of it is links, how many tags it took, and where it stands."""
 
-    __slots__ = ("outside", "region", "tags", "text")
+    __slots__ = ("linked", "outside", "region", "tags", "text")
 
-    def __init__(self, text: str, tags: int, region: int, outside: bool):
-        self.text, self.tags, self.region, self.outside = text, tags, region, outside
+    def __init__(self, text: str, linked: int, tags: int, region: int, outside: bool):
+        self.text, self.linked, self.tags, self.region, self.outside = text, linked, tags, region, outside
 
     @property
     def ratio(self) -> float:
@@ -91,7 +94,8 @@ class Reader(HTMLParser):
         self.open: list[tuple[str, bool, int]] = []  # (tag, outside, region) of what is open
         self.parents, self.names = [-1], ["page"]  # of regions
         self.parts: list[str] = []
-        self.tags = 0
+        self.tags = self.linked = 0
+        self.link = False  # within <a>
 
     @property
     def _outside(self) -> bool:
@@ -104,9 +108,9 @@ class Reader(HTMLParser):
     def _break(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            self.lines.append(Line(text, self.tags, self._region, self._outside))
+            self.lines.append(Line(text, self.linked, self.tags, self._region, self._outside))
             self.tags = 0
-        self.parts = []
+        self.parts, self.linked, self.link = [], 0, False
 
     def _inside(self, names: tuple[str, ...]) -> bool:
         return any(tag in names for tag, _, _ in self.open)
@@ -120,6 +124,7 @@ class Reader(HTMLParser):
             if tag in ("li", "dt", "dd", "tr", "td", "th", "option") and self.open and self.open[-1][0] == tag:
                 self.open.pop()
         self.tags += 1
+        self.link |= tag == "a"
         if tag in VOID:
             return
         within = self._inside(("article", "main"))
@@ -139,6 +144,7 @@ class Reader(HTMLParser):
         if tag in BLOCKS or tag in OUTSIDE:
             self._break()
         self.tags += 1
+        self.link &= tag != "a"
         for at in range(len(self.open) - 1, -1, -1):
             if self.open[at][0] == tag:
                 del self.open[at:]
@@ -148,6 +154,8 @@ class Reader(HTMLParser):
 
     def handle_data(self, data: str) -> None:
         self.parts.append(data)
+        if self.link:
+            self.linked += len(" ".join(data.split()))
 
     def parse_marked_section(self, i: int, report: int = 1) -> int:
         return self.parse_bogus_comment(i)
@@ -184,6 +192,73 @@ def threshold(values: list[float]) -> float:
     return split
 
 
+def _around(region: int, parents: list[int]) -> list[int]:
+    """The region and those that hold it, innermost first."""
+    chain = []
+    while region >= 0:
+        chain.append(region)
+        region = parents[region]
+    return chain
+
+
+def _content(lines: list[Line], parents: list[int], names: list[str]) -> list[int]:
+    """Places of the article's lines: the smoothed ratio selects their region, on every page alike."""
+    chains = {r: _around(r, parents) for r in {x.region for x in lines}}
+    ratios = smooth([x.ratio for x in lines])
+    split = threshold(ratios)
+    # a line that only its neighbours lift above the threshold does not vote
+    chosen = [i for i, x in enumerate(lines) if x.ratio and min(x.ratio, ratios[i]) >= split] or [max(range(len(lines)), key=lambda i: lines[i].ratio)]
+    votes: dict[int, int] = {}
+    for i in chosen:
+        for r in chains[lines[i].region]:
+            votes[r] = votes.get(r, 0) + len(lines[i].text)
+    region = max(r for r, v in votes.items() if v >= NEARLY * votes[0])  # inner regions have larger numbers
+    path = _around(region, parents)
+    unmarked = [i for i, x in enumerate(lines) if x.ratio]
+    # marks do not choose: they say how far the chosen region reaches, and settle a page without one
+    reach = [r for name in ("article", "main") for r in path[::-1] if names[r] == name][:1]
+    if not reach and names[region] in ("page", "body"):
+        for name in ("article", "main"):
+            marks = {r for r in votes if names[r] == name and not any(names[o] == name for o in _around(r, parents)[1:])}
+            if 2 * sum(votes[r] for r in marks) > votes[0]:
+                reach = sorted(marks)
+                break
+    if reach:
+        return [i for i in unmarked if any(r in chains[lines[i].region] for r in reach)]
+    return _grown(lines, chains, names, unmarked, [i for i in chosen if region in chains[lines[i].region]], path, votes)
+
+
+def _grown(lines: list[Line], chains: dict, names: list[str], unmarked: list[int], kept: list[int], path: list[int], votes: dict[int, int]) -> list[int]:
+    """From the first to the last chosen line, and on over what adjoins: text of the region, text beside it, regions with chosen lines."""
+    region, own = path[0], names[path[0]] not in ("page", "body")
+    text: dict[int, list[int]] = {}  # region -> characters, those of links
+    for i in unmarked:
+        for r in chains[lines[i].region]:
+            sums = text.setdefault(r, [0, 0])
+            sums[0] += len(lines[i].text)
+            sums[1] += lines[i].linked
+    held = set(path)
+
+    def joins(i: int) -> bool:
+        chain = chains[lines[i].region]
+        at = next(k for k, r in enumerate(chain) if r in held)
+        within = own and chain[at] == region
+        if at == 0:
+            return within or 2 * lines[i].linked <= len(lines[i].text)
+        size, linked = text[chain[at - 1]]
+        return chain[at - 1] in votes or (within and 2 * linked <= size)
+
+    before, after = [i for i in unmarked if i < kept[0]], [i for i in unmarked if i > kept[-1]]
+    out = [i for i in unmarked if kept[0] <= i <= kept[-1]]
+    for rest in (before[::-1], after):
+        for i in rest:
+            if joins(i):
+                out.append(i)
+            elif not (own and region in chains[lines[i].region]):
+                break  # a menu or box of its own: what lies behind it is not the article's
+    return sorted(out)
+
+
 def main_text(html: str) -> str:
     """The article's blocks in page order, joined by a space; empty if there is none."""
     if not html:
@@ -191,44 +266,10 @@ def main_text(html: str) -> str:
     reader = Reader()
     reader.feed(html)
     reader.finish()
-    lines, parents, names = reader.lines, reader.parents, reader.names
+    lines = reader.lines
     if not any(x.ratio for x in lines):
         return ""
-    chains: dict[int, list[int]] = {}
-    for x in lines:
-        if x.region not in chains:
-            chain, at = [], x.region
-            while at >= 0:
-                chain.append(at)
-                at = parents[at]
-            chains[x.region] = chain
-    ratios = smooth([x.ratio for x in lines])
-    split = threshold(ratios)
-    chosen = [i for i, x in enumerate(lines) if x.ratio and ratios[i] >= split] or [max(range(len(lines)), key=lambda i: lines[i].ratio)]
-    for name in ("article", "main"):
-        held = [i for i, x in enumerate(lines) if x.ratio and any(names[r] == name for r in chains[x.region])]
-        if held:
-            # the outermost marks; of several, those with chosen lines, else the longest
-            of = {i: next(r for r in reversed(chains[lines[i].region]) if names[r] == name) for i in held}
-            voted = {of[i] for i in chosen if i in of}
-            if not voted:
-                size: dict[int, int] = {}
-                for i in held:
-                    size[of[i]] = size.get(of[i], 0) + len(lines[i].text)
-                voted = {max(size, key=lambda r: (size[r], -r))}
-            return " ".join(lines[i].text for i in held if of[i] in voted)
-    # unmarked page: the smallest region that holds most of the chosen text
-    votes: dict[int, int] = {}
-    for i in chosen:
-        for r in chains[lines[i].region]:
-            votes[r] = votes.get(r, 0) + len(lines[i].text)
-    total = max(votes.values())
-    region = max(r for r, v in votes.items() if 2 * v > total)  # inner regions have larger numbers
-    inside = [i for i, x in enumerate(lines) if x.ratio and region in chains[x.region]]
-    if names[region] in ("page", "body"):  # no region of its own: from the first chosen line to the last
-        kept = [i for i in chosen if region in chains[lines[i].region]]
-        inside = [i for i in inside if kept[0] <= i <= kept[-1]]
-    return " ".join(lines[i].text for i in inside)
+    return " ".join(lines[i].text for i in _content(lines, reader.parents, reader.names))
 
 
 def extract(pages: DataFrame, html_col: str = "html", out_col: str = "text") -> DataFrame:

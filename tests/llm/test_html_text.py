@@ -72,3 +72,12 @@ def test_query_returns_the_articles(spark):
         inner = re.search(r"<article>(.*?)</article>", pages[r.page_id].html, re.S)[1]
         plain = html.unescape(re.sub(r"<[^>]+>", "", re.sub(r"</?(p|h1|br)>", "\n", inner)))
         assert (r.url, r.text, r.n_chars) == (pages[r.page_id].url, " ".join(plain.split()), len(r.text))
+
+
+def test_ratio_selects_the_region_on_every_page(spark):
+    teaser = "<article><p>Short teaser.</p></article>"  # a mark without a chosen line does not choose
+    assert ht.main_text(f"<body>{teaser}<div><h2>Head</h2><p>{LONG}</p><p>{LONG}</p></div></body>") == " ".join(f"Head {LONG} {LONG}".split())
+    pages = spark.read.parquet(f"{SMALL}/pages.parquet").select("page_id", "html")
+    plain = ht.extract(pages.selectExpr("page_id", "regexp_replace(html, '(</?)article>', '$1div>') AS html"))
+    want = {r.page_id: r.text for r in op10_html_text(spark, SMALL).collect()}
+    assert all("<article" not in r.html and r.text == want[r.page_id] for r in plain.collect())
