@@ -9,7 +9,9 @@ them.  An article or main mark around that region says how far it reaches, and
 marks settle a page whose chosen lines have no region of their own; elsewhere
 the region grows over adjoining text.  Lines below structural marks for menus,
 headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader
-comments have no ratio and never belong to a region.
+comments have no ratio and never belong to a region, except that a form or a
+marked wrapper which holds the article, or next to all running text of the
+page, is layout.
 
 Cases: a NULL or empty page, or one without content, gives an empty text;
 malformed and truncated markup is read as far as it goes; rows that repeat
@@ -38,9 +40,9 @@ BLOCKS = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose text is never content.
-OUTSIDE = frozenset(
-    "script style noscript template head title nav menu footer aside form search button select textarea option label iframe object svg math canvas audio video dialog".split()
-)
+OUTSIDE = frozenset("script style noscript template head title button select textarea option label iframe object svg math canvas audio video dialog".split())
+#: Elements around the article, unless one wraps it.
+BESIDE = frozenset("nav menu footer aside form search".split())
 #: Words of class, id and role attributes that mark text around the article.
 MARKS = frozenset(
     "ad ads adv advert adverts advertisement advertisements advertising adbox adslot sponsor sponsored sponsors promo promotion banner nav navbar navigation menu "
@@ -49,6 +51,12 @@ MARKS = frozenset(
     "share sharing social related recommended recommendations trending popular comment comments commentlist disqus replies reply respond responses discussion "
     "hidden skip legal disclaimer paywall".split()
 )
+#: Marks of readers' own text, of which a page may hold more than of its article.
+READERS = frozenset("comment comments commentlist disqus replies reply respond responses discussion".split())
+#: Words that make the next one a property of the layout, as in has-sidebar.
+HAS = frozenset("has have is no not with without".split())
+#: Characters of running text that a marked wrapper holds at least, and the share of what is unmarked beside it at most.
+WRAPPER, BESIDES = 200, 0.25
 _MARK = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
@@ -62,27 +70,39 @@ _KERNEL = [math.exp(-(d * d) / (2 * SIGMA * SIGMA)) for d in range(-REACH, REACH
 class Line:
     """A block of running text: what it says, how much of it is links, how many tags it took, and where it stands."""
 
-    __slots__ = ("linked", "outside", "region", "tags", "text")
+    __slots__ = ("linked", "mark", "outside", "region", "tags", "text")
 
-    def __init__(self, text: str, linked: int, tags: int, region: int, outside: bool):
-        self.text, self.linked, self.tags, self.region, self.outside = text, linked, tags, region, outside
+    def __init__(self, text: str, linked: int, tags: int, region: int, outside: bool, mark: int):
+        self.text, self.linked, self.tags, self.region, self.outside, self.mark = text, linked, tags, region, outside, mark
 
     @property
     def ratio(self) -> float:
         return 0.0 if self.outside else len(self.text) / max(1, self.tags)
 
 
-def _marked(attrs: list[tuple[str, str | None]]) -> bool:
+class Mark:
+    """An element that names itself as something beside the article: the one around it, its kind, and what it holds."""
+
+    __slots__ = ("article", "form", "inner", "outer", "own", "readers", "size")
+
+    def __init__(self, outer: int, words: set[str], inner: bool):
+        self.outer, self.inner, self.form, self.readers = outer, inner, words == {"form"}, not READERS.isdisjoint(words)
+        self.own = self.size = self.article = 0
+
+
+def _marks(attrs: list[tuple[str, str | None]]) -> set[str]:
+    """Words of the attributes that mark text around the article."""
+    found = set()
     for name, value in attrs:
-        if name in ("hidden",) or (name == "aria-hidden" and value == "true"):
-            return True
-        if not value:
-            continue
-        if name in ("class", "id", "role") and not MARKS.isdisjoint(_MARK.findall(_CAMEL.sub(" ", value).lower())):
-            return True
-        if name == "style" and _HIDDEN.search(value.lower()):
-            return True
-    return False
+        if value and name in ("class", "id", "role"):
+            for one in value.split():
+                words = _MARK.findall(_CAMEL.sub(" ", one).lower())
+                found.update(w for w, before in zip(words, ["", *words], strict=False) if before not in HAS and w in MARKS)
+    return found
+
+
+def _hidden(attrs: list[tuple[str, str | None]]) -> bool:
+    return any(name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and value and _HIDDEN.search(value.lower())) for name, value in attrs)
 
 
 class Reader(HTMLParser):
@@ -91,7 +111,9 @@ class Reader(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
-        self.open: list[tuple[str, bool, int]] = []  # (tag, outside, region) of what is open
+        self.open: list[tuple[str, bool, int, int]] = []  # (tag, outside, region, mark) of what is open
+        self.marks: list[Mark] = []
+        self.plain: set[int] = set()  # article and main regions without a mark of their own
         self.parents, self.names = [-1], ["page"]  # of regions
         self.parts: list[str] = []
         self.tags = self.linked = 0
@@ -105,15 +127,19 @@ class Reader(HTMLParser):
     def _region(self) -> int:
         return self.open[-1][2] if self.open else 0
 
+    @property
+    def _mark(self) -> int:
+        return self.open[-1][3] if self.open else -1
+
     def _break(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            self.lines.append(Line(text, self.linked, self.tags, self._region, self._outside))
+            self.lines.append(Line(text, self.linked, self.tags, self._region, self._outside, self._mark))
             self.tags = 0
         self.parts, self.linked, self.link = [], 0, False
 
     def _inside(self, names: tuple[str, ...]) -> bool:
-        return any(tag in names for tag, _, _ in self.open)
+        return any(x[0] in names for x in self.open)
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         block = tag in BLOCKS
@@ -130,18 +156,25 @@ class Reader(HTMLParser):
         within = self._inside(("article", "main"))
         # page-wide elements may be named after their layout; an article within an article may be a comment
         checked = tag not in ("html", "body", "main") and (tag != "article" or within)
-        outside = self._outside or tag in OUTSIDE or (checked and _marked(attrs)) or (tag == "header" and not within)
-        if not (block or outside):
+        outside = self._outside or tag in OUTSIDE or (checked and _hidden(attrs))
+        words, mark, named = _marks(attrs), self._mark, tag in BESIDE or (tag == "header" and not within)
+        marked = named or (checked and bool(words))
+        if not (block or outside or marked or mark >= 0):
             return  # inline markup is not tracked: it may never be closed
+        if marked:
+            self.marks.append(Mark(mark, words | {tag} if named else words, within))
+            mark = len(self.marks) - 1
         region = self._region
         if tag in ("article", "main", "section", "div", "td", "body"):
             self.parents.append(region)
             self.names.append(tag)
             region = len(self.names) - 1
-        self.open.append((tag, outside, region))
+            if tag in ("article", "main") and not words:
+                self.plain.add(region)
+        self.open.append((tag, outside, region, mark))
 
     def handle_endtag(self, tag: str) -> None:
-        if tag in BLOCKS or tag in OUTSIDE:
+        if tag in BLOCKS or tag in OUTSIDE or tag in BESIDE:
             self._break()
         self.tags += 1
         self.link &= tag != "a"
@@ -165,6 +198,37 @@ class Reader(HTMLParser):
             self.rawdata = ""  # the page breaks off within a tag or comment
         self.close()
         self._break()
+        self._settle()
+
+    def _settle(self) -> None:
+        """Marked elements are outside, except one that wraps the page: its article, or next to all of its running text."""
+        free = articles = 0
+        in_article = {r: not self.plain.isdisjoint(_around(r, self.parents)) for r in {x.region for x in self.lines}}
+        for x in self.lines:
+            size = 0 if x.outside else max(0, len(x.text) - x.linked)
+            article = size if in_article[x.region] else 0
+            articles += article
+            if x.mark < 0:
+                free += size
+            else:
+                mark = self.marks[x.mark]
+                mark.own, mark.size, mark.article = mark.own + size, mark.size + size, mark.article + article
+        for mark in reversed(self.marks):  # inner marks have larger numbers
+            if mark.outer >= 0:
+                self.marks[mark.outer].size += mark.size
+                self.marks[mark.outer].article += mark.article
+        total = free + sum(mark.size for mark in self.marks if mark.outer < 0)
+        layout = {-1}
+        for k, mark in enumerate(self.marks):
+            if mark.outer not in layout or mark.size < WRAPPER:
+                continue
+            article = not mark.inner and 2 * mark.article > articles
+            most = 2 * mark.size > total and (mark.form or free <= BESIDES * mark.size)
+            if (article or most) and not (mark.readers and free):
+                layout.add(k)
+                free += mark.own
+        for x in self.lines:
+            x.outside |= x.mark not in layout
 
 
 def smooth(values: list[float]) -> list[float]:

@@ -81,3 +81,34 @@ def test_ratio_selects_the_region_on_every_page(spark):
     plain = ht.extract(pages.selectExpr("page_id", "regexp_replace(html, '(</?)article>', '$1div>') AS html"))
     want = {r.page_id: r.text for r in op10_html_text(spark, SMALL).collect()}
     assert all("<article" not in r.html and r.text == want[r.page_id] for r in plain.collect())
+
+
+MENU = "".join(f"<div><a href=/{k}>Menu {k}</a> <a href=/x>x</a> <a href=/y>y</a></div>" for k in range(8))
+PARTS = f"<h2>Head</h2><p>Short.</p><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p>", f"<p>{LONG}</p><p>{LONG}</p><p>End.</p>"
+WHOLE = " ".join(f"Head Short. {LONG * 3} {LONG * 2} End.".split())
+
+
+@pytest.mark.parametrize("part", ["<div>{}</div>", "<section>{}</section>", "<td>{}</td>"])
+def test_split_sections(part):
+    both = "".join(part.format(x) for x in PARTS)
+    both = f"<table><tr>{both}</tr></table>" if "td" in part else both
+    assert ht.main_text(f"<body><div>{MENU}</div><div id=c>{both}</div><div>{MENU}</div></body>") == WHOLE
+    assert ht.main_text(f"<body><div>{MENU}</div>{both}<div>{MENU}</div></body>") == WHOLE
+    many = "".join(part.format(f"<p>{LONG}</p>") for _ in range(30))  # the last part is a small share
+    many = f"<table><tr>{many}</tr></table>" if "td" in part else many
+    assert ht.main_text(f"<body><div>{MENU}</div><div>{many}</div></body>") == " ".join((LONG * 30).split())
+
+
+def test_text_directly_in_the_body():
+    for menu in ("", f"<div>{MENU}</div>", f"<nav>{MENU}</nav>"):
+        assert ht.main_text(f"<body>{menu}{''.join(PARTS)}{menu}</body>") == WHOLE
+
+
+@pytest.mark.parametrize("wrapper", ["<form action=/ method=post>{}</form>", "<div class='content has-sidebar'>{}</div>", "<div class='sidebar layout'>{}</div>", "<header>{}</header>"])
+def test_wrapper_of_the_page_is_layout(wrapper):
+    for inner in (f"<article>{''.join(PARTS)}</article>", f"<div>{''.join(PARTS)}</div>"):
+        around = [x for x in AROUND if not x.startswith("<header") or "header" not in wrapper]
+        assert ht.main_text(f"<body>{''.join(around)}{wrapper.format(''.join(around) + inner)}{''.join(around)}</body>") == WHOLE
+    # what only stands beside the article is not, however long
+    assert ht.main_text(f"<body><article>{''.join(PARTS)}</article><div class=comments><p>{LONG * 9}</p></div></body>") == WHOLE
+    assert ht.main_text(f"<body><div>{''.join(PARTS)}</div><div class=comments><p>{LONG * 9}</p></div></body>") == WHOLE
