@@ -9,6 +9,13 @@ same form and length, and equal values get equal pseudonyms in all documents.
 The holder of the key can invert it (``reveal=True``).  Card-like numbers that
 fail their check stay as they are.
 
+A card or account number may stand among other digits or words that look like
+its continuation: if a run of digits is no card as a whole, every part between
+group borders is tried, and an account number ends where its country's form
+does.  A pseudonym that would make such neighbours valid is permuted once more,
+so that it is found at the same place when it is revealed (only there may equal
+values differ).
+
 Cases: NULL text stays NULL with no spans, an empty text stays empty; other
 columns pass through, one named like the spans is replaced; rows that repeat
 are treated alike; an empty table gives an empty one.
@@ -191,18 +198,97 @@ def _secret(f: Feistel, value: str, back: bool) -> str | None:
     return out.upper() if value.isupper() else out
 
 
-#: Fixed patterns, tried in this order at each place; what fails its validation is left to the next kind.
-KINDS: list[tuple[str, str, Callable[[Feistel, str, bool], str | None]]] = [
+#: Length of an account number by country (public registry).
+IBAN_LENGTHS = {
+    country: int(n)
+    for n, countries in (
+        part.split(":")
+        for part in (
+            "15:NO 16:BE 18:DK,FI,FK,FO,GL,NL,SD 19:MK,SI 20:AT,BA,EE,KZ,LT,LU,MN,XK 21:CH,CR,HR,LI,LV 22:BG,BH,DE,GB,GE,IE,ME,RS,VA 23:AE,GI,IL,IQ,OM,SO,TL "
+            "24:AD,CZ,DZ,ES,MD,PK,RO,SA,SE,SK,TN,VG 25:LY,PT,ST 26:IS,TR 27:BI,DJ,FR,GR,IT,MC,MR,SM 28:AL,AZ,BY,CY,DO,GT,HU,LB,NI,PL,SV 29:BR,EG,PS,QA,UA 30:JO,KW,MU,YE 31:MT,SC 32:LC 33:RU"
+        ).split()
+    )
+    for country in countries.split(",")
+}
+_RUN = re.compile(r"(?<![\w.-])\d(?:[ -]?\d){12,}(?![\w-]|\.\d)", re.ASCII)
+_DIGIT_GROUP = re.compile(r"\d+", re.ASCII)
+_IBAN_START = re.compile(r"(?<![A-Za-z0-9])([A-Z]{2})\d{2}(?= ?[A-Z0-9])", re.ASCII)
+_IBAN_WHOLE = re.compile(r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", re.ASCII)
+
+
+def _first_card(run: str, at: int) -> tuple[int, int] | None:
+    """A run of up to 19 digits as a whole, else its first valid part behind ``at``: by end, the longest first."""
+    groups = [m.span() for m in _DIGIT_GROUP.finditer(run, at)]
+    valid = lambda a, b: luhn_digit((d := re.sub(r"\D", "", run[a:b]))[:-1]) == d[-1]
+    if at == 0 and sum(b - a for a, b in groups) <= 19 and valid(0, len(run)):
+        return 0, len(run)
+    for k, (_, end) in enumerate(groups):
+        starts, n = [], 0
+        for a, b in groups[k::-1]:
+            n += b - a
+            if n > 19:
+                break
+            if n >= 13:
+                starts.append(a)
+        for start in reversed(starts):
+            if valid(start, end):
+                return start, end
+    return None
+
+
+def _first_iban(line: str, at: int) -> tuple[int, int] | None:
+    """The valid account number behind ``at`` that ends first; a country without a known length has the longest form."""
+    best = None
+    for m in _IBAN_START.finditer(line, at):
+        if best and m.start() >= best[1]:
+            break
+        if n := IBAN_LENGTHS.get(m[1]):
+            whole = re.compile(rf"(?:[A-Z0-9] ?){{{n - 1}}}[A-Z0-9](?![A-Za-z0-9])", re.ASCII).match(line, m.start())
+        else:
+            whole = _IBAN_WHOLE.match(line, m.start())
+        plain = whole[0].replace(" ", "") if whole else ""
+        if 15 <= len(plain) <= 34 and _iban_check(plain[:2], plain[4:]) == plain[2:4] and (best is None or whole.end() < best[1]):
+            best = whole.span()
+    return best
+
+
+def _among_others(f: Feistel, text: str, first: Callable, permute: Callable, back: bool) -> list[tuple[int, int, str]]:
+    """(start, end, new value) of the values that ``first`` finds one after the other."""
+    found, at = [], 0
+    while place := first(text, at):
+        start, end = place
+        while True:  # walks within the values that are found at this place
+            text = text[:start] + permute(f, text[start:end], back) + text[end:]
+            if first(text, at) == place:
+                break
+        found.append((start, end, text[start:end]))
+        at = end
+    return found
+
+
+def _cards(f: Feistel, line: str, back: bool) -> list[tuple[int, int, str]]:
+    out = []
+    for m in _RUN.finditer(line):
+        out += [(m.start() + a, m.start() + b, new) for a, b, new in _among_others(f, m[0], _first_card, _card, back)]
+    return out
+
+
+def _ibans(f: Feistel, line: str, back: bool) -> list[tuple[int, int, str]]:
+    return _among_others(f, line, _first_iban, _iban, back)
+
+
+#: Fixed patterns, tried in this order at each place; what fails its validation is left to the next kind.  Without a pattern, a search of the line.
+KINDS: list[tuple[str, str | None, Callable]] = [
     ("email", r"(?<![\w.%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}", _email),
     ("secret", r"(?<![A-Za-z0-9])(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pos]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9_-]{20,}|[0-9a-f]{64}|[0-9a-f]{40}|[0-9a-f]{32}|[0-9A-F]{64}|[0-9A-F]{40}|[0-9A-F]{32})(?![A-Za-z0-9])", _secret),
-    ("iban", r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", _iban),
+    ("iban", None, _ibans),
     ("ip", r"(?<![\w.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?![\w]|\.\d)", _ip),
     ("date", r"(?<![\w./-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4}|\d{2}-\d{2}-\d{4})(?![\w/-]|\.\d)", _date),
     ("ssn", r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])", _ssn),
     ("phone", r"(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})[ .-]?\d{3,4}[ .-]?\d{3,4}|\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?![\w-])", _phone),
-    ("card", r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-]|\.\d)", _card),
+    ("card", None, _cards),
 ]
-_ANY = [(kind, re.compile(pattern, re.ASCII), permute) for kind, pattern, permute in KINDS]
+_ANY = [(kind, pattern and re.compile(pattern, re.ASCII), permute) for kind, pattern, permute in KINDS]
 _SIGN = re.compile(r"[0-9@]")
 _KEY_SIGN = re.compile(r"AKIA|ASIA|gh[pos]_|sk-")
 
@@ -216,6 +302,12 @@ def pseudonymise(text: str, feistel: Feistel, back: bool = False) -> tuple[str,
         if _SIGN.search(line) or _KEY_SIGN.search(line):
             found: list[tuple[int, int, str, str]] = []
             for kind, pattern, permute in _ANY:
+                if pattern is None:
+                    rest = line
+                    for start, end, _, _ in found:  # what is found is no part of another value
+                        rest = rest[:start] + "x" * (end - start) + rest[end:]
+                    found += [(start, end, kind, new) for start, end, new in permute(feistel, rest, back)]
+                    continue
                 for m in pattern.finditer(line):
                     if any(m.start() < end and start < m.end() for start, end, _, _ in found):
                         continue
