@@ -11,8 +11,12 @@ The items travel to the tasks as a broadcast block.  A block is cut at
 ``block_bytes`` of item text, and a larger benchmark is searched in several
 passes, one per block, so what is broadcast has a bound at every size.
 
-Cases: a NULL or empty text holds no item, a NULL or empty item matches
-nothing, and neither does an item of fewer than ``min_words`` words; rows that
+An item of so few words that its budget is 0 is found where its words stand
+unchanged.  In scripts written without blanks each letter counts as a word.
+
+Cases: a NULL or empty text holds no item, a NULL or empty item (or one without
+any letter or digit) matches nothing; a caller may set aside items of fewer than
+``min_words`` words; rows that
 repeat give their own output rows; other columns are not read; empty tables
 give an empty result.
 """
@@ -30,7 +34,13 @@ from pyspark.sql.functions import arrow_udf
 
 from regiocast.llm.common import small_batches, texts_of
 
-_WORDS = re.compile(r"\w+")
+#: Letters and signs of scripts written without blanks (Thai, Lao, Myanmar, Khmer, Tai, kana, Han); each counts as a word.
+UNSPACED = (
+    "\u0e01-\u0e3a\u0e40-\u0e4e\u0e81-\u0ece\u0edc-\u0edf\u1000-\u103f\u1050-\u108f\u109a-\u109f\u1780-\u17d3\u17d7\u17dc\u17dd\u1950-\u1974\u1980-\u19c9"
+    "\u1a20-\u1a7c\u3005-\u3007\u3021-\u3029\u3031-\u3035\u3041-\u309f\u30a1-\u30fa\u30fc-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\ua9e0-\ua9ef\ua9fa-\ua9fe"
+    "\uaa60-\uaa7f\uaa80-\uaadd\uf900-\ufaff\uff66-\uff9f\U0001b000-\U0001b16f\U00020000-\U000323af"
+)
+_WORDS = re.compile(rf"[^\W{UNSPACED}]+|[{UNSPACED}]")
 #: Upper bound of the item text in one broadcast block.
 BLOCK_BYTES = 16 << 20
 
@@ -144,7 +154,7 @@ def clean(
     item_id_col: str = "item_id",
     item_text_col: str = "text",
     rate: float = 0.2,
-    min_words: int = 5,
+    min_words: int = 1,
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """The rows of ``docs`` that hold no test item; each block of items is a filter, without any shuffle."""
@@ -172,7 +182,7 @@ def contaminated(
     item_id_col: str = "item_id",
     item_text_col: str = "text",
     rate: float = 0.2,
-    min_words: int = 5,
+    min_words: int = 1,
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """(id, item id, ``distance``, ``item_words``) for every document row and each item found in it."""

@@ -82,3 +82,23 @@ def test_query_finds_the_planted_passages(spark):
     got = {(r.doc_id, r.item_id): r.distance for r in op9_decontamination(spark, SMALL).collect()}
     planted = {(d, i) for d, t in docs for i, x in items if x in t}
     assert planted and planted <= set(got) and all(got[p] == 0 for p in planted)
+
+
+def test_short_items_and_scripts_without_blanks(spark):
+    items = [(1, "Blue"), (2, "forty two"), (3, "a, b: c d!"), (4, "水的沸点是多少度"), (5, "สวัสดีครับผมชื่อสมชาย"), (6, "東京は日本の首都です"), (7, "..."), (8, "水")]
+    docs = [
+        (1, "it is blue."),
+        (2, "bluebird and forty-two"),
+        (3, "x a b c d y"),
+        (4, "a b c x d"),
+        (5, "问题：水的沸点是多少度？答案"),
+        (6, "他问水的沸点大约是多少度吗"),  # two letters more, budget 1
+        (7, "พูดว่าสวัสดีครับผมชื่อสมชายนะ"),
+        (8, "今、東京は日本の首都です。"),
+        (9, "その東京は日本の首府です"),  # one letter changed, budget 2
+        (10, "全然別の話です"),
+    ]
+    docs_df, items_df = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    found = {(r.doc_id, r.item_id): r.distance for r in dc.contaminated(docs_df, items_df).collect()}
+    assert found == {(1, 1): 0, (2, 2): 0, (3, 3): 0, (5, 4): 0, (5, 8): 0, (6, 8): 0, (7, 5): 0, (8, 6): 0, (9, 6): 1}
+    assert sorted(r.doc_id for r in dc.clean(docs_df, items_df).collect()) == [4, 10]
