@@ -80,6 +80,129 @@ KNOWN = [
     ),
 ]
 
+_DISCLAIMER = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE '
+    "IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE "
+    "LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE "
+    "GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT "
+    "LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH "
+    "DAMAGE."
+)
+_BSD = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"
+_BSD_TERMS = [
+    "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+    "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation "
+    "and/or other materials provided with the distribution.",
+    "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software "
+    "without specific prior written permission.",
+]
+_ISC = (
+    "Permission to use, copy, modify, and{} distribute this software for any purpose with or without fee is hereby granted, provided that the above "
+    "copyright notice and this permission notice appear in all copies.\n"
+    'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF '
+    "MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES "
+    "WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN "
+    "CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
+)
+_UNLICENSE = (
+    "This is free and unencumbered software released into the public domain.\n\n"
+    "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any "
+    "purpose, commercial or non-commercial, and by any means.\n\n"
+    "In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the "
+    "public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this "
+    "dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law.\n\n"
+    'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, '
+    "FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN "
+    "ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.\n\n"
+    "For more information, please refer to <{}>"
+)
+_ZLIB = (
+    "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from "
+    "the use of this software.\n\n"
+    "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, "
+    "subject to the following restrictions:\n\n"
+    "1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a "
+    "product, an acknowledgment in the product documentation would be appreciated but is not required.\n"
+    "2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.\n"
+    "3. This notice may not be removed or altered from any source distribution."
+)
+_BOOST = (
+    'Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by '
+    'this license (the "Software") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the '
+    "Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following:\n\n"
+    "The copyright notices in the Software and this entire statement, including the above license grant, this restriction and the following disclaimer, must "
+    "be included in all copies of the Software, in whole or in part, and all derivative works of the Software, unless such copies or derivative works are "
+    "solely in the form of machine-executable object code generated by a source language processor.\n\n"
+    'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, '
+    "FITNESS FOR A PARTICULAR PURPOSE, TITLE AND NON-INFRINGEMENT. IN NO EVENT SHALL THE COPYRIGHT HOLDERS OR ANYONE DISTRIBUTING THE SOFTWARE BE LIABLE FOR "
+    "ANY DAMAGES OR OTHER LIABILITY, WHETHER IN CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER "
+    "DEALINGS IN THE SOFTWARE."
+)
+
+
+def _whole_texts() -> list[tuple[str, str]]:
+    """The short licences with their usual titles, and without one."""
+    out = [("MIT", titled) for titled in (KNOWN[-1][1].removeprefix("MIT License"), "The " + KNOWN[-1][1], KNOWN[-1][1].replace("MIT License", "The MIT License (MIT)"))]
+    out += [("0BSD", f"{title}\n{KNOWN[-2][1]}") for title in ("BSD Zero Clause License", "Zero-Clause BSD", "BSD Zero-Clause License (0BSD)")]
+    for name, n, titles in (("BSD-2-Clause", 2, ["BSD 2-Clause License", "The 2-Clause BSD License", 'BSD 2-Clause "Simplified" License']), ("BSD-3-Clause", 3, ["BSD 3-Clause License", "The 3-Clause BSD License", 'BSD 3-Clause "New" or "Revised" License'])):
+        for title in ["", *titles]:
+            for rights in ("", "All rights reserved."):
+                for sign in ("{}. ", "* "):
+                    terms = [sign.format(k + 1) + term for k, term in enumerate(_BSD_TERMS[:n])]
+                    out.append((name, "\n".join([title, rights, _BSD, *terms, _DISCLAIMER])))
+    out += [("ISC", title + _ISC.format(word)) for title in ("", "ISC License\n", "The ISC License\n", "ISC License (ISC)\n") for word in ("/or", "")]
+    out += [("Unlicense", title + _UNLICENSE.format(page)) for title in ("", "The Unlicense\n") for page in ("https://unlicense.org/", "http://unlicense.org/")]
+    out += [("Zlib", title + _ZLIB) for title in ("", "zlib License\n", "The zlib License\n", "zlib/libpng License\n")]
+    return out + [("BSL-1.0", title + _BOOST) for title in ("", "Boost Software License - Version 1.0 - August 17th, 2003\n")]
+
+
+def _gnu(long: str, short: str, number: str) -> list[str]:
+    names = [f"{a}{long} License{v}{number}" for a in ("GNU ", "") for v in (", version ", " v")]
+    return names + [f"{a}{short}{v}{number}" for a in ("GNU ", "") for v in (" v", "v", " ")]
+
+
+#: Names and short names under which notices cite a licence.
+NAMES = {
+    "0BSD": ["0BSD", "BSD Zero Clause", "Zero-Clause BSD"],
+    "AGPL-3.0": [*_gnu("Affero General Public", "AGPL", "3"), *_gnu("Affero General Public", "AGPL", "3.0")],
+    "Apache-2.0": ["Apache License, Version 2.0", "Apache License 2.0", "Apache License v2.0", "Apache 2.0", "Apache 2", "Apache License 2", "Apache v2"],
+    "BSD-2-Clause": ["BSD 2-Clause", "2-Clause BSD", "Simplified BSD", "BSD 2-Clause Simplified", "FreeBSD"],
+    "BSD-3-Clause": ["BSD 3-Clause", "3-Clause BSD", "New BSD", "Modified BSD", "Revised BSD", "BSD 3-Clause New or Revised"],
+    "BSL-1.0": ["Boost Software License 1.0", "Boost Software License, Version 1.0", "BSL 1.0"],
+    "CC0-1.0": ["CC0 1.0", "CC0", "CC0 1.0 Universal", "Creative Commons Zero v1.0 Universal", "Creative Commons CC0 1.0 Universal"],
+    "GPL-2.0": [*_gnu("General Public", "GPL", "2"), *_gnu("General Public", "GPL", "2.0")],
+    "GPL-3.0": [*_gnu("General Public", "GPL", "3"), *_gnu("General Public", "GPL", "3.0")],
+    "ISC": ["ISC"],
+    "LGPL-2.1": _gnu("Lesser General Public", "LGPL", "2.1"),
+    "LGPL-3.0": [*_gnu("Lesser General Public", "LGPL", "3"), *_gnu("Lesser General Public", "LGPL", "3.0")],
+    "MIT": ["MIT", "Expat", "MIT/Expat"],
+    "MPL-2.0": ["Mozilla Public License 2.0", "Mozilla Public License, version 2.0", "Mozilla Public License v2.0", "MPL 2.0", "MPL v2.0", "MPL v2"],
+    "Unlicense": ["Unlicense"],
+    "Zlib": ["zlib", "zlib/libpng"],
+} | {
+    f"CC-{short}-4.0": [f"CC {short} 4.0", f"Creative Commons {long} 4.0", f"Creative Commons {long} 4.0 International"]
+    for short, long in {
+        "BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-ND": "Attribution-NoDerivatives", "BY-NC": "Attribution-NonCommercial",
+        "BY-NC-SA": "Attribution-NonCommercial-ShareAlike", "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives",
+    }.items()
+}
+_SUBJECTS = ["", *(f"This {what} is " for what in ("work", "project", "software", "program", "file"))]
+_VERBS = ["Licensed under", "Released under", "Distributed under"]
+
+
+def _notices() -> list[tuple[str, str]]:
+    out = []
+    for license, names in NAMES.items():
+        out += [(license, f"{tag}: {license}") for tag in ("SPDX-License-Identifier", "License")]
+        forms = {form for name in [license, *names] for form in ([name] if "License" in name.split() else [name, f"{name} License"])}
+        for form in sorted(forms):
+            out += [(license, f"{subject}{verb} {of}{form}") for subject in _SUBJECTS for verb in _VERBS for of in ("", "a " if license[:2] == "CC" else "the ", "the terms of the ")]
+            out += [(license, f"{tag}: {form}") for tag in ("License", "Licensed")]
+    return out
+
+
+KNOWN += _whole_texts() + _notices()
+
 #: A line that only states a copyright, maybe behind a comment sign.
 COPYRIGHT_LINE = r"(^|\n)[ \t#*/;-]*(copyright|©|\(c\))[^\n]*"
 SIGNS = r"[^\p{L}\p{N}]+"
@@ -113,9 +236,13 @@ def opening(text: Column) -> Column:
     return F.when(text.rlike(r"(?i)^[^\p{L}\p{N}©]*(?:copyright|©|c\))"), F.lit("©")).otherwise(letters)
 
 
-def known_digests(spark: SparkSession, licenses: list[tuple[str, str]] | DataFrame = KNOWN) -> DataFrame:
-    """(license, digest, opening), one row per different canonical text; of two names the first in order stays."""
+def known_digests(spark: SparkSession, licenses: list[tuple[str, str]] | DataFrame = KNOWN, more: DataFrame | None = None) -> DataFrame:
+    """(license, digest, opening), one row per different canonical text; of two names the first in order stays.
+
+    ``more`` is a licence table (license, text), for longer texts than the list holds.
+    """
     texts = licenses if isinstance(licenses, DataFrame) else spark.createDataFrame(licenses, "license string, text string")
+    texts = texts if more is None else texts.select("license", "text").unionByName(more.select("license", "text"))
     form = texts.where("text IS NOT NULL").select("license", canonical(F.col("text")).alias("form")).where("form != '  '")
     return form.groupBy(F.unhex(F.sha2("form", 256)).alias("digest")).agg(F.min("license").alias("license"), opening(F.first("form")).alias("opening"))
 

@@ -71,3 +71,26 @@ def test_query_matches_its_sql(spark):
     want = sorted(res.fetchall(), key=str)
     assert sorted(map(tuple, op7_license_scan(spark, SMALL).select(*names).collect()), key=str) == want
     assert sum(r[-1] for r in want) > 10
+
+
+def test_whole_texts_and_notice_forms(spark):
+    notices = {
+        "Licensed under the MIT License.": "MIT",
+        "Licensed under the GPLv3": "GPL-3.0",
+        "This software is released under the BSD 3-Clause License": "BSD-3-Clause",
+        "// SPDX-License-Identifier: Apache-2.0": "Apache-2.0",
+        "Distributed under the terms of the GNU Lesser General Public License, version 2.1.": "LGPL-2.1",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.": "CC-BY-SA-4.0",
+        "Distributed under the Boost Software License, Version 1.0.": "BSL-1.0",
+        "Licensed under MPL 2.0": "MPL-2.0",
+    }
+    texts = ["Copyright (c) 2020, Some Body\nAll rights reserved.\n\n" + lic._BSD + "\n" + "\n\n".join(f"{k}. {x}" for k, x in enumerate(lic._BSD_TERMS[:n], 1)) + "\n" + lic._DISCLAIMER for n in (2, 3)]
+    texts += ["ISC License\n\nCopyright 2020 me\n\n" + lic._ISC.format("/or"), "Copyright me\n" + lic._ZLIB, lic._BOOST, lic._UNLICENSE.format("https://unlicense.org")]
+    long = "A long licence of its own.\nIt has many lines."
+    rows = list(enumerate([*notices, *texts, long]))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    more = spark.createDataFrame([("Long-1.0", long)], "license string, text string")
+    got = {r.doc_id: r for r in lic.scan(df, lic.known_digests(spark, more=more)).collect()}
+    want = [*notices.values(), "BSD-2-Clause", "BSD-3-Clause", "ISC", "Zlib", "BSL-1.0", "Unlicense", "Long-1.0"]
+    assert [got[i].whole_license for i, _ in rows] == want
+    assert all(name in got[i].licenses for i, name in enumerate(want))
