@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regiocast.llm import bpe, decontamination, html_text, licenses, pii, quality, sharding, simhash, substrings, token_counts
+from regiocast.llm import bpe, decontamination, html_text, licenses, pii, quality, sharding, simhash, substrings, token_counts, whitening
 from regiocast.llm.common import table
 from regiocast.session import scratch_path
 
@@ -94,6 +94,22 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    model = whitening.fit(vectors, "embedding", components=16, scale=64.0, offset=1_000_000)
+    explained = F.array(*(F.lit(float(e)) for e in model.explained)).cast("array<double>")
+    rows = whitening.whiten(vectors, model).select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened"))
+    return rows.select(
+        "vec_id",
+        (F.col("at") + 1).alias("component"),
+        F.lit(model.n).cast("long").alias("n"),
+        "deviation",
+        "whitened",
+        F.get(explained, F.col("at")).alias("explained"),
+        F.lit(model.identity_error).alias("identity_error"),
+    )
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_bpe_codec": op2_bpe_codec,
@@ -105,6 +121,7 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_decontamination": op9_decontamination,
     "op10_html_text": op10_html_text,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
 def _license_sql() -> str:
     """Canonical forms by the same fixed values, matched by the text itself instead of its digest."""

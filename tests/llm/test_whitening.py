@@ -1,0 +1,147 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from regiocast.llm import whitening
+from regiocast.llm.queries import op13_embedding_whitening
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def _exact_covariance(x: np.ndarray) -> np.ndarray:
+    """Over different vectors, divisor n, from whole numbers alone."""
+    x = np.unique(x, axis=0).astype(object)
+    n, s = len(x), x.sum(0)
+    y = x * n - s
+    return np.array((y.T @ y) / n**3, dtype=float)
+
+
+def _entries(rng, shape, kind):
+    if kind == "normal":
+        return rng.normal(size=shape)
+    if kind == "ties":
+        return rng.integers(-1, 2, size=shape).astype(float)
+    if kind == "flat":  # less rank than dimensions
+        return rng.normal(size=(shape[0], 2)) @ rng.normal(size=(2, shape[1]))
+    return rng.normal(size=shape) * 10.0 ** -np.arange(shape[1])
+
+
+@pytest.mark.parametrize("kind", ["normal", "ties", "flat", "graded"])
+@pytest.mark.parametrize("rows", [1, 5, 30, 300])
+def test_updates_against_eigh(kind, rows):
+    rng = np.random.default_rng(rows)
+    data = _entries(rng, (rows, 9), kind)
+    one = whitening.Spectrum.empty(9)
+    for row in data:
+        one.add(row[None, :])
+    many = whitening.Spectrum.empty(9)
+    for part in np.array_split(data, 3):
+        other = whitening.Spectrum.empty(9)
+        other.add(part)
+        many.merge(other)
+    centred = data - data.mean(0)
+    scatter = centred.T @ centred
+    size = max(np.abs(scatter).max(), 1e-300)
+    for got in (one, many):
+        assert got.n == rows
+        assert np.abs(got.vectors.T @ got.vectors - np.eye(9)).max() < 1e-12
+        assert np.abs(got.vectors * got.values @ got.vectors.T - scatter).max() <= 1e-12 * size
+        assert (np.diff(got.values) >= 0).all()
+
+
+def test_secular_roots_interlace_and_stay_orthogonal():
+    rng = np.random.default_rng(1)
+    for _ in range(50):
+        m = int(rng.integers(1, 40))
+        d = np.sort(rng.uniform(0, 1, m)) + np.arange(m) * 10.0 ** -rng.integers(2, 14)
+        z = rng.normal(size=m) * 10.0 ** -rng.integers(0, 6, m)
+        d = np.unique(d)
+        z = z[: len(d)]
+        values, vectors = whitening.secular(d, z)
+        assert (values >= d).all() and (values[:-1] <= d[1:]).all()
+        assert np.abs(vectors.T @ vectors - np.eye(len(d))).max() < 1e-12
+        assert np.abs(vectors * values @ vectors.T - np.diag(d) - np.outer(z, z)).max() < 1e-12 * max(1, values[-1])
+
+
+def _check(model, x):
+    v = _exact_covariance(x)
+    e, q = np.linalg.eigh(v)
+    k = len(model.eigenvalues)
+    e, q = e[::-1][:k], q[:, ::-1][:, :k]
+    assert np.allclose(model.eigenvalues, e, rtol=1e-11)
+    assert np.abs(v @ model.components - model.components * model.eigenvalues).max() < 1e-11 * e[0]
+    assert np.allclose(model.explained, e / np.trace(v), rtol=1e-10)
+    assert model.identity_error < 1e-9
+    return e, q
+
+
+def test_query_against_numpy(spark):
+    rows = spark.read.parquet(f"{SMALL}/embeddings.parquet").orderBy("vec_id").collect()
+    x = np.floor(64 * np.array([r.embedding for r in rows], dtype=float)).astype(np.int64) + 1_000_000
+    got = op13_embedding_whitening(spark, SMALL).toPandas().sort_values(["vec_id", "component"])
+    assert len(got) == 16 * len(rows) and sorted(got.component.unique()) == list(range(1, 17))
+    fit = np.unique(x, axis=0).astype(object)
+    n, s = len(fit), fit.sum(0)
+    v = _exact_covariance(x)
+    e, q = np.linalg.eigh(v)
+    e, q = e[::-1][:16], q[:, ::-1][:, :16]
+    want = ((x.astype(object) * n - s) / n).astype(float) @ q / np.sqrt(e)
+    have = got.whitened.to_numpy().reshape(-1, 16)
+    signs = np.sign((want * have).sum(0))
+    assert np.abs(want - have * signs).max() < 1e-9
+    assert (got.n == n).all()
+    assert got.deviation.to_numpy().reshape(-1, 16)[:, 0].tolist() == [int(t) for t in ((x.astype(object) * n - s) ** 2).sum(1)]
+    assert np.allclose(got.explained.to_numpy().reshape(-1, 16)[0], e / np.trace(v), rtol=1e-10)
+    assert got.identity_error.nunique() == 1 and got.identity_error.iloc[0] < 1e-9
+
+
+def test_many_partitions_copies_and_odd_rows(spark):
+    rng = np.random.default_rng(3)
+    data = rng.normal(size=(200, 6)) * [8, 4, 2, 1, 1, 0.5]
+    odd = [None, [1.0, None, 1.0, 1.0, 1.0, 1.0], [1.0, float("nan"), 1.0, 1.0, 1.0, 1.0], [float("inf")] * 6, [1e300] * 6, [], [1.0, 2.0]]
+    vectors = [r.tolist() for r in data] + [data[0].tolist()] * 150 + odd
+    rows = [(i % 190 or None, v, "w", 7) for i, v in enumerate(vectors)]
+    df = spark.createDataFrame(rows, "id long, v array<double>, whitened string, extra int").repartition(40)
+    model = whitening.fit(df, "v", components=4)
+    x = np.floor(64 * data).astype(np.int64) + 1_000_000
+    assert model.n == 200 and model.sums == x.sum(0).tolist()
+    _check(model, x)
+    out = whitening.whiten(df, model, "v")
+    assert out.columns == ["id", "v", "extra", "deviation", "whitened"]
+    got = out.collect()
+    assert len(got) == 350 and all(r.extra == 7 and len(r.whitened) == 4 for r in got)
+    assert sum(r.id is None for r in got) == sum(r[0] is None for r in rows[:350])
+    same = {tuple(r.whitened) for r in got if r.v == data[0].tolist()}
+    assert len(same) == 1
+
+
+def test_more_rounds_reach_what_the_first_basis_misses(spark):
+    """A basis that is off is refined, not trusted."""
+    rng = np.random.default_rng(5)
+    data = np.floor(rng.normal(size=(300, 12)) * np.linspace(40, 4, 12)).astype(np.int64)
+    df = spark.createDataFrame([(r.tolist(),) for r in data], "x array<long>")
+    model = whitening.Whitening(12, len(data), data.sum(0).tolist(), 1.0, 0)
+    _, q = np.linalg.eigh(_exact_covariance(data))
+    off = np.linalg.qr(q[:, ::-1] + 1e-9 * rng.normal(size=(12, 12)))[0]
+    whitening._refine(df, model, off, 3)
+    assert np.abs(_exact_covariance(data) @ model.components - model.components * model.eigenvalues).max() < 1e-11 * model.eigenvalues[0]
+
+
+def test_no_variance_and_no_rows(spark):
+    empty = spark.createDataFrame([], "id long, embedding array<float>")
+    model = whitening.fit(empty)
+    assert model.n == 0 and whitening.whiten(empty, model).collect() == []
+    one = spark.createDataFrame([(1, [1.0, 2.0]), (2, [1.0, 2.0])], "id long, embedding array<float>")
+    model = whitening.fit(one)
+    assert model.n == 1 and len(model.eigenvalues) == 0
+    assert whitening.whiten(one, model).collect() == []
+    two = spark.createDataFrame([(1, [1.0, 2.0]), (2, [2.0, 2.0])], "id long, embedding array<float>")
+    model = whitening.fit(two)
+    got = whitening.whiten(two, model).select("id", F.col("whitened")[0].alias("w"), F.size("whitened").alias("k")).collect()
+    assert sorted(abs(r.w) for r in got) == [1.0, 1.0] and {r.k for r in got} == {1}
+
+
+def test_deviation_beyond_64_bits_is_exact_or_an_error():
+    model = whitening.Whitening(1, 3 * 10**9, [0], 1.0, 0)
+    assert model.deviation(np.array([[1]])) == [9 * 10**18]
+    assert model.deviation(np.array([[2]])) == [36 * 10**18]  # too large for a long: Arrow raises
