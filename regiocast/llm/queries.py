@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regiocast.llm import bpe, decontamination, html_text, licenses, pii, quality, sharding, simhash, substrings, token_counts, whitening
-from regiocast.llm.common import table
+from regiocast.llm import bpe, decontamination, html_text, licenses, periodic, pii, quality, sharding, simhash, substrings, token_counts, whitening
+from regiocast.llm.common import split_words, table
 from regiocast.session import scratch_path
 
 
@@ -94,6 +94,34 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def planted_cycles(doc_id: Column, text: Column) -> Column:
+    """The text, or for one id in ten its words with all from place a on repeating the p words there (a, p: by the id's CRC)."""
+    crc, words = F.crc32(doc_id.cast("string")), split_words(text)
+    g, n = F.floor(crc / 10), F.size(words)
+    a = F.when(n > 0, F.pmod(g, n)).cast("int")
+    p = (F.lit(1) + F.floor((n - a) / (F.lit(3) + F.pmod(g, F.lit(8))))).cast("int")
+    head = F.slice(words, F.lit(1), a)
+    tail = F.transform(F.sequence(F.lit(0), n - a - 1), lambda i: F.get(words, a + F.pmod(i, p)))
+    return F.when((F.pmod(crc, F.lit(10)) == 0) & (n > 0), F.array_join(F.concat(head, tail), " ")).otherwise(text)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = periodic.find_runs(docs.select("doc_id", planted_cycles(F.col("doc_id"), F.col("text")).alias("text")))
+    line = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    best = found.select("doc_id", "runs", "collapsed", periodic.greatest_run(F.col("runs")).alias("best"))
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(line, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     model = whitening.fit(vectors, "embedding", components=16, scale=64.0, offset=1_000_000)
@@ -121,6 +149,7 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_decontamination": op9_decontamination,
     "op10_html_text": op10_html_text,
+    "op12_periodic_runs": op12_periodic_runs,
     "op13_embedding_whitening": op13_embedding_whitening,
 }
 def _license_sql() -> str:
