@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regiocast.llm import bpe, decontamination, html_text, licenses, periodic, pii, quality, sharding, simhash, substrings, token_counts, whitening
+from regiocast.llm import bpe, decontamination, html_text, licenses, periodic, pii, quality, sharding, simhash, substrings, token_counts, url_rules, whitening
 from regiocast.llm.common import split_words, table
 from regiocast.session import scratch_path
 
@@ -94,6 +94,22 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+#: Explicit rules of the registered query (host, path, verdict); what they decide are the labels that rules are mined from.
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    judged = url_rules.judge(table(spark, sf_dir, "pages").select("page_id", "url"), rules)
+    return judged.select("page_id", "host", "path", "rule", "verdict", "mined")
+
+
 def planted_cycles(doc_id: Column, text: Column) -> Column:
     """The text, or for one id in ten its words with all from place a on repeating the p words there (a, p: by the id's CRC)."""
     crc, words = F.crc32(doc_id.cast("string")), split_words(text)
@@ -149,6 +165,7 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_decontamination": op9_decontamination,
     "op10_html_text": op10_html_text,
+    "op11_url_filter": op11_url_filter,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_embedding_whitening": op13_embedding_whitening,
 }
