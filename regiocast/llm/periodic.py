@@ -133,16 +133,18 @@ def _blocks(texts: Iterator[str]) -> Iterator[list[list[str]]]:
 
 def _block_runs(texts: list[list[str]], min_length: int, min_repeats: int) -> list[list[tuple[int, int, int]]]:
     """The runs of each text; a name that occurs once keeps texts apart."""
-    firsts, coded, used = [], [], 0
+    firsts, coded, at, used = [], [], 0, 0
     for words in texts:
-        codes: dict[str, int] = {}
-        firsts.append(len(coded))
-        coded += [used + codes.setdefault(w, len(codes)) for w in words]
-        coded.append(used + len(codes))
+        codes = {w: used + i for i, w in enumerate(dict.fromkeys(words))}
         used += len(codes) + 1
+        own = np.full(len(words) + 1, used - 1, np.int64)
+        own[:-1] = np.fromiter(map(codes.__getitem__, words), np.int64, len(words))
+        firsts.append(at)
+        coded.append(own)
+        at += len(own)
     out: list[list[tuple[int, int, int]]] = [[] for _ in texts]
     bounds = np.array(firsts)
-    for start, length, p in runs_of(np.array(coded, np.int64), max(map(len, texts)) // min_repeats, min_length, min_repeats):
+    for start, length, p in runs_of(np.concatenate(coded), max(map(len, texts)) // min_repeats, min_length, min_repeats):
         k = int(np.searchsorted(bounds, start, "right")) - 1
         out[k].append((start - firsts[k], length, p))
     return out

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regiocast.llm import bpe, decontamination, html_text, licenses, periodic, pii, quality, sharding, simhash, substrings, token_counts, url_rules, whitening
@@ -110,20 +110,21 @@ def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "mined")
 
 
-def planted_cycles(doc_id: Column, text: Column) -> Column:
-    """The text, or for one id in ten its words with all from place a on repeating the p words there (a, p: by the id's CRC)."""
-    crc, words = F.crc32(doc_id.cast("string")), split_words(text)
-    g, n = F.floor(crc / 10), F.size(words)
-    a = F.when(n > 0, F.pmod(g, n)).cast("int")
-    p = (F.lit(1) + F.floor((n - a) / (F.lit(3) + F.pmod(g, F.lit(8))))).cast("int")
-    head = F.slice(words, F.lit(1), a)
-    tail = F.transform(F.sequence(F.lit(0), n - a - 1), lambda i: F.get(words, a + F.pmod(i, p)))
-    return F.when((F.pmod(crc, F.lit(10)) == 0) & (n > 0), F.array_join(F.concat(head, tail), " ")).otherwise(text)
+def planted_cycles(docs: DataFrame) -> DataFrame:
+    """(doc_id, text), for one id in ten the words from place a on replaced by their first p over and over (a, p: by the id's CRC)."""
+    crc = F.crc32(F.col("doc_id").cast("string"))
+    split = docs.select("doc_id", "text", F.floor(crc / 10).alias("g"), F.when(F.pmod(crc, F.lit(10)) == 0, split_words(F.col("text"))).alias("w"))
+    n = F.size("w")
+    placed = split.withColumn("a", F.when(n > 0, F.pmod("g", n)).cast("int"))
+    placed = placed.withColumn("p", (F.lit(1) + F.floor((n - F.col("a")) / (F.lit(3) + F.pmod("g", F.lit(8))))).cast("int"))
+    times = F.ceil((n - F.col("a")) / F.col("p")).cast("int")
+    cycle = F.flatten(F.array_repeat(F.slice("w", F.col("a") + 1, F.col("p")), times))
+    words = F.concat(F.slice("w", F.lit(1), F.col("a")), F.slice(cycle, F.lit(1), n - F.col("a")))
+    return placed.select("doc_id", F.when(F.col("a").isNotNull(), F.array_join(words, " ")).otherwise(F.col("text")).alias("text"))
 
 
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    found = periodic.find_runs(docs.select("doc_id", planted_cycles(F.col("doc_id"), F.col("text")).alias("text")))
+    found = periodic.find_runs(planted_cycles(table(spark, sf_dir, "documents")))
     line = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
     best = found.select("doc_id", "runs", "collapsed", periodic.greatest_run(F.col("runs")).alias("best"))
     return best.select(

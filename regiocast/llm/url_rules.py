@@ -177,8 +177,8 @@ def _recounted(labelled: DataFrame, rules: DataFrame, min_support: float, min_co
     total = labelled.count()
     counted = (
         _hits(urls, rules)
-        .groupBy("tokens", "verdict", "anchor")
-        .agg(F.count("*").alias("n"), F.count_if(F.col("is") == F.col("verdict")).alias("support"))
+        .groupBy("tokens", "verdict")  # not by the anchor too: a hot one's join stays free to be split
+        .agg(F.count("*").alias("n"), F.count_if(F.col("is") == F.col("verdict")).alias("support"), F.first("anchor").alias("anchor"))
         .withColumn("confidence", F.col("support") / F.col("n"))
     )
     enough = (F.col("support") >= max(min_support * total, min_count)) & (F.col("confidence") >= min_confidence)
