@@ -33,6 +33,13 @@ def sql_after(start_after: str | _dt.date | None, col: str = "date") -> str:
     return f"WHERE {col} > {sql_date(start_after)}" if start_after is not None else ""
 
 
+def lenient_date_sql(col: str) -> str:
+    """``y-M-d`` text as a date; a month or day beyond its range rolls over (``2021-13-1`` is 2022-01-01, ``2021-2-30`` 2021-03-02)."""
+    part = lambda i: f"TRY_CAST(regexp_extract({col}, '^([0-9]{{1,4}})-([0-9]{{1,4}})-([0-9]{{1,5}})$', {i}) AS INT)"
+    first = f"add_months(TRY_CAST(concat(lpad(regexp_extract({col}, '^([0-9]{{1,4}})-', 1), 4, '0'), '-01-01') AS DATE), {part(2)} - 1)"
+    return f"date_add({first}, {part(3)} - 1)"
+
+
 def _c(col: str | Column) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
