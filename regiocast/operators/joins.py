@@ -9,22 +9,28 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from regiocast.session import cut_lineage
+
 
 def region_join(left: DataFrame, right: DataFrame, on: str | list[str] = "region") -> DataFrame:
     """Inner equi-join; keys missing on either side vanish (reference semantics)."""
     return left.join(right, on=on, how="inner")
 
 
-def drop_rare_keys(df: DataFrame, keys: list[str], min_count: int) -> DataFrame:
-    """Keep rows whose key occurs at least ``min_count`` times.
+def drop_rare_keys(df: DataFrame, keys: list[str], min_count: int, materialise: bool = True) -> DataFrame:
+    """Keep rows whose key (NULL is a key like any other) occurs at least ``min_count`` times.
 
-    One pass: a count over the key's window, so the input is computed and
-    shuffled once.  The window holds one key's rows (on disk where they do not
-    fit), which suits bounded groups such as the days of one month; on raw
-    rows prefer the fused form (a HAVING in the aggregate, as in C2).
+    Counts per key are partial aggregates; the rare keys are joined against
+    the rows, and no task holds a key's rows: a hot key is a count of one row
+    per task in the aggregate, and a side that can be split in the join.
+    ``materialise`` writes ``df`` once where both uses would compute it again;
+    a plain scan is better read twice (the counts read the keys only).
     """
-    cols, by = ", ".join(f"`{c}`" for c in df.columns), ", ".join(f"`{k}`" for k in keys)
+    rows = cut_lineage(df) if materialise else df
+    cols, by = ", ".join(f"r.`{c}`" for c in df.columns), ", ".join(f"`{k}`" for k in keys)
+    same = " AND ".join(f"r.`{k}` <=> rare.`{k}`" for k in keys)
     return df.sparkSession.sql(
-        f"SELECT {cols} FROM (SELECT *, COUNT(1) OVER (PARTITION BY {by}) AS _rows FROM {{t}}) WHERE _rows >= {int(min_count)}",
-        t=df,
+        f"SELECT {cols} FROM {{rows}} r LEFT ANTI JOIN "
+        f"(SELECT {by} FROM {{rows}} GROUP BY {by} HAVING COUNT(1) < {int(min_count)}) rare ON {same}",
+        rows=rows,
     )

@@ -30,20 +30,28 @@ def region_ranking(top: DataFrame, rank_col: str = "rank", ordered: bool = True)
 def category_trend(
     doses: DataFrame, region: str, start_after: str | _dt.date | None = None, ordered: bool = True
 ) -> DataFrame:
-    """(month, age, women, change) for one region; change is NULL for a band's first month.
+    """(month, age, women, change) for one region, a row for every month from a band's first to its last.
 
-    The window is partitioned by age band over already-aggregated months, so
-    each window partition holds one row per month.
+    A month without rows counts 0, so ``change`` is always from the calendar
+    month before; it is NULL for a band's first month.  The window is
+    partitioned by age band over already-aggregated months, so each window
+    partition holds one row per month.
     """
     after = f"AND date > {sql_date(start_after)}" if start_after is not None else ""
     order = "ORDER BY age, month" if ordered else ""
     return doses.sparkSession.sql(
         f"""
+        WITH totals AS (
+          SELECT trunc(date, 'MM') AS month, age, SUM(women) AS women
+          FROM {{doses}} WHERE region = :region {after}
+          GROUP BY trunc(date, 'MM'), age),
+        spine AS (
+          SELECT age, explode(sequence(min(month), max(month), INTERVAL 1 MONTH)) AS month FROM totals GROUP BY age),
+        every AS (
+          SELECT s.month, s.age, coalesce(t.women, 0) AS women
+          FROM spine s LEFT JOIN totals t ON t.age <=> s.age AND t.month = s.month)
         SELECT month, age, women, women - lag(women) OVER (PARTITION BY age ORDER BY month) AS change
-        FROM (SELECT trunc(date, 'MM') AS month, age, SUM(women) AS women
-              FROM {{doses}} WHERE region = :region {after}
-              GROUP BY trunc(date, 'MM'), age)
-        {order}""",
+        FROM every {order}""",
         args={"region": region},
         doses=doses,
     )

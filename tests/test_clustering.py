@@ -3,8 +3,9 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
-from regiocast.operators.clustering import cluster
+from regiocast.operators.clustering import cluster, stable_kmeans
 
 # The 21 (region, percent) pairs of the recorded clustering
 # results, in file order, and the recorded labels (seed 1, one partition).
@@ -97,3 +98,27 @@ def test_relabel_orders_clusters_by_centre(coverage, algorithm):
         lo[r.prediction] = min(lo.get(r.prediction, r.percent), r.percent)
     assert sorted(lo) == [0, 1, 2]
     assert lo[0] < lo[1] < lo[2]  # one-dimensional clusters are intervals, numbered low to high
+
+
+def test_stable_labels_do_not_depend_on_the_layout(spark):
+    df = spark.createDataFrame(RECORDED, "region string, percent double")
+    runs = [
+        {r.region: r.prediction for r in stable_kmeans(part, ["percent"], 4, key_cols=["region"]).collect()}
+        for part in (df.coalesce(1), df.repartition(4), df.orderBy(F.desc("percent")).repartition(21))
+    ]
+    assert runs[0] == runs[1] == runs[2] and set(runs[0].values()) == {0, 1, 2, 3}
+    by_label = [sorted(p for region, p in RECORDED if runs[0][region] == label) for label in range(4)]
+    assert all(a[-1] < b[0] for a, b in zip(by_label, by_label[1:], strict=False))  # numbered by centre
+    means = [sum(c) / len(c) for c in by_label]
+    assert all(min(range(4), key=lambda i: abs(p - means[i])) == runs[0][region] for region, p in RECORDED)
+
+
+def test_stable_labels_of_odd_tables(spark):
+    schema = "id int, x double, y double, prediction string"
+    rows = [(i, float(i % 3) * 10, 1.0, "old") for i in range(30)] + [(None, 0.0, 1.0, "old"), (77, None, 1.0, "old"), (78, float("nan"), 1.0, "old")]
+    got = stable_kmeans(spark.createDataFrame(rows, schema), ["x", "y"], 5, key_cols=["id"]).collect()
+    assert {(r.x, r.prediction) for r in got if r.id is not None and r.id < 30} == {(0.0, 0), (10.0, 1), (20.0, 2)}  # three different vectors
+    assert [r.prediction for r in got if r.id in (77, 78)] == [None, None] and len(got) == 33
+    assert stable_kmeans(spark.createDataFrame([], schema), ["x"], 2, key_cols=["id"]).collect() == []
+    with pytest.raises(ValueError):
+        stable_kmeans(spark.createDataFrame(rows, schema), ["x"], 2, key_cols=[])
