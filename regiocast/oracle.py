@@ -13,14 +13,17 @@ from regiocast.functions.dates import as_date
 from regiocast.registry import (
     CLUSTERS_K,
     COVERAGE_START_AFTER,
+    LANDED_START_AFTER,
     MIN_POINTS,
     MONTHLY_START_AFTER,
+    SERIES_CHUNK,
     TARGET_DATE,
     TOP_N,
     TREND_REGION,
 )
 
 M_START = f"DATE '{as_date(MONTHLY_START_AFTER).isoformat()}'"
+L_START = f"DATE '{as_date(LANDED_START_AFTER).isoformat()}'"
 C_START = f"DATE '{as_date(COVERAGE_START_AFTER).isoformat()}'"
 TARGET = f"DATE '{as_date(TARGET_DATE).isoformat()}'"
 
@@ -139,6 +142,31 @@ monthly AS (
   FROM summary WHERE date > {M_START} GROUP BY 1, 2
 )"""
 
+TREND_MONTHS = f"""
+months AS (
+  SELECT CAST(date_trunc('month', date) AS DATE) AS month, age, CAST(SUM(women) AS BIGINT) AS women
+  FROM doses WHERE region = '{TREND_REGION}' AND date > {M_START} GROUP BY 1, 2
+)"""
+
+#: K-means of one feature from seeds by key digest, one step a row of the recursion.
+STABLE_KMEANS = f"""
+points AS MATERIALIZED (SELECT region, percent AS x FROM cov),
+seeds AS (
+  SELECT list_sort(list(x)) AS c FROM (
+    SELECT x, min(md5('1' || chr(1) || region)) AS d FROM points GROUP BY x ORDER BY d, x LIMIT {CLUSTERS_K})
+),
+steps AS (
+  SELECT 0 AS step, c, CAST(NULL AS DOUBLE[]) AS before FROM seeds
+  UNION ALL
+  SELECT step + 1, (
+    SELECT list_sort(list(m)) FROM (
+      SELECT CAST(SUM(CAST(x AS DECIMAL(28, 12))) AS DOUBLE) / COUNT(*) AS m
+      FROM (SELECT x, list_position(list_transform(s.c, lambda v: (x - v) * (x - v)), list_min(list_transform(s.c, lambda v: (x - v) * (x - v)))) AS k FROM points)
+      GROUP BY k)), c
+  FROM steps s WHERE step < 100 AND c IS DISTINCT FROM before
+),
+done AS (SELECT c FROM steps ORDER BY step DESC LIMIT 1)"""
+
 C1 = _with(_base(), MONTHLY, CENTERS) + """
 SELECT m.date, m.region,
        (CAST(m.total AS DOUBLE) / CAST(day(last_day(m.date)) AS DOUBLE)) / CAST(c.centers AS DOUBLE) AS mean_vacc_center
@@ -221,16 +249,38 @@ SELECT region, COUNT(*) AS appearances, CAST(SUM(CASE WHEN rnk = 1 THEN 1 ELSE 0
        CAST(MIN(rnk) AS BIGINT) AS best_rank, AVG(rnk) AS mean_rank
 FROM top WHERE rnk <= {TOP_N} GROUP BY region
 ORDER BY appearances DESC, first_places DESC, region""",
-    "category_trend": _with(_base()) + f"""
-SELECT month, age, women, women - lag(women) OVER (PARTITION BY age ORDER BY month) AS change
-FROM (SELECT CAST(date_trunc('month', date) AS DATE) AS month, age, CAST(SUM(women) AS BIGINT) AS women
-      FROM doses WHERE region = '{TREND_REGION}' AND date > {M_START} GROUP BY 1, 2)
-ORDER BY age, month""",
+    "category_trend": _with(_base(), TREND_MONTHS) + """
+SELECT a.month, a.age, CAST(coalesce(b.women, 0) AS BIGINT) AS women,
+       CASE WHEN a.month = a.first THEN NULL ELSE CAST(coalesce(b.women, 0) - coalesce(c.women, 0) AS BIGINT) END AS change
+FROM (SELECT age, first, CAST(unnest(generate_series(first, last, INTERVAL 1 MONTH)) AS DATE) AS month
+      FROM (SELECT age, min(month) AS first, max(month) AS last FROM months GROUP BY age)) a
+LEFT JOIN months b ON b.age = a.age AND b.month = a.month
+LEFT JOIN months c ON c.age = a.age AND c.month = CAST(a.month - INTERVAL 1 MONTH AS DATE)
+ORDER BY a.age, a.month""",
     "csv_roundtrip": C1,
     "sorted_report": _with(_base(), DAILY, _forecast(MIN_POINTS, "trunc", "vacc_women"), _top("vacc_women")) + f"""
 SELECT date, age, region, vacc_women, row_number() OVER (ORDER BY date, age, vacc_women DESC, region) AS position
 FROM top WHERE rnk <= {TOP_N}""",
     "doses_landing": _with(_base()) + "SELECT date, age, region, CAST(SUM(women) AS BIGINT) AS women FROM doses GROUP BY ALL",
+    "single_file_report": f"SELECT *, row_number() OVER (ORDER BY date, region DESC) AS position FROM ({C1})",
+    "report_positions": _with(_base(), DAILY)
+    + "SELECT date, age, region, women, row_number() OVER (ORDER BY women DESC, date, region, age) AS position FROM daily",
+    "series_chunks": _with(_base(), DAILY) + f"""
+SELECT age, region, chunk, COUNT(*) AS n_points, min(date) AS first_date, max(date) AS last_date,
+       arg_max(women, date) AS last_women, CAST(SUM(women) AS BIGINT) AS women
+FROM (SELECT *, (row_number() OVER (PARTITION BY age, region ORDER BY date) - 1) // {SERIES_CHUNK} AS chunk FROM daily)
+GROUP BY age, region, chunk""",
+    "stream_landing_by_header": _with(_base()) + "SELECT date, age, region, CAST(SUM(women) AS BIGINT) AS women FROM doses GROUP BY ALL",
+    "landing_quarantine": _with(_base()) + """
+SELECT region, reason, COUNT(*) AS n_rows, CASE WHEN reason = '' THEN CAST(SUM(women) AS BIGINT) END AS total
+FROM (SELECT *, concat_ws(',', CASE WHEN women % 11 = 3 THEN 'date' END, CASE WHEN women % 7 = 2 THEN 'total' END) AS reason FROM doses)
+GROUP BY region, reason""",
+    "landed_month_pruning": C1.replace(M_START, L_START),
+    "region_clusters_stable": f"WITH RECURSIVE cov AS ({C3}),{STABLE_KMEANS}"
+    + """
+SELECT region, x AS percent,
+       list_position(list_transform(c, lambda v: (x - v) * (x - v)), list_min(list_transform(c, lambda v: (x - v) * (x - v)))) - 1 AS prediction
+FROM points, done""",
     # the percentages are derived here; of the labels the oracle states what must hold for them
     "region_clusters_kmeans": f"SELECT region, percent, true AS nearest, CAST({CLUSTERS_K} AS BIGINT) AS n_clusters FROM ({C3})",
     "region_clusters_bisecting": f"SELECT region, percent, true AS interval, CAST({CLUSTERS_K} AS BIGINT) AS n_clusters FROM ({C3})",

@@ -7,6 +7,7 @@ dates onto the tables' ship-date range.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,9 +16,11 @@ from pyspark.sql import functions as F
 from regiocast.functions import dates
 from regiocast.functions.dates import sql_date
 from regiocast.operators import aggregates as agg
+from regiocast.operators.clustering import stable_kmeans
 from regiocast.operators.joins import drop_rare_keys, region_join
+from regiocast.operators.ordering import positions, with_positions
 from regiocast.operators.regression import linear_fit, predict_at
-from regiocast.operators.series import flatten_struct, series_collect, with_struct_key
+from regiocast.operators.series import flatten_struct, series_chunks, series_collect, with_struct_key
 from regiocast.plans.coverage import coverage_clusters, coverage_percent, forecast_at_date
 from regiocast.plans.forecast import (
     forecast_next_month,
@@ -28,7 +31,7 @@ from regiocast.plans.monthly_mean import monthly_mean_per_center
 from regiocast.plans.reports import category_trend, region_ranking
 from regiocast.session import cut_lineage, remove_scratch, scratch_path
 from regiocast.sources import schemas, tables
-from regiocast.sources.landing import land, type_columns
+from regiocast.sources.landing import land, read_after, type_columns
 from regiocast.sources.sinks import read_csv, write_csv
 from regiocast.streaming.landing import land_available
 
@@ -41,6 +44,8 @@ TOP_N = 5
 MIN_POINTS = 2
 TREND_REGION = "NATION_3"
 CLUSTERS_K = 3
+SERIES_CHUNK = 5
+LANDED_START_AFTER = "1998-06-15"  # C1 on a landed table: leaves out whole months
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -65,12 +70,15 @@ def q_date_after_filter(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_sql_view_filter(spark: SparkSession, d: str) -> DataFrame:
-    view = "regiocast_doses"
-    tables.doses(spark, d).createOrReplaceTempView(view)
-    return spark.sql(
-        f"SELECT date, age, region, SUM(women) AS women FROM {view} "
-        f"WHERE date > {sql_date(MONTHLY_START_AFTER)} GROUP BY date, age, region"
-    )
+    view = f"regiocast_doses_{uuid.uuid4().hex}"  # calls at a time do not share it
+    tables.doses(spark, d).createTempView(view)
+    try:
+        return spark.sql(
+            f"SELECT date, age, region, SUM(women) AS women FROM {view} "
+            f"WHERE date > {sql_date(MONTHLY_START_AFTER)} GROUP BY date, age, region"
+        )
+    finally:  # the plan is resolved by now
+        spark.catalog.dropTempView(view)
 
 
 def q_string_cast_sum(spark: SparkSession, d: str) -> DataFrame:
@@ -173,6 +181,19 @@ def q_series_collect(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def q_series_chunks(spark: SparkSession, d: str) -> DataFrame:
+    """The days of a region and age band over all months, five to an array."""
+    s = series_chunks(_daily(spark, d), ["age", "region"], "date", "women", SERIES_CHUNK)
+    return s.selectExpr(
+        "age", "region", "chunk",
+        "CAST(size(series) AS BIGINT) AS n_points",
+        "series[0].date AS first_date",
+        "element_at(series, -1).date AS last_date",
+        "element_at(series, -1).women AS last_women",
+        "aggregate(series, 0L, (s, p) -> s + p.women) AS women",
+    )
+
+
 def q_monthly_mean_per_center(spark: SparkSession, d: str) -> DataFrame:
     return monthly_mean_per_center(_summed(spark, d), tables.centers(spark, d), MONTHLY_START_AFTER)
 
@@ -222,12 +243,36 @@ def q_sorted_report(spark: SparkSession, d: str) -> DataFrame:
     path = scratch_path(spark, "report")
     q_top_regions_by_forecast(spark, d).write.parquet(path)
     rows = spark.read.parquet(path).select("*", "_metadata.file_name", "_metadata.row_index")
-    back = rows.selectExpr("date", "age", "region", "vacc_women", "CAST(row_number() OVER (ORDER BY file_name, row_index) AS BIGINT) AS position")
-    back = cut_lineage(back)
+    back = cut_lineage(positions(rows, "file_name", "row_index"))
     remove_scratch(spark, path)
     return back
 
 
+def q_single_file_report(spark: SparkSession, d: str) -> DataFrame:
+    """The monthly means as one CSV file in order, read back with the place of each row in that file."""
+    path = scratch_path(spark, "single")
+    write_csv(q_monthly_mean_per_center(spark, d), path, sort_by=["date", "region DESC"], single_file=True)
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_block_start").alias("_part"), F.monotonically_increasing_id().alias("_id"))
+    lines = cut_lineage(lines)
+    remove_scratch(spark, path)
+    starts = lines.groupBy("_part").agg(F.min("_id").alias("_first"))  # a block's lines are numbered in order
+    placed = positions(lines.join(starts, "_part").select("value", "_part", (F.col("_id") - F.col("_first")).alias("_index")))
+    fields = F.split("value", ",")
+    return placed.where("value != 'date,region,mean_vacc_center' OR position > 1").select(
+        F.to_date(fields[0]).alias("date"),
+        fields[1].alias("region"),
+        fields[2].cast("double").alias("mean_vacc_center"),
+        (F.col("position") - 1).alias("position"),
+    )
+
+
+def q_report_positions(spark: SparkSession, d: str) -> DataFrame:
+    """The place of every daily sum in the order of its size, largest first, then day, region and age."""
+    rows = _daily(spark, d)
+    by = [F.desc("women"), F.asc("date"), F.asc("region"), F.asc("age")]
+    return with_positions(rows, by).select("date", "age", "region", "women", "position")
+
+
 def q_doses_landing(spark: SparkSession, d: str) -> DataFrame:
     """The doses feed as text in its six-column layout, landed by the batch job, summed per (date, age, region)."""
     feed, landed = scratch_path(spark, "feed"), scratch_path(spark, "doses")
@@ -238,6 +283,50 @@ def q_doses_landing(spark: SparkSession, d: str) -> DataFrame:
     return rows
 
 
+def q_stream_landing_by_header(spark: SparkSession, d: str) -> DataFrame:
+    """Doses in drops of two layouts, landed by the stream: each file is read by its own header."""
+    drops, landed = scratch_path(spark, "drops"), scratch_path(spark, "landed")
+    feed = tables.raw_doses(spark, d)
+    odd = F.dayofyear(F.to_date("date")) % 2 == 1
+    feed.where(odd).write.option("header", True).csv(f"{drops}/own")
+    feed.where(~odd).select("date", "supplier", "region", "age", "women", "men").write.option("header", True).csv(f"{drops}/permuted")
+    rows = land_available(spark, f"{drops}/*", landed, schemas.DOSES_RAW, schemas.DOSES).rows
+    summed = cut_lineage(agg.daily_sum(rows))
+    remove_scratch(spark, drops)
+    remove_scratch(spark, landed)
+    return summed
+
+
+def q_landing_quarantine(spark: SparkSession, d: str) -> DataFrame:
+    """A feed with bad dates and counts, landed with quarantine: rows fed, landed and rejected by day and reason."""
+    feed, landed = scratch_path(spark, "feed"), scratch_path(spark, "quarantine")
+    fed = tables.doses(spark, d).selectExpr(
+        "CASE WHEN women % 11 = 3 THEN 'soon' ELSE date_format(date, 'yyyy-MM-dd') END AS date",
+        "region",
+        "CASE WHEN women % 7 = 2 THEN concat(women, '?') ELSE CAST(women AS STRING) END AS total",
+    )
+    fed.write.option("header", True).csv(feed)
+    good = land(spark, feed, f"{landed}/good", schemas.SUMMARY_RAW, schemas.SUMMARY, on_bad="quarantine", rejects=f"{landed}/bad")
+    counted = good.groupBy("region").agg(F.count("*").alias("n_rows"), F.sum("total").alias("total")).selectExpr("region", "'' AS reason", "n_rows", "total")
+    bad = spark.read.parquet(f"{landed}/bad").groupBy("region", F.col("_reason").alias("reason")).agg(F.count("*").alias("n_rows"))
+    out = cut_lineage(counted.unionByName(bad.withColumn("total", F.lit(None).cast("long"))))
+    remove_scratch(spark, feed)
+    remove_scratch(spark, landed)
+    return out
+
+
+def q_landed_month_pruning(spark: SparkSession, d: str) -> DataFrame:
+    """The monthly means from a summary landed by month: the start date opens only the months from then on."""
+    feed, landed = scratch_path(spark, "feed"), scratch_path(spark, "months")
+    tables.raw_summary(spark, d).write.option("header", True).csv(feed)
+    land(spark, feed, landed, schemas.SUMMARY_RAW, schemas.SUMMARY, month_of="date")
+    summary = read_after(spark, landed, schemas.SUMMARY, LANDED_START_AFTER)
+    means = cut_lineage(monthly_mean_per_center(summary, tables.centers(spark, d), LANDED_START_AFTER))
+    remove_scratch(spark, feed)
+    remove_scratch(spark, landed)
+    return means
+
+
 def q_stream_landing(spark: SparkSession, d: str) -> DataFrame:
     """The feed as text drops (derived from the tables), landed by the streaming job."""
     drops, landed = scratch_path(spark, "drops"), scratch_path(spark, "landed")
@@ -275,6 +364,12 @@ def _clusters(algorithm: str, holds: str, name: str) -> Query:
     return run
 
 
+def q_region_clusters_stable(spark: SparkSession, d: str) -> DataFrame:
+    """The labels themselves: K-means whose result does not depend on the layout, numbered by ascending centre."""
+    cov = q_coverage_percent(spark, d)
+    return stable_kmeans(cov, ["percent"], CLUSTERS_K, key_cols=["region"]).selectExpr("region", "percent", "CAST(prediction AS BIGINT) AS prediction")
+
+
 QUERIES: dict[str, Query] = {
     "date_after_filter": q_date_after_filter,
     "sql_view_filter": q_sql_view_filter,
@@ -303,6 +398,13 @@ QUERIES: dict[str, Query] = {
     "csv_roundtrip": q_csv_roundtrip,
     "stream_landing": q_stream_landing,
     "sorted_report": q_sorted_report,
+    "single_file_report": q_single_file_report,
+    "report_positions": q_report_positions,
+    "series_chunks": q_series_chunks,
+    "stream_landing_by_header": q_stream_landing_by_header,
+    "landing_quarantine": q_landing_quarantine,
+    "landed_month_pruning": q_landed_month_pruning,
+    "region_clusters_stable": q_region_clusters_stable,
     "doses_landing": q_doses_landing,
     "region_clusters_kmeans": _clusters("kmeans", "abs(t.percent - c.centre) <= abs(t.percent - o.centre)", "nearest"),
     "region_clusters_bisecting": _clusters("bisecting", "o.high < c.low OR o.low > c.high", "interval"),

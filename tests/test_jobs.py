@@ -74,3 +74,25 @@ def test_inputs_are_required(capsys):
     with pytest.raises(SystemExit):
         jobs.main(["coverage", "--summary", "x", "--algorithm", "kmeans", "--k", "2", "--out", "y", "--start-after", "2020-1-1"])
     assert "--population" in capsys.readouterr().err
+
+
+def test_land_batch_and_stream(spark, scratch):
+    rows = [("2021-01-05", "A", "3"), ("2021-13-1", "A", "4"), ("x", "A", "5")]
+    spark.createDataFrame(rows, "date string, region string, total string").write.option("header", True).csv(f"{scratch}/feed")
+    args = ["land", "--table", "summary", "--src", f"{scratch}/feed", "--on-bad", "quarantine", "--by-month"]
+    out = jobs.main([*args, "--out", f"{scratch}/table"])
+    assert (spark.read.parquet(out).count(), spark.read.parquet(f"{out}_rejected").count()) == (1, 2)
+    jobs.main([*args, "--out", f"{scratch}/table", "--lenient-dates"])
+    assert (spark.read.parquet(out).count(), spark.read.parquet(f"{out}_rejected").count()) == (2, 1)
+    for _ in range(2):  # the second run finds no new file
+        out = jobs.main([*args, "--out", f"{scratch}/stream", "--stream"])
+    assert (spark.read.parquet(out).count(), spark.read.parquet(f"{out}_rejected").count()) == (1, 2)
+    with pytest.raises(ValueError, match="no date"):
+        jobs.main(["land", "--table", "centers", "--src", "x", "--out", "y", "--by-month"])
+
+
+def test_single_file(spark, scratch):
+    out = jobs.main(["monthly-mean", "--sf-dir", SF_SMOKE, "--start-after", MONTHLY_START_AFTER, "--out", f"{scratch}/one", "--single-file"])
+    lines = [r.value for r in spark.read.text(out).collect()]
+    assert lines[0] == "date,region,mean_vacc_center" and len(lines) > 2
+    assert lines[1:] == sorted(lines[1:], key=lambda line: line.split(",")[:2])
