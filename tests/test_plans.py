@@ -31,10 +31,16 @@ def test_headline_plans(spark, key):
     assert "EvalPython" not in plan and "FlatMapGroupsInPandas" not in plan
 
 
-def test_rare_keys_take_one_pass(spark):
+def test_rare_keys_compute_their_input_once(spark):
+    """The daily sums are written once; both uses read that, and no window holds a key's rows."""
     plan = _plan(entry.queries()["rare_key_anti_join"](spark, SF_SMOKE))
-    assert sum("ReadSchema: struct<l_" in line for line in plan.splitlines()) == 1
-    assert "LeftAnti" not in plan
+    assert "ReadSchema: struct<l_" not in plan and "LeftAnti" in plan and "Window" not in plan
+
+
+@pytest.mark.parametrize("key", ["sorted_report", "report_positions", "single_file_report"])
+def test_positions_need_no_global_window(spark, key):
+    plan = _plan(entry.queries()[key](spark, SF_SMOKE))
+    assert "Window" not in plan and "SinglePartition" not in plan
 
 
 def test_reports_are_sorted(spark):
