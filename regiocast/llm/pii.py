@@ -1,20 +1,21 @@
 """Format-preserving pseudonyms for personal data.
 
-Values are found by pattern and then validated: card numbers by their check
-digit, account numbers by their remainder, addresses by their octets, dates by
-the calendar, social security numbers by their reserved ranges.  A value that
-validates is permuted within its format by a keyed Feistel network, check
-digits are set anew, separators and letter case stay: the pseudonym has the
-same form and length, and equal values get equal pseudonyms in all documents.
-The holder of the key can invert it (``reveal=True``).  Card-like numbers that
-fail their check stay as they are.
-
-A card or account number may stand among other digits or words that look like
-its continuation: if a run of digits is no card as a whole, every part between
-group borders is tried, and an account number ends where its country's form
-does.  A pseudonym that would make such neighbours valid is permuted once more,
-so that it is found at the same place when it is revealed (only there may equal
-values differ).
+Values are found by pattern and then validated: card numbers by issuer prefix
+with its lengths, grouping and check digit, account numbers by their country's
+length and remainder, addresses by their octets, dates by the calendar, social
+security numbers by their reserved ranges.  A value that validates is permuted
+within its format by a keyed Feistel network, check digits are set anew,
+separators and letter case stay: the pseudonym has the same form and length,
+and equal values get equal pseudonyms in all documents, a day in all its
+notations.  The holder of the key can invert it (``reveal=True``): issuer,
+country and grouping stay, so a pseudonym is found where its value was.
+Card-like numbers that fail their check stay as they are.
+
+Numbers may stand beside others.  A card is a group of digits without blanks,
+or groups as cards print them (4-4-4-4, 4-6-5, 4-6-4) under one separator; more
+than four groups of four are cards only if they are as a whole, one card after
+the other, as rows of numbers are not.  Of account numbers that overlap, the
+one that starts last counts.
 
 Cases: NULL text stays NULL with no spans, an empty text stays empty; other
 columns pass through, one named like the spans is replaced; rows that repeat
@@ -28,6 +29,7 @@ import functools
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -98,11 +100,29 @@ def luhn_digit(payload: str) -> str:
     return str(-total % 10)
 
 
-def _card(f: Feistel, value: str, back: bool) -> str | None:
+#: Digits that card numbers of the issuers' networks start with, and their lengths.
+ISSUERS = {
+    "4": (13, 16, 19),
+    **{str(n): (16,) for n in (*range(51, 56), *range(2221, 2721))},
+    **{str(n): (15,) for n in (34, 37)},
+    **{str(n): (14,) for n in (*range(300, 306), 36, 38, 39)},
+    **{str(n): (16, 17, 18, 19) for n in (6011, *range(644, 650), 65, 62, *range(3528, 3590), *range(2200, 2205))},
+    **{str(n): tuple(range(13, 20)) for n in (50, 56, 57, 58, 6304, 6759, 6761, 6762, 6763)},
+}
+
+
+def _issuer(digits: str) -> str | None:
+    """The issuer's prefix of a valid card number."""
+    prefix = next((digits[:n] for n in range(1, 5) if digits[:n] in ISSUERS), None)
+    return prefix if prefix and len(digits) in ISSUERS[prefix] and luhn_digit(digits[:-1]) == digits[-1] else None
+
+
+def _card(f: Feistel, value: str, back: bool) -> str:
+    """Of a valid card number; the issuer's prefix stays."""
     digits = re.sub(r"\D", "", value)
-    if not 13 <= len(digits) <= 19 or luhn_digit(digits[:-1]) != digits[-1]:
-        return None
-    payload = f.symbols("card", digits[:-1], [_DIGITS] * (len(digits) - 1), back)
+    prefix = _issuer(digits)
+    rest = digits[len(prefix) : -1]
+    payload = prefix + f.symbols(f"card{prefix}", rest, [_DIGITS] * len(rest), back)
     return _fill(value, payload + luhn_digit(payload))
 
 
@@ -110,10 +130,9 @@ def _iban_check(country: str, account: str) -> str:
     return f"{98 - int(''.join(str(int(c, 36)) for c in account + country + '00')) % 97:02d}"
 
 
-def _iban(f: Feistel, value: str, back: bool) -> str | None:
+def _iban(f: Feistel, value: str, back: bool) -> str:
+    """Of a valid account number; the country stays."""
     plain = value.replace(" ", "")
-    if not 15 <= len(plain) <= 34 or _iban_check(plain[:2], plain[4:]) != plain[2:4]:
-        return None
     account = f.symbols("iban" + plain[:2], plain[4:], [_DIGITS if c.isdigit() else _UPPER for c in plain[4:]], back)
     return _fill(value, plain[:2] + _iban_check(plain[:2], account) + account)
 
@@ -141,31 +160,30 @@ def _ssn(f: Feistel, value: str, back: bool) -> str | None:
 
 
 @functools.cache
-def _days_after_the_twelfth() -> list[int]:
-    return [d for d in range(FIRST_DAY.toordinal(), LAST_DAY.toordinal() + 1) if dt.date.fromordinal(d).day > 12]
+def _days(late: bool) -> list[int]:
+    """Days of the month up to the twelfth, or ``late`` ones, which the month-first form can write."""
+    return [d for d in range(FIRST_DAY.toordinal(), LAST_DAY.toordinal() + 1) if (dt.date.fromordinal(d).day > 12) == late]
 
 
 def _date(f: Feistel, value: str, back: bool) -> str | None:
-    """Year first, or day and month in the order that the value itself allows (day first if both do)."""
+    """Year first, or day and month in the order that the value itself allows (day first if both do).
+
+    A day after the twelfth stays one, in all notations by one permutation, so
+    a month-first date can be written that way and is linked to the others.
+    """
     parts, mark = re.split(r"[-/.]", value), re.search(r"[-/.]", value)[0]
-    orders = ["ymd"] if len(parts[0]) == 4 else ["mdy"] if int(parts[1]) > 12 else ["dmy"]
-    for order in orders:
-        field = dict(zip(order, map(int, parts), strict=True))
-        try:
-            day = dt.date(field["y"], field["m"], field["d"])
-        except ValueError:
-            return None
-        if not FIRST_DAY <= day <= LAST_DAY:
-            return None
-        low, n = FIRST_DAY.toordinal(), LAST_DAY.toordinal() - FIRST_DAY.toordinal() + 1
-        if order == "mdy":  # stay among the days that only this order can write
-            days = _days_after_the_twelfth()
-            new = dt.date.fromordinal(days[f.permute("mdy", len(days), days.index(day.toordinal()), back)])
-        else:
-            new = dt.date.fromordinal(low + f.permute("date", n, day.toordinal() - low, back))
-        text = {"y": f"{new.year:04d}", "m": f"{new.month:02d}", "d": f"{new.day:02d}"}
-        return mark.join(text[c] for c in order)
-    return None
+    order = "ymd" if len(parts[0]) == 4 else "mdy" if int(parts[1]) > 12 else "dmy"
+    field = dict(zip(order, map(int, parts), strict=True))
+    try:
+        day = dt.date(field["y"], field["m"], field["d"])
+    except ValueError:
+        return None
+    if not FIRST_DAY <= day <= LAST_DAY:
+        return None
+    days = _days(day.day > 12)
+    new = dt.date.fromordinal(days[f.permute(f"date{day.day > 12}", len(days), bisect_left(days, day.toordinal()), back)])
+    text = {"y": f"{new.year:04d}", "m": f"{new.month:02d}", "d": f"{new.day:02d}"}
+    return mark.join(text[c] for c in order)
 
 
 def _phone(f: Feistel, value: str, back: bool) -> str | None:
@@ -210,71 +228,91 @@ IBAN_LENGTHS = {
     )
     for country in countries.split(",")
 }
-_RUN = re.compile(r"(?<![\w.-])\d(?:[ -]?\d){12,}(?![\w-]|\.\d)", re.ASCII)
+_RUN = re.compile(r"\d+(?:[ -]\d+)*", re.ASCII)
 _DIGIT_GROUP = re.compile(r"\d+", re.ASCII)
+_BEFORE, _BEHIND = re.compile(r"[\w.-]", re.ASCII), re.compile(r"[\w-]|\.\d", re.ASCII)
 _IBAN_START = re.compile(r"(?<![A-Za-z0-9])([A-Z]{2})\d{2}(?= ?[A-Z0-9])", re.ASCII)
-_IBAN_WHOLE = re.compile(r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", re.ASCII)
-
-
-def _first_card(run: str, at: int) -> tuple[int, int] | None:
-    """A run of up to 19 digits as a whole, else its first valid part behind ``at``: by end, the longest first."""
-    groups = [m.span() for m in _DIGIT_GROUP.finditer(run, at)]
-    valid = lambda a, b: luhn_digit((d := re.sub(r"\D", "", run[a:b]))[:-1]) == d[-1]
-    if at == 0 and sum(b - a for a, b in groups) <= 19 and valid(0, len(run)):
-        return 0, len(run)
-    for k, (_, end) in enumerate(groups):
-        starts, n = [], 0
-        for a, b in groups[k::-1]:
-            n += b - a
-            if n > 19:
-                break
-            if n >= 13:
-                starts.append(a)
-        for start in reversed(starts):
-            if valid(start, end):
-                return start, end
-    return None
-
-
-def _first_iban(line: str, at: int) -> tuple[int, int] | None:
-    """The valid account number behind ``at`` that ends first; a country without a known length has the longest form."""
-    best = None
-    for m in _IBAN_START.finditer(line, at):
-        if best and m.start() >= best[1]:
-            break
-        if n := IBAN_LENGTHS.get(m[1]):
-            whole = re.compile(rf"(?:[A-Z0-9] ?){{{n - 1}}}[A-Z0-9](?![A-Za-z0-9])", re.ASCII).match(line, m.start())
-        else:
-            whole = _IBAN_WHOLE.match(line, m.start())
-        plain = whole[0].replace(" ", "") if whole else ""
-        if 15 <= len(plain) <= 34 and _iban_check(plain[:2], plain[4:]) == plain[2:4] and (best is None or whole.end() < best[1]):
-            best = whole.span()
-    return best
-
-
-def _among_others(f: Feistel, text: str, first: Callable, permute: Callable, back: bool) -> list[tuple[int, int, str]]:
-    """(start, end, new value) of the values that ``first`` finds one after the other."""
-    found, at = [], 0
-    while place := first(text, at):
-        start, end = place
-        while True:  # walks within the values that are found at this place
-            text = text[:start] + permute(f, text[start:end], back) + text[end:]
-            if first(text, at) == place:
-                break
-        found.append((start, end, text[start:end]))
-        at = end
-    return found
+_IBAN_FORMS = {n: re.compile(rf"[A-Z]{{2}}\d{{2}}(?: ?[A-Z0-9]){{{n - 4}}}(?![A-Za-z0-9])", re.ASCII) for n in set(IBAN_LENGTHS.values())}
+
+
+def _card_places(run: str, first: int, last: int) -> Iterator[tuple[int, int]]:
+    """Places of the cards among the groups of a run of digits; whether one is there depends on no other's digits."""
+    groups = [m.span() for m in _DIGIT_GROUP.finditer(run)][first : last or None]
+    sizes = [b - a for a, b in groups]
+
+    def valid(i: int, j: int) -> bool:
+        place = run[groups[i][0] : groups[j - 1][1]]
+        return not (" " in place and "-" in place) and _issuer(re.sub(r"\D", "", place)) is not None
+
+    i = 0
+    while i < len(groups):
+        end = i + 1
+        if sizes[i] == 4:
+            mark = run[groups[i][1]] if i + 1 < len(groups) else ""
+            while end < len(groups) and sizes[end] == 4 and run[groups[end][0] - 1] == mark:
+                end += 1
+            if (end - i) % 4 == 0 and all(valid(k, k + 4) for k in range(i, end, 4)):
+                yield from ((groups[k][0], groups[k + 3][1]) for k in range(i, end, 4))
+                i = end
+                continue
+            if end == i + 1 and sizes[i + 1 : i + 3] in ([6, 5], [6, 4]) and valid(i, i + 3):
+                end = i + 3
+                yield groups[i][0], groups[end - 1][1]
+        elif 13 <= sizes[i] <= 19 and valid(i, end):
+            yield groups[i]
+        i = end
 
 
 def _cards(f: Feistel, line: str, back: bool) -> list[tuple[int, int, str]]:
     out = []
     for m in _RUN.finditer(line):
-        out += [(m.start() + a, m.start() + b, new) for a, b, new in _among_others(f, m[0], _first_card, _card, back)]
+        if m.end() - m.start() < 13:
+            continue
+        # a group that goes on as a word or a number with a point is none
+        first = int(m.start() > 0 and _BEFORE.match(line, m.start() - 1) is not None)
+        last = -int(_BEHIND.match(line, m.end()) is not None)
+        out += [(m.start() + a, m.start() + b, _card(f, m[0][a:b], back)) for a, b in _card_places(m[0], first, last)]
+    return out
+
+
+def _iban_places(line: str) -> list[tuple[int, int]]:
+    """Places of the account numbers: of those that overlap the one that starts last, but none within another."""
+    valid = []
+    for m in _IBAN_START.finditer(line):
+        n = IBAN_LENGTHS.get(m[1])
+        whole = _IBAN_FORMS[n].match(line, m.start()) if n else None
+        plain = whole[0].replace(" ", "") if whole else ""
+        if plain and _iban_check(plain[:2], plain[4:]) == plain[2:4]:
+            valid.append(whole.span())
+    out, reach = [], -1
+    for a, b in valid:  # by start
+        if b <= reach:
+            continue  # within an earlier one
+        while out and out[-1][1] > a:
+            out.pop()
+        out.append((a, b))
+        reach = b
     return out
 
 
 def _ibans(f: Feistel, line: str, back: bool) -> list[tuple[int, int, str]]:
-    return _among_others(f, line, _first_iban, _iban, back)
+    places = _iban_places(line)
+    if not places:
+        return []
+    while True:
+        found = [(a, b, _iban(f, line[a:b], back)) for a, b in places]
+        line = _replaced(line, found)
+        # an invalid form around a valid one could become valid with it (one in 97 of such forms): once more
+        if _iban_places(line) == places:
+            return found
+
+
+def _replaced(line: str, found: list[tuple[int, int, str]]) -> str:
+    parts, last = [], 0
+    for a, b, new in found:
+        parts += [line[last:a], new]
+        last = b
+    return "".join([*parts, line[last:]])
 
 
 #: Fixed patterns, tried in this order at each place; what fails its validation is left to the next kind.  Without a pattern, a search of the line.
@@ -301,24 +339,25 @@ def pseudonymise(text: str, feistel: Feistel, back: bool = False) -> tuple[str,
     for line in text.splitlines(keepends=True):
         if _SIGN.search(line) or _KEY_SIGN.search(line):
             found: list[tuple[int, int, str, str]] = []
+            taken = bytearray(len(line))  # what is found is no part of another value
             for kind, pattern, permute in _ANY:
                 if pattern is None:
-                    rest = line
-                    for start, end, _, _ in found:  # what is found is no part of another value
-                        rest = rest[:start] + "x" * (end - start) + rest[end:]
-                    found += [(start, end, kind, new) for start, end, new in permute(feistel, rest, back)]
-                    continue
-                for m in pattern.finditer(line):
-                    if any(m.start() < end and start < m.end() for start, end, _, _ in found):
-                        continue
-                    if (new := permute(feistel, m[0], back)) is not None:
-                        found.append((m.start(), m.end(), kind, new))
-            parts, last = [], 0
+                    rest = _replaced(line, [(a, b, "x" * (b - a)) for a, b, _, _ in sorted(found)]) if found else line
+                    new = [(a, b, kind, value) for a, b, value in permute(feistel, rest, back)]
+                else:
+                    new = []
+                    for m in pattern.finditer(line):
+                        if taken.find(1, m.start(), m.end()) < 0 and (value := permute(feistel, m[0], back)) is not None:
+                            new.append((m.start(), m.end(), kind, value))
+                for a, b, _, _ in new:
+                    taken[a:b] = b"\1" * (b - a)
+                found += new
+            parts, last, begin = [], 0, at
             for start, end, kind, new in sorted(found):
-                parts.append(line[last:start])
-                begin = at + sum(map(len, parts))
+                begin += start - last
                 spans.append((kind, begin, begin + len(new)))
-                parts.append(new)
+                parts += [line[last:start], new]
+                begin += len(new)
                 last = end
             line = "".join(parts) + line[last:]
         out.append(line)
