@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,11 +24,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Whole texts go to Python in batches of ``rows`` at most, so a worker's memory stays bounded."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(key)) <= rows:
-        spark.conf.set(key, str(rows))
+#: Bytes of one batch that goes to Python.
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession, rows: int = 1000, size: int = BATCH_BYTES) -> None:
+    """Whole texts go to Python in batches of ``rows`` and ``size`` bytes at most, so a worker's memory stays bounded."""
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", rows), ("spark.sql.execution.arrow.maxBytesPerBatch", size)):
+        if not 0 < _bytes(spark.conf.get(key)) <= most:
+            spark.conf.set(key, str(most))
+
+
+def _bytes(setting: str) -> int:
+    """A whole number, with a unit of size or none."""
+    number = re.match(r"-?\d+", setting)[0]
+    return int(number) << {"k": 10, "m": 20, "g": 30}.get(setting[len(number) :][:1].lower(), 0)
 
 
 def split_words(text: Column) -> Column:
@@ -59,13 +70,13 @@ class RepeatFilter:
         self.words, self.bits = words, bits
 
     @classmethod
-    def of(cls, keys: DataFrame, key: str, count: str, bits: int = FILTER_BITS) -> RepeatFilter:
-        """From rows (key long, count long); counts of equal keys are added up first."""
+    def of(cls, keys: DataFrame, key: str, count: str, bits: int = FILTER_BITS, least: int = 2) -> RepeatFilter:
+        """From rows (key long, count long); counts of equal keys are added up first.  ``bits`` is a power of two."""
         slot = F.pmod(F.col("__key"), F.lit(bits))
         rows = (
             keys.groupBy(F.col(key).alias("__key"))
             .agg(F.sum(count).alias("__n"))
-            .where("__n > 1")
+            .where(F.col("__n") >= least)
             .groupBy(F.shiftright(slot, 6).alias("word"))
             .agg(F.expr(f"bit_or(shiftleft(1L, cast(pmod(__key, {bits}L) & 63 AS int)))").alias("mask"))
             .toArrow()
@@ -80,5 +91,5 @@ class RepeatFilter:
 
     def test(self, keys: np.ndarray) -> np.ndarray:
         """Boolean per signed 64-bit key."""
-        slot = np.mod(keys.astype(np.int64), np.int64(self.bits)).astype(np.uint64)
+        slot = keys.astype(np.int64).view(np.uint64) & np.uint64(self.bits - 1)
         return ((self.words[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1)).astype(bool)

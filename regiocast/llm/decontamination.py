@@ -3,36 +3,37 @@
 Texts are compared as sequences of lower-cased words.  A test item of m words
 has an error budget of k = floor(rate * m) word edits and is split into k + 1
 pieces; wherever the item occurs with k edits or fewer, one piece is intact.
-Each document is searched once for all pieces together, and around each hit
-the item is verified by Myers' bit-parallel algorithm over words (the distance
-to the closest passage of the window).
-
-The items travel to the tasks as a broadcast block.  A block is cut at
-``block_bytes`` of item text, and a larger benchmark is searched in several
-passes, one per block, so what is broadcast has a bound at every size.
+Windows of a document as long as pieces are hashed and tested against a bitmap
+of the pieces' hashes, of a fixed size whatever the benchmark holds; those that
+pass are joined to the pieces by hash.  The hits of one text and item give the
+stretch that is verified by Myers' bit-parallel algorithm over words (the
+distance to the closest passage in it).  Texts are told apart by digest, so
+copies share one search, and only texts with a hit travel, once.
 
 An item of so few words that its budget is 0 is found where its words stand
 unchanged.  In scripts written without blanks each letter counts as a word.
 
 Cases: a NULL or empty text holds no item, a NULL or empty item (or one without
 any letter or digit) matches nothing; a caller may set aside items of fewer than
-``min_words`` words; rows that
-repeat give their own output rows; other columns are not read; empty tables
-give an empty result.
+``min_words`` words; rows that repeat give their own output rows; other columns
+are not read; a text is searched whole, however long; empty tables give an
+empty result.
 """
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from regiocast.llm.common import small_batches, texts_of
+from regiocast.llm.common import FILTER_BITS, RepeatFilter, content_key, cut_lineage, small_batches, texts_of
 
 #: Letters and signs of scripts written without blanks (Thai, Lao, Myanmar, Khmer, Tai, kana, Han); each counts as a word.
 UNSPACED = (
@@ -41,8 +42,11 @@ UNSPACED = (
     "\uaa60-\uaa7f\uaa80-\uaadd\uf900-\ufaff\uff66-\uff9f\U0001b000-\U0001b16f\U00020000-\U000323af"
 )
 _WORDS = re.compile(rf"[^\W{UNSPACED}]+|[{UNSPACED}]")
-#: Upper bound of the item text in one broadcast block.
-BLOCK_BYTES = 16 << 20
+_GAP = re.compile(rf"[\W{UNSPACED}]")
+#: Characters that are hashed together.
+BLOCK = 1 << 19
+_BASE, _STEP, _MIX = np.uint64(0xD6E8FEB86659FD93), np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
+_UNBASE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 
 
 def words_of(text: str) -> list[str]:
@@ -83,68 +87,208 @@ class Pattern:
         return best
 
 
-class Block:
-    """Pieces of a bounded set of items, searched together."""
-
-    def __init__(self, items: list[tuple[int | None, str]], rate: float, min_words: int):
-        import ahocorasick
-
-        self.items, pieces = [], {}
-        for item_id, text in items:
-            words = words_of(text or "")
-            if len(words) < max(1, min_words):
-                continue
-            budget = int(rate * len(words))
-            for offset, piece in pieces_of(words, budget):
-                pieces.setdefault(" " + " ".join(piece) + " ", []).append((len(self.items), offset, len(piece)))
-            self.items.append((item_id, Pattern(words), budget))
-        self.search = ahocorasick.Automaton()
-        for piece, where in pieces.items():
-            self.search.add_word(piece, where)
-        if pieces:
-            self.search.make_automaton()
-
-    def matches(self, text: str) -> Iterator[tuple[int | None, int, int]]:
-        """(item id, distance, words of the item) of the items that ``text`` holds within their budgets."""
-        if not self.items or not text:
-            return
-        words = words_of(text)
-        joined = " " + " ".join(words) + " "
-        hits = list(self.search.iter(joined))
-        if not hits:
+@functools.cache
+def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Kind of each code point (1: letter of a word, 2: a word itself), and powers of the hash base and their inverses."""
+    every = "".join(map(chr, (*range(0xD800), *range(0xE000, 0x110000))))
+    kinds = np.zeros(0x110000, np.uint8)
+    points = np.frombuffer(every.encode("utf-32-le"), "<u4")
+    kinds[points] = np.fromiter((c.isalnum() or c == "_" for c in every), np.uint8, len(every))
+    kinds[[ord(c) for c in re.findall(rf"[{UNSPACED}]", every)]] = 2
+    powers = [np.concatenate([[np.uint64(1)], np.full(BLOCK - 1, base, np.uint64)]).cumprod(dtype=np.uint64) for base in (_BASE, _UNBASE)]
+    return kinds, *powers
+
+
+def _cut_blocks(texts: list[str]) -> Iterator[tuple[str, list[tuple[int, int]]]]:
+    """Lower-cased texts joined to blocks of about ``BLOCK`` characters, and (text, first character) of what is in them.
+
+    A longer text is cut behind a character that is no part of a word.
+    """
+    parts, places, size = [], [], 0
+    for k, text in enumerate(texts):
+        text, at = text.lower(), 0
+        while at < len(text):
+            end = min(len(text), at + BLOCK - 1)
+            if end < len(text):
+                blank = max(text.rfind(" ", at, end), text.rfind("\n", at, end))
+                found = _GAP.search(text, end) if blank < at else None
+                end = blank + 1 if blank >= at else found.end() if found else len(text)
+            if parts and size + end - at >= BLOCK:
+                yield "\n".join(parts), places
+                parts, places, size = [], [], 0
+            places.append((k, size))
+            parts.append(text[at:end])
+            size += end - at + 1
+            at = end
+    if parts:
+        yield "\n".join(parts), places
+
+
+def _block_hashes(block: str) -> tuple[np.ndarray, np.ndarray]:
+    """Place and hash of every word of a lower-cased block, all at once."""
+    kinds, powers, inverses = _tables()
+    points = np.frombuffer(block.encode("utf-32-le", "surrogatepass"), "<u4")
+    kind = kinds[points]
+    letter, single = kind == 1, kind == 2
+    starts = np.flatnonzero(single | (letter & ~np.concatenate([[False], letter[:-1]])))
+    ends = np.flatnonzero(single | (letter & ~np.concatenate([letter[1:], [False]]))) + 1
+    if len(points) > len(powers):  # one unbroken word, longer than a block
+        grown = -(-len(points) // len(powers))
+        powers = np.concatenate([powers * _power(_BASE, k * len(powers)) for k in range(grown)])
+        inverses = np.concatenate([inverses * _power(_UNBASE, k * len(inverses)) for k in range(grown)])
+    sums = np.concatenate([[np.uint64(0)], np.cumsum((points + np.uint64(1)) * powers[: len(points)], dtype=np.uint64)])
+    return starts, _mixed((sums[ends] - sums[starts]) * inverses[starts])
+
+
+def _power(base: np.uint64, n: int) -> np.uint64:
+    return np.uint64(pow(int(base), n, 1 << 64))
+
+
+def _mixed(keys: np.ndarray) -> np.ndarray:
+    keys = (keys ^ (keys >> np.uint64(31))) * _MIX
+    return keys ^ (keys >> np.uint64(29))
+
+
+def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """For all words of ``words_of`` of each text in turn: the number of the text, and a hash of the word."""
+    owners, hashes = [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
+    for block, places in _cut_blocks(texts):
+        starts, keys = _block_hashes(block)
+        firsts = np.array([at for _, at in places])
+        owners.append(np.array([k for k, _ in places])[np.searchsorted(firsts, starts, "right") - 1])
+        hashes.append(keys)
+    return np.concatenate(owners), np.concatenate(hashes)
+
+
+def window_hashes(hashes: np.ndarray, lengths: list[int]) -> Iterator[tuple[int, np.ndarray]]:
+    """(length, signed hash of each window of so many words) for ascending lengths."""
+    total, at = hashes, 1
+    for length in lengths:
+        if length > len(hashes):
             return
-        ends = np.cumsum([len(w) + 1 for w in words])  # position of the blank behind each word
-        windows: dict[int, list[list[int]]] = {}
-        at = np.searchsorted(ends, [end for end, _ in hits])
-        for last, (_, where) in zip(at.tolist(), hits, strict=True):
-            for k, offset, length in where:
-                _, pattern, budget = self.items[k]
-                start = last - length + 1 - offset
-                low, high = max(0, start - budget), start + pattern.m + budget
-                spans = windows.setdefault(k, [])
-                if spans and low <= spans[-1][1]:  # hits come in order of their ends
-                    spans[-1] = [min(low, spans[-1][0]), max(high, spans[-1][1])]
+        for n in range(at, length):
+            total = total[:-1] * _STEP + hashes[n:]
+        at = length
+        yield length, _mixed(total + np.uint64(length)).view(np.int64)
+
+
+def _second(keys: np.ndarray) -> np.ndarray:
+    """Another slot of the bitmap for the same key."""
+    return (keys.view(np.uint64) >> np.uint64(32)).view(np.int64)
+
+
+def _items(benchmark: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
+    """(id, ``words``, ``n``, ``item``): the words of each item that has enough, and their digest."""
+
+    @arrow_udf("struct<words: string, n: int>")
+    def normal(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            words = [words_of(t) for t in texts_of(batch)]
+            yield pa.StructArray.from_arrays([pa.array([" ".join(w) for w in words], pa.string()), pa.array([len(w) for w in words], pa.int32())], ["words", "n"])
+
+    rows = benchmark.select(F.col(id_col).alias("id"), normal(F.col(text_col)).alias("w")).where(F.col("w.n") >= max(1, min_words))
+    return cut_lineage(rows.select("id", "w.words", "w.n", content_key(F.col("w.words")).alias("item")))
+
+
+def _pieces(items: DataFrame, rate: float) -> DataFrame:
+    """(hash, item, before, behind, length): a piece and the words that its item may reach before and behind its start."""
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for item, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), strict=True):
+                words = text.split(" ")
+                budget = int(rate * len(words))
+                for offset, piece in pieces_of(words, budget):
+                    (_, key), = window_hashes(word_hashes([" ".join(piece)])[1], [len(piece)])
+                    rows.append((int(key[0]), item, offset + budget, len(words) - offset + budget, len(piece)))
+            columns = list(zip(*rows, strict=True)) or [()] * 5
+            types = [pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.int32()]
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["hash", "item", "before", "behind", "length"])
+
+    distinct = items.groupBy("item").agg(F.first("words").alias("words"))
+    return cut_lineage(distinct.mapInArrow(split, "hash long, item binary, before int, behind int, length int"))
+
+
+def _found(docs: DataFrame, items: DataFrame, text_col: str, rate: float, filter_bits: int) -> DataFrame:
+    """(``doc``, ``item``, ``distance``): digests of the texts and of the items they hold."""
+    spark = docs.sparkSession
+    pieces = _pieces(items, rate)
+    lengths = [r.length for r in pieces.select("length").distinct().orderBy("length").collect()]  # of pieces: a few
+    if not lengths:
+        return spark.createDataFrame([], "doc binary, item binary, distance long")
+    slots = F.explode(F.array("hash", F.shiftrightunsigned("hash", 32))).alias("key")
+    shared = spark.sparkContext.broadcast(RepeatFilter.of(pieces.select(slots, F.lit(1).alias("n")), "key", "n", filter_bits, least=1))
+    marks_schema = "doc binary, hash long, at int, packed binary"
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer, bitmap = zstandard.ZstdCompressor(), shared.value
+        for batch in batches:
+            texts = list(texts_of(batch.column(1)))
+            owner, hashes = word_hashes(texts)
+            first = np.searchsorted(owner, np.arange(len(texts)))  # of each text's words
+            keys, places, owners = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+            for length, window in window_hashes(hashes, lengths):
+                at = np.flatnonzero(bitmap.test(window))
+                at = at[bitmap.test(_second(window[at])) & (owner[at] == owner[at + length - 1])]  # within one text
+                keys.append(window[at])
+                owners.append(owner[at])
+                places.append(at - first[owner[at]])
+            key, at, whose = map(np.concatenate, (keys, places, owners))
+            hit = np.unique(whose)
+            packed = [packer.compress(texts[k].encode("utf-8")) for k in hit.tolist()]
+            n = len(key)
+            columns = [
+                batch.column(0).take(pa.array(np.concatenate([hit, whose]))),
+                pa.concat_arrays([pa.nulls(len(hit), pa.int64()), pa.array(key, pa.int64())]),
+                pa.array(np.concatenate([np.full(len(hit), -1), at]).astype(np.int32)),
+                pa.concat_arrays([pa.array(packed, pa.binary()), pa.nulls(n, pa.binary())]),
+            ]
+            yield pa.record_batch(columns, names=["doc", "hash", "at", "packed"])
+
+    # 1. what passes the bitmap: the text itself (place -1) and its windows, once for all copies
+    seen = docs.select(content_key(F.col(text_col)).alias("doc"), F.col(text_col).alias("t")).where("t IS NOT NULL").mapInArrow(search, marks_schema)
+    marks = cut_lineage(seen.groupBy("doc", "hash", "at").agg(F.first("packed").alias("packed")))
+    # 2. exact piece hits, and the stretch that those of one item reach
+    low, high = F.greatest(F.lit(0), F.col("at") - F.col("before")), F.col("at") + F.col("behind")
+    stretches = marks.where("at >= 0").join(pieces, "hash").groupBy("doc", "item").agg(F.min(low).alias("low"), F.max(high).alias("high"))
+    nothing = F.lit(None)
+    together = (
+        marks.where("at < 0").select("doc", "packed", nothing.cast("binary").alias("item"), nothing.cast("int").alias("low"), nothing.cast("int").alias("high"))
+        .unionByName(stretches.select("doc", nothing.cast("binary").alias("packed"), "item", "low", "high"))
+        .repartition("doc")
+        .sortWithinPartitions("doc", F.col("packed").isNull())
+    )
+
+    def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpacker, words = zstandard.ZstdDecompressor(), []
+        for batch in batches:
+            docs_, items_, parts = [], [], []
+            for doc, packed, item, a, b in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if packed is not None:  # a text comes before its stretches
+                    words = words_of(unpacker.decompress(packed).decode("utf-8"))
                 else:
-                    spans.append([low, high])
-        for k, spans in windows.items():
-            item_id, pattern, budget = self.items[k]
-            best = min(pattern.distance(words[max(0, low) : high]) for low, high in spans)
-            if best <= budget:
-                yield item_id, best, pattern.m
-
-
-def blocks_of(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: int) -> Iterator[list[tuple[int | None, str]]]:
-    """The items in blocks of at most ``block_bytes`` (one item at least), read partition by partition."""
-    block, size = [], 0
-    for row in benchmark.select(id_col, text_col).where(F.col(text_col).isNotNull()).toLocalIterator():
-        n = len(row[1].encode("utf-8"))
-        if block and size + n > block_bytes:
-            yield block
-            block, size = [], 0
-        block.append((row[0], row[1]))
-        size += n
-    if block:
-        yield block
+                    docs_.append(doc)
+                    items_.append(item)
+                    parts.append(" ".join(words[a:b]))
+            yield pa.record_batch([pa.array(docs_, pa.binary()), pa.array(items_, pa.binary()), pa.array(parts, pa.string())], names=["doc", "item", "part"])
+
+    # 3. verified word by word
+    @arrow_udf("long")
+    def distance(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for parts, words in batches:
+            known: dict[str, Pattern] = {}
+            out = []
+            for part, item in zip(texts_of(parts), texts_of(words), strict=True):
+                if item not in known:
+                    known = {item: Pattern(item.split(" "))}  # one at a time: rows of an item stand together or are few
+                out.append(known[item].distance(part.split(" ") if part else []))
+            yield pa.array(out, pa.int64())
+
+    distinct = items.groupBy("item").agg(F.first("words").alias("words"), F.first("n").alias("n"))
+    checked = together.mapInArrow(cut_out, "doc binary, item binary, part string").join(distinct, "item")
+    checked = checked.select("doc", "item", "n", distance("part", "words").alias("distance"))
+    return checked.where(F.col("distance") <= F.floor(F.lit(rate) * F.col("n"))).select("doc", "item", "distance")
 
 
 def clean(
@@ -155,23 +299,29 @@ def clean(
     item_text_col: str = "text",
     rate: float = 0.2,
     min_words: int = 1,
-    block_bytes: int = BLOCK_BYTES,
+    filter_bits: int = FILTER_BITS,
 ) -> DataFrame:
-    """The rows of ``docs`` that hold no test item; each block of items is a filter, without any shuffle."""
-    small_batches(docs.sparkSession)
+    """The rows of ``docs`` that hold no test item.
 
-    def holds_none(shared):
-        @arrow_udf("boolean")
-        def check(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            block = Block(shared.value, rate, min_words)
-            for batch in batches:
-                yield pa.array([next(block.matches(t), None) is None for t in texts_of(batch)], pa.bool_())
+    A bitmap of the digests of texts that hold one sets nearly all other rows
+    aside; the rest is checked by an exact join, so few texts are shuffled.
+    """
+    spark = docs.sparkSession
+    small_batches(spark)
+    found = cut_lineage(_found(docs, _items(benchmark, item_id_col, item_text_col, min_words), text_col, rate, filter_bits).select("doc").distinct())
+    number = F.xxhash64("doc")
+    shared = spark.sparkContext.broadcast(RepeatFilter.of(found.select(number.alias("key"), F.lit(1).alias("n")), "key", "n", filter_bits, least=1))
 
-        return check
+    @arrow_udf("boolean")
+    def perhaps(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield pa.array(shared.value.test(batch.to_numpy(zero_copy_only=False)), pa.bool_())
 
-    for items in blocks_of(benchmark, item_id_col, item_text_col, block_bytes):
-        docs = docs.where(holds_none(docs.sparkSession.sparkContext.broadcast(items))(F.col(text_col)))
-    return docs
+    keyed = docs.withColumn("__llm_doc", content_key(F.col(text_col)))
+    keyed = keyed.withColumn("__llm_hit", perhaps(F.xxhash64("__llm_doc")))
+    aside = keyed.where(~F.col("__llm_hit")).select(*docs.columns)
+    checked = keyed.where("__llm_hit").join(found.withColumnRenamed("doc", "__llm_doc"), "__llm_doc", "left_anti").select(*docs.columns)
+    return aside.unionByName(checked)
 
 
 def contaminated(
@@ -183,28 +333,12 @@ def contaminated(
     item_text_col: str = "text",
     rate: float = 0.2,
     min_words: int = 1,
-    block_bytes: int = BLOCK_BYTES,
+    filter_bits: int = FILTER_BITS,
 ) -> DataFrame:
     """(id, item id, ``distance``, ``item_words``) for every document row and each item found in it."""
-    spark = docs.sparkSession
-    small_batches(spark)
-    kinds = dict(docs.dtypes)[id_col], dict(benchmark.dtypes)[item_id_col]
-    schema = f"`{id_col}` {kinds[0]}, `{item_id_col}` {kinds[1]}, distance long, item_words long"
-    found = None
-    for items in blocks_of(benchmark, item_id_col, item_text_col, block_bytes):
-        shared = spark.sparkContext.broadcast(items)
-
-        def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            block, types = Block(shared.value, rate, min_words), None
-            for batch in batches:
-                rows = [(d, *m) for d, t in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), strict=True) for m in block.matches(t)]
-                types = types or [batch.schema.field(0).type, None, pa.int64(), pa.int64()]
-                columns = list(zip(*rows, strict=True)) or [()] * 4
-                if types[1] is None and rows:
-                    types[1] = pa.array(columns[1]).type
-                if rows:
-                    yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=[id_col, item_id_col, "distance", "item_words"])
-
-        part = docs.select(id_col, text_col).mapInArrow(search, schema)
-        found = part if found is None else found.unionByName(part)
-    return found if found is not None else spark.createDataFrame([], schema)
+    small_batches(docs.sparkSession)
+    items = _items(benchmark, item_id_col, item_text_col, min_words)
+    found = _found(docs, items, text_col, rate, filter_bits)
+    named = found.join(items.select("item", F.col("id").alias("__llm_item"), F.col("n").cast("long").alias("item_words")), "item")
+    rows = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("__llm_id"), content_key(F.col(text_col)).alias("doc"))
+    return rows.join(named, "doc").select(F.col("__llm_id").alias(id_col), F.col("__llm_item").alias(item_id_col), "distance", "item_words")

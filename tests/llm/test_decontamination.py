@@ -17,7 +17,7 @@ def plain_distance(item, text):
     return min(row)
 
 
-def plain(docs, items, rate=0.2, min_words=5):
+def plain(docs, items, rate=0.2, min_words=1):
     out = []
     for d, text in docs:
         words = dc.words_of(text or "")
@@ -64,7 +64,10 @@ def test_edited_passages_against_brute_force(spark):
     items_df = spark.createDataFrame(items, "item_id long, text string")
     want = plain(docs, items)
     assert rows(dc.contaminated(docs_df, items_df)) == want and len(want) > 30
-    assert rows(dc.contaminated(docs_df, items_df, block_bytes=300)) == want  # several passes
+    assert rows(dc.contaminated(docs_df, items_df, filter_bits=64)) == want  # a bitmap that sets next to nothing aside
+    dirty = [str(d) for d in docs if any(plain_distance(dc.words_of(i), dc.words_of(d[1] or "")) <= int(0.2 * len(dc.words_of(i))) for _, i in items if i)]
+    for bits in (64, 1 << 16):
+        assert sorted(str((r.doc_id, r.text)) for r in dc.clean(docs_df, items_df, filter_bits=bits).collect()) == sorted(str(d) for d in docs if str(d) not in dirty)
 
 
 def test_empty_tables(spark):
@@ -76,12 +79,59 @@ def test_empty_tables(spark):
     assert rows(empty) == [] and empty.columns == ["doc_id", "item_id", "distance", "item_words"]
 
 
-def test_query_finds_the_planted_passages(spark):
+def test_query_against_brute_force(spark):
+    """Every document against every item by the distance alone, without pieces."""
     docs = [tuple(r) for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()]
     items = [tuple(r) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").select("item_id", "text").collect()]
-    got = {(r.doc_id, r.item_id): r.distance for r in op9_decontamination(spark, SMALL).collect()}
-    planted = {(d, i) for d, t in docs for i, x in items if x in t}
-    assert planted and planted <= set(got) and all(got[p] == 0 for p in planted)
+    got = {(r.doc_id, r.item_id): (r.distance, r.item_words) for r in op9_decontamination(spark, SMALL).collect()}
+    patterns = [(i, dc.Pattern(dc.words_of(x))) for i, x in items]
+    want = {}
+    for d, t in docs:
+        words = dc.words_of(t or "")
+        want.update({(d, i): (k, p.m) for i, p in patterns if (k := p.distance(words)) <= int(0.2 * p.m)})
+    assert got == want
+    planted = {(d, i) for d, t in docs for i, x in items if x in (t or "")}
+    assert planted and planted <= set(got) and all(got[p][0] == 0 for p in planted)
+
+
+def test_word_hashes_are_those_of_the_words(monkeypatch):
+    rng = random.Random(7)
+    signs = "aAbÉßΣςİ_1٣๏ก水かàé\u0301 \n\t.,-'’🙂\U00020000"
+    texts = ["", "Σ", "ΑΣ ΑΣ.", "x" * 300, *("".join(rng.choice(signs) for _ in range(rng.randint(0, 400))) for _ in range(150))]
+    monkeypatch.setattr(dc, "BLOCK", 64)
+    dc._tables.cache_clear()
+    owner, got = dc.word_hashes(texts)
+    want = [(k, w) for k, t in enumerate(texts) for w in dc.words_of(t)]
+    assert owner.tolist() == [k for k, _ in want]
+    by_word = {}
+    for (_, w), h in zip(want, got.tolist(), strict=True):
+        assert by_word.setdefault(w, h) == h
+    assert len(set(by_word.values())) == len(by_word)
+    monkeypatch.undo()
+    dc._tables.cache_clear()
+    assert dc.word_hashes(texts)[1].tolist() == got.tolist()
+
+
+def test_plans_have_one_search_whatever_the_benchmark(spark):
+    """No automaton and no block of items travels: one search of the texts, the items by joins."""
+    docs = spark.createDataFrame([(i, f"w{i} x y z {i} and then some more words") for i in range(50)], "doc_id long, text string")
+    plans = []
+    for n in (1, 400):
+        items = spark.createDataFrame([(i, " ".join(f"q{i * 7 + k}" for k in range(40))) for i in range(n)], "item_id long, text string")
+        plans.append(dc.clean(docs, items)._jdf.queryExecution().executedPlan().toString())
+    assert "MapInArrow" not in plans[0] and plans[0].count("ArrowEvalPython") == plans[1].count("ArrowEvalPython") <= 3
+
+
+def test_very_long_text_and_items(spark):
+    rng = random.Random(4)
+    words = [f"v{rng.randrange(5000)}" for _ in range(120_000)]
+    edited = words[70_000:70_900]
+    for at in range(0, 900, 9):
+        edited[at] = "changed"
+    docs = spark.createDataFrame([(1, " ".join(words), 5), (2, " ".join(words[:69_000]), 5)] + [(3, " ".join(words), 5)] * 3, "doc_id long, text string, hash int")
+    items = spark.createDataFrame([(1, " ".join(edited))], "item_id long, text string")
+    assert rows(dc.contaminated(docs, items)) == [(1, 1, 100, 900)] + [(3, 1, 100, 900)] * 3
+    assert [r.doc_id for r in dc.clean(docs, items).collect()] == [2]
 
 
 def test_short_items_and_scripts_without_blanks(spark):
