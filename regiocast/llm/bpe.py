@@ -12,8 +12,8 @@ printing character and a blank, so agreement is reached at such a break.
 Cases: NULL text counts as empty (no ids, empty decoded text); rows that
 repeat keep one output row each; other columns pass through; an existing
 column named like the output is replaced; an empty table gives an empty one.
-Texts with characters beyond Latin script and common punctuation are encoded
-whole by the tokenizers library itself.
+Strings with characters beyond Latin script and common punctuation, chunks or
+joins as well, are encoded by the tokenizers library itself.
 """
 
 from __future__ import annotations
@@ -131,8 +131,6 @@ def _digest(chunk: str) -> bytes:
 
 def _shared(text: str, seen: RepeatFilter) -> list[str]:
     """The chunks of a text that may occur elsewhere as well."""
-    if _UNUSUAL.search(text):
-        return []
     chunks = cut(text)
     if not chunks:
         return []
@@ -163,15 +161,26 @@ def stitch(text: str, known: dict[bytes, np.ndarray], codec: Codec) -> np.ndarra
     return np.concatenate(out)
 
 
-def encode(docs: DataFrame, tokenizer_path: str, text_col: str = "text", ids_col: str = "ids", filter_bits: int = FILTER_BITS) -> DataFrame:
-    """``docs`` plus ``ids_col``: the ids as little-endian unsigned 32-bit integers (binary)."""
+def encode(
+    docs: DataFrame,
+    tokenizer_path: str,
+    text_col: str = "text",
+    ids_col: str = "ids",
+    decoded_col: str | None = None,
+    filter_bits: int = FILTER_BITS,
+) -> DataFrame:
+    """``docs`` plus ``ids_col``: the ids as little-endian unsigned 32-bit integers (binary).
+
+    With ``decoded_col`` the ids are decoded as well (see ``decode``), by the
+    same worker, so a task never holds two vocabularies.
+    """
     spark = docs.sparkSession
     small_batches(spark)
     text = F.coalesce(F.col(text_col), F.lit(""))
 
     def count_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = [_signed(c) for t in texts_of(batch.column(0)) if not _UNUSUAL.search(t) for c in cut(t)]
+            keys = [_signed(c) for t in texts_of(batch.column(0)) for c in cut(t)]
             found, n = np.unique(np.array(keys, np.int64), return_counts=True)
             yield pa.record_batch([pa.array(found, pa.int64()), pa.array(n, pa.int64())], names=["key", "n"])
 
@@ -240,24 +249,33 @@ def encode(docs: DataFrame, tokenizer_path: str, text_col: str = "text", ids_col
     )
     stitched = together.mapInArrow(assemble, "key binary, ids binary").select(F.col("key").alias("__llm_key"), F.col("ids").alias("__llm_packed"))
 
-    @arrow_udf("binary")
+    def both(codec: Codec, ids: list[np.ndarray | None]) -> pa.Array:
+        """The ids as bytes, and their text where it is asked for."""
+        wide = pa.array([None if x is None else x.astype("<u4").tobytes() for x in ids], pa.binary())
+        texts = pa.array([None if x is None or not decoded_col else codec.decode(x) for x in ids], pa.string())
+        return pa.StructArray.from_arrays([wide, texts], ["ids", "text"])
+
+    @arrow_udf("struct<ids: binary, text: string>")
     def widen(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         codec = Codec.of(tokenizer_path)
         for batch in batches:
-            yield pa.array([codec.unpack(v.as_py()).astype("<u4").tobytes() for v in batch], pa.binary())
+            yield both(codec, [codec.unpack(v.as_py()) for v in batch])
 
-    @arrow_udf("binary")
+    @arrow_udf("struct<ids: binary, text: string>")
     def encode_alone(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         codec = Codec.of(tokenizer_path)
         for batch in batches:
-            yield pa.array([None if _shared(t, seen.value) else codec.encode(t).astype("<u4").tobytes() for t in texts_of(batch)], pa.binary())
+            yield both(codec, [None if _shared(t, seen.value) else codec.encode(t) for t in texts_of(batch)])
 
     # 4. texts without shared chunks are encoded in place; the others get theirs by digest
-    kept = docs.drop(ids_col)
-    alone = kept.withColumn("__llm_ids", encode_alone.asNondeterministic()(text)).where("__llm_ids IS NOT NULL")
+    kept = docs.drop(ids_col, *([decoded_col] if decoded_col else []))
+    alone = kept.withColumn("__llm_ids", encode_alone.asNondeterministic()(text)).where("__llm_ids.ids IS NOT NULL")
     others = kept.withColumn("__llm_key", content_key(F.col(text_col))).join(stitched, "__llm_key").drop("__llm_key")
     others = others.withColumn("__llm_ids", widen("__llm_packed")).drop("__llm_packed")
-    return alone.unionByName(others).withColumnRenamed("__llm_ids", ids_col)
+    out = alone.unionByName(others).withColumn(ids_col, F.col("__llm_ids.ids"))
+    if decoded_col:
+        out = out.withColumn(decoded_col, F.col("__llm_ids.text"))
+    return out.drop("__llm_ids")
 
 
 def decode(encoded: DataFrame, tokenizer_path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
 
 from regiocast.session import cut_lineage  # noqa: F401  (re-exported for the operators)
 
@@ -93,3 +94,19 @@ class RepeatFilter:
         """Boolean per signed 64-bit key."""
         slot = keys.astype(np.int64).view(np.uint64) & np.uint64(self.bits - 1)
         return ((self.words[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1)).astype(bool)
+
+
+def perhaps_in(keys: DataFrame, bits: int = FILTER_BITS) -> Callable[[Column], Column]:
+    """A test for the single long column of ``keys``: true for each of its values, and by chance for few others.
+
+    Keys, not rows, go to Python, and the bitmap has a fixed size.
+    """
+    key = F.col(keys.columns[0]).alias("key")
+    shared = keys.sparkSession.sparkContext.broadcast(RepeatFilter.of(keys.select(key, F.lit(1).alias("n")), "key", "n", bits, least=1))
+
+    @arrow_udf("boolean")
+    def perhaps(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield pa.array(shared.value.test(batch.to_numpy(zero_copy_only=False)), pa.bool_())
+
+    return perhaps

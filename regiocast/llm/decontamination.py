@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from regiocast.llm.common import FILTER_BITS, RepeatFilter, content_key, cut_lineage, small_batches, texts_of
+from regiocast.llm.common import FILTER_BITS, RepeatFilter, content_key, cut_lineage, perhaps_in, small_batches, texts_of
 
 #: Letters and signs of scripts written without blanks (Thai, Lao, Myanmar, Khmer, Tai, kana, Han); each counts as a word.
 UNSPACED = (
@@ -90,11 +90,11 @@ class Pattern:
 @functools.cache
 def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Kind of each code point (1: letter of a word, 2: a word itself), and powers of the hash base and their inverses."""
-    every = "".join(map(chr, (*range(0xD800), *range(0xE000, 0x110000))))
-    kinds = np.zeros(0x110000, np.uint8)
-    points = np.frombuffer(every.encode("utf-32-le"), "<u4")
-    kinds[points] = np.fromiter((c.isalnum() or c == "_" for c in every), np.uint8, len(every))
-    kinds[[ord(c) for c in re.findall(rf"[{UNSPACED}]", every)]] = 2
+    kinds, single = np.zeros(0x110000, np.uint8), re.compile(rf"[{UNSPACED}]")
+    for low in range(0, 0x110000, 0x1000):  # surrogates are no letters
+        some = "".join(map(chr, range(low, low + 0x1000)))
+        kinds[low : low + 0x1000] = [c.isalnum() or c == "_" for c in some]
+        kinds[[low + m.start() for m in single.finditer(some)]] = 2
     powers = [np.concatenate([[np.uint64(1)], np.full(BLOCK - 1, base, np.uint64)]).cumprod(dtype=np.uint64) for base in (_BASE, _UNBASE)]
     return kinds, *powers
 
@@ -309,14 +309,7 @@ def clean(
     spark = docs.sparkSession
     small_batches(spark)
     found = cut_lineage(_found(docs, _items(benchmark, item_id_col, item_text_col, min_words), text_col, rate, filter_bits).select("doc").distinct())
-    number = F.xxhash64("doc")
-    shared = spark.sparkContext.broadcast(RepeatFilter.of(found.select(number.alias("key"), F.lit(1).alias("n")), "key", "n", filter_bits, least=1))
-
-    @arrow_udf("boolean")
-    def perhaps(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            yield pa.array(shared.value.test(batch.to_numpy(zero_copy_only=False)), pa.bool_())
-
+    perhaps = perhaps_in(found.select(F.xxhash64("doc")), filter_bits)
     keyed = docs.withColumn("__llm_doc", content_key(F.col(text_col)))
     keyed = keyed.withColumn("__llm_hit", perhaps(F.xxhash64("__llm_doc")))
     aside = keyed.where(~F.col("__llm_hit")).select(*docs.columns)

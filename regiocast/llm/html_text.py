@@ -61,6 +61,8 @@ _MARK = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 _UNFINISHED = re.compile(r"<[a-zA-Z/!?]")
+#: Elements that a stray end tag does not close from within.
+BOUNDS = frozenset(("article", "main", "body"))
 SIGMA, REACH = 1.0, 3
 #: Share of the chosen text that its region holds at least.
 NEARLY = 0.9
@@ -118,6 +120,20 @@ class Reader(HTMLParser):
         self.parts: list[str] = []
         self.tags = self.linked = 0
         self.link = False  # within <a>
+        self.places: dict[str, list[int]] = {}  # of the open elements of each name
+        self.bounds: list[int] = []  # of the open article, main and body elements
+
+    def _push(self, tag: str, outside: bool, region: int, mark: int) -> None:
+        self.places.setdefault(tag, []).append(len(self.open))
+        if tag in BOUNDS:
+            self.bounds.append(len(self.open))
+        self.open.append((tag, outside, region, mark))
+
+    def _pop(self) -> None:
+        tag = self.open.pop()[0]
+        self.places[tag].pop()
+        if tag in BOUNDS:
+            self.bounds.pop()
 
     @property
     def _outside(self) -> bool:
@@ -138,22 +154,19 @@ class Reader(HTMLParser):
             self.tags = 0
         self.parts, self.linked, self.link = [], 0, False
 
-    def _inside(self, names: tuple[str, ...]) -> bool:
-        return any(x[0] in names for x in self.open)
-
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         block = tag in BLOCKS
         if block:
             self._break()
             if tag != "br" and self.open and self.open[-1][0] == "p":
-                self.open.pop()  # a block ends an open paragraph
+                self._pop()  # a block ends an open paragraph
             if tag in ("li", "dt", "dd", "tr", "td", "th", "option") and self.open and self.open[-1][0] == tag:
-                self.open.pop()
+                self._pop()
         self.tags += 1
         self.link |= tag == "a"
         if tag in VOID:
             return
-        within = self._inside(("article", "main"))
+        within = bool(self.places.get("article") or self.places.get("main"))
         # page-wide elements may be named after their layout; an article within an article may be a comment
         checked = tag not in ("html", "body", "main") and (tag != "article" or within)
         outside = self._outside or tag in OUTSIDE or (checked and _hidden(attrs))
@@ -171,19 +184,19 @@ class Reader(HTMLParser):
             region = len(self.names) - 1
             if tag in ("article", "main") and not words:
                 self.plain.add(region)
-        self.open.append((tag, outside, region, mark))
+        self._push(tag, outside, region, mark)
 
     def handle_endtag(self, tag: str) -> None:
         if tag in BLOCKS or tag in OUTSIDE or tag in BESIDE:
             self._break()
         self.tags += 1
         self.link &= tag != "a"
-        for at in range(len(self.open) - 1, -1, -1):
-            if self.open[at][0] == tag:
-                del self.open[at:]
-                break
-            if self.open[at][0] in ("article", "main", "body") and tag in ("p", "li", "div", "span"):
-                break  # a stray end tag closes nothing outside its article
+        opened = self.places.get(tag)
+        if not opened or (tag in ("p", "li", "div", "span") and self.bounds and self.bounds[-1] > opened[-1]):
+            return  # a stray end tag closes nothing outside its article
+        while len(self.open) > opened[-1] + 1:
+            self._pop()
+        self._pop()
 
     def handle_data(self, data: str) -> None:
         self.parts.append(data)
@@ -203,7 +216,7 @@ class Reader(HTMLParser):
     def _settle(self) -> None:
         """Marked elements are outside, except one that wraps the page: its article, or next to all of its running text."""
         free = articles = 0
-        in_article = {r: not self.plain.isdisjoint(_around(r, self.parents)) for r in {x.region for x in self.lines}}
+        in_article = _below(self.plain, self.parents)
         for x in self.lines:
             size = 0 if x.outside else max(0, len(x.text) - x.linked)
             article = size if in_article[x.region] else 0
@@ -265,52 +278,77 @@ def _around(region: int, parents: list[int]) -> list[int]:
     return chain
 
 
+def _below(regions: set[int], parents: list[int]) -> list[bool]:
+    """For each region whether it is one of ``regions`` or within one; a region's number is above those around it."""
+    within = []
+    for r, outer in enumerate(parents):
+        within.append(r in regions or (outer >= 0 and within[outer]))
+    return within
+
+
+def _summed(own: dict[int, int], parents: list[int]) -> list[int]:
+    """For each region the sum over it and all within."""
+    sums = [own.get(r, 0) for r in range(len(parents))]
+    for r in range(len(parents) - 1, 0, -1):
+        sums[parents[r]] += sums[r]
+    return sums
+
+
 def _content(lines: list[Line], parents: list[int], names: list[str]) -> list[int]:
     """Places of the article's lines: the smoothed ratio selects their region, on every page alike."""
-    chains = {r: _around(r, parents) for r in {x.region for x in lines}}
     ratios = smooth([x.ratio for x in lines])
     split = threshold(ratios)
     # a line that only its neighbours lift above the threshold does not vote
     chosen = [i for i, x in enumerate(lines) if x.ratio and min(x.ratio, ratios[i]) >= split] or [max(range(len(lines)), key=lambda i: lines[i].ratio)]
-    votes: dict[int, int] = {}
+    own: dict[int, int] = {}
     for i in chosen:
-        for r in chains[lines[i].region]:
-            votes[r] = votes.get(r, 0) + len(lines[i].text)
-    region = max(r for r, v in votes.items() if v >= NEARLY * votes[0])  # inner regions have larger numbers
+        own[lines[i].region] = own.get(lines[i].region, 0) + len(lines[i].text)
+    votes = _summed(own, parents)
+    region = max(r for r, v in enumerate(votes) if v and v >= NEARLY * votes[0])  # inner regions have larger numbers
     path = _around(region, parents)
     unmarked = [i for i, x in enumerate(lines) if x.ratio]
     # marks do not choose: they say how far the chosen region reaches, and settle a page without one
-    reach = [r for name in ("article", "main") for r in path[::-1] if names[r] == name][:1]
+    reach = {r for name in ("article", "main") for r in [r for r in path[::-1] if names[r] == name][:1]}
+    reach = set(sorted(reach, key=lambda r: names[r])[:1])  # an article before a main
     if not reach and names[region] in ("page", "body"):
         for name in ("article", "main"):
-            marks = {r for r in votes if names[r] == name and not any(names[o] == name for o in _around(r, parents)[1:])}
+            named = {r for r, x in enumerate(names) if x == name}
+            within = _below(named, parents)
+            marks = {r for r in named if votes[r] and not within[parents[r]]}
             if 2 * sum(votes[r] for r in marks) > votes[0]:
-                reach = sorted(marks)
+                reach = marks
                 break
     if reach:
-        return [i for i in unmarked if any(r in chains[lines[i].region] for r in reach)]
-    return _grown(lines, chains, names, unmarked, [i for i in chosen if region in chains[lines[i].region]], path, votes)
+        held = _below(reach, parents)
+        return [i for i in unmarked if held[lines[i].region]]
+    inside = _below({region}, parents)
+    return _grown(lines, parents, names, unmarked, [i for i in chosen if inside[lines[i].region]], path, votes, inside)
 
 
-def _grown(lines: list[Line], chains: dict, names: list[str], unmarked: list[int], kept: list[int], path: list[int], votes: dict[int, int]) -> list[int]:
+def _grown(
+    lines: list[Line], parents: list[int], names: list[str], unmarked: list[int], kept: list[int], path: list[int], votes: list[int], inside: list[bool]
+) -> list[int]:
     """From the first to the last chosen line, and on over what adjoins: text of the region, text beside it, regions with chosen lines."""
     region, own = path[0], names[path[0]] not in ("page", "body")
-    text: dict[int, list[int]] = {}  # region -> characters, those of links
+    chars: dict[int, int] = {}
+    links: dict[int, int] = {}
     for i in unmarked:
-        for r in chains[lines[i].region]:
-            sums = text.setdefault(r, [0, 0])
-            sums[0] += len(lines[i].text)
-            sums[1] += lines[i].linked
+        chars[lines[i].region] = chars.get(lines[i].region, 0) + len(lines[i].text)
+        links[lines[i].region] = links.get(lines[i].region, 0) + lines[i].linked
+    size, linked = _summed(chars, parents), _summed(links, parents)
     held = set(path)
+    outer, branch = [], []  # the nearest region of the path, and the one below it on the way
+    for r, up in enumerate(parents):
+        outer.append(r if r in held else outer[up])
+        branch.append(r if r in held or up in held else branch[up])
 
     def joins(i: int) -> bool:
-        chain = chains[lines[i].region]
-        at = next(k for k, r in enumerate(chain) if r in held)
-        within = own and chain[at] == region
-        if at == 0:
+        r = lines[i].region
+        within = own and outer[r] == region
+        if r in held:
             return within or 2 * lines[i].linked <= len(lines[i].text)
-        size, linked = text[chain[at - 1]]
-        return chain[at - 1] in votes or (within and 2 * linked <= size)
+        at = branch[r]
+        return votes[at] > 0 or (within and 2 * linked[at] <= size[at])
 
     before, after = [i for i in unmarked if i < kept[0]], [i for i in unmarked if i > kept[-1]]
     out = [i for i in unmarked if kept[0] <= i <= kept[-1]]
@@ -318,7 +356,7 @@ def _grown(lines: list[Line], chains: dict, names: list[str], unmarked: list[int
         for i in rest:
             if joins(i):
                 out.append(i)
-            elif not (own and region in chains[lines[i].region]):
+            elif not (own and inside[lines[i].region]):
                 break  # a menu or box of its own: what lies behind it is not the article's
     return sorted(out)
 

@@ -24,15 +24,15 @@ def vocabulary(name: str) -> str:
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    weights = quality.fit(docs, quality.trusted_sample(table(spark, sf_dir, "labels")))
-    return quality.judge(docs, weights).drop("text")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = quality.fit(docs, quality.trusted_sample(table(spark, sf_dir, "labels")), group_col="lang")
+    return quality.judge(docs, model, group_col="lang").drop("text", "lang")
 
 
 def op2_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = vocabulary("byte_bpe_50k.json")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    decoded = bpe.decode(bpe.encode(docs, path).drop("text"), path)
+    decoded = bpe.encode(docs, path, decoded_col="decoded")
     return decoded.select(
         "doc_id",
         F.floor(F.octet_length("ids") / 4).alias("n_tokens"),

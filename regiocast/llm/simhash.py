@@ -27,9 +27,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from regiocast.llm.common import cut_lineage, small_batches, texts_of
+from regiocast.llm.common import cut_lineage, perhaps_in, small_batches, texts_of
 
 SEGMENTS, SEGMENT_BITS = 16, 4  # 16 counts of 0..4, three bits each in a packed cell
+EDGES_A_TASK = 200_000
 _BLOCK = 1 << 16  # shingles counted at a time
 
 
@@ -108,7 +109,7 @@ def components(edges: DataFrame) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(least, "u")
         small = joined.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).distinct()
-        edges = cut_lineage(small)
+        edges = cut_lineage(small.coalesce(-(-stat[0] // EDGES_A_TASK)))  # a round is as many tasks as its edges ask for
     children = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return children.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
@@ -120,9 +121,14 @@ def row_key(id_: Column, text: Column) -> Column:
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 2) -> DataFrame:
     """The rows of ``docs`` that stay: of each component the one with the smallest id, repeated rows once."""
-    kept = near_duplicates(docs, id_col, text_col, shingle, max_bits).where("keep").select(F.col("row_key").alias("__llm_key")).distinct()
+    judged = cut_lineage(near_duplicates(docs, id_col, text_col, shingle, max_bits).groupBy("row_key").agg(F.first("keep").alias("keep"), F.count("*").alias("n")))
+    # a bitmap of the rows that go or repeat sets nearly all others aside, so few texts are shuffled
+    perhaps = perhaps_in(judged.where("NOT keep OR n > 1").select(F.xxhash64("row_key")))
     keyed = docs.withColumn("__llm_key", row_key(F.col(id_col), F.col(text_col)))
-    return keyed.join(kept, "__llm_key", "left_semi").dropDuplicates(["__llm_key"]).drop("__llm_key")
+    keyed = keyed.withColumn("__llm_hit", perhaps(F.xxhash64("__llm_key")))
+    kept = judged.where("keep").select(F.col("row_key").alias("__llm_key"))
+    checked = keyed.where("__llm_hit").join(kept, "__llm_key", "left_semi").dropDuplicates(["__llm_key"])
+    return keyed.where(~F.col("__llm_hit")).select(*docs.columns).unionByName(checked.select(*docs.columns))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 2) -> DataFrame:

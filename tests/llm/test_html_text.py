@@ -112,3 +112,13 @@ def test_wrapper_of_the_page_is_layout(wrapper):
     # what only stands beside the article is not, however long
     assert ht.main_text(f"<body><article>{''.join(PARTS)}</article><div class=comments><p>{LONG * 9}</p></div></body>") == WHOLE
     assert ht.main_text(f"<body><div>{''.join(PARTS)}</div><div class=comments><p>{LONG * 9}</p></div></body>") == WHOLE
+
+
+def test_deep_nesting_takes_linear_time():
+    import time
+
+    pages = ["<div>some words here " * 50_000, "<body><article>" + "<section>text in it " * 20_000 + "</div></p></span>" * 20_000, "<form class=ad>" * 20_000 + "x y z"]
+    for page in pages:
+        began = time.process_time()
+        ht.main_text(page)
+        assert time.process_time() - began < 6

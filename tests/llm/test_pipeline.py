@@ -8,7 +8,7 @@ from regiocast.llm import decontamination as dc
 from regiocast.llm import pii, quality
 from regiocast.llm.queries import PSEUDONYM_KEY
 
-from test_quality import base, grams, plain_weights, words_of
+from test_quality import base, plain_score, plain_weights
 from test_simhash import plain_components, plain_fingerprint
 
 SMALL = "/root/testdata/sf0.001"
@@ -35,12 +35,12 @@ def test_stages_return_the_columns_of_documents(stages):
 
 def test_quality_stage(spark, stages):
     labels = {r.doc_id: (r.quality, r.toxic) for r in spark.read.parquet(f"{SMALL}/labels.parquet").collect()}
-    rows = [(r.doc_id, r.text) for r in stages[0]]
-    weights = plain_weights(rows, {i for i, x in labels.items() if x == (1, 0)}, quality.BUCKETS, quality.PRIOR)
+    rows = [(r.doc_id, r.text, r.lang) for r in stages[0]]
+    weights, judged = plain_weights(rows, {i for i, x in labels.items() if x == (1, 0)}, quality.BUCKETS, quality.PRIOR)
     want = set()
-    for i, t in rows:
-        g = grams(words_of(t), quality.BUCKETS)
-        if not base(t)[-1] and sum(weights[b] for b in g) / len(g) >= quality.THRESHOLD:
+    for i, t, g in rows:
+        score = plain_score(t, g, weights, judged, quality.BUCKETS)
+        if not base(t)[-1] and (score is None or score >= quality.THRESHOLD):
             want.add(i)
     assert {r.doc_id for r in stages[1]} == want and len(want) < len(rows)
 
@@ -91,3 +91,20 @@ def test_every_stage_takes_nulls_repeats_and_empty_tables(spark):
             assert sum(r.text == good for r in out) == 1
         if name in ("decontamination", "pii", "bpe"):
             assert len(out) == len(rows)
+
+
+def test_every_stage_takes_long_texts_and_extra_columns(spark):
+    """A text of 400,000 words, and columns named like those that stages add."""
+    extra = "n_words long, kept boolean, score double, ids binary, decoded string, pii int, key int, fp int, __x string"
+    schema = f"doc_id long, text string, lang string, source string, n_chars long, {extra}"
+    long = " ".join(f"w{k % 9973} x{k % 7919}" for k in range(200_000)) + " mail me.now@mail1.example.com"
+    fill = (7, False, 0.5, b"x", "old", 3, 4, 5, "kept")
+    rows = [(1, long, "en", "s", len(long), *fill), (2, " ".join(f"q{k}" for k in range(80)), "xx", "s", 1, *fill)]
+    for name, stage in cp.STAGES:
+        out = stage(spark, spark.createDataFrame(rows, schema), SMALL).collect()
+        assert sorted(r.doc_id for r in out) == [1, 2], name
+        if name == "bpe":
+            assert all(r.decodes for r in out)
+        else:
+            assert all(tuple(r)[5:] == fill for r in out), name
+            assert (next(r.text for r in out if r.doc_id == 1) == long) == (name != "pii")
