@@ -10,6 +10,14 @@ Stages: quality rules (rejected documents go), SimHash near-duplicates (one
 document of each group stays), benchmark decontamination (documents that hold
 a test item go), personal data (pseudonyms in the text), BPE encoding (ids,
 and whether they decode to the very text).
+
+Cases, in every stage: a NULL or empty text is rejected by the quality rules,
+and a stage that gets one treats it as a text without words; a NULL id is an id
+like any other; rows that repeat are judged alike and of near duplicates one
+stays; a text is read whole, however long; an empty table gives an empty one;
+columns beside those of ``documents`` pass through all stages but the last, and
+one named like a column that a stage works with changes nothing (a column of
+the operators' own, beginning with ``__llm_``, is not allowed).
 """
 
 from __future__ import annotations
@@ -24,8 +32,10 @@ from regiocast.session import remove_scratch, scratch_path
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    weights = quality.fit(docs, quality.trusted_sample(table(spark, sf_dir, "labels")))
-    return quality.judge(docs, weights).where("kept").select(*docs.columns)
+    model = quality.fit(docs, quality.trusted_sample(table(spark, sf_dir, "labels")), group_col="lang")
+    own = {c: f"__own_{c}" for c in quality.OUTPUT if c in docs.columns}  # these stay the input's
+    judged = quality.judge(docs.withColumnsRenamed(own), model, group_col="lang").where("kept")
+    return judged.select(*[F.col(own.get(c, c)).alias(c) for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +53,7 @@ def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path = vocabulary("byte_bpe_50k.json")
-    decoded = bpe.decode(bpe.encode(docs, path), path)
+    decoded = bpe.encode(docs, path, decoded_col="decoded")
     return decoded.select(
         "doc_id",
         "lang",
