@@ -10,6 +10,12 @@ each window exactly.  A word is removed when a window covers it whose words
 also start earlier (smaller document id, or the same id and an earlier start),
 judged on the input.
 
+A minimiser that stands in very many different strings (a frequent phrase) is
+no bucket: its windows travel one by one, each to the bucket of its own hash,
+so they spread over the tasks.  A sketch of the strings of each minimiser says
+which ones these are; equal windows have the same minimiser, so they take the
+same way, and either way gives the same result.
+
 Only a super-k-mer whose minimiser occurs twice can hold a repeated window; a
 fixed-size bitmap of such minimisers (``RepeatFilter``) keeps the others from
 travelling and changes no result.  Folding and sorting are Spark's own and
@@ -35,6 +41,8 @@ from pyspark.sql.functions import arrow_udf
 from regiocast.llm.common import FILTER_BITS, RepeatFilter, small_batches, texts_of
 
 WINDOW, MINIMISER = 20, 5
+#: A minimiser with some 2,800 different strings or more has half of its sketch's bits set by one string in 64.
+HOT_SAMPLE, HOT_BITS = 64, 32
 _BLOCK = 1 << 16  # words or windows looked at together
 _FOLD = 50_000  # different strings folded at a time in a task
 _RANDOM = np.random.RandomState(7)
@@ -66,30 +74,73 @@ def word_hashes(raw: bytes) -> np.ndarray:
     return out ^ (out >> np.uint64(29))
 
 
-def super_kmers(raw: bytes, k: int, m: int) -> tuple[np.ndarray, list[int], list[int]]:
-    """(minimiser, first window, last window) of each run of windows that share their minimiser's place."""
+def _first_minima(values: np.ndarray, width: int) -> np.ndarray:
+    """Place of the first smallest value of each window, by windows of twice the width from two of the last."""
+    place, span = np.arange(len(values)), 1
+    while span < width:
+        step = min(span, width - span)
+        later = values[step:] < values[:-step]
+        values, place = np.where(later, values[step:], values[:-step]), np.where(later, place[step:], place[:-step])
+        span += step
+    return place
+
+
+def super_kmers(raw: bytes, k: int, m: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(minimiser, first window, last window, hash of the words) of each run of windows that share their minimiser's place."""
     each = word_hashes(raw)
     n, grams = len(each) - k + 1, len(each) - m + 1
     if n <= 0:
-        return np.empty(0, np.int64), [], []
+        return tuple(np.empty(0, t) for t in (np.int64, np.int64, np.int64, np.uint64))
     mixed = np.zeros(grams, np.uint64)
     for j in range(m):
         mixed += each[j : j + grams] * _FACTORS[j % 64]
     mixed ^= mixed >> np.uint64(32)
     mixed *= _FACTORS[-1]
-    views = np.lib.stride_tricks.sliding_window_view(mixed, k - m + 1)
-    place = np.arange(n)
+    place = np.empty(n, np.int64)
     for at in range(0, n, _BLOCK):
-        place[at : at + _BLOCK] += np.argmin(views[at : at + _BLOCK], axis=1)
+        place[at : at + _BLOCK] = at + _first_minima(mixed[at : at + _BLOCK + k - m], k - m + 1)
     first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
     last = np.concatenate([first[1:], [n]]) - 1
-    return mixed[place[first]].view(np.int64), first.tolist(), last.tolist()
+    sums = np.concatenate([[np.uint64(0)], np.cumsum(each, dtype=np.uint64)])
+    string = (sums[last + k] - sums[first]) * _FACTORS[0]
+    return mixed[place[first]].view(np.int64), first, last, string ^ (string >> np.uint64(32))
+
+
+def _filters(counts: DataFrame, bits: int, hot_bits: int) -> tuple[RepeatFilter, RepeatFilter]:
+    """Bitmaps of the minimisers that occur twice or more, and of those with very many strings; from one aggregate."""
+    slot = f"pmod(key, {bits}L)"
+    one = f"shiftleft(1L, cast({slot} & 63 AS int))"
+    rows = (
+        counts.groupBy("key")
+        .agg(F.sum("n").alias("n"), F.bit_or("strings").alias("strings"))
+        .where("n > 1")
+        .groupBy(F.expr(f"shiftright({slot}, 6)").alias("word"))
+        .agg(F.expr(f"bit_or({one})").alias("seen"), F.expr(f"bit_or(CASE WHEN bit_count(strings) >= {hot_bits} THEN {one} ELSE 0L END)").alias("hot"))
+        .toArrow()
+    )  # at most bits / 64 rows
+    out = []
+    for name in ("seen", "hot"):
+        words = np.zeros(bits // 64, dtype=np.uint64)
+        words[rows["word"].to_numpy().astype(np.int64)] = rows[name].to_numpy().astype(np.int64).view(np.uint64)
+        out.append(RepeatFilter(words, bits))
+    return out[0], out[1]
 
 
 def remove_repeats(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = WINDOW, m: int = MINIMISER, filter_bits: int = FILTER_BITS
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    k: int = WINDOW,
+    m: int = MINIMISER,
+    filter_bits: int = FILTER_BITS,
+    hot_sample: int = HOT_SAMPLE,
+    hot_bits: int = HOT_BITS,
 ) -> DataFrame:
-    """``docs`` plus ``kept_text`` (kept words joined by a space), ``n_words`` and ``n_removed``."""
+    """``docs`` plus ``kept_text`` (kept words joined by a space), ``n_words`` and ``n_removed``.
+
+    A minimiser's windows travel alone if ``hot_bits`` of the 64 bits of its
+    sketch are set, to which one string in ``hot_sample`` adds.
+    """
     if not 1 <= m <= k:
         raise ValueError("a minimiser is shorter than its window")
     spark = docs.sparkSession
@@ -100,22 +151,36 @@ def remove_repeats(
 
     def count_minimisers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = [super_kmers(t.encode("utf-8"), k, m)[0] for t in texts_of(batch.column(0))]
-            found, n = np.unique(np.concatenate([np.empty(0, np.int64), *keys]), return_counts=True)
-            yield pa.record_batch([pa.array(found, pa.int64()), pa.array(n, pa.int64())], names=["key", "n"])
+            parts = [super_kmers(t.encode("utf-8"), k, m) for t in texts_of(batch.column(0))]
+            keys = np.concatenate([np.empty(0, np.int64), *[p[0] for p in parts]])
+            strings = np.concatenate([np.empty(0, np.uint64), *[p[3] for p in parts]])
+            sketch = np.where(strings % np.uint64(hot_sample) == 0, np.uint64(1) << (strings // np.uint64(hot_sample) % np.uint64(64)), np.uint64(0))
+            order = np.argsort(keys, kind="stable")
+            found, first, n = np.unique(keys[order], return_index=True, return_counts=True)
+            masks = np.bitwise_or.reduceat(sketch[order], first) if len(found) else sketch
+            yield pa.record_batch([pa.array(found, pa.int64()), pa.array(n, pa.int64()), pa.array(masks.view(np.int64), pa.int64())], names=["key", "n", "strings"])
 
     # 1. which minimisers repeat
-    counts = docs.select(text.alias("t")).mapInArrow(count_minimisers, "key long, n long")
-    seen = spark.sparkContext.broadcast(RepeatFilter.of(counts, "key", "n", filter_bits))
+    counts = docs.select(text.alias("t")).mapInArrow(count_minimisers, "key long, n long, strings long")
+    shared = spark.sparkContext.broadcast(_filters(counts, filter_bits, hot_bits))
 
     def repeating(t: str) -> Iterator[tuple[int, int, bytes]]:
         """(bucket, first window, packed words) of the super-k-mers that may repeat."""
         raw = t.encode("utf-8")
-        keys, firsts, lasts = super_kmers(raw, k, m)
-        hits = np.flatnonzero(seen.value.test(keys))
-        words = raw.split() if len(hits) else []
-        for j in hits.tolist():
-            yield int(keys[j]), firsts[j], b" ".join(words[firsts[j] : lasts[j] + k])
+        seen, hot = shared.value
+        keys, firsts, lasts, _ = super_kmers(raw, k, m)
+        hits = np.flatnonzero(seen.test(keys))
+        if not len(hits):
+            return
+        words = raw.split()
+        alone = hot.test(keys[hits])
+        for key, first, last, single in zip(keys[hits].tolist(), firsts[hits].tolist(), lasts[hits].tolist(), alone.tolist(), strict=True):
+            if single:
+                for start in range(first, last + 1):
+                    window = b" ".join(words[start : start + k])
+                    yield int.from_bytes(hashlib.blake2b(window, digest_size=8).digest(), "little", signed=True), start, window
+            else:
+                yield key, first, b" ".join(words[first : last + k])
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Different strings of a stretch of documents with their first places and counts."""

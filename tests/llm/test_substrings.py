@@ -51,7 +51,8 @@ def test_super_kmers_cover_every_window_once():
     rng = random.Random(3)
     for n in (0, 5, 6, 7, 50, 400):
         words = [rng.choice([b"a", b"b", b"c"]) for _ in range(n)]
-        _, first, last = sub.super_kmers(b' '.join(words), 6, 3)
+        _, first, last, strings = sub.super_kmers(b' '.join(words), 6, 3)
+        assert len(strings) == len(first)
         covered = [w for a, b in zip(first, last) for w in range(a, b + 1)]
         assert covered == list(range(max(0, n - 5))) and all(b - a < 4 for a, b in zip(first, last))
 
@@ -74,3 +75,30 @@ def test_query_matches_its_sql(spark):
     names = [d[0] for d in res.description]
     got = op8_substring_dedup(spark, SMALL)
     assert sorted(map(tuple, got.select(*names).collect())) == sorted(res.fetchall())
+
+
+@pytest.mark.parametrize("hot_bits", [1, 40, 65])
+def test_a_phrase_with_many_neighbours_takes_single_windows(spark, hot_bits):
+    """All, some or no minimisers are split: the same words go."""
+    rng = random.Random(6)
+    phrase = "over and over the very same five words".split()
+    data = [(d, " ".join([f"x{rng.randrange(9)}" for _ in range(12)] + phrase + [f"y{rng.randrange(9)}" for _ in range(12)])) for d in range(300)]
+    data += [(1000 + d, data[d][1]) for d in range(0, 300, 7)]
+    got = sub.remove_repeats(spark.createDataFrame(data, "doc_id long, text string"), k=6, m=3, hot_sample=1, hot_bits=hot_bits)
+    assert sorted(((r.doc_id, r.kept_text, r.n_words, r.n_removed) for r in got.collect()), key=str) == plain(data, 6)
+
+
+def test_windows_of_a_hot_minimiser_spread_over_buckets():
+    """What a third of the documents share under other neighbours does not meet in one bucket."""
+    rng = random.Random(8)
+    texts = [" ".join([f"a{rng.random()}" for _ in range(20)] + ["the", "one", "phrase", "of", "all"] + [f"b{rng.random()}" for _ in range(20)]).encode() for _ in range(5000)]
+    keys, sketch = {}, {}
+    for raw in texts:
+        for key, _, _, string in zip(*(x.tolist() for x in sub.super_kmers(raw, 20, 5)), strict=True):
+            keys[key] = keys.get(key, 0) + 1
+            if string % sub.HOT_SAMPLE == 0:
+                sketch[key] = sketch.get(key, 0) | 1 << (string // sub.HOT_SAMPLE % 64)
+    often = max(keys, key=keys.get)
+    if keys[often] > 2800:  # the phrase is the minimiser of its windows
+        assert bin(sketch[often]).count("1") >= sub.HOT_BITS
+    assert all(bin(v).count("1") < sub.HOT_BITS for k, v in sketch.items() if keys[k] < 500)
