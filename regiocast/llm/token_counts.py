@@ -7,6 +7,12 @@ grown corpus pays for the new texts alone.  The only normal form that can
 never change a count is one that the tokenizer applies itself; the default
 (NULL becomes the empty text) suits models with the identity normaliser.
 
+The cache is asked by digest before any text moves.  Two bitmaps of fixed size
+then sort the rows: one in no slot of a missed digest is a hit; one in no slot
+of a hit or of a digest that repeats is the only row of its text, which is
+encoded where it is; texts of the rest meet by digest, and those of the cache
+leave by an exact join.  Slots shared by chance cost shuffle, never a row.
+
 Cases: NULL text counts as empty (0 tokens); rows that repeat keep one output
 row each and share one encoding; other columns pass through, one named like
 an output column is replaced; an empty table gives an empty one; a cache
@@ -24,7 +30,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from regiocast.llm.common import content_key, small_batches, texts_of
+from regiocast.llm.common import FILTER_BITS, content_key, cut_lineage, perhaps_in, small_batches, texts_of
 
 CACHE_SCHEMA = "digest binary, tokenizer string, n_tokens long"
 _LOADED: dict = {}
@@ -70,6 +76,7 @@ def count_tokens(
     text_col: str = "text",
     out_col: str = "n_tokens",
     normalise: Callable[[Column], Column] | None = None,
+    bits: int = FILTER_BITS,
 ) -> DataFrame:
     """``docs`` plus ``out_col``; the counts of texts that were not in the cache are appended to it."""
     spark, version = docs.sparkSession, version_digest(tokenizer_path)
@@ -86,10 +93,20 @@ def count_tokens(
     def stored() -> DataFrame:
         return read_cache(spark, cache_path).where(F.col("tokenizer") == version).groupBy("digest").agg(F.max("n_tokens").alias("__llm_n"))
 
+    digests = docs.select(content_key(content).alias("digest")).groupBy("digest").agg(F.count("*").alias("n"))
+    asked = digests.join(stored(), "digest", "left").select(
+        F.xxhash64("digest").alias("key"), F.col("__llm_n").isNull().alias("missing"), (F.col("__llm_n").isNotNull() | (F.col("n") > 1)).alias("shared")
+    )
+    asked = cut_lineage(asked)
+    perhaps_missing = perhaps_in(asked.where("missing").select("key"), bits)
+    perhaps_shared = perhaps_in(asked.where("shared").select("key"), bits)
+    rows = docs.select(content_key(content).alias("digest"), text.alias("t"))
+    rows = rows.withColumns({"missing": perhaps_missing(F.xxhash64("digest")), "shared": perhaps_shared(F.xxhash64("digest"))})
+    alone = rows.where("missing AND NOT shared").select("digest", "t")
     # one row per different text: copies meet map-side before the shuffle
-    distinct = docs.select(content_key(content).alias("digest"), text.alias("t")).groupBy("digest").agg(F.first("t").alias("t"))
-    misses = distinct.join(stored(), "digest", "left_anti")
-    misses.select("digest", "t").mapInArrow(encode, CACHE_SCHEMA).write.mode("append").parquet(cache_path)
+    together = rows.where("missing AND shared").groupBy("digest").agg(F.first("t").alias("t")).join(stored(), "digest", "left_anti")
+    for misses in (alone, together):
+        misses.mapInArrow(encode, CACHE_SCHEMA).write.mode("append").parquet(cache_path)
     counts = stored().withColumnRenamed("digest", "__llm_digest")
     return (
         docs.drop(out_col)

@@ -1,4 +1,5 @@
 import public_tokenizers
+import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
@@ -35,6 +36,23 @@ def test_another_tokenizer_is_another_version(spark, scratch):
     assert spark.read.parquet(cache).select("tokenizer").distinct().count() == 2
 
 
+@pytest.mark.parametrize("bits", [64, 1 << 26])
+def test_full_bitmaps_change_nothing(spark, scratch, bits):
+    """Hits, copies and lone texts in any mix, also where every slot is shared by chance; each text is stored once."""
+    sp = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    first = [(i, f"text number {i % 70}") for i in range(100)] + [(None, None), (None, "")]
+    more = [(1000 + i, f"text number {50 + i % 90}") for i in range(150)] + first[:20] + [(i, "hot " * 50) for i in range(60)]
+    cache, stored = f"{scratch}/cache", set()
+    for rows in (first, more):
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        got = token_counts.count_tokens(df, MODEL, cache, bits=bits).collect()
+        assert sorted((str(r.doc_id), r.text or "", r.n_tokens) for r in got) == sorted((str(i), t or "", len(sp.encode(t or ""))) for i, t in rows)
+        stored |= {t or "" for _, t in rows}
+        assert spark.read.parquet(cache).count() == len(stored)
+    assert token_counts.count_tokens(df, MODEL, cache, bits=bits).count() == len(more)
+    assert spark.read.parquet(cache).count() == len(stored)  # a third run appends nothing
+
+
 def test_empty_table(spark, scratch):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert token_counts.count_tokens(df, MODEL, f"{scratch}/c").collect() == []
