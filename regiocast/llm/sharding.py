@@ -12,7 +12,8 @@ search brackets the capacity and each cut; only the cells that a bracket
 touches are split by their next byte, until capacity and cuts are exact.
 
 Rows get gapless slots within their shard by counting blocks of rows first and
-numbering within a block, so no task holds a whole shard.
+numbering within a block, so no task holds a whole shard; a row that repeats is
+numbered once, with its count.
 
 Cases: a NULL text is an empty one (and of its group); repeated rows get a
 slot each; a NULL id is an id like any other; other columns are not read; an
@@ -32,6 +33,8 @@ from regiocast.llm.common import content_key, cut_lineage
 ROW_BYTES = 8
 #: Blocks of rows numbered on their own in each shard.
 BLOCKS = 256
+#: Slots of one repeated row that are listed at a time.
+RUN = 1 << 16
 
 
 class Cells:
@@ -120,6 +123,7 @@ def minimax_cuts(groups: DataFrame, shards: int) -> list[bytes]:
 def assign(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str = "text", blocks: int = BLOCKS) -> DataFrame:
     """One row per row of ``docs``: id, ``size``, ``text_crc32``, ``shard``, ``slot``."""
     text = F.coalesce(F.col(text_col), F.lit(""))
+    # rows that repeat are one row with a count from here on: no task sorts or numbers them one by one
     base = cut_lineage(
         docs.select(
             F.col(id_col).alias("id"),
@@ -127,17 +131,21 @@ def assign(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str =
             F.crc32(text.cast("binary")).alias("text_crc32"),
             content_key(text).alias("digest"),
         )
+        .groupBy("id", "size", "text_crc32", "digest")
+        .agg(F.count("*").alias("n"))
     )
-    groups = cut_lineage(base.groupBy("digest").agg(F.sum("size").alias("bytes")))
+    groups = cut_lineage(base.groupBy("digest").agg(F.sum(F.col("size") * F.col("n")).alias("bytes")))
     shard = F.lit(0)
     for first in minimax_cuts(groups, shards):
         shard = shard + (F.col("digest") >= F.lit(first)).cast("int")
     placed = base.withColumn("shard", shard).withColumn("block", F.pmod(F.xxhash64("id", "digest"), F.lit(blocks)).cast("int"))
-    counts = placed.groupBy("shard", "block").agg(F.count("*").alias("n"))  # shards x blocks rows at most
+    counts = placed.groupBy("shard", "block").agg(F.sum("n").alias("rows"))  # shards x blocks rows at most
     before = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("shard", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    own = Window.partitionBy("shard", "block").orderBy(F.col("id").asc_nulls_first(), "digest")
-    numbered = placed.withColumn("row", F.row_number().over(own))
-    return numbered.join(F.broadcast(offsets), ["shard", "block"]).select(
-        F.col("id").alias(id_col), "size", "text_crc32", "shard", (F.col("offset") + F.col("row") - 1).cast("long").alias("slot")
-    )
+    offsets = counts.select("shard", "block", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("offset"))
+    own = Window.partitionBy("shard", "block").orderBy(F.col("id").asc_nulls_first(), "digest").rowsBetween(Window.unboundedPreceding, -1)
+    first_slots = placed.withColumn("before", F.coalesce(F.sum("n").over(own), F.lit(0))).join(F.broadcast(offsets), ["shard", "block"])
+    # the slots of repeated rows are counted out in runs of bounded length
+    start = F.col("offset") + F.col("before")
+    runs = first_slots.select("id", "size", "text_crc32", "shard", (start + F.col("n")).alias("end"), F.explode(F.sequence(start, start + F.col("n") - 1, F.lit(RUN))).alias("at"))
+    slots = F.sequence("at", F.least(F.col("at") + (RUN - 1), F.col("end") - 1))
+    return runs.select(F.col("id").alias(id_col), "size", "text_crc32", "shard", F.explode(slots).alias("slot"))

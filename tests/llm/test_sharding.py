@@ -61,6 +61,15 @@ def test_against_brute_force(spark, shards):
     check(rows, sh.assign(df, shards, blocks=5).collect(), shards)
 
 
+def test_one_row_repeats(spark, monkeypatch):
+    """A third of the rows are one row; its slots come in several runs."""
+    monkeypatch.setattr(sh, "RUN", 7)
+    rows = [(5, "the same")] * 100 + [(i, f"text {i}") for i in range(200)] + [(None, None)] * 14 + [(9, "a")] * 7
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for shards in (1, 4):
+        check(rows, sh.assign(df, shards, blocks=3).collect(), shards)
+
+
 def test_cells_are_split_until_exact(spark):
     """Groups whose digests share long prefixes need several rounds."""
     rng = random.Random(9)
