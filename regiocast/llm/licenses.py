@@ -236,15 +236,52 @@ def opening(text: Column) -> Column:
     return F.when(text.rlike(r"(?i)^[^\p{L}\p{N}©]*(?:copyright|©|c\))"), F.lit("©")).otherwise(letters)
 
 
+#: Whole texts of longer licences as published (with and without the part behind their terms, links by http and
+#: https): identifier, opening and SHA-256 of the canonical form.
+LONG_TEXTS = [
+    ("Apache-2.0", "apa", "0713b8042820f074044ba6db157f7843927c515629ca29f677556daab4d3cf38"),
+    ("Apache-2.0", "apa", "4ba36804e9f21222cf9539208665b89c8f8a9711e45b0c55838cd8667188e5b6"),
+    ("Apache-2.0", "apa", "b43d993fc3f9c0309101f310828c7f00ec8c14307b1d8b00cda057bad3595eff"),
+    ("Apache-2.0", "apa", "4c3a2854c0e85e048fc1a280c7e36de8f6a914f7c106b2cf108e686cdacdc646"),
+    ("Artistic-1.0-Perl", "the", "2f3d769dc7523c6d7b33d67218c382c2f1bbbeb54c3752e387ae610d9a5519f8"),
+    ("CC0-1.0", "cre", "107657b61f1fade4bc0feb6f787704a981c4e011753c8311ecf9401310e1b507"),
+    ("GFDL-1.2", "gnu", "0dfe3356bc84300810c038b6e2771ade3f37a89aee4a47b254e60bbfc28e8139"),
+    ("GFDL-1.2", "gnu", "ff19eda9f2c57fe48b52311ff82836702d97ab7ef50458859636361139a6a74a"),
+    ("GFDL-1.3", "gnu", "d30a95cc10a5ddc54266cdfd732e3a200e88f4aeb1f454bfe35aa19fc7d792e9"),
+    ("GFDL-1.3", "gnu", "e122c2154573688ac1533f0527dce9f3dbbc0321bddc4bb106a34e655456a55d"),
+    ("GPL-1.0", "gnu", "4e9dfbd0b554e9592bfd59544c0dece19de6e249f13de3ed4d3f45fb50ec59f8"),
+    ("GPL-1.0", "gnu", "174e1e4b9536908abe7c6766e01851b9db86f2d8bdcddffb0fddf2a7669c3263"),
+    ("GPL-2.0", "gnu", "e14a19ad75dfddfe2094bdf479a50faf3a1b987c208c247dcb12ad53a69455b3"),
+    ("GPL-2.0", "gnu", "6f1e711078b958df32cc87e5ba97055c4ff393b1a368c914e6ef56f921076533"),
+    ("GPL-3.0", "gnu", "bf298f56841a9b4bb40ca9f36997d3a32af01f274a05846eaf5d89d5aae2af78"),
+    ("GPL-3.0", "gnu", "26cf85f26f1953e9b59150de5b183578e20b64a1d7a79802a751afed04b4d669"),
+    ("GPL-3.0", "gnu", "7256190d5c1932aede0e7a71410e68c6e01cf63d8f889ace1819028268bbe349"),
+    ("GPL-3.0", "gnu", "487f9d76839a22dd3f6312a3664b75b5801531466bb1477283b3c4cb4377b224"),
+    ("LGPL-2.0", "gnu", "586beb2d4154903cc68738d75b4e6426076027b419eb72b2ae0ed0add9cc8786"),
+    ("LGPL-2.0", "gnu", "1d43c19c923c2873e55a8d49ef3ef6d5b1cc4e4c453302415d924237e3d923d6"),
+    ("LGPL-2.1", "gnu", "2e88c50e8f4dfa9096f4a2532928385d4bc2a2ffbbd235c29d11b6e291c390c1"),
+    ("LGPL-2.1", "gnu", "143ab92c79edc318fd6e6c1f531904cfb104ae83ec0738c3d10db4814a3149e1"),
+    ("LGPL-3.0", "gnu", "75c0453548238c572209c39c34402efb773b13fb0d4d0d4b7956f2b8c4560f12"),
+    ("MPL-1.1", "moz", "f81c8ff73f6be12b1bb801e42b5d51178c389d5e14add00e3d9f9cf99e4b767d"),
+    ("MPL-1.1", "moz", "996325f83c6cf0f07397fa4cc1c229170ed172e0e2f34c2bd37a74f7fef710ec"),
+    ("MPL-2.0", "moz", "1fa4707b66b6349121d85dfa9da964f3b6c706f2f2e8d63cfd3da5bd236a7a05"),
+    ("MPL-2.0", "moz", "62c51abcc2d94e45f8df045fbdab6130eae72541c582fe1265194528477d2ed5"),
+]
+
+
 def known_digests(spark: SparkSession, licenses: list[tuple[str, str]] | DataFrame = KNOWN, more: DataFrame | None = None) -> DataFrame:
     """(license, digest, opening), one row per different canonical text; of two names the first in order stays.
 
-    ``more`` is a licence table (license, text), for longer texts than the list holds.
+    ``more`` is a licence table (license, text), for longer texts than the list holds; the list brings ``LONG_TEXTS``.
     """
     texts = licenses if isinstance(licenses, DataFrame) else spark.createDataFrame(licenses, "license string, text string")
     texts = texts if more is None else texts.select("license", "text").unionByName(more.select("license", "text"))
     form = texts.where("text IS NOT NULL").select("license", canonical(F.col("text")).alias("form")).where("form != '  '")
-    return form.groupBy(F.unhex(F.sha2("form", 256)).alias("digest")).agg(F.min("license").alias("license"), opening(F.first("form")).alias("opening"))
+    known = form.select("license", F.unhex(F.sha2("form", 256)).alias("digest"), opening(F.col("form")).alias("opening"))
+    if licenses is KNOWN:
+        long = spark.createDataFrame(LONG_TEXTS, "license string, opening string, digest string")
+        known = known.unionByName(long.withColumn("digest", F.unhex("digest")))
+    return known.groupBy("digest").agg(F.min("license").alias("license"), F.min("opening").alias("opening"))
 
 
 def scan(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -171,12 +171,13 @@ QUERIES = {
     "op13_embedding_whitening": op13_embedding_whitening,
 }
 def _license_sql() -> str:
-    """Canonical forms by the same fixed values, matched by the text itself instead of its digest."""
+    """Canonical forms by the same fixed values, matched by the text itself; long licences by its digest."""
     quoted = lambda x: "'" + x.replace("'", "''") + "'"
     form = "' ' || lower(unit) || ' '"
     for pattern, new in [(licenses.COPYRIGHT_LINE, " "), (licenses.SIGNS, "  "), *licenses.spellings()]:
         form = f"regexp_replace({form}, {quoted(pattern)}, {quoted(new)}, 'g')"
     values = ", ".join(f"({quoted(name)}, {quoted(text)})" for name, text in licenses.KNOWN)
+    long_texts = ", ".join(f"({quoted(name)}, {quoted(digest)})" for name, _, digest in licenses.LONG_TEXTS)
     return f"""
         WITH known AS (
             SELECT min(license) AS license, form FROM (SELECT license, {form} AS form FROM (VALUES {values}) AS v(license, unit))
@@ -184,8 +185,11 @@ def _license_sql() -> str:
         ), units AS (
             SELECT doc_id, false AS whole, unnest(string_split(text, chr(10))) AS unit FROM documents
             UNION ALL SELECT doc_id, true, text FROM documents
+        ), forms AS (
+            SELECT doc_id, whole, {form} AS form FROM units
         ), found AS (
-            SELECT doc_id, whole, license FROM (SELECT doc_id, whole, {form} AS form FROM units) JOIN known USING (form)
+            SELECT doc_id, whole, license FROM forms JOIN known USING (form)
+            UNION ALL SELECT doc_id, whole, license FROM forms JOIN (VALUES {long_texts}) AS l(license, digest) ON sha256(form) = digest
         ), gathered AS (
             SELECT doc_id, min(license) FILTER (whole) AS whole_license, string_agg(DISTINCT license, ',' ORDER BY license) AS licenses,
                    count(*) FILTER (NOT whole) AS n_notices

@@ -1,8 +1,14 @@
+import os
+
 import duckdb
+import pytest
 
 from regiocast.llm import licenses as lic
 from regiocast.llm.queries import ORACLE_SQL, op7_license_scan
 
+#: Published licence texts, where the system has them.
+SHELF = "/usr/share/common-licenses"
+LONG = {"Apache-2.0": "Apache-2.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0"}
 SMALL = "/root/testdata/sf0.01"
 MIT = next(text for name, text in lic.KNOWN if name == "MIT" and "Permission" in text)
 
@@ -94,3 +100,25 @@ def test_whole_texts_and_notice_forms(spark):
     want = [*notices.values(), "BSD-2-Clause", "BSD-3-Clause", "ISC", "Zlib", "BSL-1.0", "Unlicense", "Long-1.0"]
     assert [got[i].whole_license for i, _ in rows] == want
     assert all(name in got[i].licenses for i, name in enumerate(want))
+
+
+@pytest.mark.skipif(not all(os.path.exists(f"{SHELF}/{name}") for name in LONG), reason="no published licence texts on this system")
+def test_long_licences(spark, scratch):
+    """Whole long texts as published, on one line, in capitals and under a copyright line; none with a word changed, none cut."""
+    rows, want = [], []
+    for file, name in LONG.items():
+        with open(f"{SHELF}/{file}", encoding="utf-8") as source:
+            text = source.read()
+        words = " ".join(line for line in text.split("\n") if not line.strip().lower().startswith(("copyright", "(c)"))).split()
+        for found, variant in ((name, text), (name, " ".join(words)), (name, text.upper()), (name, "Copyright 2024 me\n" + text), (None, text + " not"), (None, text[: len(text) // 2]), (None, text.replace(" not ", " ", 1))):
+            rows.append((len(rows), variant))
+            want.append(found)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    df.write.parquet(f"{scratch}/documents.parquet")
+    got = {r.doc_id: r for r in op7_license_scan(spark, scratch).collect()}
+    assert [got[i].whole_license for i, _ in rows] == want
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{scratch}/documents.parquet/*.parquet'")
+    res = con.execute(ORACLE_SQL["op7_license_scan"])
+    names = [d[0] for d in res.description]
+    assert sorted(map(str, res.fetchall())) == sorted(str(tuple(got[i][n] for n in names)) for i, _ in rows)
