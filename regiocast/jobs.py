@@ -5,7 +5,7 @@
                                           [--variant rdd|sql] [--n 5] [--min-points N] [--rounding trunc|half_up]
     python -m regiocast.jobs coverage     --summary PATH --population PATH --start-after DATE --out PATH
                                           --algorithm kmeans|bisecting --k K [--target-date DATE]
-                                          [--points rows|daily] [--fit-partitions N]
+                                          [--variant rdd|sql] [--points rows|daily] [--fit-partitions N]
     python -m regiocast.jobs land         --table summary|centers|doses|population --src FOLDER --out PATH
                                           [--on-bad fail|quarantine] [--rejects PATH] [--by-month] [--lenient-dates]
                                           [--stream [--checkpoint PATH] [--max-files N]]
@@ -43,6 +43,8 @@ from regiocast.sources.landing import ON_BAD, land, read_csv_feed, type_columns
 from regiocast.sources.sinks import clusters_path, write_csv
 from regiocast.streaming.landing import land_available
 
+VARIANTS = ("rdd", "sql")
+
 LAYOUTS = {
     "summary": (schemas.SUMMARY_RAW, schemas.SUMMARY),
     "centers": (schemas.CENTERS_RAW, schemas.CENTERS),
@@ -76,8 +78,8 @@ def top_regions_job(
 ) -> str:
     """``rdd``: at least two points, truncated, best first.  ``sql``: every group, half up, date as
     dd-MM-yyyy, the forecast ascending."""
-    if variant not in ("rdd", "sql"):
-        raise ValueError("variant must be 'rdd' or 'sql'")
+    if variant not in VARIANTS:
+        raise ValueError(f"variant must be one of {VARIANTS}")
     sql = variant == "sql"
     value = "predicted" if sql else "vacc_women"
     points = min_points if min_points is not None else 1 if sql else 2
@@ -102,7 +104,12 @@ def coverage_job(
     points: str = "rows",
     fit_partitions: int = 1,
     single_file: bool = False,
+    variant: str = "rdd",
 ) -> str:
+    """``sql``: the same rows as ``rdd``, as one file."""
+    if variant not in VARIANTS:
+        raise ValueError(f"variant must be one of {VARIANTS}")
+    single_file = single_file or variant == "sql"
     df = coverage_clusters(summary, population, start_after, target_date, k, algorithm, points=points, fit_partitions=fit_partitions)
     path = clusters_path(out, algorithm, k)
     write_csv(df, path, sort_by=["region"], single_file=single_file)
@@ -147,13 +154,14 @@ def main(argv: list[str] | None = None) -> str:
         p.add_argument("--start-after", required=True)
         p.add_argument("--single-file", action="store_true")
     p = sub.choices["top-regions"]
-    p.add_argument("--variant", choices=["rdd", "sql"], default="rdd")
+    p.add_argument("--variant", choices=VARIANTS, default="rdd")
     p.add_argument("--n", type=int, default=5)
     p.add_argument("--min-points", type=int)
     p.add_argument("--rounding", choices=ROUNDINGS)
     p = sub.choices["coverage"]
     p.add_argument("--algorithm", choices=["kmeans", "bisecting"], required=True)
     p.add_argument("--k", type=int, required=True)
+    p.add_argument("--variant", choices=VARIANTS, default="rdd")
     p.add_argument("--target-date")
     p.add_argument("--points", choices=POINTS, default="rows")
     p.add_argument("--fit-partitions", type=int, default=1)
@@ -192,8 +200,9 @@ def main(argv: list[str] | None = None) -> str:
     if args.job == "top-regions":
         return top_regions_job(*frames, args.out, args.start_after, args.variant, args.n, args.min_points, args.rounding, args.single_file)
     return coverage_job(
-        *frames, args.out, args.start_after, args.algorithm, args.k, args.target_date, args.points, args.fit_partitions, args.single_file
-    )
+        *frames, args.out, args.start_after, args.algorithm, args.k, args.target_date, args.points, args.fit_partitions, args.single_file,
+        args.variant,
+    )
 
 
 if __name__ == "__main__":

@@ -65,6 +65,10 @@ def test_coverage(spark, feeds):
     assert [r[1] for r in rows] == sorted(r[1] for r in rows) and {r[3] for r in rows} == {"0", "1"}
     want = {r.region: r.percent for r in entry.queries()["coverage_percent"](spark, SF_SMOKE).collect()}
     assert {r[1]: float(r[2]) for r in rows} == want
+    # the SQL variant: the same rows in one file
+    path = jobs.main(["coverage", *tables_args, *args, "--out", f"{feeds}/q3sql", "--target-date", TARGET_DATE, "--variant", "sql"])
+    (part,) = glob.glob(f"{path}/part-*.csv")
+    assert [tuple(r) for r in spark.read.option("header", True).csv(part).collect()] == rows
     # without a target day: tomorrow
     path = jobs.main(["coverage", "--sf-dir", SF_SMOKE, *args, "--out", f"{feeds}/q3b", "--points", "daily"])
     assert {r[0] for r in _csv_rows(spark, path)} == {str(spark.sql("SELECT current_date() + 1").first()[0])}
