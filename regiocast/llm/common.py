@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from regiocast.session import cut_lineage  # noqa: F401  (re-exported for the operators)
+from regiocast.session import checkpoint_dir, cut_lineage, scratch_path
 
 #: A word of the contracts: a run of anything but space and \t \n \v \f \r.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -25,6 +25,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table written below the shared folder; persisted where the session names none."""
+    spark = df.sparkSession
+    if checkpoint_dir(spark) is None:
+        return cut_lineage(df)
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 #: Bytes of one batch that goes to Python.
 BATCH_BYTES = 4 << 20
 

@@ -18,7 +18,8 @@ same way, and either way gives the same result.
 
 Only a super-k-mer whose minimiser occurs twice can hold a repeated window; a
 fixed-size bitmap of such minimisers (``RepeatFilter``) keeps the others from
-travelling and changes no result.  Folding and sorting are Spark's own and
+travelling and changes no result, and another one of the documents with repeats
+keeps the texts of the others where they are.  Folding and sorting are Spark's own and
 spill to disk; a string holds at most k - m + 1 windows.
 
 Cases: a NULL or empty text has no words; a NULL id comes before every other;
@@ -38,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from regiocast.llm.common import FILTER_BITS, RepeatFilter, small_batches, texts_of
+from regiocast.llm.common import FILTER_BITS, RepeatFilter, perhaps_in, small_batches, split_words, texts_of, written
 
 WINDOW, MINIMISER = 20, 5
 #: A minimiser with some 2,800 different strings or more has half of its sketch's bits set by one string in 64.
@@ -250,40 +251,58 @@ def remove_repeats(
     # 4. each occurrence compares its places with the first ones
     own = F.struct(F.col("id").isNotNull().alias("named"), F.col("id").alias("id"))
     later = F.filter("windows", lambda w: (w["first"]["start"] != F.col("start") + w["offset"]) | (F.struct(w["first"]["named"].alias("named"), w["first"]["id"].alias("id")) != own))
-    removed = (
+    found = (
         keyed.mapInArrow(occurrences, f"id {kind}, text_key long, start long, string binary")
         .join(firsts, "string")
         .select("id", "text_key", F.transform(later, lambda w: F.col("start") + w["offset"]).alias("starts"))
         .where(F.size("starts") > 0)
-        .groupBy("id", "text_key")
-        .agg(F.array_distinct(F.flatten(F.collect_list("starts"))).alias("__llm_starts"))  # of one document
-        .withColumnsRenamed({"id": "__llm_id", "text_key": "__llm_key"})
+        .groupBy(F.col("id").alias("__llm_id"), F.col("text_key").alias("__llm_key"))
+        .agg(F.flatten(F.collect_list("starts")).alias("starts"))  # of one document
     )
 
+    @arrow_udf("array<long>")
+    def stretches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        """First word and the one after the last of each stretch that the windows cover, in order."""
+        for batch in batches:
+            out = []
+            for starts in batch:
+                at = np.unique(starts.values.to_numpy())
+                apart = np.flatnonzero(at[1:] > at[:-1] + k)
+                ends = np.append(at[apart], at[-1]) + k
+                out.append(np.column_stack([at[np.append(0, apart + 1)], ends]).ravel())
+            yield pa.array(out, pa.list_(pa.int64()))
+
+    removed = written(found.select("__llm_id", "__llm_key", stretches("starts").alias("__llm_covered")), "repeats")
+    is_hit = perhaps_in(removed.select(F.xxhash64("__llm_id", "__llm_key")), filter_bits)
+
     @arrow_udf("struct<kept:string,n_words:long,n_removed:long>")
     def keep(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for batch, starts in batches:
+        for batch, covered in batches:
             kept, n_words, n_removed = [], [], []
-            for t, windows in zip(texts_of(batch), starts, strict=True):
+            for t, edges in zip(texts_of(batch), covered, strict=True):
                 words = words_of(t)
-                if windows.is_valid:
-                    edge = np.zeros(len(words) + 1, np.int64)
-                    at = np.array(windows.as_py(), np.int64)
-                    np.add.at(edge, at, 1)
-                    np.add.at(edge, at + k, -1)
-                    left = [w for w, covered in zip(words, np.cumsum(edge)[:-1].tolist(), strict=True) if not covered]
-                else:
-                    left = words
+                left, at = [], 0
+                if edges.is_valid:
+                    for start, end in zip(*[iter(edges.as_py())] * 2, strict=True):
+                        left += words[at:start]
+                        at = end
+                left += words[at:]
                 kept.append(b" ".join(left).decode("utf-8"))
                 n_words.append(len(words))
                 n_removed.append(len(words) - len(left))
             yield pa.StructArray.from_arrays([pa.array(kept, pa.string()), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64())], names=["kept", "n_words", "n_removed"])
 
-    # 5. the words that are left
+    # 5. the words that are left; a text without repeats stays where it is
     rest = docs.drop("kept_text", "n_words", "n_removed").withColumn("__llm_text_key", F.xxhash64(text))
-    joined = rest.join(removed, rest[id_col].eqNullSafe(removed["__llm_id"]) & (rest["__llm_text_key"] == removed["__llm_key"]), "left")
+    rest = rest.withColumn("__llm_hit", is_hit(F.xxhash64(id_col, "__llm_text_key")))
+    same = F.col(id_col).eqNullSafe(F.col("__llm_id")) & (F.col("__llm_text_key") == F.col("__llm_key"))
+    touched = rest.where("__llm_hit").join(removed, same, "left").withColumn("__llm_kept", keep(text, "__llm_covered"))
+    words = split_words(F.col(text_col))
+    whole = F.struct(F.array_join(words, " ").alias("kept"), F.size(words).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_removed"))
+    untouched = rest.where("NOT __llm_hit").withColumn("__llm_kept", whole)
     return (
-        joined.withColumn("__llm_kept", keep(text, "__llm_starts"))
+        touched.drop("__llm_id", "__llm_key", "__llm_covered")
+        .unionByName(untouched)
         .withColumns({"kept_text": F.col("__llm_kept.kept"), "n_words": F.col("__llm_kept.n_words"), "n_removed": F.col("__llm_kept.n_removed")})
-        .drop("__llm_kept", "__llm_starts", "__llm_id", "__llm_key", "__llm_text_key")
+        .drop("__llm_kept", "__llm_hit", "__llm_text_key")
     )
