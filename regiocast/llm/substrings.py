@@ -32,6 +32,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -45,13 +46,22 @@ WINDOW, MINIMISER = 20, 5
 #: A minimiser with some 2,800 different strings or more has half of its sketch's bits set by one string in 64.
 HOT_SAMPLE, HOT_BITS = 64, 32
 _BLOCK = 1 << 16  # words or windows looked at together
+_TOGETHER = 1 << 18  # bytes of documents looked at together
 _FOLD = 50_000  # different strings folded at a time in a task
 _RANDOM = np.random.RandomState(7)
 #: Hash of a word: a random number for each byte times a power for its place; of a run of words: odd factors.
 _BYTES = _RANDOM.randint(0, 1 << 62, size=256, dtype=np.uint64) * np.uint64(4) + np.uint64(1)
-_POWERS = np.multiply.accumulate(np.full(4096, 0x9E3779B97F4A7C15, np.uint64))
+_BYTES[32] = 0  # the blank between two words
+_BASE = 0x9E3779B97F4A7C15
 _FACTORS = _RANDOM.randint(0, 1 << 62, size=64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    return np.multiply.accumulate(np.full(n, base, np.uint64))
+
+
+#: Powers of the base and of its inverse modulo 2^64 for the places of a usual block.
+_UP, _DOWN = (_powers(b, 1 << 20) for b in (_BASE, pow(_BASE, -1, 1 << 64)))
 
 
 def words_of(text: str) -> list[bytes]:
@@ -59,19 +69,25 @@ def words_of(text: str) -> list[bytes]:
     return text.encode("utf-8").split()
 
 
+def _word_starts(joined: bytes) -> np.ndarray:
+    """Places of the words in bytes that hold one blank between two."""
+    return np.append(0, np.flatnonzero(np.frombuffer(joined, np.uint8) == 32) + 1) if joined else np.empty(0, np.int64)
+
+
 def word_hashes(raw: bytes) -> np.ndarray:
     """A 64-bit hash of each word; equal words have equal hashes."""
-    blank = np.concatenate([[True], _BLANK[np.frombuffer(raw, np.uint8)], [True]])
-    starts = np.flatnonzero(blank[:-1] & ~blank[1:])
-    ends = np.flatnonzero(~blank[:-1] & blank[1:])
+    joined = b" ".join(raw.split())
+    return _hashes(joined, _word_starts(joined))
+
+
+def _hashes(joined: bytes, starts: np.ndarray) -> np.ndarray:
+    data = np.frombuffer(joined, np.uint8)
     out = np.empty(len(starts), np.uint64)
     for at in range(0, len(starts), _BLOCK):
-        low, lengths = starts[at : at + _BLOCK], (ends - starts)[at : at + _BLOCK]
-        data = np.frombuffer(raw, np.uint8)[low[0] : ends[min(at + _BLOCK, len(ends)) - 1]]
-        data = data[~_BLANK[data]]
-        first = np.cumsum(lengths) - lengths
-        place = np.arange(len(data)) - np.repeat(first, lengths)
-        out[at : at + _BLOCK] = np.add.reduceat(_BYTES[data] * _POWERS[place & 4095], first)
+        own = starts[at : at + _BLOCK]
+        low, high = own[0], starts[at + _BLOCK] if at + _BLOCK < len(starts) else len(data)
+        up, down = (_UP, _DOWN) if high - low <= len(_UP) else (_powers(b, high - low) for b in (_BASE, pow(_BASE, -1, 1 << 64)))
+        out[at : at + _BLOCK] = np.add.reduceat(_BYTES[data[low:high]] * up[: high - low], own - low) * down[own - low]
     return out ^ (out >> np.uint64(29))
 
 
@@ -86,25 +102,70 @@ def _first_minima(values: np.ndarray, width: int) -> np.ndarray:
     return place
 
 
+@dataclass
+class SuperKmers:
+    """The runs of windows of some documents that share their minimiser's place."""
+
+    joined: bytes  # the words of all documents, a blank between two
+    places: np.ndarray  # of the words in it, and of one behind the last
+    doc: np.ndarray  # of each run: its document,
+    key: np.ndarray  # the minimiser,
+    first: np.ndarray  # the first and the last window, counted over all words,
+    last: np.ndarray
+    string: np.ndarray  # a hash of its words
+    before: np.ndarray  # words before each document
+
+    @classmethod
+    def of(cls, texts: list[str], k: int, m: int) -> SuperKmers:
+        lines = [b" ".join(words_of(t)) for t in texts]
+        joined = b" ".join(filter(None, lines))
+        starts = _word_starts(joined)
+        counts = np.array([line.count(b" ") + 1 if line else 0 for line in lines], np.int64)
+        before, places = np.cumsum(counts) - counts, np.append(starts, len(joined) + 1)
+        n, grams = len(starts) - k + 1, len(starts) - m + 1
+        if n <= 0:
+            return cls(joined, places, *(np.empty(0, t) for t in (np.int64, np.int64, np.int64, np.int64, np.uint64)), before)
+        each = _hashes(joined, starts)
+        mixed = np.zeros(grams, np.uint64)
+        for j in range(m):
+            mixed += each[j : j + grams] * _FACTORS[j % 64]
+        mixed ^= mixed >> np.uint64(32)
+        mixed *= _FACTORS[-1]
+        place = np.empty(n, np.int64)
+        for at in range(0, n, _BLOCK):
+            place[at : at + _BLOCK] = at + _first_minima(mixed[at : at + _BLOCK + k - m], k - m + 1)
+        owner = np.repeat(np.arange(len(lines)), counts)
+        window = np.flatnonzero(owner[:n] == owner[k - 1 :])  # of one document
+        place = place[window]
+        new = np.flatnonzero(np.append(True, place[1:] != place[:-1])) if len(window) else window
+        first, last = window[new], window[np.append(new[1:], len(window)) - 1] if len(window) else window
+        sums = np.append(np.uint64(0), np.cumsum(each, dtype=np.uint64))
+        string = (sums[last + k] - sums[first]) * _FACTORS[0]
+        return cls(joined, places, owner[first], mixed[place[new]].view(np.int64), first, last, string ^ (string >> np.uint64(32)), before)
+
+    def words(self, first: np.ndarray, n: int | np.ndarray) -> Iterator[bytes]:
+        """The packed strings of ``n`` words from each first one."""
+        for a, b in zip(self.places[first].tolist(), (self.places[first + n] - 1).tolist(), strict=True):
+            yield self.joined[a:b]
+
+
 def super_kmers(raw: bytes, k: int, m: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(minimiser, first window, last window, hash of the words) of each run of windows that share their minimiser's place."""
-    each = word_hashes(raw)
-    n, grams = len(each) - k + 1, len(each) - m + 1
-    if n <= 0:
-        return tuple(np.empty(0, t) for t in (np.int64, np.int64, np.int64, np.uint64))
-    mixed = np.zeros(grams, np.uint64)
-    for j in range(m):
-        mixed += each[j : j + grams] * _FACTORS[j % 64]
-    mixed ^= mixed >> np.uint64(32)
-    mixed *= _FACTORS[-1]
-    place = np.empty(n, np.int64)
-    for at in range(0, n, _BLOCK):
-        place[at : at + _BLOCK] = at + _first_minima(mixed[at : at + _BLOCK + k - m], k - m + 1)
-    first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-    last = np.concatenate([first[1:], [n]]) - 1
-    sums = np.concatenate([[np.uint64(0)], np.cumsum(each, dtype=np.uint64)])
-    string = (sums[last + k] - sums[first]) * _FACTORS[0]
-    return mixed[place[first]].view(np.int64), first, last, string ^ (string >> np.uint64(32))
+    """(minimiser, first window, last window, hash of the words) of each super-k-mer of one text."""
+    own = SuperKmers.of([raw.decode("utf-8")], k, m)
+    return own.key, own.first, own.last, own.string
+
+
+def _together(texts: Iterator[str]) -> Iterator[list[str]]:
+    """Neighbouring texts of about ``_TOGETHER`` bytes; a longer one may end its group."""
+    group, size = [], 0
+    for text in texts:
+        group.append(text)
+        size += len(text)
+        if size >= _TOGETHER:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
 
 
 def _filters(counts: DataFrame, bits: int, hot_bits: int) -> tuple[RepeatFilter, RepeatFilter]:
@@ -152,9 +213,10 @@ def remove_repeats(
 
     def count_minimisers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = [super_kmers(t.encode("utf-8"), k, m) for t in texts_of(batch.column(0))]
-            keys = np.concatenate([np.empty(0, np.int64), *[p[0] for p in parts]])
-            strings = np.concatenate([np.empty(0, np.uint64), *[p[3] for p in parts]])
+            parts = [SuperKmers.of(texts, k, m) for texts in _together(texts_of(batch.column(0)))]
+            keys = np.concatenate([np.empty(0, np.int64), *[p.key for p in parts]])
+            strings = np.concatenate([np.empty(0, np.uint64), *[p.string for p in parts]])
+            del parts
             sketch = np.where(strings % np.uint64(hot_sample) == 0, np.uint64(1) << (strings // np.uint64(hot_sample) % np.uint64(64)), np.uint64(0))
             order = np.argsort(keys, kind="stable")
             found, first, n = np.unique(keys[order], return_index=True, return_counts=True)
@@ -165,23 +227,23 @@ def remove_repeats(
     counts = docs.select(text.alias("t")).mapInArrow(count_minimisers, "key long, n long, strings long")
     shared = spark.sparkContext.broadcast(_filters(counts, filter_bits, hot_bits))
 
-    def repeating(t: str) -> Iterator[tuple[int, int, bytes]]:
-        """(bucket, first window, packed words) of the super-k-mers that may repeat."""
-        raw = t.encode("utf-8")
+    def repeating(texts: Iterator[str]) -> Iterator[tuple[int, int, int, bytes]]:
+        """(number of the text, bucket, first window, packed words) of the super-k-mers that may repeat."""
         seen, hot = shared.value
-        keys, firsts, lasts, _ = super_kmers(raw, k, m)
-        hits = np.flatnonzero(seen.test(keys))
-        if not len(hits):
-            return
-        words = raw.split()
-        alone = hot.test(keys[hits])
-        for key, first, last, single in zip(keys[hits].tolist(), firsts[hits].tolist(), lasts[hits].tolist(), alone.tolist(), strict=True):
-            if single:
-                for start in range(first, last + 1):
-                    window = b" ".join(words[start : start + k])
-                    yield int.from_bytes(hashlib.blake2b(window, digest_size=8).digest(), "little", signed=True), start, window
-            else:
-                yield key, first, b" ".join(words[first : last + k])
+        base = 0
+        for group in _together(texts):
+            found = SuperKmers.of(group, k, m)
+            hits = np.flatnonzero(seen.test(found.key))
+            alone = hot.test(found.key[hits])
+            own = hits[~alone]
+            first = found.first[own]
+            numbers, starts = base + found.doc[own], first - found.before[found.doc[own]]
+            yield from zip(numbers.tolist(), found.key[own].tolist(), starts.tolist(), found.words(first, found.last[own] + k - first), strict=True)
+            for r in hits[alone].tolist():
+                windows, doc = np.arange(found.first[r], found.last[r] + 1), int(found.doc[r])
+                for start, window in zip((windows - found.before[doc]).tolist(), found.words(windows, k), strict=True):
+                    yield base + doc, int.from_bytes(hashlib.blake2b(window, digest_size=8).digest(), "little", signed=True), start, window
+            base += len(group)
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Different strings of a stretch of documents with their first places and counts."""
@@ -198,14 +260,14 @@ def remove_repeats(
         kind = None
         for batch in batches:
             kind = batch.schema.field(0).type
-            for doc, t in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), strict=True):
-                for bucket, start, string in repeating(t):
-                    place = (doc is not None, doc, start)
-                    old = folded.get((bucket, string))
-                    if old is None:
-                        folded[bucket, string] = (place, 1)
-                    else:
-                        folded[bucket, string] = (min(old[0], place, key=in_order), old[1] + 1)
+            ids = batch.column(0).to_pylist()
+            for r, bucket, start, string in repeating(texts_of(batch.column(1))):
+                place = (ids[r] is not None, ids[r], start)
+                old = folded.get((bucket, string))
+                if old is None:
+                    folded[bucket, string] = (place, 1)
+                else:
+                    folded[bucket, string] = (min(old[0], place, key=in_order), old[1] + 1)
             if len(folded) >= _FOLD:
                 yield flush(kind)
         if folded:
@@ -215,11 +277,10 @@ def remove_repeats(
         """Every place of the strings, each by its digest."""
         for batch in batches:
             rows, starts, digests = [], [], []
-            for r, t in enumerate(texts_of(batch.column(2))):
-                for _, start, string in repeating(t):
-                    rows.append(r)
-                    starts.append(start)
-                    digests.append(hashlib.md5(string).digest())
+            for r, _, start, string in repeating(texts_of(batch.column(2))):
+                rows.append(r)
+                starts.append(start)
+                digests.append(hashlib.md5(string).digest())
             index = pa.array(rows, pa.int64())
             columns = [batch.column(0).take(index), batch.column(1).take(index), pa.array(starts, pa.int64()), pa.array(digests, pa.binary())]
             yield pa.record_batch(columns, names=["id", "text_key", "start", "string"])
@@ -229,13 +290,14 @@ def remove_repeats(
     packed = keyed.select("id", "t").mapInArrow(fold, f"bucket long, string string, id {kind}, start long, n long")
     folded = packed.repartition("bucket").groupBy("bucket", "string").agg(F.min(place).alias("own"), F.sum("n").alias("n"))
     # 3. in each bucket the windows are sorted, and each gets its first place
-    words = F.split("string", " ")
-    windows = folded.select("bucket", "string", "n", "own", F.explode(F.sequence(F.lit(0), F.size(words) - k)).alias("offset")).select(
+    one = F.transform(F.sequence(F.lit(0), F.size("w") - k), lambda o: F.array_join(F.slice("w", o + 1, k), " "))
+    cut = folded.select("bucket", F.unhex(F.md5("string")).alias("string"), "n", "own", F.split("string", " ").alias("w"))
+    windows = cut.select("bucket", "string", "n", "own", F.posexplode(one).alias("offset", "window")).select(
         "bucket",
         "string",
         "n",
         "offset",
-        F.array_join(F.slice(words, F.col("offset") + 1, k), " ").alias("window"),
+        "window",
         F.struct(F.col("own.named").alias("named"), F.col("own.id").alias("id"), (F.col("own.start") + F.col("offset")).alias("start")).alias("at"),
     )
     placed = windows.selectExpr("*", "min(at) OVER (PARTITION BY bucket, window) AS first").drop("window")
@@ -246,7 +308,7 @@ def remove_repeats(
             F.collect_list(F.struct("offset", "first")).alias("windows"),  # at most k - m + 1
         )
         .where("repeats")
-        .select(F.unhex(F.md5("string")).alias("string"), "windows")
+        .select("string", "windows")
     )
     # 4. each occurrence compares its places with the first ones
     own = F.struct(F.col("id").isNotNull().alias("named"), F.col("id").alias("id"))

@@ -57,6 +57,19 @@ def test_super_kmers_cover_every_window_once():
         assert covered == list(range(max(0, n - 5))) and all(b - a < 4 for a, b in zip(first, last))
 
 
+def test_texts_together_are_cut_as_each_alone():
+    rng = random.Random(5)
+    texts = [" \t".join(rng.choice("abcd") + rng.choice("é ") for _ in range(n)) for n in (0, 3, 40, 0, 6, 5, 200, 1, 70)]
+    found = sub.SuperKmers.of(texts, 6, 3)
+    for d, text in enumerate(texts):
+        own = found.doc == d
+        key, first, last, string = sub.super_kmers(text.encode(), 6, 3)
+        assert found.key[own].tolist() == key.tolist() and found.string[own].tolist() == string.tolist()
+        assert (found.first[own] - found.before[d]).tolist() == first.tolist() and (found.last[own] - found.before[d]).tolist() == last.tolist()
+        words = sub.words_of(text)
+        assert list(found.words(found.first[own], 6)) == [b" ".join(words[a : a + 6]) for a in first]
+
+
 @pytest.mark.parametrize(("k", "m", "bits"), [(20, 8, 1 << 20), (6, 3, 1 << 20), (5, 5, 64), (4, 1, 1 << 12)])
 def test_against_brute_force(spark, k, m, bits):
     got = sub.remove_repeats(table(spark, rows()), k=k, m=m, filter_bits=bits)
